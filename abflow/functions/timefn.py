@@ -79,7 +79,7 @@ def time_to_timestamp(col, tz: str = DEFAULT_TZ, unit: str = "ms") -> Column:
 
 def day_to_date(col) -> Column:
     """``yyyyMMdd`` text -> DATE (null when not a real day)."""
-    return F.try_to_date(_c(col), F.lit(DAY_FMT))
+    return F.try_to_date(_c(col), DAY_FMT)
 
 
 def date_to_day(col) -> Column:

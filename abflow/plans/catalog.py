@@ -35,3 +35,151 @@ def gblog(spark, sf_dir) -> DataFrame:
 def q_funnel_daily_ab(spark, sf_dir):
     """Exposures, clicks, active users and orders per group and day (one aggregate)."""
     return funnel_daily(by_scene(gblog(spark, sf_dir), SCENE_REL))
+
+
+# ---------------------------------------------------------------- filters, groups
+from ..functions.groups import ab_group  # noqa: E402
+from ..operators.filters import action_cond, by_action, plausible_watch  # noqa: E402
+from ..operators.groups import members_daily  # noqa: E402
+from ..sources.tables import members as member_range  # noqa: E402
+from ..functions.groups import label  # noqa: E402
+
+START = "20240101"
+
+
+@register("scene_filter")
+def q_scene_filter(spark, sf_dir):
+    """Rows of one scene per day and action code."""
+    b = by_scene(blog(spark, sf_dir), SCENE_NEWS)
+    return b.groupBy("dt", "action_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("ab_group")
+def q_ab_group(spark, sf_dir):
+    """Rows and distinct uids per A/B bucket."""
+    b = blog(spark, sf_dir).withColumn("grp", ab_group("uid"))
+    return b.groupBy("grp").agg(F.count(F.lit(1)).alias("n_rows"),
+                                F.count_distinct("uid").alias("n_uids"))
+
+
+def rel_members(spark, sf_dir):
+    return members_daily(blog(spark, sf_dir), SCENE_REL)
+
+
+@register("members_daily")
+def q_members_daily(spark, sf_dir):
+    """Distinct uids per group and day of the related-recommendation scene."""
+    return rel_members(spark, sf_dir)
+
+
+@register("member_range")
+def q_member_range(spark, sf_dir):
+    """Group B members of 20240105..20240112 via the partition label."""
+    m = rel_members(spark, sf_dir).withColumn("time", label("grp", "dt"))
+    r = member_range(m.select("uid", "time"), "B", "20240105", "20240112")
+    return r.groupBy("time").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("players_ab")
+def q_players_ab(spark, sf_dir):
+    """Distinct players (action 3) per group and day."""
+    from ..operators.funnel import players
+    return players(by_scene(gblog(spark, sf_dir), SCENE_REL))
+
+
+@register("play_contains")
+def q_play_contains(spark, sf_dir):
+    """Play rows by substring match on the action code, per group and day."""
+    from ..operators.funnel import plays
+    return plays(by_scene(gblog(spark, sf_dir), SCENE_REL), match="contains")
+
+
+# ---------------------------------------------------------------- retention
+from ..operators import retention as R  # noqa: E402
+
+
+@register("new_users_daily")
+def q_new_users_daily(spark, sf_dir):
+    return R.new_users(rel_members(spark, sf_dir), START)
+
+
+@register("user_stats_daily")
+def q_user_stats_daily(spark, sf_dir):
+    return R.user_stats_daily(rel_members(spark, sf_dir), START)
+
+
+@register("retention_7")
+def q_retention_7(spark, sf_dir):
+    return R.retention(rel_members(spark, sf_dir), 7, START)
+
+
+@register("retention_30")
+def q_retention_30(spark, sf_dir):
+    return R.retention(rel_members(spark, sf_dir), 30, START)
+
+
+@register("retention_rate")
+def q_retention_rate(spark, sf_dir):
+    return R.retention_rate(R.retention(rel_members(spark, sf_dir), 7, START), 7)
+
+
+@register("cumulative_users")
+def q_cumulative_users(spark, sf_dir):
+    return R.cumulative_users(rel_members(spark, sf_dir), START)
+
+
+# ---------------------------------------------------------------- slots
+from ..operators import slots as SL  # noqa: E402
+
+
+def news(spark, sf_dir):
+    return by_scene(gblog(spark, sf_dir), SCENE_NEWS)
+
+
+@register("slot_explode")
+def q_slot_explode(spark, sf_dir):
+    """(slot, type) pairs of the news scene per day, group and type."""
+    ex = SL.explode_slots(news(spark, sf_dir))
+    return ex.groupBy("dt", "grp", "rec_typei").agg(F.count(F.lit(1)).alias("n"),
+                                                   F.count_distinct("rec_posi").alias("n_slots"))
+
+
+@register("ai_slots")
+def q_ai_slots(spark, sf_dir):
+    return SL.ai_slots(news(spark, sf_dir))
+
+
+@register("slot_exposure_ab")
+def q_slot_exposure_ab(spark, sf_dir):
+    return SL.slot_exposures(news(spark, sf_dir))
+
+
+@register("watch_stats_ab")
+def q_watch_stats_ab(spark, sf_dir):
+    """Plays in the day's AI slots (a play row lists two slots here, so any
+    listed slot counts), players, plausible watch sum and mean."""
+    return SL.watch_stats(news(spark, sf_dir), slot_match="any")
+
+
+@register("slot_report")
+def q_slot_report(spark, sf_dir):
+    return SL.slot_report(news(spark, sf_dir), ai_type="2", man_type="1")
+
+
+# ---------------------------------------------------------------- reports
+from ..operators.funnel import funnel_report, province_report  # noqa: E402
+
+
+@register("funnel_report_a")
+def q_funnel_report_a(spark, sf_dir):
+    return funnel_report(by_scene(gblog(spark, sf_dir), SCENE_REL), "A")
+
+
+@register("funnel_report_b")
+def q_funnel_report_b(spark, sf_dir):
+    return funnel_report(by_scene(gblog(spark, sf_dir), SCENE_REL), "B")
+
+
+@register("province_report")
+def q_province_report(spark, sf_dir):
+    return province_report(by_scene(gblog(spark, sf_dir), SCENE_REL), "A")

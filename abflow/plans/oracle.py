@@ -44,3 +44,165 @@ SELECT grp, dt,
        CAST(count_if(action_type = '6') AS BIGINT) AS orders
 FROM gblog WHERE scene_id = 'S_REL' GROUP BY grp, dt
 """)
+
+ORACLE["scene_filter"] = with_blog("""
+SELECT dt, action_type, count(*) AS n FROM blog WHERE scene_id = 'S_NEWS' GROUP BY dt, action_type
+""")
+
+ORACLE["ab_group"] = with_blog("""
+SELECT grp, count(*) AS n_rows, count(DISTINCT uid) AS n_uids FROM gblog GROUP BY grp
+""")
+
+# members of the related scene: distinct (grp, dt, uid)
+MEMBERS = "m AS (SELECT DISTINCT grp, dt, uid FROM gblog WHERE scene_id = 'S_REL')"
+
+ORACLE["members_daily"] = with_blog("SELECT grp, dt, uid FROM m", MEMBERS)
+
+ORACLE["member_range"] = with_blog("""
+SELECT grp || '-' || dt AS time, count(*) AS n FROM m
+WHERE grp || '-' || dt >= 'B-20240105' AND grp || '-' || dt <= 'B-20240112'
+GROUP BY 1
+""", MEMBERS)
+
+ORACLE["players_ab"] = with_blog("""
+SELECT grp, dt, count(DISTINCT uid) AS players FROM gblog
+WHERE scene_id = 'S_REL' AND action_type = '3' GROUP BY grp, dt
+""")
+
+ORACLE["play_contains"] = with_blog("""
+SELECT grp, dt, CAST(count_if(contains(action_type, '3')) AS BIGINT) AS plays FROM gblog
+WHERE scene_id = 'S_REL' GROUP BY grp, dt
+""")
+
+# literal form: today's rows minus the history [start, yesterday] (anti join)
+_HIST = """
+SELECT t.grp, t.dt, t.uid,
+       EXISTS (SELECT 1 FROM m h WHERE h.grp = t.grp AND h.uid = t.uid
+               AND h.dt >= '20240101' AND h.dt < t.dt) AS seen
+FROM m t WHERE t.dt >= '20240101'
+"""
+
+ORACLE["new_users_daily"] = with_blog(f"""
+SELECT grp, dt, CAST(count_if(NOT seen) AS BIGINT) AS user_new FROM ({_HIST}) GROUP BY grp, dt
+""", MEMBERS)
+
+ORACLE["user_stats_daily"] = with_blog(f"""
+SELECT grp, dt, CAST(count_if(NOT seen) AS BIGINT) AS user_new,
+       CAST(count_if(seen) AS BIGINT) AS user_remain, CAST(count(*) AS BIGINT) AS user_active
+FROM ({_HIST}) GROUP BY grp, dt
+""", MEMBERS)
+
+
+def _retention_sql(n: int, rate: bool = False) -> str:
+    ctes = MEMBERS + f""",
+md AS (SELECT grp, uid, CAST(strptime(dt, '%Y%m%d') AS DATE) AS d FROM m),
+gd AS (SELECT grp, min(d) AS lo, max(d) AS hi FROM md GROUP BY grp),
+days AS (SELECT grp, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS D FROM gd),
+prevu AS (SELECT DISTINCT days.grp, days.D, md.uid FROM days JOIN md ON md.grp = days.grp
+          AND md.d BETWEEN days.D - {2 * n - 1} AND days.D - {n}),
+curu AS (SELECT DISTINCT days.grp, days.D, md.uid FROM days JOIN md ON md.grp = days.grp
+          AND md.d BETWEEN days.D - {n - 1} AND days.D),
+histu AS (SELECT DISTINCT days.grp, days.D, md.uid FROM days JOIN md ON md.grp = days.grp
+          AND md.d >= DATE '2024-01-01' AND md.d <= days.D - {2 * n}),
+agg AS (
+  SELECT p.grp, p.D,
+         count(*) AS a, count(*) FILTER (WHERE h.uid IS NULL) AS nw,
+         count(*) FILTER (WHERE c.uid IS NOT NULL) AS a_s,
+         count(*) FILTER (WHERE h.uid IS NULL AND c.uid IS NOT NULL) AS n_s
+  FROM prevu p LEFT JOIN histu h ON h.grp = p.grp AND h.D = p.D AND h.uid = p.uid
+               LEFT JOIN curu c ON c.grp = p.grp AND c.D = p.D AND c.uid = p.uid
+  GROUP BY p.grp, p.D)"""
+    rate_col = (f", CASE WHEN coalesce(agg.nw, 0) = 0 THEN NULL ELSE coalesce(agg.n_s, 0) / agg.nw END "
+                f"AS stay_rate_{n}") if rate else ""
+    return with_blog(f"""
+SELECT days.grp, strftime(days.D, '%Y%m%d') AS dt,
+       CAST(coalesce(agg.nw, 0) AS BIGINT) AS user_new_{n},
+       CAST(coalesce(agg.n_s, 0) AS BIGINT) AS user_new_{n}_stay,
+       CAST(coalesce(agg.a, 0) AS BIGINT) AS user_active_{n},
+       CAST(coalesce(agg.a_s, 0) AS BIGINT) AS user_active_{n}_stay{rate_col}
+FROM days LEFT JOIN agg ON agg.grp = days.grp AND agg.D = days.D
+""", ctes)
+
+
+ORACLE["retention_7"] = _retention_sql(7)
+ORACLE["retention_30"] = _retention_sql(30)
+ORACLE["retention_rate"] = _retention_sql(7, rate=True)
+
+ORACLE["cumulative_users"] = with_blog("""
+SELECT t.grp, t.dt,
+       CAST((SELECT count(*) FROM m x WHERE x.grp = t.grp AND x.dt = t.dt AND NOT EXISTS (
+              SELECT 1 FROM m h WHERE h.grp = x.grp AND h.uid = x.uid AND h.dt >= '20240101' AND h.dt < x.dt))
+            AS BIGINT) AS user_new,
+       CAST((SELECT count(DISTINCT uid) FROM m y WHERE y.grp = t.grp AND y.dt >= '20240101' AND y.dt <= t.dt)
+            AS BIGINT) AS total_users,
+       lower(t.grp) || t.dt AS date,
+       CAST((SELECT count(DISTINCT uid) FROM m y WHERE y.grp = t.grp AND y.dt >= '20240101' AND y.dt <= t.dt)
+            AS VARCHAR) AS user_num
+FROM (SELECT DISTINCT grp, dt FROM m WHERE dt >= '20240101') t
+""", MEMBERS)
+
+# news scene: exploded (slot, type) pairs, the type list drives
+NEWS = """
+news AS (SELECT * FROM gblog WHERE scene_id = 'S_NEWS'),
+pairs AS (
+  SELECT n.*, p.pos AS rec_posi, t.typ AS rec_typei
+  FROM news n,
+       LATERAL (SELECT unnest(string_split(n.rec_pos, ';')) AS pos, generate_subscripts(string_split(n.rec_pos, ';'), 1) AS i) p,
+       LATERAL (SELECT unnest(string_split(n.rec_type, ';')) AS typ, generate_subscripts(string_split(n.rec_type, ';'), 1) AS i) t
+  WHERE p.i = t.i),
+aiset AS (SELECT DISTINCT dt, rec_posi FROM pairs WHERE grp = 'A' AND action_type = '1' AND rec_typei = '2')
+"""
+
+ORACLE["slot_explode"] = with_blog("""
+SELECT dt, grp, rec_typei, count(*) AS n, count(DISTINCT rec_posi) AS n_slots FROM pairs GROUP BY dt, grp, rec_typei
+""", NEWS)
+
+ORACLE["ai_slots"] = with_blog("SELECT dt, rec_posi FROM aiset", NEWS)
+
+ORACLE["slot_exposure_ab"] = with_blog("""
+SELECT d.dt,
+  CAST((SELECT count(*) FROM pairs p WHERE p.dt = d.dt AND p.grp = 'A' AND p.action_type = '1' AND p.rec_typei = '2') AS BIGINT) AS a_expose,
+  CAST((SELECT count(*) FROM pairs p WHERE p.dt = d.dt AND p.grp = 'B' AND p.action_type = '1'
+        AND EXISTS (SELECT 1 FROM aiset s WHERE s.dt = p.dt AND s.rec_posi = p.rec_posi)) AS BIGINT) AS b_expose
+FROM (SELECT DISTINCT dt FROM news WHERE action_type = '1') d
+""", NEWS)
+
+ORACLE["watch_stats_ab"] = with_blog("""
+SELECT grp, dt, count(*) AS plays, count(DISTINCT uid) AS players,
+       CAST(coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) AS BIGINT) AS watch_sum,
+       CAST(coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) // count(DISTINCT uid) AS BIGINT) AS watch_mean
+FROM news p
+WHERE action_type = '3' AND EXISTS (
+  SELECT 1 FROM aiset s WHERE s.dt = p.dt AND list_contains(string_split(p.rec_pos, ';'), s.rec_posi))
+GROUP BY grp, dt
+""", NEWS)
+
+
+def _slot_report_sql() -> str:
+    cols = []
+    for g in ("a", "b"):
+        for kind, t in (("ai", "2"), ("man", "1")):
+            for metric, code in (("exposure", "1"), ("click", "2"), ("order", "6")):
+                cols.append(f"nullif(CAST(count_if(grp = '{g.upper()}' AND rec_typei = '{t}' "
+                            f"AND action_type = '{code}') AS BIGINT), 0) AS {metric}_{kind}_{g}")
+    return with_blog(f"SELECT dt, rec_posi, {', '.join(cols)} FROM pairs GROUP BY dt, rec_posi", NEWS)
+
+
+ORACLE["slot_report"] = _slot_report_sql()
+
+# the 4-way left join anchored on click days, literally
+_FUNNEL_JOIN = """
+SELECT c.action_time, userNum{g}, exposure{g}, clickNum{g}, orderNum{g}
+FROM (SELECT dt AS action_time, count(*) AS clickNum{g} FROM v WHERE action_type = '2' GROUP BY dt) c
+LEFT JOIN (SELECT dt AS action_time, count(*) AS exposure{g} FROM v WHERE action_type = '1' GROUP BY dt) e
+  ON c.action_time = e.action_time
+LEFT JOIN (SELECT dt AS action_time, count(DISTINCT uid) AS userNum{g} FROM v GROUP BY dt) u
+  ON c.action_time = u.action_time
+LEFT JOIN (SELECT dt AS action_time, count(*) AS orderNum{g} FROM v WHERE action_type = '6' GROUP BY dt) o
+  ON c.action_time = o.action_time
+"""
+
+for _g in ("A", "B"):
+    ORACLE[f"funnel_report_{_g.lower()}"] = with_blog(
+        _FUNNEL_JOIN.format(g=_g), f"v AS (SELECT * FROM gblog WHERE scene_id = 'S_REL' AND grp = '{_g}')")
+ORACLE["province_report"] = ORACLE["funnel_report_a"]
