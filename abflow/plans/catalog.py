@@ -183,3 +183,211 @@ def q_funnel_report_b(spark, sf_dir):
 @register("province_report")
 def q_province_report(spark, sf_dir):
     return province_report(by_scene(gblog(spark, sf_dir), SCENE_REL), "A")
+
+
+# ---------------------------------------------------------------- parsing
+from ..functions import timefn as TF  # noqa: E402
+from ..functions.fields import duration_seconds, watch_seconds  # noqa: E402
+from ..operators.filters import by_release  # noqa: E402
+from ..sources.fixture import item_lines, log_lines, raw_events_json, ITEM_FIELDS, read_table  # noqa: E402
+from ..sources.logs import parse_log_lines, valid_rows  # noqa: E402
+from ..sources.tables import date_spine, name_fields  # noqa: E402
+
+
+def parsed_logs(spark, sf_dir, with_rejects=False):
+    return parse_log_lines(log_lines(spark, sf_dir, with_rejects))
+
+
+@register("log_parse")
+def q_log_parse(spark, sf_dir):
+    """Raw lines split once (limit -1) and read by position."""
+    v, _ = valid_rows(parsed_logs(spark, sf_dir))
+    return v.groupBy("dt", "scene_id", "action_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("action_sec").alias("sum_sec"),
+        F.count_distinct("uid").alias("n_uid"),
+        F.count_if(TF.epoch_to_date("action_time_text", "UTC") == F.col("dt")).alias("n_same_day"))
+
+
+@register("log_rejects")
+def q_log_rejects(spark, sf_dir):
+    """Valid and rejected (too few fields) lines per folder day."""
+    v, r = valid_rows(parsed_logs(spark, sf_dir, with_rejects=True))
+    both = v.select("dt", F.lit(1).alias("ok")).unionByName(r.select("dt", F.lit(0).alias("ok")))
+    return both.groupBy("dt").agg(F.count_if(F.col("ok") == 1).alias("valid"),
+                                  F.count_if(F.col("ok") == 0).alias("rejects"))
+
+
+@register("ext_parse")
+def q_ext_parse(spark, sf_dir):
+    """Watch and duration read from the ext field (items 2 and 5, after ':')."""
+    v, _ = valid_rows(parsed_logs(spark, sf_dir))
+    v = v.select("dt", watch_seconds("ext").alias("w"), duration_seconds("ext").alias("d"))
+    return v.groupBy("dt").agg(F.sum("w").alias("watch"), F.sum("d").alias("duration"),
+                               F.count_if(F.col("w") <= F.col("d") * 2).alias("plausible"))
+
+
+@register("release_filter")
+def q_release_filter(spark, sf_dir):
+    """Rows of version V2.1 on products SC823 / SC818, per day and scene."""
+    v, _ = valid_rows(parsed_logs(spark, sf_dir))
+    return by_release(v, "V2.1").groupBy("dt", "scene_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("date_spine")
+def q_date_spine(spark, sf_dir):
+    return date_spine(blog(spark, sf_dir))
+
+
+@register("time_funcs")
+def q_time_funcs(spark, sf_dir):
+    """Epoch -> day / hour and compact time -> epoch ms / s, Asia/Shanghai;
+    error events carry the text 'null' (-> 未知)."""
+    ev = read_table(spark, sf_dir, "events")
+    b = blog(spark, sf_dir).join(ev.select("event_id", "ts", "event_type"), "event_id")
+    sec = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("action_sec").cast("string"))
+    compact = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(
+        F.date_format("ts", "yyyyMMddHHmmssSSS"))
+    return b.select("event_id",
+                    TF.epoch_to_date(sec, "Asia/Shanghai").alias("day"),
+                    TF.epoch_to_hour(sec, "Asia/Shanghai").alias("hour"),
+                    TF.compact_to_epoch_ms(compact, "Asia/Shanghai").alias("ms"),
+                    TF.time_to_timestamp(compact, "Asia/Shanghai", unit="s").alias("sec"))
+
+
+@register("date_funcs")
+def q_date_funcs(spark, sf_dir):
+    d = blog(spark, sf_dir).select("dt").distinct()
+    return d.select("dt", TF.shift_date("dt", 1).alias("next_day"), TF.shift_date("dt", -1).alias("prev_day"),
+                    TF.window_bounds("dt", 30).alias("w30"), TF.last_two_weeks("dt").alias("w7")).select(
+        "dt", "next_day", "prev_day",
+        F.col("w7.cur_start").alias("w7_cur_start"), F.col("w7.prev_start").alias("w7_prev_start"),
+        F.col("w7.prev_end").alias("w7_prev_end"),
+        F.col("w30.cur_start").alias("w30_cur_start"), F.col("w30.prev_start").alias("w30_prev_start"),
+        F.col("w30.prev_end").alias("w30_prev_end"))
+
+
+# ---------------------------------------------------------------- wide reports, SQL views
+from ..plans.reports import daily_report, retention_report  # noqa: E402
+from ..plans.sqlviews import sql_funnel_report  # noqa: E402
+from ..operators.keyed import join_distinct, offset_ledger, upsert_by_key  # noqa: E402
+from ..sinks.files import tsv_line  # noqa: E402
+
+
+@register("report_daily_ab")
+def q_report_daily_ab(spark, sf_dir):
+    return daily_report(gblog(spark, sf_dir), SCENE_REL, START)
+
+
+@register("report_retention_ab")
+def q_report_retention_ab(spark, sf_dir):
+    return retention_report(rel_members(spark, sf_dir), SCENE_REL, START)
+
+
+@register("join_distinct")
+def q_join_distinct(spark, sf_dir):
+    """Distinct action codes per group and day joined by '||'."""
+    return join_distinct(by_scene(gblog(spark, sf_dir), SCENE_REL), ["grp", "dt"], "action_type")
+
+
+@register("sql_view_funnel")
+def q_sql_view_funnel(spark, sf_dir):
+    """The click-anchored group-A report through temp views and SQL text."""
+    return sql_funnel_report(spark, by_scene(gblog(spark, sf_dir), SCENE_REL), "A")
+
+
+# ---------------------------------------------------------------- items, ledger
+def items(spark, sf_dir, with_rejects=False):
+    return name_fields(item_lines(spark, sf_dir, with_rejects), ITEM_FIELDS)
+
+
+@register("item_parse")
+def q_item_parse(spark, sf_dir):
+    """Item lines with exactly the declared field count, named by the field list."""
+    it = items(spark, sf_dir, with_rejects=True)
+    return it.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
+                                        F.count_distinct("user_id").alias("n_keys"))
+
+
+def item_snapshot(spark, sf_dir):
+    it = items(spark, sf_dir)
+    first = it.filter(F.col("ts") < "2024-01-16")
+    second = it.filter(F.col("ts") >= "2024-01-16")
+    return upsert_by_key(first, second, "user_id", order_by=["ts", F.col("event_id").cast("bigint")])
+
+
+@register("item_upsert")
+def q_item_upsert(spark, sf_dir):
+    """Snapshot after two loads: the latest item row per key."""
+    s = item_snapshot(spark, sf_dir)
+    return s.select(F.col("user_id").cast("bigint").alias("user_id"),
+                    F.col("event_id").cast("bigint").alias("event_id"),
+                    "event_type", "ts", F.col("value").cast("double").alias("value"))
+
+
+@register("item_export")
+def q_item_export(spark, sf_dir):
+    """TSV export lines of the snapshot (a field absent from it -> 'null', trailing tab)."""
+    s = item_snapshot(spark, sf_dir)
+    fields = ["user_id", "event_id", "event_type", "ts", "value", "region"]
+    s = s.withColumn("region", F.lit(None).cast("string"))
+    return s.select(tsv_line(fields).alias("line"))
+
+
+@register("offset_ledger")
+def q_offset_ledger(spark, sf_dir):
+    """Per topic 'partition|untilOffset' list (topic = event type, partition = user mod 4)."""
+    ev = read_table(spark, sf_dir, "events")
+    o = ev.select(F.concat(F.lit("ev_"), "event_type").alias("topic"),
+                  (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"))
+    return offset_ledger(o)
+
+
+# ---------------------------------------------------------------- JSON ingest
+from ..operators.flatten import flatten_json, project_event  # noqa: E402
+from .. import schema as S  # noqa: E402
+
+JSON_KEYS = ["eventId", "bizType", "userId", "mac", "id", "ids", "name", "curr_time"]
+
+
+@register("json_flatten")
+def q_json_flatten(spark, sf_dir):
+    f = flatten_json(raw_events_json(spark, sf_dir))
+    return f.select(*[F.col("fields")[k].alias(k) for k in JSON_KEYS])
+
+
+@register("event_project")
+def q_event_project(spark, sf_dir):
+    return project_event(flatten_json(raw_events_json(spark, sf_dir)))
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Messages arrive in two drops; the stream runs after each (and once
+    more with nothing new); the written event table is read back."""
+    from ..session import scratch_path
+    from ..streaming.ingest import read_ingested, read_text_stream, start_ingest
+    base = scratch_path(spark, "stream_ingest")
+    src, out, ck = f"{base}/in", f"{base}/events", f"{base}/ck"
+    raw = raw_events_json(spark, sf_dir).join(
+        read_table(spark, sf_dir, "events").select("event_id", "ts"), "event_id")
+    drops = [raw.filter(F.col("ts") < "2024-01-16"), raw.filter(F.col("ts") >= "2024-01-16")]
+    for i, part in enumerate(drops + [None]):
+        if part is not None:
+            part.select("value").write.mode("append").text(src)
+        q = start_ingest(read_text_stream(spark, src), out, ck, trigger={"availableNow": True},
+                         rejects_path=f"{base}/rejects")
+        q.awaitTermination()
+    return read_ingested(spark, out).select(*JSON_KEYS)
+
+
+@register("member_write")
+def q_member_write(spark, sf_dir):
+    """Members written partitioned by (grp, dt) twice (a re-run); read back."""
+    from ..session import scratch_path
+    from ..sinks.files import write_members
+    path = scratch_path(spark, "members")
+    m = rel_members(spark, sf_dir)
+    write_members(m, path)
+    write_members(m, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("grp", F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))

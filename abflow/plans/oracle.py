@@ -206,3 +206,158 @@ for _g in ("A", "B"):
     ORACLE[f"funnel_report_{_g.lower()}"] = with_blog(
         _FUNNEL_JOIN.format(g=_g), f"v AS (SELECT * FROM gblog WHERE scene_id = 'S_REL' AND grp = '{_g}')")
 ORACLE["province_report"] = ORACLE["funnel_report_a"]
+
+# ---------------------------------------------------------------- parsing
+ORACLE["log_parse"] = with_blog("""
+SELECT dt, scene_id, action_type, count(*) AS n, CAST(sum(action_sec) AS BIGINT) AS sum_sec,
+       count(DISTINCT uid) AS n_uid, count(*) AS n_same_day
+FROM blog GROUP BY dt, scene_id, action_type
+""")
+
+ORACLE["log_rejects"] = with_blog("""
+SELECT dt, count_if(action_type <> '9') AS valid, count_if(action_type = '9') AS rejects FROM blog GROUP BY dt
+""")
+
+ORACLE["ext_parse"] = with_blog("""
+SELECT dt, CAST(sum(watch_s) AS BIGINT) AS watch, CAST(sum(dur_s) AS BIGINT) AS duration,
+       count_if(watch_s <= 2 * dur_s) AS plausible
+FROM blog GROUP BY dt
+""")
+
+ORACLE["release_filter"] = with_blog("""
+SELECT dt, scene_id, count(*) AS n FROM blog
+WHERE event_id % 2 = 0 AND user_id % 3 IN (0, 1) GROUP BY dt, scene_id
+""")
+
+ORACLE["date_spine"] = with_blog("""
+SELECT strftime(CAST(x AS DATE), '%Y%m%d') AS dt
+FROM (SELECT unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS x FROM events)
+""")
+
+ORACLE["time_funcs"] = """
+SELECT event_id,
+  CASE WHEN event_type = 'error' THEN '未知'
+       ELSE strftime(timezone('Asia/Shanghai', to_timestamp(floor(epoch(ts)))), '%Y%m%d') END AS day,
+  CASE WHEN event_type = 'error' THEN '未知'
+       ELSE strftime(timezone('Asia/Shanghai', to_timestamp(floor(epoch(ts)))), '%Y%m%d%H') END AS hour,
+  CASE WHEN event_type = 'error' THEN '未知'
+       ELSE CAST(epoch_ms(timezone('Asia/Shanghai', date_trunc('millisecond', ts))) AS VARCHAR) END AS ms,
+  CASE WHEN event_type = 'error' THEN '未知'
+       ELSE CAST(epoch(timezone('Asia/Shanghai', date_trunc('second', ts)))::BIGINT AS VARCHAR) END AS sec
+FROM events
+"""
+
+
+def _d(expr: str) -> str:
+    return f"strftime(CAST(strptime(dt, '%Y%m%d') AS DATE) + {expr}, '%Y%m%d')"
+
+
+ORACLE["date_funcs"] = with_blog(f"""
+SELECT dt, {_d('1')} AS next_day, {_d('-1')} AS prev_day,
+       {_d('-6')} AS w7_cur_start, {_d('-13')} AS w7_prev_start, {_d('-7')} AS w7_prev_end,
+       {_d('-29')} AS w30_cur_start, {_d('-59')} AS w30_prev_start, {_d('-30')} AS w30_prev_end
+FROM (SELECT DISTINCT dt FROM blog)
+""")
+
+# ---------------------------------------------------------------- wide reports
+_NEW_FLAG = """
+mn AS (SELECT t.grp, t.dt, t.uid,
+       NOT EXISTS (SELECT 1 FROM m h WHERE h.grp = t.grp AND h.uid = t.uid
+                   AND h.dt >= '20240101' AND h.dt < t.dt) AS is_new
+       FROM m t WHERE t.dt >= '20240101')
+"""
+
+ORACLE["report_daily_ab"] = with_blog("""
+SELECT l.dt AS date, 'S_REL' AS scene_id,
+  count_if(grp = 'A' AND action_type = '1') AS a_expose, count_if(grp = 'A' AND action_type = '2') AS a_click,
+  count(DISTINCT CASE WHEN grp = 'A' THEN uid END) AS a_user_active, count_if(grp = 'A' AND action_type = '6') AS a_order,
+  CAST(coalesce((SELECT count(*) FROM mn WHERE mn.grp = 'A' AND mn.dt = l.dt AND is_new), 0) AS BIGINT) AS a_user_new,
+  count_if(grp = 'A' AND contains(action_type, '3')) AS a_play,
+  count_if(grp = 'B' AND action_type = '1') AS b_expose, count_if(grp = 'B' AND action_type = '2') AS b_click,
+  count(DISTINCT CASE WHEN grp = 'B' THEN uid END) AS b_user_active, count_if(grp = 'B' AND action_type = '6') AS b_order,
+  CAST(coalesce((SELECT count(*) FROM mn WHERE mn.grp = 'B' AND mn.dt = l.dt AND is_new), 0) AS BIGINT) AS b_user_new,
+  count_if(grp = 'B' AND contains(action_type, '3')) AS b_play
+FROM gblog l WHERE scene_id = 'S_REL' GROUP BY l.dt
+""", MEMBERS + "," + _NEW_FLAG)
+
+
+def _ret_report_sql() -> str:
+    parts = []
+    for n in (7, 30):
+        body = _retention_sql(n)
+        parts.append(f"r{n} AS ({body})")
+    sel = []
+    for g in ("A", "B"):
+        for n in (7, 30):
+            for m in ("user_new_{n}", "user_new_{n}_stay", "user_active_{n}", "user_active_{n}_stay"):
+                mm = m.format(n=n)
+                sel.append(f"CAST(coalesce(max(CASE WHEN grp = '{g}' THEN {mm} END), 0) AS BIGINT) AS {g.lower()}_{mm}")
+    # each retention CTE is a full WITH query; nest them as subqueries
+    r7, r30 = _retention_sql(7), _retention_sql(30)
+    return f"""
+SELECT dt AS date, 'S_REL' AS scene_id, {', '.join(sel)}
+FROM (SELECT * FROM ({r7}) a FULL JOIN ({r30}) b USING (grp, dt))
+GROUP BY dt
+"""
+
+
+ORACLE["report_retention_ab"] = _ret_report_sql()
+
+ORACLE["join_distinct"] = with_blog("""
+SELECT grp, dt, string_agg(DISTINCT action_type, '||' ORDER BY action_type) AS joined
+FROM gblog WHERE scene_id = 'S_REL' GROUP BY grp, dt
+""")
+
+ORACLE["sql_view_funnel"] = ORACLE["funnel_report_a"]
+
+# ---------------------------------------------------------------- items, ledger
+ORACLE["item_parse"] = """
+SELECT event_type, count(*) AS n, count(DISTINCT CAST(user_id AS VARCHAR)) AS n_keys
+FROM events WHERE event_type <> 'error' GROUP BY event_type
+"""
+
+_LATEST = """
+SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, value
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+ORACLE["item_upsert"] = _LATEST
+
+ORACLE["item_export"] = f"""
+SELECT CAST(user_id AS VARCHAR) || chr(9) || CAST(event_id AS VARCHAR) || chr(9) || event_type || chr(9)
+       || ts || chr(9) || CAST(value AS VARCHAR) || chr(9) || 'null' || chr(9) AS line
+FROM ({_LATEST})
+"""
+
+ORACLE["offset_ledger"] = """
+SELECT topic, string_agg(CAST(p AS VARCHAR) || '|' || CAST(u AS VARCHAR), ',' ORDER BY p) AS ledger
+FROM (SELECT 'ev_' || event_type AS topic, CAST(user_id % 4 AS INTEGER) AS p, max(event_id) + 1 AS u
+      FROM events GROUP BY 1, 2)
+GROUP BY topic
+"""
+
+# ---------------------------------------------------------------- JSON ingest
+_JSON_PROJ = """
+SELECT CAST(event_id AS VARCHAR) AS eventId, event_type AS bizType, CAST(user_id AS VARCHAR) AS userId,
+       'm' || CAST(user_id AS VARCHAR) AS mac, CAST(event_id % 7 AS VARCHAR) AS id, '[1,2]' AS ids,
+       '{"x":1}' AS name, strftime(ts, '%Y%m%d%H') AS curr_time
+FROM events
+"""
+
+ORACLE["json_flatten"] = _JSON_PROJ
+ORACLE["stream_ingest"] = _JSON_PROJ
+
+
+def _event_project_sql() -> str:
+    from ..schema import EVENT_FIELDS
+    have = {"eventId": "CAST(event_id AS VARCHAR)", "bizType": "event_type",
+            "userId": "CAST(user_id AS VARCHAR)", "mac": "'m' || CAST(user_id AS VARCHAR)",
+            "id": "CAST(event_id % 7 AS VARCHAR)", "ids": "'[1,2]'", "name": "'{\"x\":1}'",
+            "curr_time": "strftime(ts, '%Y%m%d%H')"}
+    cols = [f"{have.get(f, chr(39) * 2)} AS \"{f}\"" for f in EVENT_FIELDS]
+    return f"SELECT {', '.join(cols)} FROM events"
+
+
+ORACLE["event_project"] = _event_project_sql()
+
+ORACLE["member_write"] = with_blog("SELECT grp, dt, count(*) AS n FROM m GROUP BY grp, dt", MEMBERS)

@@ -66,18 +66,38 @@ def ext_text(df: DataFrame) -> Column:
                     F.col("dur_s").cast("string"))
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_lines(spark: SparkSession, sf_dir: str, with_rejects: bool = False) -> DataFrame:
     """Raw tab-separated behaviour-log lines (``value``) plus their folder day ``dt``.
 
     Fields: 0 uid, 1 event id, 2 scene, 3 action, 4 epoch seconds,
-    5 ext, 6 slot list, 7 slot-type list.
+    5 ext, 6 slot list, 7 slot-type list. With ``with_rejects`` the lines
+    of error events are cut after field 4 (malformed lines).
     """
     b = blog(spark, sf_dir)
-    line = F.concat_ws("\t", "uid", F.col("event_id").cast("string"), "scene_id", "action_type",
-                       F.col("action_sec").cast("string"), ext_text(b), "rec_pos", "rec_type")
+    head = [F.col("uid"), F.col("event_id").cast("string"), F.col("scene_id"), F.col("action_type"),
+            F.col("action_sec").cast("string")]
+    line = F.concat_ws("\t", *head, ext_text(b), F.col("rec_pos"), F.col("rec_type"))
+    if with_rejects:
+        line = F.when(F.col("action_type") == "9", F.concat_ws("\t", *head)).otherwise(line)
     return b.select(line.alias("value"), "dt")
 
 
+ITEM_FIELDS = ["user_id", "event_id", "event_type", "ts", "value"]
+
+
+def item_lines(spark: SparkSession, sf_dir: str, with_rejects: bool = False) -> DataFrame:
+    """Media-item style dump lines from ``events``: user_id (the row key),
+    event_id, event_type, ts text, value. With ``with_rejects`` error
+    events carry one extra field (wrong field count)."""
+    ev = read_table(spark, sf_dir, "events")
+    parts = [F.col("user_id").cast("string"), F.col("event_id").cast("string"), F.col("event_type"),
+             F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("value").cast("string")]
+    line = F.concat_ws("\t", *parts)
+    if with_rejects:
+        line = F.when(F.col("event_type") == "error", F.concat(line, F.lit("\textra"))).otherwise(line)
+    return ev.select(line.alias("value"), F.col("ts").alias("_ts"))
+
+
 def raw_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested JSON messages (``value``) built from ``events`` (FIXTURES.md §3b)."""
     ev = read_table(spark, sf_dir, "events")
