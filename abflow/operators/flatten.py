@@ -37,37 +37,31 @@ def _obj(v: Column) -> Column:
     return F.try_variant_get(v, "$", _MAP_T)
 
 
-def _arr(v: Column) -> Column:
-    return F.try_variant_get(v, "$", _ARR_T)
+# entry kinds
+_SCALAR, _OBJECT, _OBJ_ARRAY, _OTHER_ARRAY, _NULL = 0, 1, 2, 3, 4
 
 
-def _is_obj(v: Column) -> Column:
-    return _obj(v).isNotNull()
+def _kind(v: Column) -> Column:
+    a = F.try_variant_get(v, "$", _ARR_T)
+    return (F.when(_obj(v).isNotNull(), _OBJECT)
+            .when(a.isNotNull(), F.when(F.forall(a, lambda x: _obj(x).isNotNull()), _OBJ_ARRAY)
+                  .otherwise(_OTHER_ARRAY))
+            .when(F.is_variant_null(v), _NULL)
+            .otherwise(_SCALAR))
 
 
-def _is_arr(v: Column) -> Column:
-    return _arr(v).isNotNull()
-
-
-def _all_objects(v: Column) -> Column:
-    return F.forall(_arr(v), lambda x: _is_obj(x))
-
-
-def _entry(k, v, d, i, p) -> Column:
-    return F.struct(k.alias("k"), v.alias("v"), d.alias("d"), i.alias("i"), p.alias("p"))
-
-
-def _out(e: Column, text: Column) -> Column:
-    return F.struct(e["k"].alias("k"), text.alias("s"), e["d"].alias("d"), e["i"].alias("i"),
-                    e["p"].alias("p"))
+def _entry(k: Column, v: Column, d: Column, i: Column, p: Column) -> Column:
+    """One map entry; its kind is worked out once, the value stays a variant."""
+    return F.struct(k.alias("k"), v.alias("v"), d.alias("d"), i.alias("i"), p.alias("p"),
+                    _kind(v).alias("t"))
 
 
 def _children(e: Column, level: int, unwrap_same_key: bool) -> Column:
     """Entries of an object value, one level deeper."""
     m = _obj(e["v"])
     if unwrap_same_key:
-        inner = F.try_element_at(m, e["k"])
-        m = F.when(_is_obj(inner), _obj(inner)).otherwise(m)
+        inner = _obj(F.try_element_at(m, e["k"]))
+        m = F.when(inner.isNotNull(), inner).otherwise(m)
     return F.transform(F.map_entries(m), lambda c: _entry(
         c["key"], c["value"], F.lit(level + 1), e["i"], F.concat(e["p"], F.lit("."), c["key"])))
 
@@ -78,47 +72,50 @@ def _element_children(e: Column, level: int) -> Column:
         return F.transform(F.map_entries(_obj(x)), lambda c: _entry(
             c["key"], c["value"], F.lit(level + 1), j,
             F.concat(e["p"], F.lit("["), j.cast("string"), F.lit("]."), c["key"])))
-    return F.flatten(F.transform(_arr(e["v"]), per_element))
+    return F.flatten(F.transform(F.try_variant_get(e["v"], "$", _ARR_T), per_element))
 
 
 def flatten_json(df: DataFrame, col: str = "value", depth: int = 5, out: str = "fields",
                  unwrap_same_key: bool = False) -> DataFrame:
     """Add ``out``: map<string,string> of the flattened message (null = reject)."""
-    root = F.try_parse_json(F.col(col))
     lvl = "_lvl"
     outs = []
-    cur = df.withColumn(lvl + "1", F.transform(
-        F.map_entries(_obj(root)),
-        lambda c: _entry(c["key"], c["value"], F.lit(1), F.lit(0), c["key"])))
-    cur = cur.withColumn("_ok", _is_obj(root))
+    cur = df.withColumn("_root", F.from_json(F.col(col), _MAP_T))
+    cur = cur.withColumn("_ok", F.col("_root").isNotNull()).withColumn(lvl + "1", F.transform(
+        F.map_entries("_root"), lambda c: _entry(c["key"], c["value"], F.lit(1), F.lit(0), c["key"])))
+    cur = cur.drop("_root")
     for level in range(1, depth + 1):
         E = F.col(f"{lvl}{level}")
         last = level == depth
-        scalars = F.filter(E, lambda e: ~_is_obj(e["v"]) & ~_is_arr(e["v"]) & ~F.is_variant_null(e["v"]))
-        outs.append(F.transform(scalars, lambda e: _out(e, F.variant_get(e["v"], "$", "string"))))
-        if last:
-            as_text = F.filter(E, lambda e: _is_obj(e["v"]) | _is_arr(e["v"]))
-        else:
-            as_text = F.filter(E, lambda e: _is_arr(e["v"]) & ~_all_objects(e["v"]))
-        outs.append(F.transform(as_text, lambda e: _out(e, F.to_json(e["v"]))))
+
+        def emit(e):
+            # scalars, arrays not made only of objects, and (at the depth cap) any nesting
+            if last:
+                return e["t"] != _NULL
+            return (e["t"] == _SCALAR) | (e["t"] == _OTHER_ARRAY)
+
+        # the value stays a variant until the winner is known
+        outs.append(F.transform(F.filter(E, emit), lambda e: F.struct(
+            e["k"].alias("k"), e["d"].alias("d"), e["i"].alias("i"), e["p"].alias("p"),
+            e["t"].alias("t"), e["v"].alias("v"))))
         if not last:
-            objs = F.flatten(F.transform(F.filter(E, lambda e: _is_obj(e["v"])),
+            objs = F.flatten(F.transform(F.filter(E, lambda e: e["t"] == _OBJECT),
                                          lambda e: _children(e, level, unwrap_same_key)))
-            arrs = F.flatten(F.transform(F.filter(E, lambda e: _is_arr(e["v"]) & _all_objects(e["v"])),
+            arrs = F.flatten(F.transform(F.filter(E, lambda e: e["t"] == _OBJ_ARRAY),
                                          lambda e: _element_children(e, level)))
             cur = cur.withColumn(f"{lvl}{level + 1}", F.concat(objs, arrs))
 
-    def cmp(a, b):
-        return (F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1)
-                .when(a["d"] < b["d"], -1).when(a["d"] > b["d"], 1)
-                .when(a["i"] > b["i"], -1).when(a["i"] < b["i"], 1)
-                .when(a["p"] < b["p"], -1).when(a["p"] > b["p"], 1).otherwise(0))
-
-    cur = cur.withColumn("_all", F.array_sort(F.concat(*outs), cmp))
+    cur = cur.withColumn("_cand", F.concat(*outs))
+    # natural struct order = key, depth, -array index, path; j points back to the candidate
+    order = F.array_sort(F.transform("_cand", lambda e, j: F.struct(
+        e["k"].alias("k"), e["d"].alias("d"), (-e["i"]).alias("ni"), e["p"].alias("p"), j.alias("j"))))
+    cur = cur.withColumn("_all", order)
     firsts = F.filter(F.col("_all"), lambda e, i: (i == 0) | (F.element_at(F.col("_all"), i)["k"] != e["k"]))
-    cur = cur.withColumn("_win", firsts)
-    m = F.map_from_arrays(F.transform("_win", lambda e: e["k"]), F.transform("_win", lambda e: e["s"]))
-    drop = [f"{lvl}{i}" for i in range(1, depth + 1)] + ["_all", "_win", "_ok"]
+    cur = cur.withColumn("_win", F.transform(firsts, lambda e: F.element_at(F.col("_cand"), e["j"] + 1)))
+    text = F.transform("_win", lambda e: F.when(e["t"] == _SCALAR, F.variant_get(e["v"], "$", "string"))
+                       .otherwise(F.to_json(e["v"])))
+    m = F.map_from_arrays(F.transform("_win", lambda e: e["k"]), text)
+    drop = [f"{lvl}{i}" for i in range(1, depth + 1)] + ["_cand", "_all", "_win", "_ok"]
     return cur.withColumn(out, F.when(F.col("_ok"), m)).drop(*drop)
 
 

@@ -349,15 +349,18 @@ from .. import schema as S  # noqa: E402
 JSON_KEYS = ["eventId", "bizType", "userId", "mac", "id", "ids", "name", "curr_time"]
 
 
+from ..session import spread  # noqa: E402
+
+
 @register("json_flatten")
 def q_json_flatten(spark, sf_dir):
-    f = flatten_json(raw_events_json(spark, sf_dir))
+    f = flatten_json(spread(raw_events_json(spark, sf_dir)))
     return f.select(*[F.col("fields")[k].alias(k) for k in JSON_KEYS])
 
 
 @register("event_project")
 def q_event_project(spark, sf_dir):
-    return project_event(flatten_json(raw_events_json(spark, sf_dir)))
+    return project_event(flatten_json(spread(raw_events_json(spark, sf_dir))))
 
 
 @register("stream_ingest")

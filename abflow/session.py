@@ -61,3 +61,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df):
+    """Round-robin a narrow input over the cluster before CPU-heavy per-row
+    work (JSON parsing). A no-op when the input already has at least
+    ``defaultParallelism`` partitions, which is the case for large inputs;
+    only a small or single-row-group source pays the extra shuffle."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
