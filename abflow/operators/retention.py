@@ -39,33 +39,25 @@ def _lit_day(day: str) -> Column:
 
 
 def _prepared(members: DataFrame, start: str) -> DataFrame:
-    """Distinct (grp, uid, day number) with ``prev`` (previous active day)
-    and ``f`` (first active day >= start); one shuffle on (grp, uid)."""
+    """(grp, uid, day number) with ``prev`` (previous active day) and ``f``
+    (first active day >= start): ONE shuffle on (grp, uid), a window sort,
+    and repeated (grp, uid, day) rows dropped inside the window pass."""
     m = (members.select("grp", "uid", "dt")
          .filter(F.col("grp").isNotNull() & F.col("uid").isNotNull())
-         .repartition("grp", "uid")
-         .dropDuplicates(["grp", "uid", "dt"])
          .withColumn("d", day_number("dt"))
          .filter(F.col("d").isNotNull()))
     w = Window.partitionBy("grp", "uid").orderBy("d")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = _lit_day(start)
-    return (m.withColumn("prev", F.lag("d").over(w))
-            .withColumn("f", F.min(F.when(F.col("d") >= s, F.col("d"))).over(whole)))
-
-
-def _day_spine(m: DataFrame, d1: str | None, d2: str | None) -> DataFrame:
-    """(grp, D) for every day of the range per group; the range defaults to
-    the group's first and last member day. One row per group exploded."""
-    b = m.groupBy("grp").agg(F.min("d").alias("_lo"), F.max("d").alias("_hi"))
-    lo = _lit_day(d1) if d1 else F.col("_lo")
-    hi = _lit_day(d2) if d2 else F.col("_hi")
-    return b.select("grp", F.explode(F.sequence(lo, hi)).alias("D"))
+    m = (m.withColumn("prev", F.lag("d").over(w))
+         .withColumn("f", F.min(F.when(F.col("d") >= s, F.col("d"))).over(whole)))
+    return m.filter(F.col("prev").isNull() | (F.col("prev") != F.col("d")))
 
 
 def retention(members: DataFrame, n: int, start: str, d1: str | None = None,
               d2: str | None = None) -> DataFrame:
-    """n-day retention for every end day D of [d1, d2] (default: member days).
+    """n-day retention for every end day D of [d1, d2] (default: each
+    group's first to last member day).
 
     Output: grp, dt (= D), user_new_{n}, user_new_{n}_stay,
     user_active_{n}, user_active_{n}_stay (bigint).
@@ -83,26 +75,40 @@ def retention(members: DataFrame, n: int, start: str, d1: str | None = None,
 
     specs = [rng(0, 0, n, False), rng(1, n, n, False), rng(2, 0, 2 * n, False),
              rng(3, 0, n, True), rng(4, n, n, True), rng(5, 0, 2 * n, True)]
-    ev = []
+
+    def ev(cid, day, v, ok=F.lit(True)):
+        return F.when(ok, F.struct(F.lit(cid).alias("c"), day.alias("D"), F.lit(v).alias("v")))
+
+    events = []
     for ok, lo, hi, cid in specs:
-        ev.append(F.when(ok, F.struct(F.lit(cid).alias("c"), lo.alias("D"), F.lit(1).alias("v"))))
-        ev.append(F.when(ok, F.struct(F.lit(cid).alias("c"), (hi + 1).alias("D"), F.lit(-1).alias("v"))))
-    deltas = (m.select("grp", F.explode(F.array_compact(F.array(*ev))).alias("e"))
+        events += [ev(cid, lo, 1, ok), ev(cid, hi + 1, -1, ok)]
+    events.append(ev(6, d, 0))                      # marks a member day (default bounds)
+    for b in (d1, d2):
+        if b:
+            events.append(ev(7, _lit_day(b), 0))    # makes an explicit bound a delta day
+    deltas = (m.select("grp", F.explode(F.array_compact(F.array(*events))).alias("e"))
               .select("grp", "e.*"))
     names = ["C", "P", "U", "CH", "PH", "UH"]
+    # map-side partial aggregation: a handful of rows per (grp, day) leave each task
     per_day = deltas.groupBy("grp", "D").agg(
-        *[F.sum(F.when(F.col("c") == i, F.col("v")).otherwise(0)).alias(nm) for i, nm in enumerate(names)])
-    spine = _day_spine(m, d1, d2)
-    zeros = spine.select("grp", "D", *[F.lit(0).cast("bigint").alias(nm) for nm in names])
-    both = per_day.unionByName(zeros).groupBy("grp", "D").agg(*[F.sum(nm).alias(nm) for nm in names])
-    run = Window.partitionBy("grp").orderBy("D").rowsBetween(Window.unboundedPreceding, 0)
-    cum = both.select("grp", "D", *[F.sum(nm).over(run).alias(nm) for nm in names])
-    keep = cum.join(spine, ["grp", "D"], "left_semi")
+        *[F.sum(F.when(F.col("c") == i, F.col("v")).otherwise(0)).alias(nm) for i, nm in enumerate(names)],
+        F.max(F.col("c") == 6).alias("member_day"))
+    # one row per (group, delta day): running sums hold until the next delta day
+    w = Window.partitionBy("grp").orderBy("D")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lo = _lit_day(d1) if d1 else F.min(F.when(F.col("member_day"), F.col("D"))).over(whole)
+    hi = _lit_day(d2) if d2 else F.max(F.when(F.col("member_day"), F.col("D"))).over(whole)
+    cum = per_day.select("grp", "D", *[F.sum(nm).over(run).alias(nm) for nm in names],
+                         F.lead("D").over(w).alias("_next"), lo.alias("_lo"), hi.alias("_hi"))
+    days = F.sequence(F.col("D"), F.coalesce(F.col("_next") - 1, F.col("D")))
+    keep = (cum.select("*", F.explode(days).alias("_day"))
+            .filter(F.col("_day").between(F.col("_lo"), F.col("_hi"))))
     c = {nm: F.col(nm) for nm in names}
     stay = c["P"] + c["C"] - c["U"]
     stay_h = c["PH"] + c["CH"] - c["UH"]
     return keep.select(
-        "grp", day_from_number("D").alias("dt"),
+        "grp", day_from_number("_day").alias("dt"),
         (c["P"] - c["PH"]).cast("bigint").alias(f"user_new_{n}"),
         (stay - stay_h).cast("bigint").alias(f"user_new_{n}_stay"),
         c["P"].cast("bigint").alias(f"user_active_{n}"),
