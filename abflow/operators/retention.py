@@ -54,45 +54,45 @@ def _prepared(members: DataFrame, start: str) -> DataFrame:
     return m.filter(F.col("prev").isNull() | (F.col("prev") != F.col("d")))
 
 
-def retention(members: DataFrame, n: int, start: str, d1: str | None = None,
+def retention(members: DataFrame, n, start: str, d1: str | None = None,
               d2: str | None = None) -> DataFrame:
     """n-day retention for every end day D of [d1, d2] (default: each
-    group's first to last member day).
+    group's first to last member day). ``n`` may be a tuple (e.g. (7, 30)):
+    all lengths come out of the same single pass.
 
-    Output: grp, dt (= D), user_new_{n}, user_new_{n}_stay,
+    Output: grp, dt (= D), and per n: user_new_{n}, user_new_{n}_stay,
     user_active_{n}, user_active_{n}_stay (bigint).
     """
+    ns = [n] if isinstance(n, int) else list(n)
     m = _prepared(members, start)
     d, prev, f = F.col("d"), F.col("prev"), F.col("f")
 
-    def rng(cid: int, o: int, length: int, hist: bool):
-        lo = F.greatest(d + o, prev + (o + length), *([f + 2 * n] if hist else []))
-        hi = d + (o + length - 1)
-        ok = lo <= hi
-        if hist:
-            ok = ok & f.isNotNull()
-        return ok, lo, hi, cid
-
-    specs = [rng(0, 0, n, False), rng(1, n, n, False), rng(2, 0, 2 * n, False),
-             rng(3, 0, n, True), rng(4, n, n, True), rng(5, 0, 2 * n, True)]
-
     def ev(cid, day, v, ok=F.lit(True)):
         return F.when(ok, F.struct(F.lit(cid).alias("c"), day.alias("D"), F.lit(v).alias("v")))
 
-    events = []
-    for ok, lo, hi, cid in specs:
-        events += [ev(cid, lo, 1, ok), ev(cid, hi + 1, -1, ok)]
-    events.append(ev(6, d, 0))                      # marks a member day (default bounds)
+    kinds = ["C", "P", "U", "CH", "PH", "UH"]
+    names, events = [], []
+    for x in ns:
+        # (offset, length, history-restricted) of C, P, U and their H-restricted twins
+        for kind, (o, length, hist) in zip(kinds, [(0, x, False), (x, x, False), (0, 2 * x, False),
+                                                  (0, x, True), (x, x, True), (0, 2 * x, True)]):
+            lo = F.greatest(d + o, prev + (o + length), *([f + 2 * x] if hist else []))
+            hi = d + (o + length - 1)
+            ok = (lo <= hi) & f.isNotNull() if hist else lo <= hi
+            cid = len(names)
+            names.append(f"{kind}_{x}")
+            events += [ev(cid, lo, 1, ok), ev(cid, hi + 1, -1, ok)]
+    mark = len(names)
+    events.append(ev(mark, d, 0))                       # marks a member day (default bounds)
     for b in (d1, d2):
         if b:
-            events.append(ev(7, _lit_day(b), 0))    # makes an explicit bound a delta day
+            events.append(ev(mark + 1, _lit_day(b), 0))  # makes an explicit bound a delta day
     deltas = (m.select("grp", F.explode(F.array_compact(F.array(*events))).alias("e"))
               .select("grp", "e.*"))
-    names = ["C", "P", "U", "CH", "PH", "UH"]
     # map-side partial aggregation: a handful of rows per (grp, day) leave each task
     per_day = deltas.groupBy("grp", "D").agg(
         *[F.sum(F.when(F.col("c") == i, F.col("v")).otherwise(0)).alias(nm) for i, nm in enumerate(names)],
-        F.max(F.col("c") == 6).alias("member_day"))
+        F.max(F.col("c") == mark).alias("member_day"))
     # one row per (group, delta day): running sums hold until the next delta day
     w = Window.partitionBy("grp").orderBy("D")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -104,15 +104,16 @@ def retention(members: DataFrame, n: int, start: str, d1: str | None = None,
     days = F.sequence(F.col("D"), F.coalesce(F.col("_next") - 1, F.col("D")))
     keep = (cum.select("*", F.explode(days).alias("_day"))
             .filter(F.col("_day").between(F.col("_lo"), F.col("_hi"))))
-    c = {nm: F.col(nm) for nm in names}
-    stay = c["P"] + c["C"] - c["U"]
-    stay_h = c["PH"] + c["CH"] - c["UH"]
-    return keep.select(
-        "grp", day_from_number("_day").alias("dt"),
-        (c["P"] - c["PH"]).cast("bigint").alias(f"user_new_{n}"),
-        (stay - stay_h).cast("bigint").alias(f"user_new_{n}_stay"),
-        c["P"].cast("bigint").alias(f"user_active_{n}"),
-        stay.cast("bigint").alias(f"user_active_{n}_stay"))
+    out = ["grp", day_from_number("_day").alias("dt")]
+    for x in ns:
+        c = {k: F.col(f"{k}_{x}") for k in kinds}
+        stay = c["P"] + c["C"] - c["U"]
+        stay_h = c["PH"] + c["CH"] - c["UH"]
+        out += [(c["P"] - c["PH"]).cast("bigint").alias(f"user_new_{x}"),
+                (stay - stay_h).cast("bigint").alias(f"user_new_{x}_stay"),
+                c["P"].cast("bigint").alias(f"user_active_{x}"),
+                stay.cast("bigint").alias(f"user_active_{x}_stay")]
+    return keep.select(*out)
 
 
 def retention_rate(ret: DataFrame, n: int) -> DataFrame:
