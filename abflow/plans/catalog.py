@@ -371,8 +371,8 @@ def q_stream_ingest(spark, sf_dir):
     from ..streaming.ingest import read_ingested, read_text_stream, start_ingest
     base = scratch_path(spark, "stream_ingest")
     src, out, ck = f"{base}/in", f"{base}/events", f"{base}/ck"
-    raw = raw_events_json(spark, sf_dir).join(
-        read_table(spark, sf_dir, "events").select("event_id", "ts"), "event_id")
+    raw = spread(raw_events_json(spark, sf_dir).join(
+        read_table(spark, sf_dir, "events").select("event_id", "ts"), "event_id"))
     drops = [raw.filter(F.col("ts") < "2024-01-16"), raw.filter(F.col("ts") >= "2024-01-16")]
     for i, part in enumerate(drops + [None]):
         if part is not None:

@@ -16,18 +16,19 @@ def write_partitioned(df: DataFrame, path: str, by: list[str] | str, mode: str =
                       fmt: str = "parquet") -> None:
     """Dynamic-partition write (e.g. the event table by ``curr_time``).
 
-    Rows are clustered by the partition columns first so each task
-    writes few files per partition.
+    Rows are clustered by the partition columns first (an AQE rebalance:
+    a partition value holding most rows is split over several writers,
+    small ones are merged) so each task writes few files.
     """
     by = [by] if isinstance(by, str) else list(by)
-    (df.repartition(*by).write.mode(mode).format(fmt).partitionBy(*by).save(path))
+    (df.hint("rebalance", *by).write.mode(mode).format(fmt).partitionBy(*by).save(path))
 
 
 def write_members(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Members (grp, dt, uid) partitioned by (grp, dt), both groups and all
     days in one write; a re-run replaces exactly the (grp, dt) partitions
     it writes (``partitionOverwriteMode=dynamic`` set on the write)."""
-    (df.select("uid", "grp", "dt").repartition("grp", "dt").write
+    (df.select("uid", "grp", "dt").hint("rebalance", "grp", "dt").write
      .option("partitionOverwriteMode", "dynamic").mode("overwrite")
      .format(fmt).partitionBy("grp", "dt").save(path))
 

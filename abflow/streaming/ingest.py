@@ -57,7 +57,9 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str |
     try:
         events = (project_event(flat.filter(F.col("fields").isNotNull()), "fields", tz)
                   .withColumn("batch_id", F.lit(batch_id)))
-        (events.repartition(S.INGEST_PARTITION).write
+        # rebalance (not repartition): AQE splits an hour holding the whole
+        # batch over several writers and merges many small hours
+        (events.hint("rebalance", S.INGEST_PARTITION).write
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
          .partitionBy(S.INGEST_PARTITION, "batch_id").parquet(path))
         if rejects_path:
