@@ -186,6 +186,7 @@ def q_province_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- parsing
+from .. import schema as S  # noqa: E402
 from ..functions import timefn as TF  # noqa: E402
 from ..functions.fields import duration_seconds, watch_seconds  # noqa: E402
 from ..operators.filters import by_release  # noqa: E402
@@ -211,10 +212,9 @@ def q_log_parse(spark, sf_dir):
 @register("log_rejects")
 def q_log_rejects(spark, sf_dir):
     """Valid and rejected (too few fields) lines per folder day."""
-    v, r = valid_rows(parsed_logs(spark, sf_dir, with_rejects=True))
-    both = v.select("dt", F.lit(1).alias("ok")).unionByName(r.select("dt", F.lit(0).alias("ok")))
-    return both.groupBy("dt").agg(F.count_if(F.col("ok") == 1).alias("valid"),
-                                  F.count_if(F.col("ok") == 0).alias("rejects"))
+    p = parsed_logs(spark, sf_dir, with_rejects=True)
+    ok = F.col("n_fields") >= S.LOG_FIELDS
+    return p.groupBy("dt").agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("rejects"))
 
 
 @register("ext_parse")
@@ -243,7 +243,8 @@ def q_time_funcs(spark, sf_dir):
     """Epoch -> day / hour and compact time -> epoch ms / s, Asia/Shanghai;
     error events carry the text 'null' (-> 未知)."""
     ev = read_table(spark, sf_dir, "events")
-    b = blog(spark, sf_dir).join(ev.select("event_id", "ts", "event_type"), "event_id")
+    secs = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
+    b = ev.select("event_id", "ts", "event_type", secs.alias("action_sec"))
     sec = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("action_sec").cast("string"))
     compact = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(
         F.date_format("ts", "yyyyMMddHHmmssSSS"))

@@ -81,6 +81,16 @@ def valid_rows(df: DataFrame, min_fields: int = S.LOG_FIELDS,
     return valid, rejects
 
 
+def with_event_day(df: DataFrame, tz: str = S.DEFAULT_TZ, same_folder_day: bool = True) -> DataFrame:
+    """Replace ``dt`` (folder day) by the event day of the epoch-seconds
+    field in ``tz``; with ``same_folder_day`` keep only rows whose event
+    day is their folder day (so one report row per folder day)."""
+    from ..functions.timefn import epoch_to_date
+    ev = epoch_to_date(F.col("action_time_text"), tz)
+    out = df.withColumn("folder_dt", F.col("dt")).withColumn("dt", ev)
+    return out.filter(F.col("dt") == F.col("folder_dt")) if same_folder_day else out
+
+
 def read_behavior_log(spark: SparkSession, path: str, start: str | None = None,
                       end: str | None = None) -> DataFrame:
     """Valid behaviour-log rows of all days in [start, end], one scan."""

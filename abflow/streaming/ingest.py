@@ -52,7 +52,10 @@ def ingest_frame(df: DataFrame, tz: str = S.DEFAULT_TZ, depth: int = 5,
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str | None,
                 tz: str = S.DEFAULT_TZ) -> None:
-    """Idempotent write of one micro-batch."""
+    """Idempotent write of one micro-batch; an empty batch writes nothing
+    (its offsets still commit)."""
+    if batch.isEmpty():
+        return
     flat = batch.persist()
     try:
         events = (project_event(flat.filter(F.col("fields").isNotNull()), "fields", tz)

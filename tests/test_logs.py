@@ -40,6 +40,16 @@ def test_read_range_one_scan_and_rejects(spark, tmp_path):
     assert df.count() == 4   # all day folders
 
 
+def test_event_day(spark, tmp_path):
+    from abflow.sources.logs import with_event_day
+    late = GOOD.replace("1554395536", "1554393600")   # 2019-04-05 00:00 +08 = 2019-04-04 16:00 UTC
+    _write_days(tmp_path, {"20190405": [GOOD, late, GOOD.replace("1554395536", "1554220800")]})
+    df = read_behavior_log(spark, str(tmp_path), "20190405", "20190405")
+    assert sorted(r.dt for r in with_event_day(df, same_folder_day=False).collect()) == ["20190403", "20190405", "20190405"]
+    assert with_event_day(df).count() == 2
+    assert [r.dt for r in with_event_day(df, tz="UTC").collect()] == []
+
+
 def test_action_matches(spark):
     df = spark.createDataFrame([("1",), ("01",), ("13",), ("3",), ("x",)], "action_type string")
     eq = [r.action_type for r in df.filter(action_cond("3", "equals")).collect()]
