@@ -40,10 +40,12 @@ def _lit_day(day: str) -> Column:
 
 def _prepared(members: DataFrame, start: str) -> DataFrame:
     """(grp, uid, day number) with ``prev`` (previous active day) and ``f``
-    (first active day >= start): ONE shuffle on (grp, uid), a window sort,
-    and repeated (grp, uid, day) rows dropped inside the window pass."""
+    (first active day >= start): one shuffle on (grp, uid) and a window sort."""
+    # distinct first: repeats collapse map-side (a no-op the optimizer removes
+    # when the members are already distinct), so no task gets a hot uid's repeats
     m = (members.select("grp", "uid", "dt")
          .filter(F.col("grp").isNotNull() & F.col("uid").isNotNull())
+         .dropDuplicates(["grp", "uid", "dt"])
          .withColumn("d", day_number("dt"))
          .filter(F.col("d").isNotNull()))
     w = Window.partitionBy("grp", "uid").orderBy("d")
@@ -51,7 +53,7 @@ def _prepared(members: DataFrame, start: str) -> DataFrame:
     s = _lit_day(start)
     m = (m.withColumn("prev", F.lag("d").over(w))
          .withColumn("f", F.min(F.when(F.col("d") >= s, F.col("d"))).over(whole)))
-    return m.filter(F.col("prev").isNull() | (F.col("prev") != F.col("d")))
+    return m
 
 
 def retention(members: DataFrame, n, start: str, d1: str | None = None,
@@ -131,8 +133,10 @@ def user_stats_daily(members: DataFrame, start: str, end: str | None = None) ->
     m = members.select("grp", "uid", "dt").filter(F.col("dt") >= start)
     if end is not None:
         m = m.filter(F.col("dt") <= end)
-    m = (m.repartition("grp", "uid")
-         .groupBy("grp", "uid", "dt").agg(F.count(F.lit(1)).alias("c")))
+    # repeats of a (grp, uid, day) row collapse map-side before any shuffle,
+    # so a uid with very many rows never lands whole in one task; the window
+    # then sees at most one row per user and day
+    m = m.groupBy("grp", "uid", "dt").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("grp", "uid").orderBy("dt")
     m = m.withColumn("seen", F.lag("dt").over(w).isNotNull())
     return m.groupBy("grp", "dt").agg(
