@@ -45,5 +45,7 @@ def test_retention_single_pass(spark, sf):
     r = R.retention(rel_members(spark, sf), 7, "20240101")
     txt = plan(r)
     assert txt.count("FileScan") == 1
-    assert len(re.findall(r"Exchange hashpartitioning\(grp#\d+, uid#\d+", txt)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(grp#\d+, uid#\d+, \d+\)", txt)) == 1
+    # the only other exchanges: the partial distinct and per-day sized aggregates / windows
+    assert len(re.findall(r"Exchange hashpartitioning", txt)) == 4
     assert "CartesianProduct" not in txt and "NestedLoopJoin" not in txt
