@@ -124,6 +124,12 @@ def ingest_hour(tz: str = S.DEFAULT_TZ) -> Column:
     return epoch_to_hour(F.unix_timestamp().cast("string"), tz)
 
 
+def with_ingest_hour(df: DataFrame, fields: str = "fields", tz: str = S.DEFAULT_TZ) -> DataFrame:
+    """Add ``curr_time``: the message's own ``curr_time`` key, else the arrival hour."""
+    return df.withColumn(S.INGEST_PARTITION,
+                         F.coalesce(F.try_element_at(F.col(fields), F.lit(S.INGEST_PARTITION)), ingest_hour(tz)))
+
+
 def project_event(df: DataFrame, fields: str = "fields", tz: str = S.DEFAULT_TZ,
                   names: list[str] = S.EVENT_FIELDS) -> DataFrame:
     """The fixed event columns: missing key -> '', unknown keys dropped;

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.flatten import flatten_json, project_event
+from ..operators.keyed import offset_ledger
 
 
 def read_event_stream(spark: SparkSession, topics: list[str] | str, servers: str,
@@ -51,7 +52,7 @@ def ingest_frame(df: DataFrame, tz: str = S.DEFAULT_TZ, depth: int = 5,
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str | None,
-                tz: str = S.DEFAULT_TZ) -> None:
+                tz: str = S.DEFAULT_TZ, ledger_path: str | None = None) -> None:
     """Idempotent write of one micro-batch; an empty batch writes nothing
     (its offsets still commit)."""
     if batch.isEmpty():
@@ -70,18 +71,24 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str |
              .withColumn("batch_id", F.lit(batch_id)).write
              .option("partitionOverwriteMode", "dynamic").mode("overwrite")
              .partitionBy("batch_id").parquet(rejects_path))
+        if ledger_path and {"topic", "partition", "offset"} <= set(batch.columns):
+            # per-batch offset ledger (partition|untilOffset per topic), replaced on replay
+            (offset_ledger(flat).withColumn("batch_id", F.lit(batch_id)).write
+             .option("partitionOverwriteMode", "dynamic").mode("overwrite")
+             .partitionBy("batch_id").parquet(ledger_path))
     finally:
         flat.unpersist()
 
 
 def start_ingest(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                  tz: str = S.DEFAULT_TZ, depth: int = 5, rejects_path: str | None = None,
-                 unwrap_same_key: bool = False, query_name: str | None = None):
+                 unwrap_same_key: bool = False, query_name: str | None = None,
+                 ledger_path: str | None = None):
     """Start the ingest query. ``trigger`` e.g. {"processingTime": "30 seconds"}
     (default) or {"availableNow": True} for a catch-up run."""
     flat = ingest_frame(stream, tz, depth, unwrap_same_key)
     w = (flat.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: write_batch(b, i, path, rejects_path, tz)))
+         .foreachBatch(lambda b, i: write_batch(b, i, path, rejects_path, tz, ledger_path)))
     w = w.trigger(**(trigger or {"processingTime": "30 seconds"}))
     if query_name:
         w = w.queryName(query_name)

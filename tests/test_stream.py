@@ -25,3 +25,16 @@ def test_restart_no_loss_no_duplicates(spark, tmp_path):
     assert sorted(ev.select("curr_time").distinct().toPandas().curr_time) == ["2024010100", "2024010101", "2024010102"]
     assert spark.read.parquet(rej).count() == 2
     assert len(ev.columns) == 46   # 45 event columns + batch_id
+
+
+def test_ledger_written_per_batch(spark, tmp_path):
+    """A source carrying (topic, partition, offset) also gets its offset ledger written per batch."""
+    from abflow.streaming.ingest import write_batch, ingest_frame
+    df = spark.createDataFrame([('{"eventId":"1"}', "t", 0, 4), ('{"eventId":"2"}', "t", 1, 9)],
+                               "value string, topic string, partition int, offset long")
+    flat = ingest_frame(df)
+    write_batch(flat, 3, str(tmp_path / "ev"), None, ledger_path=str(tmp_path / "led"))
+    write_batch(flat, 3, str(tmp_path / "ev"), None, ledger_path=str(tmp_path / "led"))   # replayed batch
+    led = spark.read.parquet(str(tmp_path / "led")).collect()
+    assert [(r.topic, r.ledger, r.batch_id) for r in led] == [("t", "0|5,1|10", 3)]
+    assert spark.read.parquet(str(tmp_path / "ev")).count() == 2
