@@ -196,7 +196,13 @@ from ..sources.tables import date_spine, name_fields  # noqa: E402
 
 
 def parsed_logs(spark, sf_dir, with_rejects=False):
-    return parse_log_lines(log_lines(spark, sf_dir, with_rejects))
+    """Derived raw lines written as day folders in the shared scratch folder,
+    then read back by the day-range reader (one text scan, folder day = dt)."""
+    from ..session import scratch_path
+    from ..sources.logs import read_log_text
+    path = scratch_path(spark, "logs")
+    log_lines(spark, sf_dir, with_rejects).write.partitionBy("dt").text(path)
+    return parse_log_lines(read_log_text(spark, path, folder_prefix="dt="))
 
 
 @register("log_parse")

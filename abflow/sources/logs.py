@@ -24,18 +24,22 @@ def day_list(start: str, end: str) -> list[str]:
     return [(d0 + timedelta(days=i)).strftime("%Y%m%d") for i in range((d1 - d0).days + 1)]
 
 
-def day_glob(path: str, start: str | None, end: str | None) -> str:
+def day_glob(path: str, start: str | None, end: str | None, prefix: str = "") -> str:
     path = path.rstrip("/")
     if start is None or end is None:
-        return f"{path}/[0-9]*/*"
-    return f"{path}/{{{','.join(day_list(start, end))}}}/*"
+        return f"{path}/{prefix}[0-9]*/*"
+    return f"{path}/{{{','.join(prefix + d for d in day_list(start, end))}}}/*"
 
 
 def read_log_text(spark: SparkSession, path: str, start: str | None = None,
-                  end: str | None = None) -> DataFrame:
-    """Lines of every day folder in [start, end] -> (value, dt), one scan."""
-    df = spark.read.text(day_glob(path, start, end))
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([0-9]{8})/[^/]*$", 1)
+                  end: str | None = None, folder_prefix: str = "") -> DataFrame:
+    """Lines of every day folder in [start, end] -> (value, dt), one scan.
+
+    Day folders are ``<path>/<prefix><yyyyMMdd>/``; ``folder_prefix='dt='``
+    reads folders written by ``partitionBy('dt')``.
+    """
+    df = spark.read.text(day_glob(path, start, end, folder_prefix))
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/]*?([0-9]{8})/[^/]*$", 1)
     return df.select("value", folder.alias("dt"))
 
 
@@ -92,9 +96,9 @@ def with_event_day(df: DataFrame, tz: str = S.DEFAULT_TZ, same_folder_day: bool
 
 
 def read_behavior_log(spark: SparkSession, path: str, start: str | None = None,
-                      end: str | None = None) -> DataFrame:
+                      end: str | None = None, folder_prefix: str = "") -> DataFrame:
     """Valid behaviour-log rows of all days in [start, end], one scan."""
-    valid, _ = valid_rows(parse_log_lines(read_log_text(spark, path, start, end)))
+    valid, _ = valid_rows(parse_log_lines(read_log_text(spark, path, start, end, folder_prefix)))
     return valid
 
 
