@@ -57,3 +57,8 @@ def watch_seconds(ext) -> Column:
 def duration_seconds(ext) -> Column:
     """Media duration from the ext field (item 5, after ':'), bigint or null."""
     return ext_long(ext, EXT_DURATION_ITEM)
+
+
+def watch_fields(df, ext: str = "ext"):
+    """Add ``watch_s`` and ``dur_s`` (bigint or null) read from the ext field."""
+    return df.withColumn("watch_s", watch_seconds(ext)).withColumn("dur_s", duration_seconds(ext))

@@ -15,6 +15,11 @@ from .. import schema as S
 from .filters import action_cond
 
 
+def select_actions(df: DataFrame, day_col: str = "dt") -> DataFrame:
+    """(uid, action_type, action_time) projection the per-metric views read."""
+    return df.select("uid", "action_type", F.col(day_col).alias("action_time"))
+
+
 def funnel_daily(df: DataFrame, by=("grp", "dt"), match: str = "numeric",
                  approx: bool = False) -> DataFrame:
     """exposures / clicks / users / orders per ``by``.

@@ -149,6 +149,11 @@ def new_users(members: DataFrame, start: str, end: str | None = None) -> DataFra
     return user_stats_daily(members, start, end).select("grp", "dt", "user_new")
 
 
+def retained_users(members: DataFrame, start: str, end: str | None = None) -> DataFrame:
+    """Distinct uids of a day also seen in [start, day-1] (an intersection)."""
+    return user_stats_daily(members, start, end).select("grp", "dt", "user_remain")
+
+
 def cumulative_users(members: DataFrame, start: str, end: str | None = None) -> DataFrame:
     """Running total of new users since ``start`` per group and day, plus the
     (``date`` = ``a20190413``, ``user_num`` text) shape of the totals table."""

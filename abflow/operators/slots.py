@@ -49,7 +49,12 @@ def ai_slots(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, match: str = "equals"
     """
     a = explode_slots(_exposures(df.filter(F.col("grp") == "A"), match))
     s = a.filter(F.col("rec_typei") == ai_type).select("dt", "rec_posi").distinct()
-    return s.orderBy("dt", F.col("rec_posi").try_cast("int"), "rec_posi") if ordered else s
+    return sort_slots(s) if ordered else s
+
+
+def sort_slots(df: DataFrame, col: str = "rec_posi", by=("dt",)) -> DataFrame:
+    """Slots in numeric order (text that is no number sorts last, by text)."""
+    return df.orderBy(*by, F.col(col).try_cast("int").asc_nulls_last(), col)
 
 
 def slot_exposures(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, match: str = "equals") -> DataFrame:

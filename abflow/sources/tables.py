@@ -25,6 +25,11 @@ def date_spine(df: DataFrame, start: str | None = None, end: str | None = None,
     return b.select(F.explode(seq).alias("_d")).select(date_to_day("_d").alias("dt"))
 
 
+def date_range(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """Days start..end as rows (``dt``); replaces a driver loop over dates."""
+    return date_spine(spark.range(1), start, end)
+
+
 def members(df: DataFrame, grp: str, d1: str, d2: str, inclusive_end: bool = True) -> DataFrame:
     """Members of group ``grp`` with ``d1 <= dt <= d2`` (``< d2`` when not
     inclusive). On a table partitioned by (grp, dt) both predicates are
@@ -64,11 +69,16 @@ def read_items(spark: SparkSession, path: str, fields: list[str] | str, sep: str
     return name_fields(lines, fields, sep)
 
 
-def name_fields(lines: DataFrame, fields: list[str], sep: str = "\t") -> DataFrame:
-    """(value) lines -> named string columns; rows whose field count differs are dropped."""
+def name_fields(lines: DataFrame, fields: list[str], sep: str = "\t",
+                key_index: int | None = None) -> DataFrame:
+    """(value) lines -> named string columns; rows whose field count differs
+    are dropped. ``key_index`` adds ``row_key`` = that field (the upsert key)."""
     arr = split_keep("value", sep)
     keep = lines.select(arr.alias("_f"), F.col("value")).filter(F.size("_f") == len(fields))
-    return keep.select(*[F.col("_f")[i].alias(f) for i, f in enumerate(fields)])
+    cols = [F.col("_f")[i].alias(f) for i, f in enumerate(fields)]
+    if key_index is not None:
+        cols.append(F.col("_f")[int(key_index)].alias("row_key"))
+    return keep.select(*cols)
 
 
 def item_rejects(lines: DataFrame, fields: list[str], sep: str = "\t") -> DataFrame:

@@ -75,3 +75,23 @@ def test_split_java_and_ext(spark):
 def test_total_key(spark):
     df = spark.createDataFrame([("A", "20190413"), ("qianB", "20190414")], "g string, d string")
     assert [r.k for r in df.select(total_key("g", "d").alias("k")).collect()] == ["a20190413", "b20190414"]
+
+
+def test_small_named_helpers(spark):
+    from abflow.functions.fields import watch_fields
+    from abflow.operators.funnel import select_actions
+    from abflow.operators.retention import retained_users
+    from abflow.operators.slots import sort_slots
+    from abflow.sources.tables import date_range, name_fields
+    assert [r.dt for r in date_range(spark, "20200227", "20200301").collect()] == ["20200227", "20200228", "20200229", "20200301"]
+    w = watch_fields(spark.createDataFrame([("v:1,p:2,w:9,x:0,y:0,d:4",)], "ext string")).collect()[0]
+    assert (w.watch_s, w.dur_s) == (9, 4)
+    s = sort_slots(spark.createDataFrame([("d", "10"), ("d", "9"), ("d", "x"), ("d", "1")], "dt string, rec_posi string"))
+    assert [r.rec_posi for r in s.collect()] == ["1", "9", "10", "x"]
+    a = select_actions(spark.createDataFrame([("u", "1", "20240101")], "uid string, action_type string, dt string"))
+    assert a.columns == ["uid", "action_type", "action_time"]
+    m = spark.createDataFrame([("A", "u", "20240101"), ("A", "u", "20240102"), ("A", "v", "20240102")],
+                              "grp string, uid string, dt string")
+    assert {r.dt: r.user_remain for r in retained_users(m, "20240101").collect()} == {"20240101": 0, "20240102": 1}
+    n = name_fields(spark.createDataFrame([("a\tb",), ("c",)], "value string"), ["x", "y"], key_index=1).collect()
+    assert [(r.x, r.y, r.row_key) for r in n] == [("a", "b", "b")]
