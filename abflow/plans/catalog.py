@@ -188,7 +188,7 @@ def q_province_report(spark, sf_dir):
 # ---------------------------------------------------------------- parsing
 from .. import schema as S  # noqa: E402
 from ..functions import timefn as TF  # noqa: E402
-from ..functions.fields import duration_seconds, watch_seconds  # noqa: E402
+from ..functions.fields import duration_seconds, watch_fields, watch_seconds  # noqa: E402
 from ..operators.filters import by_release  # noqa: E402
 from ..sources.fixture import item_lines, log_lines, raw_events_json, ITEM_FIELDS, read_table  # noqa: E402
 from ..sources.logs import parse_log_lines, valid_rows  # noqa: E402
@@ -401,3 +401,34 @@ def q_member_write(spark, sf_dir):
     write_members(m, path)
     back = spark.read.parquet(path)
     return back.groupBy("grp", F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- whole jobs from raw day folders
+from ..plans.reports import news_report  # noqa: E402
+from ..sources.logs import with_event_day  # noqa: E402
+
+
+def logs_from_folders(spark, sf_dir):
+    """Valid rows of the written day folders, event day from epoch seconds (UTC here)."""
+    v, _ = valid_rows(parsed_logs(spark, sf_dir))
+    return with_event_day(v, tz="UTC")
+
+
+@register("funnel_from_logs")
+def q_funnel_from_logs(spark, sf_dir):
+    """Raw lines -> one scan of all day folders -> event day -> A/B -> daily funnel."""
+    return funnel_daily(with_group(by_scene(logs_from_folders(spark, sf_dir), SCENE_REL)))
+
+
+@register("news_members")
+def q_news_members(spark, sf_dir):
+    """News A/B uid split of release V2.1 on products SC823 / SC818 (all days, both groups)."""
+    return members_daily(logs_from_folders(spark, sf_dir), SCENE_NEWS, version="V2.1")
+
+
+@register("news_report")
+def q_news_report(spark, sf_dir):
+    """Per day and group: AI-slot exposures, plausible watch sum and mean, plays in AI slots."""
+    logs = watch_fields(with_group(by_scene(logs_from_folders(spark, sf_dir), SCENE_NEWS)))
+    logs = logs.withColumn("event_id", F.col("aux").cast("bigint"))
+    return news_report(logs, slot_match="any")

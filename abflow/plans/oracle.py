@@ -361,3 +361,42 @@ def _event_project_sql() -> str:
 ORACLE["event_project"] = _event_project_sql()
 
 ORACLE["member_write"] = with_blog("SELECT grp, dt, count(*) AS n FROM m GROUP BY grp, dt", MEMBERS)
+
+
+# ---------------------------------------------------------------- whole jobs from raw day folders
+ORACLE["funnel_from_logs"] = ORACLE["funnel_daily_ab"]
+
+ORACLE["news_members"] = with_blog("""
+SELECT DISTINCT grp, dt, uid FROM gblog
+WHERE scene_id = 'S_NEWS' AND event_id % 2 = 0 AND user_id % 3 IN (0, 1)
+""")
+
+ORACLE["news_report"] = with_blog("""
+SELECT coalesce(ex.dt, w.dt) AS date,
+  CAST(coalesce(ex.a_expose, 0) AS BIGINT) AS a_expose,
+  CAST(coalesce(w.a_watch_sum, 0) AS BIGINT) AS a_watch_sum, CAST(w.a_watch_mean AS BIGINT) AS a_watch_mean,
+  CAST(coalesce(w.a_plays, 0) AS BIGINT) AS a_plays,
+  CAST(coalesce(ex.b_expose, 0) AS BIGINT) AS b_expose,
+  CAST(coalesce(w.b_watch_sum, 0) AS BIGINT) AS b_watch_sum, CAST(w.b_watch_mean AS BIGINT) AS b_watch_mean,
+  CAST(coalesce(w.b_plays, 0) AS BIGINT) AS b_plays
+FROM ex FULL JOIN (
+  SELECT dt,
+    max(CASE WHEN grp = 'A' THEN watch_sum END) AS a_watch_sum, max(CASE WHEN grp = 'A' THEN watch_mean END) AS a_watch_mean,
+    max(CASE WHEN grp = 'A' THEN plays END) AS a_plays,
+    max(CASE WHEN grp = 'B' THEN watch_sum END) AS b_watch_sum, max(CASE WHEN grp = 'B' THEN watch_mean END) AS b_watch_mean,
+    max(CASE WHEN grp = 'B' THEN plays END) AS b_plays
+  FROM ws GROUP BY dt) w ON ex.dt = w.dt
+""", NEWS + ",\n" + """ex AS (
+  SELECT d.dt,
+    (SELECT count(*) FROM pairs p WHERE p.dt = d.dt AND p.grp = 'A' AND p.action_type = '1' AND p.rec_typei = '2') AS a_expose,
+    (SELECT count(*) FROM pairs p WHERE p.dt = d.dt AND p.grp = 'B' AND p.action_type = '1'
+       AND EXISTS (SELECT 1 FROM aiset s WHERE s.dt = p.dt AND s.rec_posi = p.rec_posi)) AS b_expose
+  FROM (SELECT DISTINCT dt FROM news WHERE action_type = '1') d),
+ws AS (
+  SELECT grp, dt, count(*) AS plays,
+         coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) AS watch_sum,
+         coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) // count(DISTINCT uid) AS watch_mean
+  FROM news p WHERE action_type = '3' AND EXISTS (
+    SELECT 1 FROM aiset s WHERE s.dt = p.dt AND list_contains(string_split(p.rec_pos, ';'), s.rec_posi))
+  GROUP BY grp, dt)
+""")

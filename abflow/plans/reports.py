@@ -17,6 +17,7 @@ from .. import schema as S
 from ..operators.filters import action_cond
 from ..operators.groups import members_daily
 from ..operators.retention import retention, user_stats_daily
+from ..operators.slots import slot_exposures, watch_stats
 
 
 def daily_report(logs: DataFrame, scene: str, start: str, members: DataFrame | None = None,
@@ -62,3 +63,21 @@ def retention_report(members: DataFrame, scene: str, start: str, d1: str | None
     fields = [f"{g}_{m.format(n=n)}" for g in ("a", "b") for n in windows for m in S.RETENTION_MEASURES]
     return joined.select(F.col("dt").alias("date"), F.lit(scene).alias("scene_id"),
                          *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in fields])
+
+
+def news_report(logs: DataFrame, factor: int = S.WATCH_FACTOR, slot_match: str = "whole") -> DataFrame:
+    """Per day, for A and B: AI-slot exposures, total and mean plausible
+    watch time and plays in AI slots (the news metrics job as one plan).
+
+    ``logs`` are one scene's rows with grp; both parts are per-day sized,
+    so the join on the day key is small.
+    """
+    ex = slot_exposures(logs)
+    ws = watch_stats(logs, factor=factor, slot_match=slot_match)
+    wide = ws.groupBy("dt").agg(*[F.max(F.when(F.col("grp") == g, F.col(c))).alias(f"{g.lower()}_{c}")
+                                  for g in ("A", "B") for c in ("watch_sum", "watch_mean", "plays")])
+    cols = [f"{g}_{c}" for g in ("a", "b") for c in ("expose", "watch_sum", "watch_mean", "plays")]
+    out = ex.join(wide, "dt", "full")
+    return out.select(F.col("dt").alias("date"),
+                      *[(F.col(c) if c.endswith("watch_mean") else F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(c)
+                        for c in cols])
