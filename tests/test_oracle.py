@@ -34,3 +34,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["grp", "dt", "exposures", "clicks", "users", "orders"]
+
+
+@pytest.mark.parametrize("name", ["time_funcs", "funnel_from_logs", "date_funcs", "json_flatten"])
+def test_independent_of_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sdf = E.queries()[name](spark, SF)
+        srows = [tuple(r) for r in sdf.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = duck.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in cur.description]
+    assert rows_key(sdf.columns, srows) == rows_key(dcols, cur.fetchall())
