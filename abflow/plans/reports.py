@@ -31,18 +31,18 @@ def daily_report(logs: DataFrame, scene: str, start: str, members: DataFrame | N
     lg = logs.filter(F.col("scene_id") == scene)
     if members is None:
         members = members_daily(logs, scene)
-    cols = []
-    for g in ("A", "B"):
-        isg = F.col("grp") == g
-        p = g.lower()
-        cols += [
-            F.count_if(isg & action_cond(S.ACTION_EXPOSURE, action_match)).alias(f"{p}_expose"),
-            F.count_if(isg & action_cond(S.ACTION_CLICK, action_match)).alias(f"{p}_click"),
-            F.count_distinct(F.when(isg, F.col("uid"))).alias(f"{p}_user_active"),
-            F.count_if(isg & action_cond(S.ACTION_ORDER, action_match)).alias(f"{p}_order"),
-            F.count_if(isg & action_cond(S.ACTION_PLAY, play_match)).alias(f"{p}_play"),
-        ]
-    day = lg.groupBy("dt").agg(*cols)
+    # one distinct expression, grouped by (dt, grp): partial aggregation on
+    # (dt, grp, uid), no Expand of the log rows; the pivot to A / B columns
+    # runs on per-day rows only
+    per = lg.groupBy("dt", "grp").agg(
+        F.count_if(action_cond(S.ACTION_EXPOSURE, action_match)).alias("expose"),
+        F.count_if(action_cond(S.ACTION_CLICK, action_match)).alias("click"),
+        F.count_distinct("uid").alias("user_active"),
+        F.count_if(action_cond(S.ACTION_ORDER, action_match)).alias("order"),
+        F.count_if(action_cond(S.ACTION_PLAY, play_match)).alias("play"))
+    metrics = ["expose", "click", "user_active", "order", "play"]
+    day = per.groupBy("dt").agg(*[F.max(F.when(F.col("grp") == g, F.col(m))).alias(f"{g.lower()}_{m}")
+                                  for g in ("A", "B") for m in metrics])
     st = user_stats_daily(members, start)
     new = st.groupBy("dt").agg(
         *[F.sum(F.when(F.col("grp") == g, F.col("user_new"))).alias(f"{g.lower()}_user_new") for g in ("A", "B")])

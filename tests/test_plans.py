@@ -49,3 +49,9 @@ def test_retention_single_pass(spark, sf):
     # the only other exchanges: the partial distinct and per-day sized aggregates / windows
     assert len(re.findall(r"Exchange hashpartitioning", txt)) == 4
     assert "CartesianProduct" not in txt and "NestedLoopJoin" not in txt
+
+
+@pytest.mark.parametrize("name", ["report_daily_ab", "funnel_daily_ab", "watch_stats_ab", "log_parse"])
+def test_distinct_counts_do_not_expand_rows(spark, sf, name):
+    """One distinct expression per aggregate: no Expand multiplying the log rows."""
+    assert "Expand" not in plan(E.queries()[name](spark, sf))
