@@ -50,9 +50,10 @@ def epoch_to_hour(col, tz: str = DEFAULT_TZ) -> Column:
 def compact_to_epoch_ms(col, tz: str = DEFAULT_TZ, unit: str = "ms") -> Column:
     """``yyyyMMddHHmmssSSS`` wall time in ``tz`` -> epoch milliseconds text.
 
-    Spark's parser rejects the 17-digit pattern as one piece, so the
-    first 14 digits are parsed and the last 3 added as milliseconds.
-    Impossible dates (20190231...) give null. ``unit='s'`` gives seconds.
+    Spark's pattern parser rejects the 17-digit form as one piece, so the
+    wall clock is built from its digit groups and the last 3 digits are
+    added as milliseconds. Impossible dates (20190231...) give null.
+    ``unit='s'`` gives seconds.
     """
     text = _c(col).cast("string")
     ok = text.rlike(r"^[0-9]{17}$")

@@ -8,10 +8,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.funnel import funnel_daily
-from ..operators.groups import with_group
-from ..operators.filters import by_scene
-from ..sources.fixture import blog
+from .. import schema as S
+from ..functions import timefn as TF
+from ..functions.fields import duration_seconds, watch_fields, watch_seconds
+from ..functions.groups import ab_group, label
+from ..operators import retention as R
+from ..operators import slots as SL
+from ..operators.filters import by_release, by_scene
+from ..operators.flatten import flatten_json, project_event
+from ..operators.funnel import funnel_daily, funnel_report, province_report
+from ..operators.groups import members_daily, with_group
+from ..operators.keyed import join_distinct, offset_ledger, upsert_by_key
+from ..plans.reports import daily_report, news_report, retention_report
+from ..plans.sqlviews import sql_funnel_report
+from ..session import spread
+from ..sinks.files import tsv_line
+from ..sources.fixture import ITEM_FIELDS, blog, item_lines, log_lines, raw_events_json, read_table
+from ..sources.logs import parse_log_lines, valid_rows, with_event_day
+from ..sources.tables import date_spine, name_fields
+from ..sources.tables import members as member_range
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,11 +53,7 @@ def q_funnel_daily_ab(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- filters, groups
-from ..functions.groups import ab_group  # noqa: E402
-from ..operators.filters import action_cond, by_action, plausible_watch  # noqa: E402
-from ..operators.groups import members_daily  # noqa: E402
-from ..sources.tables import members as member_range  # noqa: E402
-from ..functions.groups import label  # noqa: E402
+
 
 START = "20240101"
 
@@ -95,7 +106,6 @@ def q_play_contains(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- retention
-from ..operators import retention as R  # noqa: E402
 
 
 @register("new_users_daily")
@@ -129,7 +139,6 @@ def q_cumulative_users(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- slots
-from ..operators import slots as SL  # noqa: E402
 
 
 def news(spark, sf_dir):
@@ -167,7 +176,6 @@ def q_slot_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- reports
-from ..operators.funnel import funnel_report, province_report  # noqa: E402
 
 
 @register("funnel_report_a")
@@ -186,13 +194,6 @@ def q_province_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- parsing
-from .. import schema as S  # noqa: E402
-from ..functions import timefn as TF  # noqa: E402
-from ..functions.fields import duration_seconds, watch_fields, watch_seconds  # noqa: E402
-from ..operators.filters import by_release  # noqa: E402
-from ..sources.fixture import item_lines, log_lines, raw_events_json, ITEM_FIELDS, read_table  # noqa: E402
-from ..sources.logs import parse_log_lines, valid_rows  # noqa: E402
-from ..sources.tables import date_spine, name_fields  # noqa: E402
 
 
 def parsed_logs(spark, sf_dir, with_rejects=False):
@@ -274,10 +275,6 @@ def q_date_funcs(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- wide reports, SQL views
-from ..plans.reports import daily_report, retention_report  # noqa: E402
-from ..plans.sqlviews import sql_funnel_report  # noqa: E402
-from ..operators.keyed import join_distinct, offset_ledger, upsert_by_key  # noqa: E402
-from ..sinks.files import tsv_line  # noqa: E402
 
 
 @register("report_daily_ab")
@@ -350,15 +347,10 @@ def q_offset_ledger(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- JSON ingest
-from ..operators.flatten import flatten_json, project_event  # noqa: E402
-from .. import schema as S  # noqa: E402
 
 JSON_KEYS = ["eventId", "bizType", "userId", "mac", "id", "ids", "name", "curr_time"]
 
 
-from ..session import spread  # noqa: E402
-
-
 @register("json_flatten")
 def q_json_flatten(spark, sf_dir):
     f = flatten_json(spread(raw_events_json(spark, sf_dir)))
@@ -404,8 +396,6 @@ def q_member_write(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- whole jobs from raw day folders
-from ..plans.reports import news_report  # noqa: E402
-from ..sources.logs import with_event_day  # noqa: E402
 
 
 def logs_from_folders(spark, sf_dir):
