@@ -215,12 +215,13 @@ FROM blog GROUP BY dt, scene_id, action_type
 """)
 
 ORACLE["log_rejects"] = with_blog("""
-SELECT dt, count_if(action_type <> '9') AS valid, count_if(action_type = '9') AS rejects FROM blog GROUP BY dt
+SELECT dt, CAST(count_if(action_type <> '9') AS BIGINT) AS valid, CAST(count_if(action_type = '9') AS BIGINT) AS rejects
+FROM blog GROUP BY dt
 """)
 
 ORACLE["ext_parse"] = with_blog("""
 SELECT dt, CAST(sum(watch_s) AS BIGINT) AS watch, CAST(sum(dur_s) AS BIGINT) AS duration,
-       count_if(watch_s <= 2 * dur_s) AS plausible
+       CAST(count_if(watch_s <= 2 * dur_s) AS BIGINT) AS plausible
 FROM blog GROUP BY dt
 """)
 
@@ -269,14 +270,14 @@ mn AS (SELECT t.grp, t.dt, t.uid,
 
 ORACLE["report_daily_ab"] = with_blog("""
 SELECT l.dt AS date, 'S_REL' AS scene_id,
-  count_if(grp = 'A' AND action_type = '1') AS a_expose, count_if(grp = 'A' AND action_type = '2') AS a_click,
-  count(DISTINCT CASE WHEN grp = 'A' THEN uid END) AS a_user_active, count_if(grp = 'A' AND action_type = '6') AS a_order,
+  CAST(count_if(grp = 'A' AND action_type = '1') AS BIGINT) AS a_expose, CAST(count_if(grp = 'A' AND action_type = '2') AS BIGINT) AS a_click,
+  count(DISTINCT CASE WHEN grp = 'A' THEN uid END) AS a_user_active, CAST(count_if(grp = 'A' AND action_type = '6') AS BIGINT) AS a_order,
   CAST(coalesce((SELECT count(*) FROM mn WHERE mn.grp = 'A' AND mn.dt = l.dt AND is_new), 0) AS BIGINT) AS a_user_new,
-  count_if(grp = 'A' AND contains(action_type, '3')) AS a_play,
-  count_if(grp = 'B' AND action_type = '1') AS b_expose, count_if(grp = 'B' AND action_type = '2') AS b_click,
-  count(DISTINCT CASE WHEN grp = 'B' THEN uid END) AS b_user_active, count_if(grp = 'B' AND action_type = '6') AS b_order,
+  CAST(count_if(grp = 'A' AND contains(action_type, '3')) AS BIGINT) AS a_play,
+  CAST(count_if(grp = 'B' AND action_type = '1') AS BIGINT) AS b_expose, CAST(count_if(grp = 'B' AND action_type = '2') AS BIGINT) AS b_click,
+  count(DISTINCT CASE WHEN grp = 'B' THEN uid END) AS b_user_active, CAST(count_if(grp = 'B' AND action_type = '6') AS BIGINT) AS b_order,
   CAST(coalesce((SELECT count(*) FROM mn WHERE mn.grp = 'B' AND mn.dt = l.dt AND is_new), 0) AS BIGINT) AS b_user_new,
-  count_if(grp = 'B' AND contains(action_type, '3')) AS b_play
+  CAST(count_if(grp = 'B' AND contains(action_type, '3')) AS BIGINT) AS b_play
 FROM gblog l WHERE scene_id = 'S_REL' GROUP BY l.dt
 """, MEMBERS + "," + _NEW_FLAG)
 

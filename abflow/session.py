@@ -46,7 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only read. When it is unset (local tests) a scratch folder is made
     and registered, so ``checkpoint()`` and written lineage cuts work.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a client session without a local SparkContext
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return d
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="abflow-ckpt-")
@@ -68,7 +74,9 @@ def spread(df):
     work (JSON parsing). A no-op when the input already has at least
     ``defaultParallelism`` partitions, which is the case for large inputs;
     only a small or single-row-group source pays the extra shuffle."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API in this session: leave the plan as it is
+        return df
+    return df.repartition(n) if have < n else df

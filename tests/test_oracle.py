@@ -24,6 +24,9 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)
+    types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    dtypes = dict(zip(dcols, [str(t) for t in duck.sql(E.oracle_sql()[name]).types]))
+    assert {c: types.get(t, t) for c, t in sdf.dtypes} == dtypes
     srows = [tuple(r) for r in sdf.collect()]
     drows = cur.fetchall()
     assert len(srows) == len(drows)
