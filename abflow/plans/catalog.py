@@ -418,7 +418,9 @@ def q_news_members(spark, sf_dir):
 
 @register("news_report")
 def q_news_report(spark, sf_dir):
-    """Per day and group: AI-slot exposures, plausible watch sum and mean, plays in AI slots."""
-    logs = watch_fields(with_group(by_scene(logs_from_folders(spark, sf_dir), SCENE_NEWS)))
+    """Per day and group, release V2.1 on SC823 / SC818 only: AI-slot exposures,
+    plausible watch sum and mean, plays in AI slots."""
+    logs = by_release(by_scene(logs_from_folders(spark, sf_dir), SCENE_NEWS), "V2.1")
+    logs = watch_fields(with_group(logs))
     logs = logs.withColumn("event_id", F.col("aux").cast("bigint"))
     return news_report(logs, slot_match="any")

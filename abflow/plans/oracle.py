@@ -372,6 +372,11 @@ SELECT DISTINCT grp, dt, uid FROM gblog
 WHERE scene_id = 'S_NEWS' AND event_id % 2 = 0 AND user_id % 3 IN (0, 1)
 """)
 
+NEWS_RELEASE = NEWS.replace("news AS (SELECT * FROM gblog WHERE scene_id = 'S_NEWS')",
+                            "news AS (SELECT * FROM gblog WHERE scene_id = 'S_NEWS' "
+                            "AND event_id % 2 = 0 AND user_id % 3 IN (0, 1))")
+assert NEWS_RELEASE != NEWS
+
 ORACLE["news_report"] = with_blog("""
 SELECT coalesce(ex.dt, w.dt) AS date,
   CAST(coalesce(ex.a_expose, 0) AS BIGINT) AS a_expose,
@@ -387,7 +392,7 @@ FROM ex FULL JOIN (
     max(CASE WHEN grp = 'B' THEN watch_sum END) AS b_watch_sum, max(CASE WHEN grp = 'B' THEN watch_mean END) AS b_watch_mean,
     max(CASE WHEN grp = 'B' THEN plays END) AS b_plays
   FROM ws GROUP BY dt) w ON ex.dt = w.dt
-""", NEWS + ",\n" + """ex AS (
+""", NEWS_RELEASE + ",\n" + """ex AS (
   SELECT d.dt,
     (SELECT count(*) FROM pairs p WHERE p.dt = d.dt AND p.grp = 'A' AND p.action_type = '1' AND p.rec_typei = '2') AS a_expose,
     (SELECT count(*) FROM pairs p WHERE p.dt = d.dt AND p.grp = 'B' AND p.action_type = '1'
