@@ -10,7 +10,7 @@ broadcasts when the measured set is small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -18,6 +18,17 @@ from ..functions.fields import split_java
 from .filters import action_cond, in_slots
 
 
+def in_slots_since(df: DataFrame, first: DataFrame, match: str = "whole", row_key: str = "event_id") -> DataFrame:
+    """Rows whose slot was an AI slot on their day or before: an equi-join on
+    the slot with ``first_dt <= dt`` (no cross product)."""
+    f = first.select(F.col("rec_posi").alias("_pos"), F.col("first_dt").alias("_first"))
+    if match == "whole":
+        return df.join(f, (df["rec_pos"] == f["_pos"]) & (f["_first"] <= df["dt"]), "left_semi")
+    ex = df.select("*", F.explode(split_java("rec_pos", ";")).alias("_p"))
+    hit = ex.join(f, (ex["_p"] == f["_pos"]) & (f["_first"] <= ex["dt"]), "left_semi")
+    return hit.dropDuplicates([row_key]).drop("_p")
+
+
 def explode_slots(df: DataFrame) -> DataFrame:
     """Pair slot i with type i (the type list drives); one row per pair.
 
@@ -57,13 +68,17 @@ def sort_slots(df: DataFrame, col: str = "rec_posi", by=("dt",)) -> DataFrame:
     return df.orderBy(*by, F.col(col).try_cast("int").asc_nulls_last(), col)
 
 
-def slot_exposures(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, match: str = "equals") -> DataFrame:
+def slot_exposures(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, match: str = "equals",
+                   cumulative: bool = False) -> DataFrame:
     """Per day: ``a_expose`` = (row, slot) pairs of A exposures with the AI
     type; ``b_expose`` = (row, slot) pairs of B exposures whose slot is in
     that day's A set (any type).
 
     One exploded scan, one aggregate on (dt, slot) with partial counts
     (a hot slot collapses map-side), then a per-day sum: no join.
+    ``cumulative=True``: the AI set of day D holds every slot seen as an AI
+    slot on D or before, and both counts are running totals over days
+    (the analysed job never reset its lists between days).
     """
     e = _exposures(df, match)
     z = F.arrays_zip(split_java("rec_pos", ";").alias("p"), split_java("rec_type", ";").alias("t"))
@@ -73,23 +88,46 @@ def slot_exposures(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, match: str = "e
     per_slot = ex.groupBy("dt", "pos").agg(
         F.count_if((F.col("grp") == "A") & (F.col("typ") == ai_type)).alias("a_n"),
         F.count_if(F.col("grp") == "B").alias("b_n"))
-    return per_slot.groupBy("dt").agg(
+    if cumulative:
+        # first day each slot was an AI slot: a window over (day, slot)-sized rows
+        first = F.min(F.when(F.col("a_n") > 0, F.col("dt"))).over(Window.partitionBy("pos"))
+        in_set = F.col("_first") <= F.col("dt")
+        per_slot = per_slot.withColumn("_first", first)
+    else:
+        in_set = F.col("a_n") > 0
+    daily = per_slot.groupBy("dt").agg(
         F.sum("a_n").cast("bigint").alias("a_expose"),
-        F.sum(F.when(F.col("a_n") > 0, F.col("b_n")).otherwise(0)).cast("bigint").alias("b_expose"))
+        F.sum(F.when(in_set, F.col("b_n")).otherwise(0)).cast("bigint").alias("b_expose"))
+    if not cumulative:
+        return daily
+    # running totals over per-day rows (one row per day)
+    run = Window.orderBy("dt").rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select("dt", F.sum("a_expose").over(run).cast("bigint").alias("a_expose"),
+                        F.sum("b_expose").over(run).cast("bigint").alias("b_expose"))
+
+
+def cumulative_ai_slots(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, match: str = "equals") -> DataFrame:
+    """(rec_posi, first_dt): the day each slot first appeared as an AI slot of
+    group A; the cumulative set of day D is the slots with first_dt <= D."""
+    return ai_slots(df, ai_type, match, ordered=False).groupBy("rec_posi").agg(F.min("dt").alias("first_dt"))
 
 
 def watch_stats(df: DataFrame, factor: int = S.WATCH_FACTOR, ai_type: str = S.AI_SLOT_TYPE,
                 slot_match: str = "whole", match: str = "equals",
-                row_key: str = "event_id") -> DataFrame:
+                row_key: str = "event_id", cumulative: bool = False) -> DataFrame:
     """Per group and day, over plays in that day's AI slots of group A:
 
     ``plays`` rows, ``players`` distinct uids (before the outlier filter),
     ``watch_sum`` over plays with ``watch <= factor * duration``, and
     ``watch_mean`` = watch_sum div players (integer; null with no player).
+    ``cumulative=True`` uses the set of slots seen as AI slots up to the day.
     """
-    slots = ai_slots(df, ai_type, match, ordered=False)
     p = df.filter(action_cond(S.ACTION_PLAY, match))
-    hit = in_slots(p, slots, slot_match, keys=("dt",), row_key=row_key)
+    if cumulative:
+        hit = in_slots_since(p, cumulative_ai_slots(df, ai_type, match), slot_match, row_key)
+    else:
+        hit = in_slots(p, ai_slots(df, ai_type, match, ordered=False), slot_match, keys=("dt",),
+                       row_key=row_key)
     ok = F.col("watch_s") <= F.col("dur_s") * factor
     agg = hit.groupBy("grp", "dt").agg(
         F.count(F.lit(1)).alias("plays"),

@@ -163,6 +163,18 @@ def q_slot_exposure_ab(spark, sf_dir):
     return SL.slot_exposures(news(spark, sf_dir))
 
 
+@register("slot_exposure_cumulative")
+def q_slot_exposure_cumulative(spark, sf_dir):
+    """Slot exposures with the AI set and counts accumulated over days."""
+    return SL.slot_exposures(news(spark, sf_dir), cumulative=True)
+
+
+@register("watch_stats_cumulative")
+def q_watch_stats_cumulative(spark, sf_dir):
+    """Watch stats of plays in slots seen as AI slots on their day or before."""
+    return SL.watch_stats(news(spark, sf_dir), slot_match="any", cumulative=True)
+
+
 @register("watch_stats_ab")
 def q_watch_stats_ab(spark, sf_dir):
     """Plays in the day's AI slots (a play row lists two slots here, so any

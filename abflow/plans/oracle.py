@@ -406,3 +406,25 @@ ws AS (
     SELECT 1 FROM aiset s WHERE s.dt = p.dt AND list_contains(string_split(p.rec_pos, ';'), s.rec_posi))
   GROUP BY grp, dt)
 """)
+
+
+# cumulative slot set: slots seen as AI slots of group A on the day or before
+_FIRST = "firsts AS (SELECT rec_posi, min(dt) AS first_dt FROM aiset GROUP BY rec_posi)"
+
+ORACLE["slot_exposure_cumulative"] = with_blog("""
+SELECT d.dt,
+  CAST((SELECT count(*) FROM pairs p WHERE p.dt <= d.dt AND p.grp = 'A' AND p.action_type = '1' AND p.rec_typei = '2') AS BIGINT) AS a_expose,
+  CAST((SELECT count(*) FROM pairs p WHERE p.dt <= d.dt AND p.grp = 'B' AND p.action_type = '1'
+        AND EXISTS (SELECT 1 FROM firsts f WHERE f.rec_posi = p.rec_posi AND f.first_dt <= p.dt)) AS BIGINT) AS b_expose
+FROM (SELECT DISTINCT dt FROM news WHERE action_type = '1') d
+""", NEWS + ",\n" + _FIRST)
+
+ORACLE["watch_stats_cumulative"] = with_blog("""
+SELECT grp, dt, count(*) AS plays, count(DISTINCT uid) AS players,
+       CAST(coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) AS BIGINT) AS watch_sum,
+       CAST(coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) // count(DISTINCT uid) AS BIGINT) AS watch_mean
+FROM news p
+WHERE action_type = '3' AND EXISTS (
+  SELECT 1 FROM firsts f WHERE f.first_dt <= p.dt AND list_contains(string_split(p.rec_pos, ';'), f.rec_posi))
+GROUP BY grp, dt
+""", NEWS + ",\n" + _FIRST)

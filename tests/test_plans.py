@@ -16,9 +16,10 @@ def plan(df):
 
 
 @pytest.mark.parametrize("name", [n for n in E.queries() if n not in SKIP_BUILD])
-def test_no_python_udf(spark, sf, name):
+def test_no_python_udf_no_nested_loop(spark, sf, name):
     p = plan(E.queries()[name](spark, sf))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
+                "NestedLoopJoin", "CartesianProduct"):
         assert bad not in p
 
 
