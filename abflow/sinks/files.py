@@ -57,13 +57,22 @@ def tsv_line(fields: list[str], missing: str = "null") -> Column:
                                        for f in fields]), F.lit("\t"))
 
 
-def export_tsv(df: DataFrame, fields: list[str], path: str, date: str,
-               single_file: bool = False) -> str:
-    """Write the snapshot as TSV lines under ``<path>/<date>``.
+def yesterday(tz: str = "Asia/Shanghai") -> str:
+    """Yesterday's ``yyyyMMdd`` in ``tz`` (driver clock; a folder name only)."""
+    from datetime import datetime, timedelta
+    from zoneinfo import ZoneInfo
+    return (datetime.now(ZoneInfo(tz)) - timedelta(days=1)).strftime("%Y%m%d")
+
+
+def export_tsv(df: DataFrame, fields: list[str], path: str, date: str | None = None,
+               single_file: bool = False, tz: str = "Asia/Shanghai") -> str:
+    """Write the snapshot as TSV lines under ``<path>/<date>`` (default:
+    yesterday in ``tz``).
 
     ``single_file`` coalesces to one output file (one task writes all; use
     only when a single file is required downstream).
     """
+    date = date or yesterday(tz)
     have = set(df.columns)
     cols = [F.col(f) if f in have else F.lit(None).cast("string").alias(f) for f in fields]
     out = df.select(*cols).select(tsv_line(fields).alias("value"))

@@ -32,6 +32,13 @@ def test_export_tsv(spark, tmp_path):
     assert snap.columns == ["value", "absent"]
 
 
+def test_export_default_folder_is_yesterday(spark, tmp_path):
+    from abflow.sinks.files import yesterday
+    df = spark.createDataFrame([("k1",)], "id string")
+    target = export_tsv(df, ["id"], str(tmp_path))
+    assert target.endswith("/" + yesterday()) and len(yesterday()) == 8
+
+
 def test_ledger_round_trip(spark):
     df = spark.createDataFrame([("t1", 0, 5), ("t1", 0, 9), ("t1", 1, 3), ("t2", 0, 0)],
                                "topic string, partition int, offset long")
