@@ -71,3 +71,12 @@ def test_slot_membership_whole_vs_any(spark):
     anym = sorted(r.event_id for r in in_slots(plays, slots, "any").collect())
     assert whole == [1, 3]          # "3;6" is not a slot as a whole
     assert anym == [1, 2, 3]        # kept once although two slots match
+
+
+def test_explode_pairs_type_list_drives(spark):
+    from abflow.operators.slots import explode_slot_list, explode_slots
+    df = spark.createDataFrame([("1;2", "2;1;2"), ("5;6;7", "2"), ("1;2;", "2;2")], "rec_pos string, rec_type string")
+    pairs = sorted((r.rec_posi, r.rec_typei) for r in explode_slots(df).collect())
+    # row 1: third type has no slot -> dropped; row 2: only the first slot has a type; row 3: trailing ';' ignored
+    assert pairs == [("1", "2"), ("1", "2"), ("2", "1"), ("2", "2"), ("5", "2")]
+    assert explode_slot_list(df).count() == 2 + 3 + 2
