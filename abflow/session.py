@@ -23,6 +23,24 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for the ~100 TB target (about 1000 executors). Shuffles start
+# with many partitions and AQE coalesces them to ~256 MB each; inputs are
+# split at 256 MB; a shuffle partition more than 5x the median and over
+# 512 MB is split (skew join / rebalance). Nothing here is needed for
+# correctness; every plan also runs with Spark's defaults.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "abflow", extra: dict | None = None) -> SparkSession:
     """Local session used by tests and bench (the cluster passes its own)."""
