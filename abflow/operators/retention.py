@@ -56,6 +56,20 @@ def _prepared(members: DataFrame, start: str) -> DataFrame:
     return m
 
 
+def _prune(members: DataFrame, start: str, d1: str | None, d2: str | None, n: int) -> DataFrame:
+    """Keep only member days that can matter for end days [d1, d2]: up to d2,
+    and from min(start, d1 - 2n + 1). An earlier row lies before every
+    window and before ``start``, so it changes no count; on a table
+    partitioned by dt these are partition filters."""
+    if d2:
+        members = members.filter(F.col("dt") <= d2)
+    if d1:
+        from datetime import date, timedelta
+        lo = (date(int(d1[:4]), int(d1[4:6]), int(d1[6:])) - timedelta(days=2 * n - 1)).strftime("%Y%m%d")
+        members = members.filter(F.col("dt") >= min(start, lo))
+    return members
+
+
 def retention(members: DataFrame, n, start: str, d1: str | None = None,
               d2: str | None = None) -> DataFrame:
     """n-day retention for every end day D of [d1, d2] (default: each
@@ -66,7 +80,7 @@ def retention(members: DataFrame, n, start: str, d1: str | None = None,
     user_active_{n}, user_active_{n}_stay (bigint).
     """
     ns = [n] if isinstance(n, int) else list(n)
-    m = _prepared(members, start)
+    m = _prepared(_prune(members, start, d1, d2, max(ns)), start)
     d, prev, f = F.col("d"), F.col("prev"), F.col("f")
 
     def ev(cid, day, v, ok=F.lit(True)):

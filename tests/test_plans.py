@@ -1,6 +1,7 @@
 """Plan checks: no Python in any registered plan, pruning reaches the scan,
 partition filters on the membership table, one shuffle per retention pass."""
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from abflow.operators import retention as R
@@ -56,3 +57,18 @@ def test_retention_single_pass(spark, sf):
 def test_distinct_counts_do_not_expand_rows(spark, sf, name):
     """One distinct expression per aggregate: no Expand multiplying the log rows."""
     assert "Expand" not in plan(E.queries()[name](spark, sf))
+
+
+def test_retention_prunes_member_partitions(spark, sf, tmp_path):
+    """End days [d1, d2] read only member partitions in [min(start, d1-2n+1), d2], same counts."""
+    path = str(tmp_path / "members")
+    write_members(rel_members(spark, sf), path)
+    m = spark.read.parquet(path).withColumn("dt", F.col("dt").cast("string"))
+    r = R.retention(m, 7, "20240110", "20240125", "20240127")
+    txt = plan(r)
+    pf = txt[txt.index("PartitionFilters"):].split("]")[0]
+    assert ">= 20240110" in pf and "<= 20240127" in pf      # min(start, d1 - 13) .. d2
+    full = {(x.grp, x.dt): tuple(x) for x in R.retention(m, 7, "20240110").collect()}
+    part = {(x.grp, x.dt): tuple(x) for x in r.collect()}
+    assert sorted(part) == sorted(k for k in full if "20240125" <= k[1] <= "20240127")
+    assert all(part[k] == full[k] for k in part)
