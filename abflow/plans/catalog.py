@@ -261,7 +261,7 @@ def q_date_spine(spark, sf_dir):
 def q_time_funcs(spark, sf_dir):
     """Epoch -> day / hour and compact time -> epoch ms / s, Asia/Shanghai;
     error events carry the text 'null' (-> 未知)."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = spread(read_table(spark, sf_dir, "events"))
     secs = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
     b = ev.select("event_id", "ts", "event_type", secs.alias("action_sec"))
     sec = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("action_sec").cast("string"))
