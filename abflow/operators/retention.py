@@ -38,7 +38,7 @@ def _lit_day(day: str) -> Column:
     return day_number(F.lit(day))
 
 
-def _prepared(members: DataFrame, start: str) -> DataFrame:
+def _prepared(members: DataFrame, start: str, first_seen: DataFrame | None = None) -> DataFrame:
     """(grp, uid, day number) with ``prev`` (previous active day) and ``f``
     (first active day >= start): one shuffle on (grp, uid) and a window sort."""
     # distinct first: repeats collapse map-side (a no-op the optimizer removes
@@ -51,9 +51,13 @@ def _prepared(members: DataFrame, start: str) -> DataFrame:
     w = Window.partitionBy("grp", "uid").orderBy("d")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = _lit_day(start)
-    m = (m.withColumn("prev", F.lag("d").over(w))
-         .withColumn("f", F.min(F.when(F.col("d") >= s, F.col("d"))).over(whole)))
-    return m
+    m = m.withColumn("prev", F.lag("d").over(w))
+    if first_seen is None:
+        return m.withColumn("f", F.min(F.when(F.col("d") >= s, F.col("d"))).over(whole))
+    # history from the compact first-seen table: joined on (grp, uid), the
+    # key the window already clusters by
+    fs = first_seen.select("grp", "uid", day_number("first_dt").alias("f"))
+    return m.join(fs, ["grp", "uid"], "left")
 
 
 def _prune(members: DataFrame, start: str, d1: str | None, d2: str | None, n: int) -> DataFrame:
@@ -71,16 +75,24 @@ def _prune(members: DataFrame, start: str, d1: str | None, d2: str | None, n: in
 
 
 def retention(members: DataFrame, n, start: str, d1: str | None = None,
-              d2: str | None = None) -> DataFrame:
+              d2: str | None = None, first_seen: DataFrame | None = None) -> DataFrame:
     """n-day retention for every end day D of [d1, d2] (default: each
     group's first to last member day). ``n`` may be a tuple (e.g. (7, 30)):
     all lengths come out of the same single pass.
 
     Output: grp, dt (= D), and per n: user_new_{n}, user_new_{n}_stay,
     user_active_{n}, user_active_{n}_stay (bigint).
+
+    ``first_seen`` (grp, uid, first_dt since ``start``, see :func:`first_seen`)
+    replaces the history scan: with it and d1 given, only member days in
+    [d1-2n+1, d2] are read, whatever the length of the history.
     """
     ns = [n] if isinstance(n, int) else list(n)
-    m = _prepared(_prune(members, start, d1, d2, max(ns)), start)
+    if first_seen is not None and d1:
+        pruned = _prune(members, "99991231", d1, d2, max(ns))   # no need to keep days from start
+    else:
+        pruned = _prune(members, start, d1, d2, max(ns))
+    m = _prepared(pruned, start, first_seen)
     d, prev, f = F.col("d"), F.col("prev"), F.col("f")
 
     def ev(cid, day, v, ok=F.lit(True)):
@@ -132,27 +144,51 @@ def retention(members: DataFrame, n, start: str, d1: str | None = None,
     return keep.select(*out)
 
 
+def first_seen(members: DataFrame, start: str) -> DataFrame:
+    """(grp, uid, first_dt): each user's first member day since ``start``; one
+    row per user and group, reduced map-side."""
+    return (members.filter(F.col("dt") >= start).groupBy("grp", "uid")
+            .agg(F.min("dt").alias("first_dt")))
+
+
+def advance_first_seen(current: DataFrame, new_members: DataFrame, start: str) -> DataFrame:
+    """Daily upkeep of the first-seen table: keep the earlier first day per user."""
+    new = first_seen(new_members, start)
+    return (current.select("grp", "uid", "first_dt").unionByName(new)
+            .groupBy("grp", "uid").agg(F.min("first_dt").alias("first_dt")))
+
+
 def retention_rate(ret: DataFrame, n: int) -> DataFrame:
     """Share of the previous window's new users active again in the current one."""
     return ret.withColumn(f"stay_rate_{n}",
                           F.try_divide(F.col(f"user_new_{n}_stay"), F.col(f"user_new_{n}")))
 
 
-def user_stats_daily(members: DataFrame, start: str, end: str | None = None) -> DataFrame:
+def user_stats_daily(members: DataFrame, start: str, end: str | None = None,
+                     first_seen: DataFrame | None = None, begin: str | None = None) -> DataFrame:
     """Per group and day D >= start: ``user_new`` (today's member rows whose
     uid had no day in [start, D-1]; repeats of a row count, as a
     subtract does), ``user_remain`` (distinct uids of today also seen in
     [start, D-1]) and ``user_active`` (today's member rows).
+
+    With ``first_seen`` (see :func:`first_seen`) only days [begin, end] are
+    read and the history comes from the table.
     """
-    m = members.select("grp", "uid", "dt").filter(F.col("dt") >= start)
+    m = members.select("grp", "uid", "dt").filter(F.col("dt") >= (begin if first_seen is not None and begin
+                                                                  else start))
     if end is not None:
         m = m.filter(F.col("dt") <= end)
     # repeats of a (grp, uid, day) row collapse map-side before any shuffle,
     # so a uid with very many rows never lands whole in one task; the window
     # then sees at most one row per user and day
     m = m.groupBy("grp", "uid", "dt").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("grp", "uid").orderBy("dt")
-    m = m.withColumn("seen", F.lag("dt").over(w).isNotNull())
+    if first_seen is None:
+        w = Window.partitionBy("grp", "uid").orderBy("dt")
+        m = m.withColumn("seen", F.lag("dt").over(w).isNotNull())
+    else:
+        fs = first_seen.select("grp", "uid", "first_dt")
+        m = (m.join(fs, ["grp", "uid"], "left")
+             .withColumn("seen", F.coalesce(F.col("first_dt") < F.col("dt"), F.lit(False))))
     return m.groupBy("grp", "dt").agg(
         F.sum(F.when(~F.col("seen"), F.col("c")).otherwise(0)).cast("bigint").alias("user_new"),
         F.count_if(F.col("seen")).cast("bigint").alias("user_remain"),

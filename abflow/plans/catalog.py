@@ -133,6 +133,14 @@ def q_retention_rate(spark, sf_dir):
     return R.retention_rate(R.retention(rel_members(spark, sf_dir), 7, START), 7)
 
 
+@register("retention_incremental")
+def q_retention_incremental(spark, sf_dir):
+    """7-day retention for the last three end days from a first-seen table:
+    reads only member days [D-13, D] plus one row per user."""
+    m = rel_members(spark, sf_dir)
+    return R.retention(m, 7, START, "20240128", "20240130", first_seen=R.first_seen(m, START))
+
+
 @register("cumulative_users")
 def q_cumulative_users(spark, sf_dir):
     return R.cumulative_users(rel_members(spark, sf_dir), START)

@@ -127,6 +127,8 @@ FROM days LEFT JOIN agg ON agg.grp = days.grp AND agg.D = days.D
 ORACLE["retention_7"] = _retention_sql(7)
 ORACLE["retention_30"] = _retention_sql(30)
 ORACLE["retention_rate"] = _retention_sql(7, rate=True)
+ORACLE["retention_incremental"] = (f"SELECT * FROM ({_retention_sql(7)}) "
+                                   "WHERE dt BETWEEN '20240128' AND '20240130'")
 
 ORACLE["cumulative_users"] = with_blog("""
 SELECT t.grp, t.dt,
