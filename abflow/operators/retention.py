@@ -3,16 +3,19 @@ every day of a range in one plan.
 
 The analysed jobs ran, per end date and group, separate scans of the
 membership table followed by RDD ``subtract`` / ``intersection`` (about
-a dozen shuffles per date). Here the membership rows are shuffled ONCE
-by (grp, uid); a window gives each row its previous active day and the
-user's first day since ``start``. Every n-day retention measure is a
-count of users active in a day window, and a user is counted for end
-day D by exactly one of its rows (its first row inside the window), so
-each row adds +1 to a contiguous range of D. Ranges become two delta
-events, deltas are summed per (grp, day) with map-side partial
-aggregation, and a running sum over days (a few hundred rows per group)
-yields the counts for all D at once. Work is O(rows) whatever n is; no
-per-date loop, no row explosion by window length, no join.
+a dozen shuffles per date). Here membership rows are made distinct
+(repeats collapse map-side) and shuffled once by (grp, uid); a window
+gives each row its previous active day and the user's first day since
+``start``. Every n-day retention measure is a count of users active in
+a day window, and a user is counted for end day D by exactly one of its
+rows (its first row inside the window), so each row adds +1 to a
+contiguous range of D. Ranges become two delta events, deltas are summed
+per (grp, day) with map-side partial aggregation, and a running sum
+over days (a few hundred rows per group) yields the counts for all D at
+once. Work is O(rows) whatever n is; no per-date loop, no row explosion
+by window length, no join. Explicit end days prune the member days
+read; a first-seen table (one row per user) replaces the history scan
+for daily incremental runs.
 
 Windows for end day D and length n (inclusive, in days):
     current  C = [D-n+1, D]      previous P = [D-2n+1, D-n]
