@@ -16,7 +16,7 @@ from ..operators import retention as R
 from ..operators import slots as SL
 from ..operators.filters import by_release, by_scene
 from ..operators.flatten import flatten_json, project_event
-from ..operators.funnel import funnel_daily, funnel_report, province_report
+from ..operators.funnel import funnel_daily, funnel_report, players, plays, province_report
 from ..operators.groups import members_daily, with_group
 from ..operators.keyed import join_distinct, offset_ledger, upsert_by_key
 from ..plans.reports import daily_report, news_report, retention_report
@@ -31,8 +31,10 @@ from ..sources.tables import members as member_range
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# scenes and history start of the test fixture (FIXTURES.md §3)
 SCENE_REL = "S_REL"
 SCENE_NEWS = "S_NEWS"
+START = "20240101"
 
 
 def register(name: str):
@@ -53,11 +55,6 @@ def q_funnel_daily_ab(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- filters, groups
-
-
-START = "20240101"
-
-
 @register("scene_filter")
 def q_scene_filter(spark, sf_dir):
     """Rows of one scene per day and action code."""
@@ -94,14 +91,12 @@ def q_member_range(spark, sf_dir):
 @register("players_ab")
 def q_players_ab(spark, sf_dir):
     """Distinct players (action 3) per group and day."""
-    from ..operators.funnel import players
     return players(by_scene(gblog(spark, sf_dir), SCENE_REL))
 
 
 @register("play_contains")
 def q_play_contains(spark, sf_dir):
     """Play rows by substring match on the action code, per group and day."""
-    from ..operators.funnel import plays
     return plays(by_scene(gblog(spark, sf_dir), SCENE_REL), match="contains")
 
 
