@@ -34,10 +34,11 @@ def logs(spark: SparkSession, path: str, start: str, end: str, tz: str = S.DEFAU
     return with_group(with_event_day(read_behavior_log(spark, path, start, end, folder_prefix), tz))
 
 
-def news_members_job(spark, path, start, end, out, version, tz=S.DEFAULT_TZ, folder_prefix=""):
+def news_members_job(spark, path, start, end, out, version, tz=S.DEFAULT_TZ, folder_prefix="",
+                     scene=S.SCENE_NEWS):
     """News uid split: release + scene filter, distinct uids, groups qianA / qianB."""
     lg = with_event_day(read_behavior_log(spark, path, start, end, folder_prefix), tz)
-    write_members(members_daily(lg, S.SCENE_NEWS, version=version, a="qianA", b="qianB"), out)
+    write_members(members_daily(lg, scene, version=version, a="qianA", b="qianB"), out)
 
 
 def rel_members_job(spark, path, start, end, out, scene=S.SCENE_RELATED, tz=S.DEFAULT_TZ, folder_prefix=""):
@@ -47,11 +48,11 @@ def rel_members_job(spark, path, start, end, out, scene=S.SCENE_RELATED, tz=S.DE
 
 
 def news_metrics_job(spark, path, start, end, out, version, fmt="parquet", tz=S.DEFAULT_TZ,
-                     folder_prefix="", **options):
+                     folder_prefix="", scene=S.SCENE_NEWS, slot_match="whole", **options):
     """News metrics per day: AI-slot exposures, watch sum / mean, plays."""
-    lg = by_release(by_scene(logs(spark, path, start, end, tz, folder_prefix), S.SCENE_NEWS), version)
-    lg = watch_fields(lg)
-    write_report(news_report(lg), fmt, out, **options)
+    lg = by_release(by_scene(logs(spark, path, start, end, tz, folder_prefix), scene), version)
+    lg = watch_fields(lg).withColumn("event_id", F.col("aux"))   # field 1 keys rows for slot_match="any"
+    write_report(news_report(lg, slot_match=slot_match), fmt, out, **options)
 
 
 def rel_metrics_job(spark, path, start, end, members_path, out, history_start=S.HISTORY_START,

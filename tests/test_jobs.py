@@ -26,6 +26,29 @@ def test_member_and_report_jobs(spark, sf, tmp_path):
     assert _rows(spark.read.parquet(ret).select(*want.columns)) == _rows(want)
 
 
+def test_news_and_metrics_jobs(spark, sf, tmp_path):
+    from abflow.plans.catalog import (q_funnel_report_a, q_funnel_report_b, q_news_members, q_news_report,
+                                      q_players_ab)
+    logs = str(tmp_path / "logs")
+    log_lines(spark, sf).write.partitionBy("dt").text(logs)
+    kw = dict(tz="UTC", folder_prefix="dt=")
+    nm, nr, rm, mem = (str(tmp_path / x) for x in ("news_members", "news_report", "rel_metrics", "members"))
+    jobs.news_members_job(spark, logs, "20240101", "20240130", nm, "V2.1", scene="S_NEWS", **kw)
+    got = spark.read.parquet(nm).select(F.substring("grp", -1, 1).alias("grp"), F.col("dt").cast("string"), "uid")
+    assert _rows(got) == _rows(q_news_members(spark, sf).select("grp", "dt", "uid"))
+    jobs.news_metrics_job(spark, logs, "20240101", "20240130", nr, "V2.1", scene="S_NEWS", slot_match="any", **kw)
+    want = q_news_report(spark, sf)
+    assert _rows(spark.read.parquet(nr).select(*want.columns)) == _rows(want)
+    jobs.rel_members_job(spark, logs, "20240101", "20240130", mem, scene="S_REL", **kw)
+    jobs.rel_metrics_job(spark, logs, "20240101", "20240130", mem, rm, history_start="20240101", scene="S_REL", **kw)
+    for g, q in (("a", q_funnel_report_a), ("b", q_funnel_report_b)):
+        w = q(spark, sf)
+        assert _rows(spark.read.parquet(f"{rm}/funnel_{g}").select(*w.columns)) == _rows(w)
+    w = q_players_ab(spark, sf)
+    assert _rows(spark.read.parquet(f"{rm}/players").select(*w.columns)) == _rows(w)
+    assert spark.read.parquet(f"{rm}/retention").count() == 30
+
+
 def test_items_job_two_loads(spark, sf, tmp_path):
     it = item_lines(spark, sf)
     first, second = str(tmp_path / "d1"), str(tmp_path / "d2")
