@@ -55,3 +55,10 @@ def test_project_defaults(spark):
     df2 = spark.createDataFrame([('{"eventId":"8"}',)], "value string")
     hour = project_event(flatten_json(df2)).collect()[0].curr_time
     assert len(hour) == 10 and hour.isdigit()  # arrival hour
+
+
+def test_duplicate_keys_never_fail_the_job(spark):
+    got = _flat(spark, ['{"a":1,"a":2}', '{"o":{"k":1,"k":2}}', '{"b":3}'])
+    assert got[0] == {"a": "1"}      # repeated top-level key: the first one, deterministically
+    assert got[1] is None            # repeated key in a nested object: a reject, not a failed batch
+    assert got[2] == {"b": "3"}
