@@ -38,7 +38,13 @@ def read_log_text(spark: SparkSession, path: str, start: str | None = None,
     Day folders are ``<path>/<prefix><yyyyMMdd>/``; ``folder_prefix='dt='``
     reads folders written by ``partitionBy('dt')``.
     """
-    df = spark.read.text(day_glob(path, start, end, folder_prefix))
+    from pyspark.errors import AnalysisException
+    try:
+        df = spark.read.text(day_glob(path, start, end, folder_prefix))
+    except AnalysisException as e:   # no day folder in the range: no rows, not a failure
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], "value string, dt string")
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/]*?([0-9]{8})/[^/]*$", 1)
     return df.select("value", folder.alias("dt"))
 

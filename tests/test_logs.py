@@ -80,3 +80,9 @@ def test_explode_pairs_type_list_drives(spark):
     # row 1: third type has no slot -> dropped; row 2: only the first slot has a type; row 3: trailing ';' ignored
     assert pairs == [("1", "2"), ("1", "2"), ("2", "1"), ("2", "2"), ("5", "2")]
     assert explode_slot_list(df).count() == 2 + 3 + 2
+
+
+def test_range_without_folders_gives_no_rows(spark, tmp_path):
+    _write_days(tmp_path, {"20240101": [GOOD]})
+    assert read_behavior_log(spark, str(tmp_path), "20240201", "20240203").count() == 0
+    assert read_behavior_log(spark, str(tmp_path), "20231231", "20240102").count() == 1
