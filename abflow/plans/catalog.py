@@ -377,6 +377,11 @@ def q_event_project(spark, sf_dir):
     return project_event(flatten_json(spread(raw_events_json(spark, sf_dir))))
 
 
+# messages arrive in two drops; each drop's messages carry its arrival hour
+DROP_SPLIT = "2024-01-16"
+ARRIVAL = {"first": "2024011600", "second": "2024013100"}
+
+
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
     """Messages arrive in two drops; the stream runs after each (and once
@@ -385,10 +390,10 @@ def q_stream_ingest(spark, sf_dir):
     from ..streaming.ingest import read_ingested, read_text_stream, start_ingest
     base = scratch_path(spark, "stream_ingest")
     src, out, ck = f"{base}/in", f"{base}/events", f"{base}/ck"
-    raw = spread(raw_events_json(spark, sf_dir).join(
-        read_table(spark, sf_dir, "events").select("event_id", "ts"), "event_id"))
-    drops = [raw.filter(F.col("ts") < "2024-01-16"), raw.filter(F.col("ts") >= "2024-01-16")]
-    for i, part in enumerate(drops + [None]):
+    arrival = F.when(F.col("ts") < DROP_SPLIT, ARRIVAL["first"]).otherwise(ARRIVAL["second"])
+    raw = spread(raw_events_json(spark, sf_dir, curr_time=arrival))
+    drops = [raw.filter(F.col("ts") < DROP_SPLIT), raw.filter(F.col("ts") >= DROP_SPLIT)]
+    for part in drops + [None]:
         if part is not None:
             part.select("value").write.mode("append").text(src)
         q = start_ingest(read_text_stream(spark, src), out, ck, trigger={"availableNow": True},

@@ -348,7 +348,10 @@ FROM events
 """
 
 ORACLE["json_flatten"] = _JSON_PROJ
-ORACLE["stream_ingest"] = _JSON_PROJ
+ORACLE["stream_ingest"] = _JSON_PROJ.replace(
+    "strftime(ts, '%Y%m%d%H') AS curr_time",
+    "CASE WHEN ts < TIMESTAMP '2024-01-16' THEN '2024011600' ELSE '2024013100' END AS curr_time")
+assert ORACLE["stream_ingest"] != _JSON_PROJ
 
 
 def _event_project_sql() -> str:

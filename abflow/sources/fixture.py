@@ -98,9 +98,14 @@ def item_lines(spark: SparkSession, sf_dir: str, with_rejects: bool = False) ->
     return ev.select(line.alias("value"), F.col("ts").alias("_ts"))
 
 
-def raw_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested JSON messages (``value``) built from ``events`` (FIXTURES.md §3b)."""
+def raw_events_json(spark: SparkSession, sf_dir: str, curr_time: Column | None = None) -> DataFrame:
+    """Nested JSON messages (``value``) built from ``events`` (FIXTURES.md §3b).
+
+    ``curr_time`` defaults to the event hour; a stream test passes the
+    arrival hour of the drop a message arrives in.
+    """
     ev = read_table(spark, sf_dir, "events")
+    hour = curr_time if curr_time is not None else F.date_format("ts", "yyyyMMddHH")
     msg = F.to_json(F.struct(
         F.col("event_id").cast("string").alias("eventId"),
         F.col("event_type").alias("bizType"),
@@ -111,6 +116,6 @@ def raw_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.struct((F.col("event_id") % 7).cast("string").alias("id"))).alias("lst"),
         F.array(F.lit(1), F.lit(2)).alias("ids"),
         F.lit('{"x":1}').alias("name"),
-        F.date_format("ts", "yyyyMMddHH").alias("curr_time"),
+        hour.alias("curr_time"),
     ))
-    return ev.select(F.col("event_id"), msg.alias("value"))
+    return ev.select(F.col("event_id"), F.col("ts"), msg.alias("value"))
