@@ -55,10 +55,10 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str |
                 tz: str = S.DEFAULT_TZ, ledger_path: str | None = None) -> None:
     """Idempotent write of one micro-batch; an empty batch writes nothing
     (its offsets still commit)."""
-    if batch.isEmpty():
-        return
     flat = batch.persist()
     try:
+        if flat.count() == 0:   # materialises the cache the writes below read
+            return
         events = (project_event(flat.filter(F.col("fields").isNotNull()), "fields", tz)
                   .withColumn("batch_id", F.lit(batch_id)))
         # rebalance (not repartition): AQE splits an hour holding the whole
