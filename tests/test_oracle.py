@@ -51,3 +51,17 @@ def test_independent_of_session_zone(spark, duck, name):
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert rows_key(sdf.columns, srows) == rows_key(dcols, cur.fetchall())
+
+
+@pytest.mark.parametrize("name", ["time_funcs", "log_parse", "ext_parse", "json_flatten"])
+def test_independent_of_ansi_mode(spark, duck, name):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        sdf = E.queries()[name](spark, SF)
+        srows = [tuple(r) for r in sdf.collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    cur = duck.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in cur.description]
+    assert rows_key(sdf.columns, srows) == rows_key(dcols, cur.fetchall())
