@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .common import SPACED, Words, column, cut, read_table, text_buffers, with_groups
+from .common import SPACED, Words, cut, read_table, text_buffers, with_groups
 
 N, PERCENT = 5, 80
 GROUP_BYTES = 8 << 20

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .decontam import op9
 from .ngram_join import op2
+from .suffix_dedup import op3
 
 QUERIES = {
     "op2_ngram_jaccard_join": op2,
+    "op3_suffix_array_dedup": op3,
     "op9_benchmark_decontamination": op9,
 }
 ORACLE: dict[str, str] = {}
