@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from .decontam import op9
 from .ngram_join import op2
+from .packing import op8
 from .suffix_dedup import op3
+from .token_store import op10
 
 QUERIES = {
     "op2_ngram_jaccard_join": op2,
     "op3_suffix_array_dedup": op3,
+    "op8_best_fit_packing": op8,
     "op9_benchmark_decontamination": op9,
+    "op10_token_store": op10,
 }
 ORACLE: dict[str, str] = {}
