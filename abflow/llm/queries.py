@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .compress_quality import op6
 from .decontam import op9
 from .ngram_join import op2
 from .packing import op8
@@ -11,6 +12,7 @@ from .token_store import op10
 QUERIES = {
     "op2_ngram_jaccard_join": op2,
     "op3_suffix_array_dedup": op3,
+    "op6_compression_quality": op6,
     "op8_best_fit_packing": op8,
     "op9_benchmark_decontamination": op9,
     "op10_token_store": op10,
