@@ -6,6 +6,8 @@ from .compress_quality import op6
 from .decontam import op9
 from .ngram_join import op2
 from .packing import op8
+from .risk_rules import ORACLE as RULES_SQL
+from .risk_rules import op7
 from .suffix_dedup import op3
 from .token_store import op10
 
@@ -13,8 +15,9 @@ QUERIES = {
     "op2_ngram_jaccard_join": op2,
     "op3_suffix_array_dedup": op3,
     "op6_compression_quality": op6,
+    "op7_risk_controlled_rules": op7,
     "op8_best_fit_packing": op8,
     "op9_benchmark_decontamination": op9,
     "op10_token_store": op10,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_risk_controlled_rules": RULES_SQL}
