@@ -12,8 +12,8 @@ functions and Spark's own forest only.
 
 Labelled findings are an argument (``label`` 1 secret, 0 not). The given tables
 have none, so the query labels those of its findings that a strict format or a
-strict counter-sign decides (``by_format``) and trains on a bounded sample of
-them: at most ``PER_CLASS`` of a class, by hash.
+strict counter-sign decides (``by_format``), adds ``examples`` of common kinds, and
+trains on a bounded sample: at most ``PER_CLASS`` of a class, by hash.
 
 Defined cases: null text has no candidate and stays null; repeated rows get
 the same answer each; a null ``doc_id`` is scanned like any other; with one class alone in the
@@ -96,6 +96,25 @@ def by_format(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(secret, 1).when(other, 0)).filter("label is not null")
 
 
+#: example lines of either kind over the hex digest ``h`` and letters and digits ``b`` of a number
+_EXAMPLES = {
+    1: ("concat('set token = \"', left(h, 40), '\" here')", "concat('with password=', left(h, 18), ' for')", "concat('use AKIA', upper(left(b, 16)), ' to')",
+        "concat('is gh', 'p_', left(b, 36), ' now')", "concat('api_key: ', left(b, 24))", "concat('client secret ', substr(b, 5, 20), ' kept')"),
+    0: ("concat('card ', left(d, 16), ' paid')", "concat('call ', left(d, 4), '-', substr(d, 5, 7), ' soon')", "concat('at http://host', left(d, 2), '.example.com/part/', left(d, 6))",
+        "concat('file report_', left(d, 4), '_version', substr(d, 5, 2), '.pdf in')", "concat('commit ', left(h, 40), ' merged')",
+        "concat('row ', left(h, 8), '-', substr(h, 9, 4), '-', substr(h, 13, 4), '-', substr(h, 17, 4), '-', substr(h, 21, 12))",
+        "concat('user', left(d, 5), 'name of')"),
+}
+
+
+def examples(spark, n: int = 150) -> DataFrame:
+    """Labelled findings of common kinds, so that a kind that a corpus lacks isn't unknown."""
+    d = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).select(
+        "h", F.regexp_replace(F.base64(F.unhex("h")), "[^A-Za-z0-9]", "").alias("b"), F.regexp_replace("h", "[a-f]", "").alias("d"))
+    texts = d.select(F.explode(F.array(*[F.struct(F.expr(e).alias("text"), F.lit(q).alias("doc_id")) for q, es in _EXAMPLES.items() for e in es])).alias("x")).select("x.*")
+    return findings(texts).withColumn("label", F.col("doc_id"))
+
+
 class Forest:
     """Trees as nested (feature, threshold, left, right) or a class; none: a fixed vote."""
 
@@ -171,8 +190,8 @@ def redact(docs: DataFrame, forest: Forest) -> DataFrame:
 
 
 def forest_of(docs: DataFrame) -> Forest:
-    """Trained on the documents' own findings that a format decides."""
-    return train(by_format(findings(docs)))
+    """Trained on the documents' own findings that a format decides, and on the examples."""
+    return train(by_format(findings(docs)).drop("doc_id").unionByName(examples(docs.sparkSession).drop("doc_id")))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
