@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from .compress_quality import op6
 from .decontam import op9
+from .license_scan import op5
 from .ngram_join import op2
 from .packing import op8
 from .risk_rules import ORACLE as RULES_SQL
 from .risk_rules import op7
 from .secret_scan import op4
 from .suffix_dedup import op3
+from .token_counts import op1
 from .token_store import op10
 
 QUERIES = {
+    "op1_trie_token_counts": op1,
     "op2_ngram_jaccard_join": op2,
     "op3_suffix_array_dedup": op3,
     "op4_secret_scan": op4,
+    "op5_license_scan": op5,
     "op6_compression_quality": op6,
     "op7_risk_controlled_rules": op7,
     "op8_best_fit_packing": op8,
