@@ -29,6 +29,7 @@ from .common import cut, read_table
 from .tokens import encoder, public_path, some_texts
 
 LENGTH = 2048
+TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 GROUP_PIECES = 40_000
 _PIECES = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -172,4 +173,4 @@ def pack(items: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECE
 
 def op8(spark, sf_dir: str) -> DataFrame:
     """Contract query: all documents in sequences of 2048 ids."""
-    return pack(pieces(read_table(spark, sf_dir, "documents"), "word_bpe_49k.json")).drop("copy")
+    return pack(pieces(read_table(spark, sf_dir, "documents"), TOKENIZER)).drop("copy")

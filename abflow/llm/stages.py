@@ -5,22 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import compress_quality, decontam, ngram_join, packing, secret_scan
 from .common import read_table
-from .decontam import clean
-from .ngram_join import ngram_join
+
+SCORE = "_quality_score"
+
+
+def good_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores under its cutoff go."""
+    model = compress_quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return compress_quality.score(docs, model, SCORE).filter(F.col(SCORE) >= compress_quality.CUTOFF).drop(SCORE)
 
 
 def one_of_each_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest ``doc_id`` stays (the
     component's name). Documents without words have no group and stay; a row whose
     ``doc_id`` is null can't be compared and stays; repeated rows with one id leave one."""
-    found = ngram_join(docs)
-    gone = found.filter("component_id != doc_id").select("doc_id").distinct()
+    found = ngram_join.ngram_join(docs)
+    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter("doc_id is null"))
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
 
 
 def without_benchmark(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
-    return clean(docs, read_table(spark, sf_dir, "benchmark"), remove="documents")
+    return decontam.clean(docs, read_table(spark, sf_dir, "benchmark"), remove="documents")
+
+
+def without_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts, every document stays; ``n_chars`` follows the text."""
+    out = secret_scan.redact(docs, secret_scan.forest_of(docs))
+    kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
+    return out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), F.col("n_chars"))) if kind else out
+
+
+def packed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place in a training sequence."""
+    return packing.pack(packing.pieces(docs, packing.TOKENIZER)).drop("copy")

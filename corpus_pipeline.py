@@ -16,8 +16,11 @@ from abflow.session import scratch_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", stages.good_quality),
     ("ngram_jaccard_join", stages.one_of_each_group),
     ("benchmark_decontamination", stages.without_benchmark),
+    ("secret_scan", stages.without_secrets),
+    ("best_fit_packing", stages.packed),
 ]
 
 #: No SQL twin: the classifier, the forest and the packing are not SQL; tests compare with brute force.
