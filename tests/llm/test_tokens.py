@@ -25,7 +25,7 @@ TEXTS = [None, "", " ", "  ", "a", " a b  c   d\n e\n\n  f \n \n g\t h ", "It's
 
 @pytest.fixture(scope="module")
 def tools():
-    return {n: (Encoder(public_path(n), limit=50), Tokenizer.from_file(public_path(n))) for n in (BYTE, WORD)}
+    return {n: (Encoder(public_path(n), limit=30), Tokenizer.from_file(public_path(n))) for n in (BYTE, WORD)}
 
 
 def ids(tokenizer, text):
