@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -31,14 +31,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def with_groups(docs: DataFrame, group_bytes: int) -> DataFrame:
-    """(doc_id, text, p): ``p`` deals the documents into groups of about
-    ``group_bytes`` of text by a hash of ``doc_id``. Every use of the result
-    under ``groupBy("p")`` has the same exchange, which Spark runs once."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def group_of(doc_id: str, groups: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(groups)).cast("int")
+
+
+def with_groups(docs: DataFrame, group_bytes: int) -> tuple[DataFrame, int]:
+    """(doc_id, text, p) and the number of groups: ``p`` deals the documents into groups of
+    about ``group_bytes`` of text by a hash of ``doc_id``. Every use of the result under
+    ``groupBy("p")`` in one query has the same exchange, which Spark runs once."""
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n = max(1, -(-total // group_bytes))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
-        "p", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("p", group_of("doc_id", n)), n
 
 
 # ---------------------------------------------------------------- Arrow columns

@@ -5,11 +5,12 @@ sets are one class, kept by its smallest ``doc_id``. The steps:
 
 1. Lossless filter. A document that links to another text keeps at least 80 %
    of its set in it, so at most ``n - ceil(0.8 n)`` of its n-grams can be its
-   own. Over a fixed half of the hash space, the n-grams that no other class
-   has are counted (``shared``); a document with more of them is dropped.
-2. Global order. N-grams are ordered by the number of documents that have
-   them (the unseen half last), then by hash. Two linked documents share an
-   n-gram among the first ``n - ceil(0.8 n) + 1`` of each (prefix filter).
+   own. The n-grams that no other class has are counted (``shared``); a
+   document with more of them is dropped. Of a pair, no more than either's
+   other n-grams can be common, so most pairs need no counting at all.
+2. Global order. N-grams are ordered by the number of classes that have them, then by
+   hash. Two linked documents share an n-gram among the first
+   ``n - ceil(0.8 n) + 1`` of each (prefix filter).
 3. Vertical partitioning. The hash space is cut into ``FRAGMENTS`` fragments;
    every document's n-grams are cut along it. The overlap of a candidate pair is
    counted in each fragment by itself, and the partial counts are summed per
@@ -33,17 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .common import SPACED, Words, cut, read_table, text_buffers, with_groups
+from .common import SPACED, Words, cut, group_of, read_table, text_buffers, with_groups
 
 N, PERCENT = 5, 80
 GROUP_BYTES = 8 << 20
 BUCKET_VALUES = 1 << 20
 FRAGMENTS = 8
-_META = pa.schema([("p", pa.int32()), ("r", pa.int32()), ("fps", pa.binary()), ("counts", pa.binary()),
-                   ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary())])
-_META_DDL = "p int, r int, fps binary, counts binary, doc_id long, n long, sig binary"
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
-_SETS_DDL = "doc_id long, n long, prefix array<long>, grams array<long>"
+_SIGNS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("prefix", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
+_SETS_DDL = "doc_id long, n long, c long, prefix array<long>, grams array<long>"
 
 
 def spare(n, percent: int):
@@ -79,51 +78,45 @@ def _signature(s: np.ndarray) -> bytes:
     return x.tobytes()
 
 
-def _half(s: np.ndarray) -> np.ndarray:
-    return s[s < np.uint64(1 << 63)]
-
-
-def _measure(k: int, n_buckets: int):
-    def run(t: pa.Table) -> pa.Table:
-        p, ids = t.column("p")[0].as_py(), t.column("doc_id").to_pylist()
-        rows, keys, seen = [], [np.zeros(0, np.uint64)], set()
-        for i, s in sets(t, k):
-            sig = _signature(s)
-            rows.append((p, None, None, None, ids[i], len(s), sig))
-            if sig and sig not in seen:
-                seen.add(sig)
-                keys.append(np.unique(shared.key(_half(s), n_buckets)))
-        sent = shared.pack(np.concatenate(keys), p)
-        none = lambda kind: pa.nulls(len(sent), kind)
-        out = pa.Table.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(_META)], schema=_META)
-        return pa.concat_tables([out, pa.Table.from_arrays(
-            [sent.column("p"), sent.column("r"), sent.column("fps"), sent.column("counts"),
-             none(pa.int64()), none(pa.int64()), none(pa.binary())], schema=_META)])
+def _signs(k: int):
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            rows = [(ids[i], len(s), _signature(s)) for i, s in sets(batch, k)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in rows], f.type) for j, f in enumerate(_SIGNS)], schema=_SIGNS)
+    return run
+
+
+def _class_sets(docs: pa.Table, reps: set, k: int):
+    """(doc_id, set) of the group's class representatives, once each."""
+    if docs.num_rows and reps:
+        ids = docs.column("doc_id").to_pylist()
+        keep = [i for i, x in enumerate(ids) if x in reps]
+        done: set[int] = set()
+        for i, s in sets(docs.take(pa.array(keep, pa.int64())), k):
+            doc = ids[keep[i]]
+            if len(s) and doc not in done:
+                done.add(doc)
+                yield doc, s
+
+
+def _send(k: int, n_buckets: int):
+    def run(docs: pa.Table, reps: pa.Table) -> pa.Table:
+        keys = [np.unique(shared.key(s, n_buckets)) for _, s in _class_sets(docs, set(reps.column("doc_id").to_pylist()), k)]
+        return shared.pack(np.concatenate(keys), reps.column("p")[0].as_py()) if keys else shared.SENT_ARROW.empty_table()
     return run
 
 
 def _survivors(k: int, n_buckets: int, percent: int):
     def run(docs: pa.Table, reply: pa.Table) -> pa.Table:
         rows, known = [], shared.Shared(reply)
-        reps = {x for x in reply.column("doc_id").to_pylist() if x is not None}
-        ids = docs.column("doc_id").to_pylist() if docs.num_rows else []
-        if reps and ids:
-            done: set[int] = set()
-            keep = [i for i, x in enumerate(ids) if x in reps]
-            docs = docs.take(pa.array(keep, pa.int64()))
-            for i, s in sets(docs, k):
-                doc, n = ids[keep[i]], len(s)
-                if doc in done or not n:
-                    continue
-                half = s < np.uint64(1 << 63)
-                df = known.count(shared.key(s[half], n_buckets))
-                if int((df < 2).sum()) > spare(n, percent):
-                    continue
-                done.add(doc)
-                order = np.full(n, shared.MANY + 1, np.int64)
-                order[half] = df
-                o = np.lexsort((s, order))[:spare(n, percent) + 1]
-                rows.append((doc, n, s[o[order[o] > 1]].view(np.int64), s.view(np.int64)))
+        reps = {x for x in reply.column("doc_id").to_pylist() if x is not None} if len(known.keys) else set()
+        for doc, s in _class_sets(docs, reps, k):
+            n, df = len(s), known.count(shared.key(s, n_buckets))
+            c = int((df > 1).sum())
+            if n - c <= spare(n, percent):
+                o = np.lexsort((s, df))[:spare(n, percent) + 1]
+                rows.append((doc, n, c, s[o[df[o] > 1]].view(np.int64), s.view(np.int64)))
         return pa.Table.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(_SETS)], schema=_SETS)
     return run
 
@@ -157,74 +150,69 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("l", "comp")
 
 
-def _labelled(ids: DataFrame, comps: DataFrame | None) -> DataFrame:
-    if comps is None:
-        return ids.withColumn("comp", F.col("doc_id"))
-    return ids.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+def _labelled(ids: DataFrame, comps: DataFrame) -> DataFrame:
+    return ids.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp"))
 
 
-def _close(n_a: Column, n_b: Column, percent: int) -> Column:
-    return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+def _possible(x, y, percent: int) -> Column:
+    """Two sets of n n-grams, c of them not their own, can reach the threshold."""
+    total = percent * (x["n"] + y["n"])
+    return (100 + percent) * F.least(x["c"], y["c"]) >= total
 
 
-def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS) -> DataFrame | None:
-    """(id, comp) over all linked documents of ``found`` (doc_id, n, prefix, grams)."""
+def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS) -> DataFrame:
+    """(id, comp) over all linked documents of ``found`` (doc_id, n, c, prefix, grams)."""
     bits = max(1, (fragments - 1).bit_length())
     parts = found.select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1))).alias("f"), "grams").select(
         "doc_id", "n", "f", F.filter("grams", lambda h: F.shiftrightunsigned(h, 64 - bits).cast("int") == F.col("f")).alias("part")
     ).filter(F.size("part") > 0)
-    tokens = cut(found.select("doc_id", "n", F.explode("prefix").alias("t")))
-    seeds = [F.struct(F.col("doc_id").alias("k"), F.col("doc_id").alias("id"), "n"),
-             F.struct((-F.col("doc_id")).alias("k"), F.col("doc_id").alias("id"), "n"),
-             F.struct(F.xxhash64("doc_id").alias("k"), F.col("doc_id").alias("id"), "n")]
-    centres = tokens.groupBy("t").agg(*[F.min(s).alias(f"c{i}") for i, s in enumerate(seeds)], F.count(F.lit(1)).alias("size")).filter("size > 1")
-    star = tokens.join(centres, "t").select("doc_id", "n", F.explode(F.array("c0", "c1", "c2")).alias("c")).filter(
-        (F.col("c.id") != F.col("doc_id")) & _close(F.col("n"), F.col("c.n"), percent))
-    star = cut(star.groupBy("doc_id", F.col("c.id").alias("centre")).agg(F.count(F.lit(1)).alias("common")))
+    one = F.struct("n", "c", F.col("doc_id").alias("id"))
+    tokens = cut(found.select("doc_id", one.alias("x"), F.explode("prefix").alias("t")))
+    # centres of a group: least of its own, smallest id, any
+    seeds = [F.min(F.struct(((F.col("x.n") - F.col("x.c")) / F.col("x.n")).alias("k"), "x")), F.min(F.struct(F.col("doc_id").alias("k"), "x")),
+             F.min(F.struct(F.xxhash64("doc_id").alias("k"), "x"))]
+    centres = tokens.groupBy("t").agg(*[s["x"].alias(f"c{i}") for i, s in enumerate(seeds)], F.count(F.lit(1)).alias("size")).filter("size > 1")
+    star = tokens.join(centres.drop("size"), "t").select("doc_id", "x", F.explode(F.array_distinct(F.array("c0", "c1", "c2"))).alias("y")).filter(
+        (F.col("y.id") != F.col("doc_id")) & _possible(F.col("x"), F.col("y"), percent))
+    star = cut(star.groupBy("doc_id", F.col("y.id").alias("centre")).agg(F.count(F.lit(1)).alias("common")))
     pair = [F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")]
 
     best = star.groupBy("doc_id").agg(F.max(F.struct("common", (-F.col("centre")).alias("k"))).alias("m")).select(
         "doc_id", (-F.col("m.k")).alias("centre"))
     tested = best.select(*pair).distinct()
     links = cut(overlaps(tested, parts, percent))
-    comps = components(links)
 
-    label = cut(_labelled(found.select("doc_id", "n"), comps)).select("doc_id", "comp")
+    label = cut(_labelled(found.select("doc_id"), components(links)))
     rest = star.join(label, "doc_id").join(label.select(F.col("doc_id").alias("centre"), F.col("comp").alias("comp_c")), "centre").filter("comp != comp_c")
     second = rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
     links = cut(links.union(overlaps(second, parts, percent)))
-    comps = components(links)
 
-    label = cut(_labelled(found.select("doc_id", "n"), comps)).select("doc_id", "comp")
+    label = cut(_labelled(found.select("doc_id"), components(links)))
     held = tokens.join(label, "doc_id")
     sizes = held.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("t").agg(F.max(F.struct("size", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select(
-        "t", F.col("m.comp").alias("main"))
-    held = held.join(main, "t")
-    left = held.filter("comp != main").select("t", "doc_id", F.col("n").alias("n_1"), F.col("comp").alias("comp_1"))
-    right = held.select("t", F.col("doc_id").alias("centre"), "n", "comp")
-    third = left.join(right, (left["t"] == right["t"]) & (F.col("comp_1") != F.col("comp")) & _close(F.col("n_1"), F.col("n"), percent))
-    third = third.select(*pair).distinct().join(tested.union(second), ["a", "b"], "left_anti")
-    links = cut(links.union(overlaps(third, parts, percent)))
-    return components(links)
+    main = sizes.groupBy("t").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    held = held.join(main.select("t", "main"), "t")
+    left = held.filter("comp != main").select("t", "doc_id", "x", F.col("comp").alias("comp_1"))
+    right = held.select("t", F.col("x").alias("y"), F.col("comp").alias("comp_2"))
+    third = left.join(right, (left["t"] == right["t"]) & (F.col("comp_1") != F.col("comp_2")) & _possible(F.col("x"), F.col("y"), percent))
+    third = third.select("doc_id", F.col("y.id").alias("centre")).select(*pair).distinct().join(tested.union(second), ["a", "b"], "left_anti")
+    return components(cut(links.union(overlaps(third, parts, percent))))
 
 
 def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, group_bytes: int = GROUP_BYTES,
                bucket_values: int = BUCKET_VALUES, fragments: int = FRAGMENTS) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id (smallest doc_id with the same set)."""
-    grouped = with_groups(docs.filter("doc_id is not null"), group_bytes)
-    buckets = shared.bucket_count(grouped, 0.08, bucket_values, group_bytes)
-    measured = cut(grouped.groupBy("p").applyInArrow(_measure(n, buckets), _META_DDL))
-    meta = measured.filter("doc_id is not null").select("doc_id", "n", "sig", "p")
+    grouped, groups = with_groups(docs.filter("doc_id is not null"), group_bytes)
+    buckets = shared.bucket_count(groups, 0.16, bucket_values, group_bytes)
+    meta = cut(grouped.select("doc_id", "text").mapInArrow(_signs(n), "doc_id long, n long, sig binary"))
     # an empty set is no class: such documents are their own
-    classes = meta.filter("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "p")).alias("rep"))
-    reps = classes.select(F.col("rep.p").alias("p"), F.col("rep.doc_id").alias("doc_id"))
-    reply = shared.answers(measured.filter("r is not null")).withColumn("doc_id", F.lit(None).cast("long")).unionByName(
-        reps, allowMissingColumns=True).select("p", "r", "fps", "counts", "doc_id")
+    classes = meta.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"))
+    reps = classes.select(F.col("class_id").alias("doc_id"), group_of("class_id", groups).alias("p"))
+    sent = grouped.groupBy("p").cogroup(reps.groupBy("p")).applyInArrow(_send(n, buckets), shared.SENT)
+    reply = shared.answers(sent).unionByName(reps, allowMissingColumns=True)
     found = cut(grouped.groupBy("p").cogroup(reply.groupBy("p")).applyInArrow(_survivors(n, buckets, percent), _SETS_DDL))
     comps = link(found, percent, fragments)
-    out = meta.join(classes, "sig", "left").select(
-        meta["doc_id"], F.col("n").alias("n_shingles"), F.coalesce(F.col("rep.doc_id"), meta["doc_id"]).alias("class_id"))
+    out = meta.join(classes, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"))
     return out.join(comps.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("comp", "class_id").alias("component_id"), "class_id")
 

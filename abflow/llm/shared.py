@@ -16,7 +16,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SENT = "r int, p int, fps binary, counts binary"
 SENT_ARROW = pa.schema([("r", pa.int32()), ("p", pa.int32()), ("fps", pa.binary()), ("counts", pa.binary())])
@@ -92,7 +91,6 @@ class Shared:
         return np.where(self.keys[i] == keys, self.counts[i], 1)
 
 
-def bucket_count(docs: DataFrame, per_byte: float, bucket_values: int, group_bytes: int) -> int:
-    """Buckets of about ``bucket_values`` fingerprints, from the number of groups."""
-    groups = docs.agg(F.max("p")).first()[0]
-    return max(8, int(((groups or 0) + 1) * group_bytes * per_byte / bucket_values))
+def bucket_count(groups: int, per_byte: float, bucket_values: int, group_bytes: int) -> int:
+    """Buckets of about ``bucket_values`` fingerprints, ``per_byte`` of them in a byte of text."""
+    return max(8, int(groups * group_bytes * per_byte / bucket_values))

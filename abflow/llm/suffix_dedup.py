@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from . import shared
-from .common import cut, mix, read_table, text_buffers, with_groups
+from .common import mix, read_table, text_buffers, with_groups
 
 WIDTH = 50
 PIECE = 24  # bytes of the pieces whose smallest hash files a window
@@ -45,7 +45,8 @@ GROUP_BYTES = 4 << 20
 BUCKET_VALUES = 1 << 20
 SORT_BYTES = 1 << 20  # run bytes that are refined at once, whole keys
 LONGEST = 4096  # windows of one run
-_RUNS = pa.schema([("g", pa.int32()), ("p", pa.int32()), ("blob", pa.binary())])
+_RUNS = pa.schema([("g", pa.int32()), ("p", pa.int32()), ("spans", pa.bool_()), ("blob", pa.binary())])
+_RUNS_DDL = "g int, p int, spans boolean, blob binary"
 _SPANS = pa.schema([("p", pa.int32()), ("blob", pa.binary())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                   ("kept_sha256", pa.string()), ("spans", pa.list_(pa.int64()))])
@@ -143,6 +144,13 @@ def _ident(raw: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
+def _joined(doc: np.ndarray, mark: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans in order of document and start (so of end too), with those that meet made one."""
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]) | (start[1:] > end[:-1])][:len(doc)] if len(doc) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    return doc[first], mark[first], start[first], np.maximum.reduceat(end, first) if len(first) else end
+
+
 def _split(n_buckets: int, n_parts: int):
     """A group's shared runs: the smallest document's go to the buckets, the others' bytes go here."""
     def run(docs: pa.Table, reply: pa.Table) -> pa.Table:
@@ -174,8 +182,8 @@ def _split(n_buckets: int, n_parts: int):
                 least = np.full(len(number), np.iinfo(np.int64).max)
                 np.minimum.at(least, which, doc)
                 later = least[which] < doc
-                if later.any():
-                    rows.append((None, p, _squeeze(doc[later], mark[later], start[later], end[later] + WIDTH - 1)))
+                if later.any():  # no bucket needs them; they travel with the answer of one
+                    rows.append((p % n_parts, p, True, _squeeze(*_joined(doc[later], mark[later], start[later], end[later] + WIDTH - 1))))
                 keys = np.array(keys, np.uint64)
                 sent = np.flatnonzero(~later)
                 to = (keys[which[sent]] % np.uint64(n_parts)).astype(np.int64)
@@ -187,7 +195,7 @@ def _split(n_buckets: int, n_parts: int):
                     e = sent[i:j]
                     t, nth = np.unique(which[e], return_inverse=True)
                     own = [texts[x] for x in t.tolist()]
-                    rows.append((int(to[i]), p, _squeeze(keys[t], np.array([len(x) for x in own], np.int32), b"".join(own),
+                    rows.append((int(to[i]), p, False, _squeeze(keys[t], np.array([len(x) for x in own], np.int32), b"".join(own),
                                                          nth.astype(np.int32), doc[e], mark[e], start[e])))
         return pa.Table.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(_RUNS)], schema=_RUNS)
     return run
@@ -264,7 +272,11 @@ def _decide(batch: list[tuple], width: int) -> list[tuple]:
 
 def _bucket(t: pa.Table) -> pa.Table:
     by_key: dict[int, dict[bytes, list]] = {}
-    for p, blob in zip(t.column("p").to_pylist(), t.column("blob").to_pylist(), strict=True):
+    rows: list[tuple] = []
+    for p, ready, blob in zip(t.column("p").to_pylist(), t.column("spans").to_pylist(), t.column("blob").to_pylist(), strict=True):
+        if ready:
+            rows.append((p, blob))
+            continue
         keys, lens, raw, nth, doc, ident, start = _unsqueeze(blob, "Qisiqqq")
         entries: list[list] = [[] for _ in keys]
         for i, *e in zip(nth.tolist(), doc.tolist(), ident.tolist(), start.tolist(), strict=True):
@@ -284,11 +296,10 @@ def _bucket(t: pa.Table) -> pa.Table:
     if batch:
         spans += _decide(batch, WIDTH)
     spans.sort()
-    rows, i = [], 0
     a = np.array(spans, np.int64).reshape(-1, 5)
     cuts = np.flatnonzero(np.r_[True, a[1:, 0] != a[:-1, 0], True]) if len(a) else np.zeros(1, np.int64)
     for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        rows.append((int(a[i, 0]), _squeeze(*(a[i:j, c] for c in range(1, 5)))))
+        rows.append((int(a[i, 0]), _squeeze(*_joined(*(a[i:j, c] for c in range(1, 5))))))
     return pa.Table.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(_SPANS)], schema=_SPANS)
 
 
@@ -323,13 +334,12 @@ def _finish(docs: pa.Table, spans: pa.Table) -> pa.Table:
 def suffix_dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES, bucket_values: int = BUCKET_VALUES) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256 and the removed byte spans
     (start, end, start, end, ...)."""
-    grouped = with_groups(docs.filter("doc_id is not null"), group_bytes)
-    buckets = shared.bucket_count(grouped, 0.07, bucket_values, group_bytes)
-    parts = shared.bucket_count(grouped, 1, group_bytes, group_bytes)
+    grouped, groups = with_groups(docs.filter("doc_id is not null"), group_bytes)
+    buckets = shared.bucket_count(groups, 0.07, bucket_values, group_bytes)
+    parts = max(8, groups)
     reply = shared.answers(grouped.groupBy("p").applyInArrow(_measure(buckets), shared.SENT))
-    split = cut(grouped.groupBy("p").cogroup(reply.groupBy("p")).applyInArrow(_split(buckets, parts), "g int, p int, blob binary"))
-    far = split.filter("g is not null").groupBy("g").applyInArrow(_bucket, "p int, blob binary")
-    spans = far.union(split.filter("g is null").select("p", "blob"))
+    runs_ = grouped.groupBy("p").cogroup(reply.groupBy("p")).applyInArrow(_split(buckets, parts), _RUNS_DDL)
+    spans = runs_.groupBy("g").applyInArrow(_bucket, "p int, blob binary")
     return grouped.groupBy("p").cogroup(spans.groupBy("p")).applyInArrow(_finish, _OUT_DDL)
 
 
