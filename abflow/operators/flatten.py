@@ -5,8 +5,10 @@ Per row and built only from variant and higher-order array expressions
 (no Python UDF, no explode, no shuffle, no row id), so it runs in a
 narrow stage of a batch or a streaming plan and scales with the input.
 
-Semantics (bounded depth, defined winner):
-* scalar value -> ``key -> text`` (numbers in Spark's canonical spelling);
+Semantics (any depth, defined winner):
+* scalar value -> ``key -> text``; numbers in Spark's canonical spelling
+  (``1.50`` -> ``1.5``, ``1e5`` -> ``100000.0``, and an integer of more than 38 digits
+  as a double, which loses digits: send such ids as JSON strings);
   JSON null -> key absent;
 * object value -> its keys are flattened into the same (unprefixed) map;
   with ``unwrap_same_key`` an object holding an object under its own
@@ -14,7 +16,9 @@ Semantics (bounded depth, defined winner):
 * array whose elements are all objects -> each element flattened; any
   other array -> ``key -> array JSON text``; empty array / object adds
   nothing;
-* deeper than ``depth`` levels -> the object / array is kept as text;
+* all levels are flattened, however many there are (an explicit ``depth`` keeps
+  deeper objects as text);
+* a key repeated in one object: its last value counts, also in nested objects;
 * a key seen more than once: the shallowest level wins, then the
   greatest array index, then the smallest path;
 * text that is not JSON, or whose root is not an object -> null map
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.timefn import epoch_to_hour
+from ..session import ensure_checkpoint_dir
 
 _MAP_T = "map<string,variant>"
 _ARR_T = "array<variant>"
@@ -75,22 +80,49 @@ def _element_children(e: Column, level: int) -> Column:
     return F.flatten(F.transform(F.try_variant_get(e["v"], "$", _ARR_T), per_element))
 
 
-def flatten_json(df: DataFrame, col: str = "value", depth: int = 5, out: str = "fields",
+def allow_repeated_keys(df: DataFrame) -> None:
+    """Session setting that this module's parsing relies on: without it a message
+    with a key twice in one nested object is not JSON to Spark."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+# levels in one plan; a deeper frame is cut in the shared folder and goes on from there
+STEP = 6
+
+
+def flatten_json(df: DataFrame, col: str = "value", depth: int | None = None, out: str = "fields",
                  unwrap_same_key: bool = False) -> DataFrame:
-    """Add ``out``: map<string,string> of the flattened message (null = reject)."""
-    lvl = "_lvl"
-    outs = []
+    """Add ``out``: map<string,string> of the flattened message (null = reject).
+
+    Without ``depth`` levels are added until no object is left, which needs a
+    batch frame; a stream flattens within ``foreachBatch``."""
+    allow_repeated_keys(df)
+    cur, outs = _levels(df, col, depth, unwrap_same_key)
+    return _winners(cur, outs, [c for c in cur.columns if c not in df.columns], out)
+
+
+def _most_levels(df: DataFrame, col: str) -> int:
+    """No message nests deeper than it has opening braces (an action: one cheap pass)."""
+    text = F.col(col)
+    braces = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("{"), F.lit("")))
+    return max(1, df.agg(F.max(braces)).first()[0] or 1)
+
+
+def _levels(df: DataFrame, col: str, depth: int | None, unwrap_same_key: bool) -> tuple[DataFrame, list[Column]]:
+    """Columns ``_lvl1``.. with each level's entries, and the candidates that each level gives."""
+    lvl, outs, level = "_lvl", [], 1
+    most = depth or _most_levels(df, col)
     cur = df.withColumn("_root", F.from_json(F.col(col), _MAP_T))
     cur = cur.withColumn("_ok", F.col("_root").isNotNull()).withColumn(lvl + "1", F.transform(
         F.map_entries("_root"), lambda c: _entry(c["key"], c["value"], F.lit(1), F.lit(0), c["key"])))
     cur = cur.drop("_root")
-    for level in range(1, depth + 1):
+    while True:
         E = F.col(f"{lvl}{level}")
-        last = level == depth
+        last = level == most
 
         def emit(e):
-            # scalars, arrays not made only of objects, and (at the depth cap) any nesting
-            if last:
+            # scalars, arrays not made only of objects, and (at a given depth) any nesting
+            if last and depth:
                 return e["t"] != _NULL
             return (e["t"] == _SCALAR) | (e["t"] == _OTHER_ARRAY)
 
@@ -98,24 +130,35 @@ def flatten_json(df: DataFrame, col: str = "value", depth: int = 5, out: str = "
         outs.append(F.transform(F.filter(E, emit), lambda e: F.struct(
             e["k"].alias("k"), e["d"].alias("d"), e["i"].alias("i"), e["p"].alias("p"),
             e["t"].alias("t"), e["v"].alias("v"))))
-        if not last:
-            objs = F.flatten(F.transform(F.filter(E, lambda e: e["t"] == _OBJECT),
-                                         lambda e: _children(e, level, unwrap_same_key)))
-            arrs = F.flatten(F.transform(F.filter(E, lambda e: e["t"] == _OBJ_ARRAY),
-                                         lambda e: _element_children(e, level)))
-            cur = cur.withColumn(f"{lvl}{level + 1}", F.concat(objs, arrs))
-
+        if last:
+            return cur, outs
+        objs = F.flatten(F.transform(F.filter(E, lambda e: e["t"] == _OBJECT),
+                                     lambda e: _children(e, level, unwrap_same_key)))
+        arrs = F.flatten(F.transform(F.filter(E, lambda e: e["t"] == _OBJ_ARRAY),
+                                     lambda e: _element_children(e, level)))
+        level += 1
+        cur = cur.withColumn(f"{lvl}{level}", F.concat(objs, arrs))
+        if level % STEP == 0 and not depth:
+            done = cur.withColumn("_done", F.concat(*outs)).select(*df.columns, "_ok", "_done", f"{lvl}{level}")
+            ensure_checkpoint_dir(df.sparkSession)
+            cur, outs = done.checkpoint(eager=True), [F.col("_done")]
+            if cur.filter(F.size(f"{lvl}{level}") > 0).isEmpty():
+                return cur, outs
+
+
+def _winners(cur: DataFrame, outs: list[Column], added: list[str], out: str) -> DataFrame:
+    """One value per key out of all candidates."""
     cur = cur.withColumn("_cand", F.concat(*outs))
-    # natural struct order = key, depth, -array index, path; j points back to the candidate
+    # natural struct order = key, depth, -array index, path, later of a repeated key; nj points back to the candidate
     order = F.array_sort(F.transform("_cand", lambda e, j: F.struct(
-        e["k"].alias("k"), e["d"].alias("d"), (-e["i"]).alias("ni"), e["p"].alias("p"), j.alias("j"))))
+        e["k"].alias("k"), e["d"].alias("d"), (-e["i"]).alias("ni"), e["p"].alias("p"), (-j).alias("nj"))))
     cur = cur.withColumn("_all", order)
     firsts = F.filter(F.col("_all"), lambda e, i: (i == 0) | (F.element_at(F.col("_all"), i)["k"] != e["k"]))
-    cur = cur.withColumn("_win", F.transform(firsts, lambda e: F.element_at(F.col("_cand"), e["j"] + 1)))
+    cur = cur.withColumn("_win", F.transform(firsts, lambda e: F.element_at(F.col("_cand"), 1 - e["nj"])))
     text = F.transform("_win", lambda e: F.when(e["t"] == _SCALAR, F.variant_get(e["v"], "$", "string"))
                        .otherwise(F.to_json(e["v"])))
     m = F.map_from_arrays(F.transform("_win", lambda e: e["k"]), text)
-    drop = [f"{lvl}{i}" for i in range(1, depth + 1)] + ["_cand", "_all", "_win", "_ok"]
+    drop = [*added, "_cand", "_all", "_win"]
     return cur.withColumn(out, F.when(F.col("_ok"), m)).drop(*drop)
 
 
@@ -124,26 +167,18 @@ def ingest_hour(tz: str = S.DEFAULT_TZ) -> Column:
     return epoch_to_hour(F.unix_timestamp().cast("string"), tz)
 
 
-def with_ingest_hour(df: DataFrame, fields: str = "fields", tz: str = S.DEFAULT_TZ) -> DataFrame:
-    """Add ``curr_time``: the message's own ``curr_time`` key, else the arrival hour."""
-    return df.withColumn(S.INGEST_PARTITION,
-                         F.coalesce(F.try_element_at(F.col(fields), F.lit(S.INGEST_PARTITION)), ingest_hour(tz)))
-
-
 def project_event(df: DataFrame, fields: str = "fields", tz: str = S.DEFAULT_TZ,
-                  names: list[str] = S.EVENT_FIELDS) -> DataFrame:
+                  names: list[str] = S.EVENT_FIELDS, arrival: Column | None = None) -> DataFrame:
     """The fixed event columns: missing key -> '', unknown keys dropped;
-    ``curr_time`` = a ``curr_time`` key if present, else the arrival hour."""
+    ``curr_time`` = a ``curr_time`` key if present, else ``arrival`` (default: the hour now)."""
+    hour = ingest_hour(tz) if arrival is None else arrival
     m = F.col(fields)
     cols = []
     for k in names:
         v = F.try_element_at(m, F.lit(k))
         if k == S.INGEST_PARTITION:
-            cols.append(F.coalesce(v, ingest_hour(tz)).alias(k))
+            cols.append(F.coalesce(v, hour).alias(k))
         else:
             cols.append(F.coalesce(v, F.lit("")).alias(k))
     return df.select(*cols)
 
-
-def flatten_rejects(df: DataFrame, fields: str = "fields") -> DataFrame:
-    return df.filter(F.col(fields).isNull())

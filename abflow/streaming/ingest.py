@@ -4,7 +4,7 @@ by arrival hour (``curr_time``).
 One Structured Streaming plan. Parsing is per-row expressions (see
 ``operators.flatten``), so there is no streaming state. Each micro-batch
 is written in ``foreachBatch`` with dynamic partition overwrite of
-(curr_time, batch_id): re-running a batch after a failure replaces
+(curr_time, query_id, batch_id): re-running a batch after a failure replaces
 exactly what that batch wrote, so the output is exactly-once; offsets
 live in the checkpoint and advance only after the batch commits (an
 empty batch writes nothing). Malformed messages go to a reject folder
@@ -13,12 +13,15 @@ instead of failing the job.
 
 from __future__ import annotations
 
+import threading
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.flatten import flatten_json, project_event
-from ..operators.keyed import offset_ledger
+from ..operators.flatten import flatten_json, ingest_hour, project_event
+from ..operators.keyed import ledger_to_offsets, offset_ledger, starting_offsets_json
 
 
 def read_event_stream(spark: SparkSession, topics: list[str] | str, servers: str,
@@ -45,58 +48,80 @@ def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return r.load(path)
 
 
-def ingest_frame(df: DataFrame, tz: str = S.DEFAULT_TZ, depth: int = 5,
-                 unwrap_same_key: bool = False) -> DataFrame:
-    """value -> flattened map (``fields``); works on batch and stream frames."""
-    return flatten_json(df, "value", depth, "fields", unwrap_same_key)
+ARRIVAL = "_arrival_hour"
+QUERY_ID = "query_id"
 
 
-def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str | None,
-                tz: str = S.DEFAULT_TZ, ledger_path: str | None = None) -> None:
-    """Idempotent write of one micro-batch; an empty batch writes nothing
-    (its offsets still commit)."""
-    flat = batch.persist()
+def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str | None, query_id: str,
+                tz: str = S.DEFAULT_TZ, ledger_path: str | None = None, unwrap_same_key: bool = False) -> None:
+    """Idempotent write of one micro-batch of (value, arrival hour); an empty batch writes nothing
+    (its offsets still commit). ``query_id`` tells checkpoints apart."""
+    if batch.isEmpty():
+        return
+    mark = [F.lit(query_id).alias(QUERY_ID), F.lit(batch_id).alias("batch_id")]
+    flat = flatten_json(batch, "value", None, "fields", unwrap_same_key).persist()
     try:
-        if flat.count() == 0:   # materialises the cache the writes below read
-            return
-        events = (project_event(flat.filter(F.col("fields").isNotNull()), "fields", tz)
-                  .withColumn("batch_id", F.lit(batch_id)))
+        events = (project_event(flat.filter(F.col("fields").isNotNull()), "fields", tz, arrival=F.col(ARRIVAL))
+                  .select("*", *mark))
         # rebalance (not repartition): AQE splits an hour holding the whole
         # batch over several writers and merges many small hours
         (events.hint("rebalance", S.INGEST_PARTITION).write
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
-         .partitionBy(S.INGEST_PARTITION, "batch_id").parquet(path))
+         .partitionBy(S.INGEST_PARTITION, QUERY_ID, "batch_id").parquet(path))
         if rejects_path:
-            (flat.filter(F.col("fields").isNull()).select("value")
-             .withColumn("batch_id", F.lit(batch_id)).write
+            (flat.filter(F.col("fields").isNull()).select("value", *mark).write
              .option("partitionOverwriteMode", "dynamic").mode("overwrite")
-             .partitionBy("batch_id").parquet(rejects_path))
+             .partitionBy(QUERY_ID, "batch_id").parquet(rejects_path))
         if ledger_path and {"topic", "partition", "offset"} <= set(batch.columns):
             # per-batch offset ledger (partition|untilOffset per topic), replaced on replay
-            (offset_ledger(flat).withColumn("batch_id", F.lit(batch_id)).write
+            (offset_ledger(flat).select("*", *mark).write
              .option("partitionOverwriteMode", "dynamic").mode("overwrite")
-             .partitionBy("batch_id").parquet(ledger_path))
+             .partitionBy(QUERY_ID, "batch_id").parquet(ledger_path))
     finally:
         flat.unpersist()
 
 
 def start_ingest(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                 tz: str = S.DEFAULT_TZ, depth: int = 5, rejects_path: str | None = None,
+                 tz: str = S.DEFAULT_TZ, rejects_path: str | None = None,
                  unwrap_same_key: bool = False, query_name: str | None = None,
                  ledger_path: str | None = None):
     """Start the ingest query. ``trigger`` e.g. {"processingTime": "30 seconds"}
-    (default) or {"availableNow": True} for a catch-up run."""
-    flat = ingest_frame(stream, tz, depth, unwrap_same_key)
-    w = (flat.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: write_batch(b, i, path, rejects_path, tz, ledger_path)))
+    (default) or {"availableNow": True} for a catch-up run.
+
+    The arrival hour is a column of the streaming plan: Spark stores a batch's
+    time with its offsets, so a replay gets the same hour. The query id is stored
+    in the checkpoint, so another checkpoint writes other partitions.
+    """
+    started, ids = threading.Event(), []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        write_batch(batch, batch_id, path, rejects_path, ids[0], tz, ledger_path, unwrap_same_key)
+
+    w = (stream.withColumn(ARRIVAL, ingest_hour(tz)).writeStream.option("checkpointLocation", checkpoint).foreachBatch(each))
     w = w.trigger(**(trigger or {"processingTime": "30 seconds"}))
     if query_name:
         w = w.queryName(query_name)
-    return w.start()
+    q = w.start()
+    ids.append(q.id)
+    started.set()
+    return q
+
+
+def stored_offsets(spark: SparkSession, ledger_path: str) -> str | None:
+    """``startingOffsets`` JSON behind everything that the ledger holds, None without a ledger."""
+    try:
+        ledger = spark.read.parquet(ledger_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = ledger_to_offsets(ledger).groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
+    return starting_offsets_json(last)
 
 
 def read_ingested(spark: SparkSession, path: str) -> DataFrame:
-    """The event table as written (45 string columns + batch_id); partition
+    """The event table as written (45 string columns + query_id, batch_id); partition
     values are read back as text (discovery would turn hours into ints)."""
     df = spark.read.parquet(path)
     return df.withColumn(S.INGEST_PARTITION, F.col(S.INGEST_PARTITION).cast("string"))

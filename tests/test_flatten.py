@@ -37,6 +37,7 @@ def test_depth_cap_and_same_key(spark):
     deep = json.dumps({"l1": {"l2": {"l3": {"x": 1}}}})
     assert _flat(spark, [deep], depth=2) == [{"l2": '{"l3":{"x":1}}'}]
     assert _flat(spark, [deep], depth=3) == [{"l3": '{"x":1}'}]
+    assert _flat(spark, [deep]) == [{"x": "1"}]          # without a cap nothing stays nested
     same = '{"a":{"a":{"x":1},"y":2}}'
     assert _flat(spark, [same]) == [{"x": "1", "y": "2"}]
     assert _flat(spark, [same], unwrap_same_key=True) == [{"x": "1"}]
@@ -59,6 +60,24 @@ def test_project_defaults(spark):
 
 def test_duplicate_keys_never_fail_the_job(spark):
     got = _flat(spark, ['{"a":1,"a":2}', '{"o":{"k":1,"k":2}}', '{"b":3}'])
-    assert got[0] == {"a": "1"}      # repeated top-level key: the first one, deterministically
-    assert got[1] is None            # repeated key in a nested object: a reject, not a failed batch
+    assert got[0] == {"a": "2"}      # a repeated key: its last value, on every level
+    assert got[1] == {"k": "2"}
     assert got[2] == {"b": "3"}
+
+
+def test_all_levels(spark):
+    """1 to 24 levels, wide messages with many braces, a key at the bottom."""
+    def nest(n):
+        m = {"mac": f"m{n}"}
+        for i in range(n - 1, 0, -1):
+            m = {f"o{i}": m, f"s{i}": i}
+        return json.dumps(m)
+    got = _flat(spark, [nest(n) for n in range(1, 25)] + [json.dumps({"l": [{"k": i} for i in range(40)]}), "{bad", "{'q':'}}','b':{'c':{'d':1}}}"])
+    assert [g["mac"] for g in got[:24]] == [f"m{n}" for n in range(1, 25)]
+    assert got[23]["s23"] == "23" and got[24] == {"k": "39"} and got[25] is None and got[26] == {"q": "}}", "d": "1"}
+
+
+def test_numbers_as_spark_spells_them(spark):
+    """A known loss: JSON numbers come out in canonical form, beyond 38 digits as a double."""
+    assert _flat(spark, ['{"a":1.50,"b":1e5,"c":123456789012345678901234567890123456789012,"d":"1.50"}']) == [
+        {"a": "1.5", "b": "100000.0", "c": "1.2345678901234568E41", "d": "1.50"}]

@@ -24,17 +24,45 @@ def test_restart_no_loss_no_duplicates(spark, tmp_path):
     assert ev.filter(F.col("userId").startswith("u")).count() == 40
     assert sorted(ev.select("curr_time").distinct().toPandas().curr_time) == ["2024010100", "2024010101", "2024010102"]
     assert spark.read.parquet(rej).count() == 2
-    assert len(ev.columns) == 46   # 45 event columns + batch_id
+    assert len(ev.columns) == 47   # 45 event columns, query_id, batch_id
 
 
 def test_ledger_written_per_batch(spark, tmp_path):
     """A source carrying (topic, partition, offset) also gets its offset ledger written per batch."""
-    from abflow.streaming.ingest import write_batch, ingest_frame
-    df = spark.createDataFrame([('{"eventId":"1"}', "t", 0, 4), ('{"eventId":"2"}', "t", 1, 9)],
-                               "value string, topic string, partition int, offset long")
-    flat = ingest_frame(df)
-    write_batch(flat, 3, str(tmp_path / "ev"), None, ledger_path=str(tmp_path / "led"))
-    write_batch(flat, 3, str(tmp_path / "ev"), None, ledger_path=str(tmp_path / "led"))   # replayed batch
-    led = spark.read.parquet(str(tmp_path / "led")).collect()
-    assert [(r.topic, r.ledger, r.batch_id) for r in led] == [("t", "0|5,1|10", 3)]
-    assert spark.read.parquet(str(tmp_path / "ev")).count() == 2
+    from abflow.streaming.ingest import ARRIVAL, stored_offsets, write_batch
+    df = spark.createDataFrame([('{"eventId":"1"}', "t", 0, 4, "2024010100"), ('{"eventId":"2"}', "t", 1, 9, "2024010100")],
+                               f"value string, topic string, partition int, offset long, {ARRIVAL} string")
+    for _ in range(2):   # replayed batch
+        write_batch(df, 3, str(tmp_path / "ev"), None, "q1", ledger_path=str(tmp_path / "led"))
+    write_batch(df.withColumn("offset", F.col("offset") + 5), 4, str(tmp_path / "ev"), None, "q1", ledger_path=str(tmp_path / "led"))
+    led = sorted((r.topic, r.ledger, r.batch_id) for r in spark.read.parquet(str(tmp_path / "led")).collect())
+    assert led == [("t", "0|10,1|15", 4), ("t", "0|5,1|10", 3)]
+    assert spark.read.parquet(str(tmp_path / "ev")).count() == 4
+    assert stored_offsets(spark, str(tmp_path / "led")) == '{"t": {"0": 10, "1": 15}}'
+    assert stored_offsets(spark, str(tmp_path / "none")) is None
+
+
+def test_new_checkpoint_and_hour(spark, tmp_path):
+    """Messages without curr_time: the hour comes from the plan; a new checkpoint adds, not overwrites."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "events")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"eventId":"1"}\n')
+    for ck in ("ck1", "ck2"):
+        q = start_ingest(read_text_stream(spark, src, 1), out, str(tmp_path / ck), trigger={"availableNow": True})
+        q.awaitTermination()
+    ev = read_ingested(spark, out).collect()
+    assert [r.eventId for r in ev] == ["1", "1"] and len({r.query_id for r in ev}) == 2
+    assert all(len(r.curr_time) == 10 and r.curr_time.isdigit() for r in ev)
+    # the batch's offset log holds the time that the hour is taken from
+    log = (tmp_path / "ck1" / "offsets" / "0").read_text()
+    assert "batchTimestampMs" in log
+
+
+def test_replay_across_an_hour(spark, tmp_path):
+    """The same batch again, an hour later: its rows carry their hour, so one copy stays."""
+    from abflow.streaming.ingest import ARRIVAL, write_batch
+    df = spark.createDataFrame([('{"eventId":"1"}', "2024010123")], f"value string, {ARRIVAL} string")
+    for _ in range(2):
+        write_batch(df, 0, str(tmp_path / "ev"), None, "q")
+    write_batch(df.limit(0), 1, str(tmp_path / "ev"), None, "q")   # an empty batch writes nothing
+    assert [(r.eventId, str(r.curr_time)) for r in spark.read.parquet(str(tmp_path / "ev")).collect()] == [("1", "2024010123")]
