@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..schema import DAY_FMT, DEFAULT_TZ, HOUR_FMT, UNKNOWN_TIME
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+# seconds of the years 1 to 9999, less a day for zones
+_FIRST_SEC, _LAST_SEC = -62135510400, 253402214400
 
 
 def _c(col) -> Column:
@@ -26,7 +28,8 @@ def _missing(text: Column) -> Column:
 
 def epoch_ntz(seconds: Column, tz: str = DEFAULT_TZ) -> Column:
     """Epoch seconds (bigint) -> wall-clock TIMESTAMP_NTZ in ``tz``."""
-    utc = F.timestamp_add("SECOND", seconds, F.expr(_EPOCH_NTZ))
+    known = F.when(seconds.between(_FIRST_SEC, _LAST_SEC), seconds)   # out of range: null, not a failed job
+    utc = F.timestamp_add("SECOND", known, F.expr(_EPOCH_NTZ))
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 

@@ -54,19 +54,14 @@ def by_action(df: DataFrame, code: str, match: str = "equals", col: str = "actio
     return df.filter(action_cond(code, match, col))
 
 
-def plausible_watch(df: DataFrame, factor: int = S.WATCH_FACTOR, watch: str = "watch_s",
-                    duration: str = "dur_s") -> DataFrame:
-    """Keep a play unless ``factor * duration < watch``; unparsable times drop."""
-    return df.filter(F.col(watch) <= F.col(duration) * factor)
-
-
 def in_slots(df: DataFrame, slots: DataFrame, match: str = "whole", pos: str = "rec_pos",
-             keys: tuple[str, ...] = ("dt",), row_key: str = "event_id") -> DataFrame:
+             keys: tuple[str, ...] = ("dt",)) -> DataFrame:
     """Rows whose slot field is in the slot set ``slots`` (keys + ``rec_posi``).
 
     ``whole``: the entire slot field equals a member (a play row names one
-    slot). ``any``: any entry of the ``;`` list is a member; each row is
-    kept once. The set is joined, never collected: AQE broadcasts it when
+    slot). ``any``: any entry of the ``;`` list is a member: the distinct list
+    texts (few) are matched against the set and the rows joined to those,
+    so a row needs no key and is kept once. The set is joined, never collected: AQE broadcasts it when
     its measured size is under the threshold and keeps a shuffle join
     (with skew splitting) otherwise.
     """
@@ -74,13 +69,9 @@ def in_slots(df: DataFrame, slots: DataFrame, match: str = "whole", pos: str = "
     if match == "whole":
         return df.join(s, [df[k] == s[k] for k in keys] + [df[pos] == s["_pos"]], "left_semi")
     if match == "any":
-        # explode, semi join, then one shuffle on the row key of the matched
-        # rows only, to keep a row matching several slots once
-        ex = df.select("*", F.explode(split_java(pos, ";")).alias("_pos"))
-        hit = ex.join(s, [*keys, "_pos"], "left_semi")
-        return hit.dropDuplicates([row_key]).drop("_pos")
+        texts = df.select(*keys, pos).distinct()
+        hit = (texts.select(*keys, pos, F.explode(split_java(pos, ";")).alias("_pos"))
+               .join(s, [*keys, "_pos"], "left_semi").select(*keys, pos).distinct())
+        return df.join(hit, [*keys, pos], "left_semi")
     raise ValueError(match)
 
-
-def valid_items(df: DataFrame, n: int, col: str = "_f") -> DataFrame:
-    return df.filter(F.size(col) == n)

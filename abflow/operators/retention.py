@@ -202,11 +202,6 @@ def new_users(members: DataFrame, start: str, end: str | None = None) -> DataFra
     return user_stats_daily(members, start, end).select("grp", "dt", "user_new")
 
 
-def retained_users(members: DataFrame, start: str, end: str | None = None) -> DataFrame:
-    """Distinct uids of a day also seen in [start, day-1] (an intersection)."""
-    return user_stats_daily(members, start, end).select("grp", "dt", "user_remain")
-
-
 def cumulative_users(members: DataFrame, start: str, end: str | None = None) -> DataFrame:
     """Running total of new users since ``start`` per group and day, plus the
     (``date`` = ``a20190413``, ``user_num`` text) shape of the totals table."""
@@ -227,3 +222,14 @@ def advance_totals(totals: DataFrame, new_counts: DataFrame) -> DataFrame:
     out = nc.join(prev, "_pdate", "left")
     return out.select(total_key("grp", "dt").alias("date"),
                       (F.col("user_new") + F.col("_ptotal")).cast("string").alias("user_num"))
+
+
+def user_metrics(stats: DataFrame, totals: DataFrame) -> DataFrame:
+    """Per group and day: new, retained, active and cumulative users, where the
+    total is yesterday's stored one plus today's new. ``state`` is ``missing``
+    where yesterday's total isn't stored (the total is null then), else ``ok``."""
+    now = advance_totals(totals, stats.select("grp", "dt", "user_new"))
+    out = stats.withColumn("date", total_key("grp", "dt")).join(now, "date", "left")
+    return out.select("date", "grp", "dt", "user_new", "user_remain", "user_active",
+                      F.col("user_num").try_cast("bigint").alias("total_users"), "user_num",
+                      F.when(F.col("user_num").isNull(), "missing").otherwise("ok").alias("state"))

@@ -18,15 +18,16 @@ from ..functions.fields import split_java
 from .filters import action_cond, in_slots
 
 
-def in_slots_since(df: DataFrame, first: DataFrame, match: str = "whole", row_key: str = "event_id") -> DataFrame:
+def in_slots_since(df: DataFrame, first: DataFrame, match: str = "whole") -> DataFrame:
     """Rows whose slot was an AI slot on their day or before: an equi-join on
     the slot with ``first_dt <= dt`` (no cross product)."""
     f = first.select(F.col("rec_posi").alias("_pos"), F.col("first_dt").alias("_first"))
     if match == "whole":
         return df.join(f, (df["rec_pos"] == f["_pos"]) & (f["_first"] <= df["dt"]), "left_semi")
-    ex = df.select("*", F.explode(split_java("rec_pos", ";")).alias("_p"))
-    hit = ex.join(f, (ex["_p"] == f["_pos"]) & (f["_first"] <= ex["dt"]), "left_semi")
-    return hit.dropDuplicates([row_key]).drop("_p")
+    # the distinct list texts of a day decide, not the rows
+    texts = df.select("dt", "rec_pos").distinct().select("dt", "rec_pos", F.explode(split_java("rec_pos", ";")).alias("_p"))
+    hit = texts.join(f, (texts["_p"] == f["_pos"]) & (f["_first"] <= texts["dt"]), "left_semi").select("dt", "rec_pos").distinct()
+    return df.join(hit, ["dt", "rec_pos"], "left_semi")
 
 
 def explode_slots(df: DataFrame) -> DataFrame:
@@ -114,7 +115,7 @@ def cumulative_ai_slots(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, match: str
 
 def watch_stats(df: DataFrame, factor: int = S.WATCH_FACTOR, ai_type: str = S.AI_SLOT_TYPE,
                 slot_match: str = "whole", match: str = "equals",
-                row_key: str = "event_id", cumulative: bool = False) -> DataFrame:
+                cumulative: bool = False) -> DataFrame:
     """Per group and day, over plays in that day's AI slots of group A:
 
     ``plays`` rows, ``players`` distinct uids (before the outlier filter),
@@ -124,11 +125,11 @@ def watch_stats(df: DataFrame, factor: int = S.WATCH_FACTOR, ai_type: str = S.AI
     """
     p = df.filter(action_cond(S.ACTION_PLAY, match))
     if cumulative:
-        hit = in_slots_since(p, cumulative_ai_slots(df, ai_type, match), slot_match, row_key)
+        hit = in_slots_since(p, cumulative_ai_slots(df, ai_type, match), slot_match)
     else:
-        hit = in_slots(p, ai_slots(df, ai_type, match, ordered=False), slot_match, keys=("dt",),
-                       row_key=row_key)
-    ok = F.col("watch_s") <= F.col("dur_s") * factor
+        hit = in_slots(p, ai_slots(df, ai_type, match, ordered=False), slot_match, keys=("dt",))
+    # a product out of range (null) is over any watch time
+    ok = F.col("watch_s") <= F.coalesce(F.try_multiply("dur_s", F.lit(factor)), F.col("dur_s"))
     agg = hit.groupBy("grp", "dt").agg(
         F.count(F.lit(1)).alias("plays"),
         F.count_distinct("uid").alias("players"),
@@ -136,7 +137,7 @@ def watch_stats(df: DataFrame, factor: int = S.WATCH_FACTOR, ai_type: str = S.AI
     return agg.withColumn("watch_mean", F.expr("watch_sum div nullif(players, 0)"))
 
 
-def slot_report(df: DataFrame, ai_type: str = S.AI_SLOT_TYPE, man_type: str = "1",
+def slot_report(df: DataFrame, man_type: str, ai_type: str = S.AI_SLOT_TYPE,
                 by=("dt", "rec_posi"), match: str = "numeric") -> DataFrame:
     """Per slot: exposure / click / order x {AI, manual} x {A, B}, null where none.
 

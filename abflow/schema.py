@@ -79,15 +79,3 @@ def report_schema(fields: list[str], metric_type=T.LongType()) -> T.StructType:
     """Report rows: ``date`` and ``scene_id`` strings, then metric columns."""
     return T.StructType([T.StructField(f, T.StringType() if f in ("date", "scene_id") else metric_type, True)
                          for f in fields])
-
-
-LOG_SCHEMA = T.StructType([
-    T.StructField("uid", T.StringType(), True),
-    T.StructField("scene_id", T.StringType(), True),
-    T.StructField("action_type", T.StringType(), True),
-    T.StructField("action_sec", T.LongType(), True),
-    T.StructField("ext", T.StringType(), True),
-    T.StructField("rec_pos", T.StringType(), True),
-    T.StructField("rec_type", T.StringType(), True),
-    T.StructField("dt", T.StringType(), True),
-])

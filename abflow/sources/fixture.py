@@ -82,6 +82,20 @@ def log_lines(spark: SparkSession, sf_dir: str, with_rejects: bool = False) -> D
     return b.select(line.alias("value"), "dt")
 
 
+def mixed_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log lines as they come: by event id mod 10, 1 is a day late (the folder of the day
+    before), 2 has 7 fields, 3 has 6, 4 has 5, 5 an empty time, 6 a time out of range, 7 has 3
+    fields, 8 has 2; the others are whole."""
+    b = blog(spark, sf_dir)
+    kind = F.col("event_id") % 10
+    sec = F.when(kind == 5, "").when(kind == 6, "9999999999999999").otherwise(F.col("action_sec").cast("string"))
+    f = F.array(F.col("uid"), F.col("event_id").cast("string"), F.col("scene_id"), F.col("action_type"), sec,
+                ext_text(b), F.col("rec_pos"), F.col("rec_type"))
+    size = F.when(kind == 2, 7).when(kind == 3, 6).when(kind == 4, 5).when(kind == 7, 3).when(kind == 8, 2).otherwise(8)
+    folder = F.when(kind == 1, F.date_format(F.date_sub(F.to_date("dt", "yyyyMMdd"), 1), "yyyyMMdd")).otherwise(F.col("dt"))
+    return b.select(F.array_join(F.slice(f, 1, size), "\t").alias("value"), folder.alias("dt"))
+
+
 ITEM_FIELDS = ["user_id", "event_id", "event_type", "ts", "value"]
 
 

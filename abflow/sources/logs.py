@@ -41,9 +41,11 @@ def read_log_text(spark: SparkSession, path: str, start: str | None = None,
     from pyspark.errors import AnalysisException
     try:
         df = spark.read.text(day_glob(path, start, end, folder_prefix))
-    except AnalysisException as e:   # no day folder in the range: no rows, not a failure
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND" or start is None or end is None:
             raise
+        # days may be missing under an existing root; a root without any day folder fails here
+        spark.read.text(day_glob(path, None, None, folder_prefix))
         return spark.createDataFrame([], "value string, dt string")
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/]*?([0-9]{8})/[^/]*$", 1)
     return df.select("value", folder.alias("dt"))
@@ -91,24 +93,25 @@ def valid_rows(df: DataFrame, min_fields: int = S.LOG_FIELDS,
     return valid, rejects
 
 
-def with_event_day(df: DataFrame, tz: str = S.DEFAULT_TZ, same_folder_day: bool = True) -> DataFrame:
-    """Replace ``dt`` (folder day) by the event day of the epoch-seconds
-    field in ``tz``; with ``same_folder_day`` keep only rows whose event
-    day is their folder day (so one report row per folder day)."""
+def with_event_day(df: DataFrame, tz: str = S.DEFAULT_TZ) -> DataFrame:
+    """``folder_dt`` = the folder day, ``dt`` = the event day of the
+    epoch-seconds field in ``tz``. Every row stays: a late line keeps both
+    days, a missing or unreadable time has the event day 未知."""
     from ..functions.timefn import epoch_to_date
-    ev = epoch_to_date(F.col("action_time_text"), tz)
-    out = df.withColumn("folder_dt", F.col("dt")).withColumn("dt", ev)
-    return out.filter(F.col("dt") == F.col("folder_dt")) if same_folder_day else out
+    ev = F.coalesce(epoch_to_date(F.col("action_time_text"), tz), F.lit(S.UNKNOWN_TIME))
+    return df.withColumn("folder_dt", F.col("dt")).withColumn("dt", ev)
 
 
 def read_behavior_log(spark: SparkSession, path: str, start: str | None = None,
-                      end: str | None = None, folder_prefix: str = "") -> DataFrame:
-    """Valid behaviour-log rows of all days in [start, end], one scan."""
-    valid, _ = valid_rows(parse_log_lines(read_log_text(spark, path, start, end, folder_prefix)))
+                      end: str | None = None, folder_prefix: str = "",
+                      min_fields: int = S.LOG_FIELDS, rejects_path: str | None = None) -> DataFrame:
+    """Behaviour-log rows of all days in [start, end] with at least the
+    ``min_fields`` fields that the caller reads, one scan. With
+    ``rejects_path`` the shorter lines are written there by folder day
+    (a second, filtered pass) before the rows are returned."""
+    parsed = parse_log_lines(read_log_text(spark, path, start, end, folder_prefix))
+    valid, rejects = valid_rows(parsed, min_fields)
+    if rejects_path:
+        (rejects.select("uid", "scene_id", "action_type", "action_time_text", "n_fields", "dt")
+         .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("dt").parquet(rejects_path))
     return valid
-
-
-def log_rejects(spark: SparkSession, path: str, start: str | None = None,
-                end: str | None = None) -> DataFrame:
-    _, rejects = valid_rows(parse_log_lines(read_log_text(spark, path, start, end)))
-    return rejects

@@ -42,11 +42,6 @@ def members(df: DataFrame, grp: str, d1: str, d2: str, inclusive_end: bool = Tru
     return df.filter((F.col("time") >= lo_l) & hi)
 
 
-def with_label(df: DataFrame) -> DataFrame:
-    """Add the compatibility label ``<grp>-<dt>`` as ``time``."""
-    return df.withColumn("time", label("grp", "dt"))
-
-
 def read_totals(spark: SparkSession, fmt: str = "jdbc", path: str | None = None,
                 **options) -> DataFrame:
     """Cumulative totals ``(date, user_num)`` through any reader format

@@ -80,7 +80,7 @@ def test_total_key(spark):
 def test_small_named_helpers(spark):
     from abflow.functions.fields import watch_fields
     from abflow.operators.funnel import select_actions
-    from abflow.operators.retention import retained_users
+    from abflow.operators.retention import user_stats_daily
     from abflow.operators.slots import sort_slots
     from abflow.sources.tables import date_range, name_fields
     assert [r.dt for r in date_range(spark, "20200227", "20200301").collect()] == ["20200227", "20200228", "20200229", "20200301"]
@@ -92,6 +92,6 @@ def test_small_named_helpers(spark):
     assert a.columns == ["uid", "action_type", "action_time"]
     m = spark.createDataFrame([("A", "u", "20240101"), ("A", "u", "20240102"), ("A", "v", "20240102")],
                               "grp string, uid string, dt string")
-    assert {r.dt: r.user_remain for r in retained_users(m, "20240101").collect()} == {"20240101": 0, "20240102": 1}
+    assert {r.dt: r.user_remain for r in user_stats_daily(m, "20240101").collect()} == {"20240101": 0, "20240102": 1}
     n = name_fields(spark.createDataFrame([("a\tb",), ("c",)], "value string"), ["x", "y"], key_index=1).collect()
     assert [(r.x, r.y, r.row_key) for r in n] == [("a", "b", "b")]

@@ -45,9 +45,20 @@ def test_event_day(spark, tmp_path):
     late = GOOD.replace("1554395536", "1554393600")   # 2019-04-05 00:00 +08 = 2019-04-04 16:00 UTC
     _write_days(tmp_path, {"20190405": [GOOD, late, GOOD.replace("1554395536", "1554220800")]})
     df = read_behavior_log(spark, str(tmp_path), "20190405", "20190405")
-    assert sorted(r.dt for r in with_event_day(df, same_folder_day=False).collect()) == ["20190403", "20190405", "20190405"]
-    assert with_event_day(df).count() == 2
-    assert [r.dt for r in with_event_day(df, tz="UTC").collect()] == []
+    assert sorted(r.dt for r in with_event_day(df).collect()) == ["20190403", "20190405", "20190405"]
+    assert sorted(r.dt for r in with_event_day(df, tz="UTC").collect()) == ["20190402", "20190404", "20190404"]
+    assert {r.folder_dt for r in with_event_day(df).collect()} == {"20190405"}
+    odd = df.limit(1).withColumn("action_time_text", F.explode(F.array(F.lit(""), F.lit("x"), F.lit("9999999999999999"))))
+    assert [r.dt for r in with_event_day(odd).collect()] == ["未知"] * 3   # no line is lost for its time
+
+
+def test_wrong_root_fails_missing_days_do_not(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    _write_days(tmp_path, {"20190405": [GOOD]})
+    assert read_log_text(spark, str(tmp_path), "20200101", "20200102").count() == 0
+    with pytest.raises(AnalysisException):
+        read_log_text(spark, str(tmp_path / "wrong"), "20190405", "20190405")
 
 
 def test_action_matches(spark):
