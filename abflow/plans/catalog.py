@@ -23,7 +23,7 @@ from ..plans.reports import daily_report, news_report, retention_report
 from ..plans.sqlviews import sql_funnel_report
 from ..session import spread
 from ..sinks.files import tsv_line
-from ..sources.fixture import ITEM_FIELDS, blog, item_lines, log_lines, raw_events_json, read_table
+from ..sources.fixture import ITEM_FIELDS, blog, item_lines, log_lines, mixed_log_lines, raw_events_json, read_table
 from ..sources.logs import parse_log_lines, valid_rows, with_event_day
 from ..sources.tables import date_spine, name_fields
 from ..sources.tables import members as member_range
@@ -35,6 +35,8 @@ QUERIES: dict[str, Query] = {}
 SCENE_REL = "S_REL"
 SCENE_NEWS = "S_NEWS"
 START = "20240101"
+# the events table is one file with one row group: deal its rows out before per-row work
+PARTS = 8
 
 
 def register(name: str):
@@ -136,6 +138,25 @@ def q_retention_incremental(spark, sf_dir):
     return R.retention(m, 7, START, "20240128", "20240130", first_seen=R.first_seen(m, START))
 
 
+@register("user_metrics_news")
+def q_user_metrics_news(spark, sf_dir):
+    """New, retained, active and total news users of 20240115 from a first-seen table
+    and yesterday's stored total, group B's of which is missing."""
+    m = members_daily(blog(spark, sf_dir), SCENE_NEWS, a="qianA", b="qianB")
+    before = m.filter(F.col("dt") < "20240115")
+    stored = R.cumulative_users(before, START).filter("grp = 'qianA' and dt = '20240114'").select("date", "user_num")
+    today = R.user_stats_daily(m.filter(F.col("dt") == "20240115"), START, first_seen=R.first_seen(m, START))
+    return R.user_metrics(today, stored).drop("user_num")
+
+
+@register("totals_incremental")
+def q_totals_incremental(spark, sf_dir):
+    """Totals of every day as yesterday's stored total plus today's new users."""
+    m = rel_members(spark, sf_dir)
+    stored = R.cumulative_users(m, START).select("date", "user_num")
+    return R.advance_totals(stored, R.new_users(m, START))
+
+
 @register("cumulative_users")
 def q_cumulative_users(spark, sf_dir):
     return R.cumulative_users(rel_members(spark, sf_dir), START)
@@ -185,9 +206,17 @@ def q_watch_stats_ab(spark, sf_dir):
     return SL.watch_stats(news(spark, sf_dir), slot_match="any")
 
 
+@register("watch_stats_whole")
+def q_watch_stats_whole(spark, sf_dir):
+    """Plays whose whole slot field is an AI slot of the day: odd events name one slot here."""
+    one = F.when(F.col("event_id") % 2 == 1, F.substring_index("rec_pos", ";", 1)).otherwise(F.col("rec_pos"))
+    return SL.watch_stats(news(spark, sf_dir).withColumn("rec_pos", F.when(F.col("action_type") == "3", one).otherwise(F.col("rec_pos"))),
+                          slot_match="whole")
+
+
 @register("slot_report")
 def q_slot_report(spark, sf_dir):
-    return SL.slot_report(news(spark, sf_dir), ai_type="2", man_type="1")
+    return SL.slot_report(news(spark, sf_dir), man_type="1", ai_type="2")
 
 
 # ---------------------------------------------------------------- reports
@@ -217,7 +246,7 @@ def parsed_logs(spark, sf_dir, with_rejects=False):
     from ..session import scratch_path
     from ..sources.logs import read_log_text
     path = scratch_path(spark, "logs")
-    log_lines(spark, sf_dir, with_rejects).write.partitionBy("dt").text(path)
+    log_lines(spark, sf_dir, with_rejects).hint("rebalance", "dt").write.partitionBy("dt").text(path)
     return parse_log_lines(read_log_text(spark, path, folder_prefix="dt="))
 
 
@@ -264,10 +293,11 @@ def q_date_spine(spark, sf_dir):
 def q_time_funcs(spark, sf_dir):
     """Epoch -> day / hour and compact time -> epoch ms / s, Asia/Shanghai;
     error events carry the text 'null' (-> 未知)."""
-    ev = spread(read_table(spark, sf_dir, "events"))
+    ev = spread(read_table(spark, sf_dir, "events"), PARTS)
     secs = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
     b = ev.select("event_id", "ts", "event_type", secs.alias("action_sec"))
-    sec = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("action_sec").cast("string"))
+    sec = (F.when(F.col("event_type") == "error", F.lit("null")).when(F.col("event_id") % 11 == 3, "9999999999999999")
+           .when(F.col("event_id") % 11 == 4, "-99999999999999").when(F.col("event_id") % 11 == 5, "12x").otherwise(F.col("action_sec").cast("string")))
     compact = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(
         F.date_format("ts", "yyyyMMddHHmmssSSS"))
     return b.select("event_id",
@@ -352,6 +382,19 @@ def q_item_export(spark, sf_dir):
     return s.select(tsv_line(fields).alias("line"))
 
 
+@register("item_job")
+def q_item_job(spark, sf_dir):
+    """The item job on two dumps with equal arguments: the snapshot accumulates, the export is its text."""
+    from ..jobs import items_job
+    from ..session import scratch_path
+    base = scratch_path(spark, "items")
+    lines = item_lines(spark, sf_dir, with_rejects=True)
+    for k, part in enumerate((lines.filter(F.col("_ts") < "2024-01-16"), lines.filter(F.col("_ts") >= "2024-01-16"))):
+        part.select("value").write.text(f"{base}/dump{k}")
+        _, out = items_job(spark, f"{base}/dump{k}", ",".join(ITEM_FIELDS), 0, f"{base}/snapshot", f"{base}/export", date=f"run{k}")
+    return spark.read.text(out).select(F.col("value").alias("line"))
+
+
 @register("offset_ledger")
 def q_offset_ledger(spark, sf_dir):
     """Per topic 'partition|untilOffset' list (topic = event type, partition = user mod 4)."""
@@ -368,13 +411,24 @@ JSON_KEYS = ["eventId", "bizType", "userId", "mac", "id", "ids", "name", "curr_t
 
 @register("json_flatten")
 def q_json_flatten(spark, sf_dir):
-    f = flatten_json(spread(raw_events_json(spark, sf_dir)))
+    f = flatten_json(spread(raw_events_json(spark, sf_dir), PARTS))
     return f.select(*[F.col("fields")[k].alias(k) for k in JSON_KEYS])
 
 
+@register("json_levels")
+def q_json_levels(spark, sf_dir):
+    """Messages of 1 to 12 levels with a key at the bottom, and a key twice in the lowest object."""
+    ev = read_table(spark, sf_dir, "events")
+    n = (F.col("event_id") % 12).cast("int")
+    value = F.concat(F.expr("repeat('{\"o\":', int(event_id % 12))"), F.lit('{"mac":"x","mac":"m'), F.col("user_id").cast("string"), F.lit('"}'),
+                     F.expr("repeat('}', int(event_id % 12))"))
+    d = spread(ev.select("event_id", n.alias("levels"), value.alias("value")), PARTS)
+    return flatten_json(d).select("event_id", "levels", F.col("fields")["mac"].alias("mac"))
+
+
 @register("event_project")
 def q_event_project(spark, sf_dir):
-    return project_event(flatten_json(spread(raw_events_json(spark, sf_dir))))
+    return project_event(flatten_json(spread(raw_events_json(spark, sf_dir), PARTS)))
 
 
 # messages arrive in two drops; each drop's messages carry its arrival hour
@@ -392,7 +446,7 @@ def q_stream_ingest(spark, sf_dir):
     base = scratch_path(spark, "stream_ingest")
     src, out, ck = f"{base}/in", f"{base}/events", f"{base}/ck"
     arrival = F.when(F.col("ts") < DROP_SPLIT, ARRIVAL["first"]).otherwise(ARRIVAL["second"])
-    raw = spread(raw_events_json(spark, sf_dir, curr_time=arrival))
+    raw = spread(raw_events_json(spark, sf_dir, curr_time=arrival), PARTS)
     drops = [raw.filter(F.col("ts") < DROP_SPLIT), raw.filter(F.col("ts") >= DROP_SPLIT)]
     for part in drops:
         part.select("value").write.mode("append").text(src)
@@ -418,29 +472,60 @@ def q_member_write(spark, sf_dir):
 # ---------------------------------------------------------------- whole jobs from raw day folders
 
 
-def logs_from_folders(spark, sf_dir):
-    """Valid rows of the written day folders, event day from epoch seconds (UTC here)."""
-    v, _ = valid_rows(parsed_logs(spark, sf_dir))
-    return with_event_day(v, tz="UTC")
+def mixed_folders(spark, sf_dir) -> str:
+    """Late, short and timeless lines among whole ones, written as day folders."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "mixed-logs")
+    mixed_log_lines(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").text(path)
+    return path
+
+
+def mixed_rows(spark, sf_dir, min_fields):
+    from ..sources.logs import read_behavior_log
+    return read_behavior_log(spark, mixed_folders(spark, sf_dir), folder_prefix="dt=", min_fields=min_fields)
 
 
 @register("funnel_from_logs")
 def q_funnel_from_logs(spark, sf_dir):
-    """Raw lines -> one scan of all day folders -> event day -> A/B -> daily funnel."""
-    return funnel_daily(with_group(by_scene(logs_from_folders(spark, sf_dir), SCENE_REL)))
+    """Raw lines (5 fields needed) -> folder day and event day -> A/B -> funnel; late lines keep a row."""
+    lg = with_event_day(by_scene(mixed_rows(spark, sf_dir, 5), SCENE_REL), "UTC")
+    return funnel_daily(with_group(lg), by=("grp", "folder_dt", "dt"))
+
+
+@register("players_from_logs")
+def q_players_from_logs(spark, sf_dir):
+    """Players and funnel totals from one scan, players by folder day whatever their time."""
+    from ..jobs import rel_metrics
+    lg = with_event_day(by_scene(mixed_rows(spark, sf_dir, 5), SCENE_REL), "UTC")
+    return rel_metrics(with_group(lg)).filter("whole_folder = 1").select("grp", "folder_dt", "players", "users")
+
+
+@register("members_from_logs")
+def q_members_from_logs(spark, sf_dir):
+    """Related A/B uid split by folder day: 3 fields are enough, the time isn't read."""
+    return members_daily(mixed_rows(spark, sf_dir, 3), SCENE_REL)
 
 
 @register("news_members")
 def q_news_members(spark, sf_dir):
-    """News A/B uid split of release V2.1 on products SC823 / SC818 (all days, both groups)."""
-    return members_daily(logs_from_folders(spark, sf_dir), SCENE_NEWS, version="V2.1")
+    """News A/B uid split of release V2.1 on products SC823 / SC818 by folder day: 6 fields needed."""
+    return members_daily(mixed_rows(spark, sf_dir, 6), SCENE_NEWS, version="V2.1")
+
+
+@register("mixed_rejects")
+def q_mixed_rejects(spark, sf_dir):
+    """Lines too short for the funnel, as a job writes them, by folder day."""
+    from ..session import scratch_path
+    from ..sources.logs import read_behavior_log
+    out = scratch_path(spark, "rejects")
+    read_behavior_log(spark, mixed_folders(spark, sf_dir), folder_prefix="dt=", min_fields=5, rejects_path=out)
+    return spark.read.parquet(out).groupBy(F.col("dt").cast("string").alias("dt"), "n_fields").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("news_report")
 def q_news_report(spark, sf_dir):
     """Per day and group, release V2.1 on SC823 / SC818 only: AI-slot exposures,
     plausible watch sum and mean, plays in AI slots."""
-    logs = by_release(by_scene(logs_from_folders(spark, sf_dir), SCENE_NEWS), "V2.1")
-    logs = watch_fields(with_group(logs))
-    logs = logs.withColumn("event_id", F.col("aux").cast("bigint"))
+    v, _ = valid_rows(parsed_logs(spark, sf_dir))
+    logs = watch_fields(with_group(by_release(by_scene(v, SCENE_NEWS), "V2.1")))
     return news_report(logs, slot_match="any")

@@ -180,6 +180,17 @@ GROUP BY grp, dt
 """, NEWS)
 
 
+# odd plays name one slot; the whole field must be a slot of the day's set
+ORACLE["watch_stats_whole"] = with_blog("""
+SELECT grp, dt, count(*) AS plays, count(DISTINCT uid) AS players,
+       CAST(coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) AS BIGINT) AS watch_sum,
+       CAST(coalesce(sum(watch_s) FILTER (WHERE watch_s <= 2 * dur_s), 0) // count(DISTINCT uid) AS BIGINT) AS watch_mean
+FROM (SELECT *, CASE WHEN event_id % 2 = 1 THEN split_part(rec_pos, ';', 1) ELSE rec_pos END AS one FROM news WHERE action_type = '3') p
+JOIN (SELECT DISTINCT dt AS sdt, rec_posi FROM aiset) s ON s.sdt = p.dt AND s.rec_posi = p.one
+GROUP BY grp, dt
+""", NEWS)
+
+
 def _slot_report_sql() -> str:
     cols = []
     for g in ("a", "b"):
@@ -193,20 +204,19 @@ def _slot_report_sql() -> str:
 ORACLE["slot_report"] = _slot_report_sql()
 
 # the 4-way left join anchored on click days, literally
-_FUNNEL_JOIN = """
-SELECT c.action_time, userNum{g}, exposure{g}, clickNum{g}, orderNum{g}
-FROM (SELECT dt AS action_time, count(*) AS clickNum{g} FROM v WHERE action_type = '2' GROUP BY dt) c
-LEFT JOIN (SELECT dt AS action_time, count(*) AS exposure{g} FROM v WHERE action_type = '1' GROUP BY dt) e
-  ON c.action_time = e.action_time
-LEFT JOIN (SELECT dt AS action_time, count(DISTINCT uid) AS userNum{g} FROM v GROUP BY dt) u
-  ON c.action_time = u.action_time
-LEFT JOIN (SELECT dt AS action_time, count(*) AS orderNum{g} FROM v WHERE action_type = '6' GROUP BY dt) o
-  ON c.action_time = o.action_time
+# days with a click; per day the distinct users and the rows of each action code, null for none
+_FUNNEL_DAYS = """
+SELECT days.dt AS action_time,
+       (SELECT nullif(count(DISTINCT x.uid), 0) FROM v x WHERE x.dt = days.dt) AS userNum{g},
+       (SELECT nullif(count(*), 0) FROM v x WHERE x.dt = days.dt AND x.action_type = '1') AS exposure{g},
+       (SELECT count(*) FROM v x WHERE x.dt = days.dt AND x.action_type = '2') AS clickNum{g},
+       (SELECT nullif(count(*), 0) FROM v x WHERE x.dt = days.dt AND x.action_type = '6') AS orderNum{g}
+FROM (SELECT DISTINCT dt FROM v WHERE action_type = '2') days
 """
 
 for _g in ("A", "B"):
     ORACLE[f"funnel_report_{_g.lower()}"] = with_blog(
-        _FUNNEL_JOIN.format(g=_g), f"v AS (SELECT * FROM gblog WHERE scene_id = 'S_REL' AND grp = '{_g}')")
+        _FUNNEL_DAYS.format(g=_g), f"v AS (SELECT * FROM gblog WHERE scene_id = 'S_REL' AND grp = '{_g}')")
 ORACLE["province_report"] = ORACLE["funnel_report_a"]
 
 # ---------------------------------------------------------------- parsing
@@ -239,9 +249,9 @@ FROM (SELECT unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)
 
 ORACLE["time_funcs"] = """
 SELECT event_id,
-  CASE WHEN event_type = 'error' THEN '未知'
+  CASE WHEN event_type = 'error' THEN '未知' WHEN event_id % 11 IN (3, 4, 5) THEN NULL
        ELSE strftime(timezone('Asia/Shanghai', to_timestamp(floor(epoch(ts)))), '%Y%m%d') END AS day,
-  CASE WHEN event_type = 'error' THEN '未知'
+  CASE WHEN event_type = 'error' THEN '未知' WHEN event_id % 11 IN (3, 4, 5) THEN NULL
        ELSE strftime(timezone('Asia/Shanghai', to_timestamp(floor(epoch(ts)))), '%Y%m%d%H') END AS hour,
   CASE WHEN event_type = 'error' THEN '未知'
        ELSE CAST(epoch_ms(timezone('Asia/Shanghai', date_trunc('millisecond', ts))) AS VARCHAR) END AS ms,
@@ -332,6 +342,14 @@ SELECT CAST(user_id AS VARCHAR) || chr(9) || CAST(event_id AS VARCHAR) || chr(9)
 FROM ({_LATEST})
 """
 
+# each load's last line per key, the second load over the first; lines with a wrong field count are left out
+ORACLE["item_job"] = """
+SELECT CAST(user_id AS VARCHAR) || chr(9) || CAST(event_id AS VARCHAR) || chr(9) || event_type || chr(9)
+       || strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || chr(9) || CAST(value AS VARCHAR) || chr(9) AS line
+FROM events WHERE event_type <> 'error'
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts >= TIMESTAMP '2024-01-16' DESC, event_id DESC) = 1
+"""
+
 ORACLE["offset_ledger"] = """
 SELECT topic, string_agg(CAST(p AS VARCHAR) || '|' || CAST(u AS VARCHAR), ',' ORDER BY p) AS ledger
 FROM (SELECT 'ev_' || event_type AS topic, CAST(user_id % 4 AS INTEGER) AS p, max(event_id) + 1 AS u
@@ -370,12 +388,58 @@ ORACLE["member_write"] = with_blog("SELECT grp, dt, count(*) AS n FROM m GROUP B
 
 
 # ---------------------------------------------------------------- whole jobs from raw day folders
-ORACLE["funnel_from_logs"] = ORACLE["funnel_daily_ab"]
+# lines as they come: a late one lies in the folder of the day before; event day unknown without a usable time
+_MIXED = """mixed AS (
+  SELECT *, event_id % 10 AS kind,
+         CASE WHEN event_id % 10 = 1 THEN strftime(CAST(strptime(dt, '%Y%m%d') AS DATE) - 1, '%Y%m%d') ELSE dt END AS folder_dt,
+         CASE WHEN event_id % 10 IN (5, 6) THEN '未知' ELSE dt END AS event_dt,
+         CASE event_id % 10 WHEN 2 THEN 7 WHEN 3 THEN 6 WHEN 4 THEN 5 WHEN 7 THEN 3 WHEN 8 THEN 2 ELSE 8 END AS n_fields
+  FROM gblog)"""
+
+ORACLE["funnel_from_logs"] = with_blog("""
+SELECT grp, folder_dt, event_dt AS dt, count(*) FILTER (action_type = '1') AS exposures, count(*) FILTER (action_type = '2') AS clicks,
+       count(DISTINCT uid) AS users, count(*) FILTER (action_type = '6') AS orders
+FROM mixed WHERE scene_id = 'S_REL' AND n_fields >= 5 GROUP BY ALL
+""", _MIXED)
+
+ORACLE["players_from_logs"] = with_blog("""
+SELECT grp, folder_dt, count(DISTINCT uid) FILTER (action_type = '3') AS players, count(DISTINCT uid) AS users
+FROM mixed WHERE scene_id = 'S_REL' AND n_fields >= 5 GROUP BY ALL
+""", _MIXED)
+
+ORACLE["members_from_logs"] = with_blog("""
+SELECT DISTINCT grp, folder_dt AS dt, uid FROM mixed WHERE scene_id = 'S_REL' AND n_fields >= 3
+""", _MIXED)
 
 ORACLE["news_members"] = with_blog("""
-SELECT DISTINCT grp, dt, uid FROM gblog
-WHERE scene_id = 'S_NEWS' AND event_id % 2 = 0 AND user_id % 3 IN (0, 1)
-""")
+SELECT DISTINCT grp, folder_dt AS dt, uid FROM mixed
+WHERE scene_id = 'S_NEWS' AND event_id % 2 = 0 AND user_id % 3 IN (0, 1) AND n_fields >= 6
+""", _MIXED)
+
+ORACLE["mixed_rejects"] = with_blog("""
+SELECT folder_dt AS dt, n_fields, count(*) AS n FROM mixed WHERE n_fields < 5 GROUP BY ALL
+""", _MIXED)
+
+ORACLE["user_metrics_news"] = with_blog("""
+SELECT lower(right(g, 1)) || '20240115' AS date, g AS grp, '20240115' AS dt,
+  (SELECT count(*) FROM n WHERE n.g = x.g AND dt = '20240115' AND uid NOT IN (SELECT uid FROM n o WHERE o.g = x.g AND o.dt < '20240115')) AS user_new,
+  (SELECT count(*) FROM n WHERE n.g = x.g AND dt = '20240115' AND uid IN (SELECT uid FROM n o WHERE o.g = x.g AND o.dt < '20240115')) AS user_remain,
+  (SELECT count(*) FROM n WHERE n.g = x.g AND dt = '20240115') AS user_active,
+  CASE WHEN g = 'qianA' THEN (SELECT count(DISTINCT uid) FROM n WHERE n.g = x.g AND dt <= '20240115') END AS total_users,
+  CASE WHEN g = 'qianA' THEN 'ok' ELSE 'missing' END AS state
+FROM (SELECT DISTINCT g FROM n WHERE dt = '20240115') x
+""", "n AS (SELECT DISTINCT 'qian' || grp AS g, dt, uid FROM gblog WHERE scene_id = 'S_NEWS')")
+
+ORACLE["totals_incremental"] = with_blog("""
+SELECT lower(grp) || dt AS date,
+  CASE WHEN dt > (SELECT min(dt) FROM m o WHERE o.grp = x.grp)
+       THEN CAST((SELECT count(DISTINCT uid) FROM m o WHERE o.grp = x.grp AND o.dt <= x.dt) AS VARCHAR) END AS user_num
+FROM (SELECT DISTINCT grp, dt FROM m) x
+""", MEMBERS)
+
+ORACLE["json_levels"] = """
+SELECT event_id, CAST(event_id % 12 AS INTEGER) AS levels, 'm' || CAST(user_id AS VARCHAR) AS mac FROM events
+"""
 
 NEWS_RELEASE = NEWS.replace("news AS (SELECT * FROM gblog WHERE scene_id = 'S_NEWS')",
                             "news AS (SELECT * FROM gblog WHERE scene_id = 'S_NEWS' "

@@ -18,15 +18,25 @@ from ..operators.filters import action_cond
 from ..operators.groups import members_daily
 from ..operators.retention import retention, user_stats_daily
 from ..operators.slots import slot_exposures, watch_stats
+from ..session import ensure_checkpoint_dir
+
+
+def one_of(labels: tuple[str, str]):
+    """The group label, which must be one of the two (a report of other groups would be all zeros)."""
+    g = F.col("grp")
+    return F.when(g.isin(*labels), g).otherwise(F.raise_error(F.concat(F.lit(f"group not in {labels}: "), F.coalesce(g, F.lit("null")))))
 
 
 def daily_report(logs: DataFrame, scene: str, start: str, members: DataFrame | None = None,
-                 play_match: str = "contains", action_match: str = "numeric") -> DataFrame:
+                 play_match: str = "contains", action_match: str = "numeric", groups: tuple[str, str] = ("A", "B"),
+                 first_seen: DataFrame | None = None) -> DataFrame:
     """date, scene_id, then for A and B: expose, click, user_active, order,
     user_new, play (bigint; 0 where nothing happened).
 
-    ``logs`` carries grp; ``members`` defaults to the distinct members of
-    the same logs (as the membership table holds them).
+    ``logs`` carries grp (A / B); ``members`` defaults to the distinct members of
+    the same logs (as the membership table holds them), ``groups`` are their
+    two labels (``("qianA", "qianB")`` for news members). With ``first_seen`` only
+    the given member days are needed, not the history.
     """
     lg = logs.filter(F.col("scene_id") == scene)
     if members is None:
@@ -43,9 +53,9 @@ def daily_report(logs: DataFrame, scene: str, start: str, members: DataFrame | N
     metrics = ["expose", "click", "user_active", "order", "play"]
     day = per.groupBy("dt").agg(*[F.max(F.when(F.col("grp") == g, F.col(m))).alias(f"{g.lower()}_{m}")
                                   for g in ("A", "B") for m in metrics])
-    st = user_stats_daily(members, start)
+    st = user_stats_daily(members.withColumn("grp", one_of(groups)), start, first_seen=first_seen)
     new = st.groupBy("dt").agg(
-        *[F.sum(F.when(F.col("grp") == g, F.col("user_new"))).alias(f"{g.lower()}_user_new") for g in ("A", "B")])
+        *[F.sum(F.when(F.col("grp") == label, F.col("user_new"))).alias(f"{g}_user_new") for g, label in zip("ab", groups, strict=True)])
     out = day.join(new, "dt", "left").select(
         F.col("dt").alias("date"), F.lit(scene).alias("scene_id"),
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in S.DAILY_REPORT_FIELDS[2:]])
@@ -53,13 +63,15 @@ def daily_report(logs: DataFrame, scene: str, start: str, members: DataFrame | N
 
 
 def retention_report(members: DataFrame, scene: str, start: str, d1: str | None = None,
-                     d2: str | None = None, windows=S.RETENTION_WINDOWS) -> DataFrame:
+                     d2: str | None = None, windows=S.RETENTION_WINDOWS, groups: tuple[str, str] = ("A", "B"),
+                     first_seen: DataFrame | None = None) -> DataFrame:
     """date, scene_id, then for A and B and each n: user_new_n,
-    user_new_n_stay, user_active_n, user_active_n_stay."""
-    r = retention(members, tuple(windows), start, d1, d2)      # all n in one pass
+    user_new_n_stay, user_active_n, user_active_n_stay. ``groups``: the two
+    labels of the members; any other label fails."""
+    r = retention(members.withColumn("grp", one_of(groups)), tuple(windows), start, d1, d2, first_seen)   # all n in one pass
     metrics = [m.format(n=n) for n in windows for m in S.RETENTION_MEASURES]
-    joined = r.groupBy("dt").agg(*[F.max(F.when(F.col("grp") == g, F.col(m))).alias(f"{g.lower()}_{m}")
-                                   for g in ("A", "B") for m in metrics])
+    joined = r.groupBy("dt").agg(*[F.max(F.when(F.col("grp") == label, F.col(m))).alias(f"{g}_{m}")
+                                   for g, label in zip("ab", groups, strict=True) for m in metrics])
     fields = [f"{g}_{m.format(n=n)}" for g in ("a", "b") for n in windows for m in S.RETENTION_MEASURES]
     return joined.select(F.col("dt").alias("date"), F.lit(scene).alias("scene_id"),
                          *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in fields])
@@ -69,9 +81,13 @@ def news_report(logs: DataFrame, factor: int = S.WATCH_FACTOR, slot_match: str =
     """Per day, for A and B: AI-slot exposures, total and mean plausible
     watch time and plays in AI slots (the news metrics job as one plan).
 
-    ``logs`` are one scene's rows with grp; both parts are per-day sized,
-    so the join on the day key is small.
+    ``logs`` are one scene's rows with grp. The exposures and plays are
+    written once to the shared checkpoint folder, so the source is read and
+    parsed once; both parts are per-day sized, so the join on the day key is small.
     """
+    ensure_checkpoint_dir(logs.sparkSession)
+    logs = logs.filter(action_cond(S.ACTION_EXPOSURE) | action_cond(S.ACTION_PLAY)).select(
+        "dt", "grp", "uid", "action_type", "rec_pos", "rec_type", "watch_s", "dur_s").checkpoint(eager=True)
     ex = slot_exposures(logs)
     ws = watch_stats(logs, factor=factor, slot_match=slot_match)
     wide = ws.groupBy("dt").agg(*[F.max(F.when(F.col("grp") == g, F.col(c))).alias(f"{g.lower()}_{c}")

@@ -1,48 +1,39 @@
-"""SQL surface: register behaviour-log frames as temp views so the
-report SQL users already have keeps working (Catalyst plans it the
-same way as the DataFrame code)."""
+"""SQL surface: a behaviour-log frame as a temp view and the funnel report
+as one grouped statement over it (Catalyst plans it like the DataFrame form)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
+import uuid
 
-
-# Per-metric views over v_table<G> (uid, action_type, action_time) and the
-# report joining them on the click days; ``{g}`` is the group letter.
-METRIC_VIEWS = {
-    "v_exposure_{l}": "select action_time, count(*) exposure{g} from v_table{g} where action_type=1 group by action_time",
-    "v_click_{l}": "select action_time, count(*) clickNum{g} from v_table{g} where action_type=2 group by action_time",
-    "v_user_{l}": "select action_time, count(distinct(uid)) userNum{g} from v_table{g} where group by action_time",
-    "v_order_{l}": "select action_time, count(*) orderNum{g} from v_table{g} where action_type=6 group by action_time",
-}
-
-GROUP_REPORT_SQL = """
-SELECT c.action_time, userNum{g}, exposure{g}, clickNum{g}, orderNum{g}
-FROM v_click_{l} c
-LEFT JOIN v_exposure_{l} e ON c.action_time = e.action_time
-LEFT JOIN v_user_{l} u ON c.action_time = u.action_time
-LEFT JOIN v_order_{l} o ON c.action_time = o.action_time
-ORDER BY c.action_time
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Output column names are fixed values of the report; a metric without rows is null.
+FUNNEL_SQL = """
+WITH per_day AS (
+  SELECT day,
+         count(DISTINCT uid) AS users,
+         count_if(code = 1) AS shown,
+         count_if(code = 2) AS clicked,
+         count_if(code = 6) AS bought
+  FROM {log} GROUP BY day)
+SELECT day AS action_time, nullif(users, 0) AS userNum{g}, nullif(shown, 0) AS exposure{g},
+       clicked AS clickNum{g}, nullif(bought, 0) AS orderNum{g}
+FROM per_day WHERE clicked > 0 ORDER BY action_time
 """
 
 
 def sql_funnel_report(spark: SparkSession, logs: DataFrame, grp: str) -> DataFrame:
-    """The click-anchored join report through temp views and SQL text.
+    """The click-anchored report of one group as SQL text over one scan.
 
-    ``action_type=1`` on a string column is an implicit cast; under ANSI
-    a non-numeric code would fail, so codes are made numeric-safe first.
+    The view has a name of its own per call, so callers don't meet; codes
+    that are no number match nothing, with ANSI on or off.
     """
-    from pyspark.sql import functions as F
-    g, lo = grp.upper(), grp.lower()
-    v = (logs.filter(F.col("grp") == g)
-         .select("uid", F.trim("action_type").try_cast("int").alias("action_type"),
-                 F.col("dt").alias("action_time")))
-    register_views(spark, {f"v_table{g}": v})
-    for name, sql in METRIC_VIEWS.items():
-        spark.sql(sql.format(g=g)).createOrReplaceTempView(name.format(l=lo))
-    return spark.sql(GROUP_REPORT_SQL.format(g=g, l=lo))
+    view = f"abflow_log_{uuid.uuid4().hex}"
+    (logs.filter(F.col("grp") == grp.upper())
+     .select("uid", F.trim("action_type").try_cast("int").alias("code"), F.col("dt").alias("day"))
+     .createOrReplaceTempView(view))
+    try:
+        return spark.sql(FUNNEL_SQL.format(log=view, g=grp.upper()))
+    finally:
+        spark.catalog.dropTempView(view)

@@ -3,7 +3,9 @@ checkpoint folder every lineage cut goes through."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -73,7 +75,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        # one process: a folder of this run, removed when it ends
         d = tempfile.mkdtemp(prefix="abflow-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -87,14 +93,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df):
-    """Round-robin a narrow input over the cluster before CPU-heavy per-row
-    work (JSON parsing). A no-op when the input already has at least
-    ``defaultParallelism`` partitions, which is the case for large inputs;
-    only a small or single-row-group source pays the extra shuffle."""
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API in this session: leave the plan as it is
-        return df
-    return df.repartition(n) if have < n else df
+def spread(df, partitions: int):
+    """Round-robin rows over ``partitions`` tasks before CPU-heavy per-row
+    work (JSON parsing) on a source of too few splits. The caller decides;
+    nothing is measured."""
+    return df.repartition(partitions)

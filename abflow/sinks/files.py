@@ -1,9 +1,9 @@
 """Sinks: partitioned appends and re-runnable overwrites, report and
 totals writers through any format, and the dated TSV export.
 
-Re-runs are idempotent where the analysed jobs duplicated rows: member
-and report writes replace only the partitions they carry (dynamic
-partition overwrite), never the whole table.
+A re-run of a member write replaces only the partitions it carries (dynamic
+partition overwrite). Report and total writes append, as the analysed jobs do: a
+re-run adds its rows again.
 """
 
 from __future__ import annotations
