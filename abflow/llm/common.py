@@ -69,12 +69,6 @@ def text_buffers(col: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray,
         row += n
 
 
-def column(batch, name: str):
-    """A column as one array (grouped functions get tables in chunks)."""
-    c = batch.column(name)
-    return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
-
-
 # ---------------------------------------------------------------- hashing
 
 _rng = np.random.Generator(np.random.PCG64(20240229))

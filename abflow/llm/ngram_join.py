@@ -155,7 +155,9 @@ def _labelled(ids: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _possible(x, y, percent: int) -> Column:
-    """Two sets of n n-grams, c of them not their own, can reach the threshold."""
+    """Two sets of n n-grams can reach the threshold if the n-gram they meet at is the first
+    that they share. c: n-grams from that one on, of those that aren't the set's own (which
+    come first in the order); no more can be common."""
     total = percent * (x["n"] + y["n"])
     return (100 + percent) * F.least(x["c"], y["c"]) >= total
 
@@ -166,8 +168,8 @@ def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS) -
     parts = found.select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1))).alias("f"), "grams").select(
         "doc_id", "n", "f", F.filter("grams", lambda h: F.shiftrightunsigned(h, 64 - bits).cast("int") == F.col("f")).alias("part")
     ).filter(F.size("part") > 0)
-    one = F.struct("n", "c", F.col("doc_id").alias("id"))
-    tokens = cut(found.select("doc_id", one.alias("x"), F.explode("prefix").alias("t")))
+    tokens = found.select("doc_id", "n", "c", F.posexplode("prefix").alias("i", "t"))
+    tokens = cut(tokens.select("doc_id", "t", F.struct("n", (F.col("c") - F.col("i")).alias("c"), F.col("doc_id").alias("id")).alias("x")))
     # centres of a group: least of its own, smallest id, any
     seeds = [F.min(F.struct(((F.col("x.n") - F.col("x.c")) / F.col("x.n")).alias("k"), "x")), F.min(F.struct(F.col("doc_id").alias("k"), "x")),
              F.min(F.struct(F.xxhash64("doc_id").alias("k"), "x"))]
