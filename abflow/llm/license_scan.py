@@ -2,10 +2,12 @@
 
 Templates are cut into words; their hashed 3-word runs are winnowed (the smallest of every
 window of four is kept, all of a short template) and filed in an inverted index. A text's 3-word
-runs are looked up there; hits of one template that lie near each other and near
-one diagonal make a candidate, which is aligned word by word within a band
-around that diagonal. Reported are the template's matched words, their share
-(coverage) and the byte span in the text. Of overlapping finds the best stays.
+runs are looked up there; hits of one template whose diagonals follow each other in steps of
+at most a band make a chain. A chain is aligned word by word within a band around its
+diagonals, a chain wider than ``SPAN`` templates in windows that overlap by half, so
+every hit is aligned; the text before and after an alignment is aligned again while it has hits.
+Reported are the template's matched words, their share (coverage) and the byte span
+in the text. Of overlapping finds the best stays.
 
 Narrow: templates are a fixed argument of checked size (``MAX_TEMPLATE_WORDS``) and go to every task.
 
@@ -16,6 +18,7 @@ are scanned like others; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -27,6 +30,8 @@ from .common import PLAIN, Words, read_table, text_buffers
 
 RUN, WINDOW = 3, 4
 COVERAGE = 0.8
+SPAN = 4  # diagonals aligned at once, in lengths of the template
+NARROW = 64  # diagonals up to which cells are cheaper one by one
 MAX_TEMPLATE_WORDS = 1_000_000
 _OUT = pa.schema([("doc_id", pa.int64()), ("license_id", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                   ("n_matched", pa.int64()), ("n_words", pa.int64()), ("coverage", pa.float64())])
@@ -116,6 +121,58 @@ def align(text: list[int], template: list[int], diagonal: int, band: int) -> tup
     return best[1], best[2], best[3]
 
 
+def align_wide(text: np.ndarray, template: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
+    """``align`` a template word at a time over all diagonals: a cell is score, matches and first
+    text word in 21 bits each. Of equal scores the one with more matches wins."""
+    n, m, lo, width = len(text), len(template), diagonal - band, 2 * band + 1
+    one, pair = 1 << 42, (2 << 42) + (1 << 21)
+    slope = np.arange(width, dtype=np.int64) * one
+    before, now = np.zeros(width + 1, np.int64), np.zeros(width + 1, np.int64)
+    best = (0, 0, 0)
+    for j in range(m):
+        p, q = max(0, -lo - j), min(width, n - lo - j)
+        now[:] = 0
+        if p < q:
+            diag, row = before[p:q], now[p:q]
+            same = text[j + lo + p:j + lo + q] == template[j]
+            np.subtract(diag, one, out=row)
+            at = np.flatnonzero(same)
+            row[at] = np.where(diag[at] > 0, diag[at], at + (j + lo + p)) + pair
+            np.maximum(row, before[p + 1:q + 1] - one, out=row)
+            row[row < one] = 0
+            row += slope[:q - p]
+            np.maximum.accumulate(row, out=row)
+            row -= slope[:q - p]
+            row[row < one] = 0
+            b = int(row.argmax())
+            top = int(row[b])
+            if top >> 21 > best[0] >> 21:
+                best = (top, top & (1 << 21) - 1, j + lo + p + b + 1)
+        before, now = now, before
+    return best[0] >> 21 & (1 << 21) - 1, best[1], best[2]
+
+
+def _aligned(text: list[int], template: list[int], diagonal: int, band: int) -> tuple[int, int, int]:
+    if 2 * band + 1 <= NARROW or 2 * (len(template) + band) + len(text) >= 1 << 21:  # the latter doesn't fit the packed cells
+        return align(text, template, diagonal, band)
+    return align_wide(np.array(text, np.uint64), np.array(template, np.uint64), diagonal, band)
+
+
+def windows(places: list[tuple[int, int]], band: int, span: int) -> list[list[tuple[int, int]]]:
+    """Hits (diagonal, text place), sorted, in chains of steps up to ``band``; a chain wider than
+    ``span`` in windows of that width that overlap by half."""
+    out = []
+    cuts = [0, *(x for x in range(1, len(places)) if places[x][0] - places[x - 1][0] > band), len(places)]
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        while True:
+            e = bisect_right(places, places[a][0] + span, a, z, key=lambda x: x[0])
+            out.append(places[a:e])
+            if e == z:
+                break
+            a = bisect_right(places, places[a][0] + span // 2, a, z, key=lambda x: x[0])
+    return out
+
+
 def finds(hashes: list[int], hits: list[tuple[int, int, int]], index: Index, coverage: float) -> list[tuple[int, int, int, int]]:
     """(template, matched, first word, last word plus one) of a text. hits: (template, text place, template place)."""
     found = []
@@ -123,24 +180,30 @@ def finds(hashes: list[int], hits: list[tuple[int, int, int]], index: Index, cov
     for k, i, j in hits:
         by[k].append((i - j, i))
     for k, places in by.items():
-        m = len(index.words[k])
+        words = index.words[k]
+        m = len(words)
         band = 2 + m // 8
         places.sort()
-        group: list[tuple[int, int]] = []
-        for x in [*places, None]:
-            if group and (x is None or x[0] - group[-1][0] > band):
-                d = (group[0][0] + group[-1][0]) // 2
-                wide = band + group[-1][0] - group[0][0]
-                a = max(0, group[0][0] - band)
-                z = min(len(hashes), group[-1][0] + m + band)
-                n, i, e = align(hashes[a:z], index.words[k], d - a, min(wide, 4 * band))
+        for group in windows(places, band, max(2 * band, SPAN * m)):
+            first, last = group[0][0], group[-1][0]
+            d, wide = (first + last) // 2, min(band + last - first, 2 * band + (last - first + 1) // 2)
+            at = sorted(i for _, i in group)
+            parts = [(max(0, first - band), min(len(hashes), last + m + band))]
+            while parts:
+                a, z = parts.pop()
+                h = bisect_left(at, a)
+                if h == len(at) or at[h] + RUN > z:
+                    continue  # no hit
+                part = hashes[a:z]
+                some = set(part)
+                if sum(w in some for w in words) < coverage * m:
+                    continue  # can't reach the coverage
+                n, i, e = _aligned(part, words, d - a, wide)
+                if not n:
+                    continue
                 if n >= coverage * m:
                     found.append((k, n, a + i, a + e))
-                group = []
-            if x is not None:
-                if len(group) > 1 and x[0] - group[0][0] > 2 * band:  # a new copy further on
-                    group = group[-1:]
-                group.append(x)
+                parts += [(a, a + i), (a + e, z)]
     found.sort(key=lambda f: (-f[1], -f[1] / len(index.words[f[0]]), f[3] - f[2], f[0], f[2]))
     kept: list[tuple[int, int, int, int]] = []
     for f in found:

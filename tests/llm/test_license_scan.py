@@ -70,3 +70,71 @@ def test_alignment_against_all_cells():
         assert (best == 0) == (n == 0)
         if best:
             assert 2 * n >= best and 0 <= a < e <= len(x)
+
+
+def legal(n, seed):
+    """A text of n words like a whole license: few words, many repeated runs."""
+    import random
+
+    rng = random.Random(seed)
+    stock = ["of the work", "the copyright holder", "under this license", "to the extent permitted by", "any person", "may copy and distribute", "provided that", "in the event of"]
+    out = []
+    while len(out) < n:
+        out += rng.choice(stock).split() if rng.random() < 0.8 else [f"word{rng.randrange(n)}"]
+    return out[:n]
+
+
+def whole_texts():
+    import pathlib
+
+    real = {n: p.read_text() for n in ("Apache-2.0", "BSD", "MPL-2.0") if (p := pathlib.Path("/usr/share/common-licenses") / n).exists()}
+    return {"made-900": " ".join(legal(900, 1)), "made-60": " ".join(legal(60, 2)), **real}
+
+
+def test_whole_licenses(spark):
+    for name, text in whole_texts().items():
+        words = text.split()
+        inserted = " ".join(w + " extra" if i % 9 == 4 else w for i, w in enumerate(words))
+        texts = [text, text + "\n" + text, inserted, "head " * 30 + text + " tail", " ".join(words[:len(words) // 2])]
+        got = {}
+        for r in run(spark, texts, templates={name: text}):
+            got.setdefault(r.doc_id, []).append(r)
+        assert [r.coverage for r in got[0]] == [1.0] and got[0][0].n_matched == got[0][0].n_words
+        assert [r.coverage for r in got[1]] == [1.0, 1.0] and got[1][0].end <= got[1][1].start
+        assert [r.coverage for r in got[2]] == [1.0] and [r.coverage for r in got[3]] == [1.0] and 4 not in got
+
+
+def test_drift_over_the_band(spark):
+    words = L.TEMPLATES["MIT-permission"].split()
+    drift = " ".join(w + " so" if i % 3 == 2 else w for i, w in enumerate(words))
+    assert [(r.license_id, r.coverage) for r in run(spark, [drift])] == [("MIT-permission", 1.0)]
+    drift = " ".join(w + " a b c" if i % 6 == 5 else w for i, w in enumerate(words))
+    assert [(r.license_id, r.n_matched >= r.n_words - 1) for r in run(spark, [drift])] == [("MIT-permission", True)]  # a last word behind three others costs more than it gives
+
+
+def test_every_hit_is_in_a_window():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(50):
+        places = sorted((rng.randrange(400), rng.randrange(400)) for _ in range(rng.randrange(1, 90)))
+        got = L.windows(places, 7, 60)
+        assert {x for g in got for x in g} == set(places) and all(g[-1][0] - g[0][0] <= 60 for g in got)
+
+
+def test_wide_alignment_as_narrow():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(9)
+    for _ in range(300):
+        t = [rng.randrange(1, 6) for _ in range(rng.randrange(3, 30))]
+        x = [rng.randrange(1, 6) for _ in range(rng.randrange(1, 60))]
+        d, band = rng.randrange(-20, 40), rng.randrange(1, 30)
+        n, a, e = L.align(x, t, d, band)
+        m, b, f = L.align_wide(np.array(x, np.uint64), np.array(t, np.uint64), d, band)
+        assert (n == 0) == (m == 0)
+        if n:
+            # matches 2 each, the rest -1 a word: the same score, so no fewer matches
+            assert m >= n and 0 <= b < f <= len(x)
