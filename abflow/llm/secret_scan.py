@@ -12,8 +12,9 @@ functions and Spark's own forest only.
 
 Labelled findings are an argument (``label`` 1 secret, 0 not). The given tables
 have none, so the query labels those of its findings that a strict format or a
-strict counter-sign decides (``by_format``), adds ``examples`` of common kinds, and
-trains on a bounded sample: at most ``PER_CLASS`` of a class, by hash.
+strict counter-sign decides (``by_format``), of each kind at most ``PER_CLASS`` by hash, and
+adds all ``examples`` of common kinds after that. A kind of the corpus weighs no more than a kind
+of the examples, so the verdicts don't depend on the size of the corpus.
 
 Defined cases: null text has no candidate and stays null; repeated rows get
 the same answer each; a null ``doc_id`` is scanned like any other; with one class alone in the
@@ -24,6 +25,7 @@ columns are ignored by ``scan`` and kept by ``redact``.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -45,6 +47,7 @@ DICTIONARY = ("access", "account", "address", "admin", "angle", "article", "auth
               "version", "video", "view", "week", "word", "year")
 MASK = "[SECRET]"
 PER_CLASS = 5000
+KIND_WEIGHT = 150  # of all training rows of one kind; the examples have as many rows of a kind
 TREES, DEPTH, SEED = 25, 5, 7
 FEATURES = ["length", "transitions", "digits", "capitals", "hex", "variety", "dictionary", "address", "keyword", "assigned", "quoted", "keyword_after"]
 
@@ -91,9 +94,11 @@ def findings(docs: DataFrame) -> DataFrame:
 def by_format(found: DataFrame) -> DataFrame:
     """The findings that a strict format proves (label 1) or a counter-sign disproves (label 0)."""
     c = F.col("text")
-    secret = F.regexp_like(c, F.lit("^AKIA[0-9A-Z]{16}$")) | ((F.col("keyword") == 1) & (F.col("assigned") == 1) & (F.col("hex") == 1) & (F.col("length") >= 16))
-    other = F.regexp_like(c, F.lit("^[0-9+\\-/_]+$")) | (F.col("address") == 1) | ((F.col("dictionary") > 0.4) & (F.col("keyword") == 0))
-    return found.withColumn("label", F.when(secret, 1).when(other, 0)).filter("label is not null")
+    kind = (F.when(F.regexp_like(c, F.lit("^AKIA[0-9A-Z]{16}$")), "1 key id")
+            .when((F.col("keyword") == 1) & (F.col("assigned") == 1) & (F.col("hex") == 1) & (F.col("length") >= 16), "1 hex value")
+            .when(F.regexp_like(c, F.lit("^[0-9+\\-/_]+$")), "0 number").when(F.col("address") == 1, "0 address")
+            .when((F.col("dictionary") > 0.4) & (F.col("keyword") == 0), "0 words"))
+    return found.withColumn("kind", kind).filter("kind is not null").withColumn("label", F.left("kind", F.lit(1)).cast("int"))
 
 
 #: example lines of either kind over the hex digest ``h`` and letters and digits ``b`` of a number
@@ -107,12 +112,12 @@ _EXAMPLES = {
 }
 
 
-def examples(spark, n: int = 150) -> DataFrame:
-    """Labelled findings of common kinds, so that a kind that a corpus lacks isn't unknown."""
-    d = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).select(
+def examples(spark, n: int = KIND_WEIGHT, first: int = 0) -> DataFrame:
+    """Labelled findings of common kinds, so that a kind that a corpus lacks isn't unknown; ``n`` lines of each, of the numbers from ``first`` on."""
+    d = spark.range(first, first + n).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).select(
         "h", F.regexp_replace(F.base64(F.unhex("h")), "[^A-Za-z0-9]", "").alias("b"), F.regexp_replace("h", "[a-f]", "").alias("d"))
-    texts = d.select(F.explode(F.array(*[F.struct(F.expr(e).alias("text"), F.lit(q).alias("doc_id")) for q, es in _EXAMPLES.items() for e in es])).alias("x")).select("x.*")
-    return findings(texts).withColumn("label", F.col("doc_id"))
+    texts = d.select(F.explode(F.array(*[F.struct(F.expr(e).alias("text"), F.lit(f"{q} example {k}").alias("doc_id")) for q, es in _EXAMPLES.items() for k, e in enumerate(es)])).alias("x")).select("x.*")
+    return findings(texts).withColumn("kind", F.col("doc_id")).withColumn("label", F.left("kind", F.lit(1)).cast("int"))
 
 
 class Forest:
@@ -154,17 +159,28 @@ def parse_tree(text: str):
     return node()
 
 
-def train(labelled: DataFrame, per_class: int = PER_CLASS) -> Forest:
-    """A forest from labelled findings: the columns of ``findings`` and ``label``."""
+def train(labelled: DataFrame, per_class: int = PER_CLASS, always: DataFrame | None = None) -> Forest:
+    """A forest from labelled findings: the columns of ``findings``, ``label`` and maybe ``kind``.
+    At most ``per_class`` of a class (of a kind, if there are kinds) are used, and all of ``always``."""
     keys = F.xxhash64("text", *FEATURES)
-    rows = labelled.filter("label in (0, 1)").select("text", *FEATURES, F.col("label").cast("double").alias("label")).distinct()
-    parts = [rows.filter(F.col("label") == q).orderBy(keys, "text").limit(per_class) for q in (0, 1)]
-    rows = cut(parts[0].union(parts[1]))
+
+    def distinct(found: DataFrame) -> DataFrame:
+        kind = F.col("kind") if "kind" in found.columns else F.lit(None).cast("string")
+        return found.filter("label in (0, 1)").select("text", *FEATURES, F.col("label").cast("double").alias("label"), kind.alias("kind")).distinct()
+
+    rows = cut(distinct(labelled))
+    kinds = rows.select("label", "kind").distinct().collect()  # a few: those of by_format or the caller's
+    parts = [rows.filter((F.col("label") == q) & F.col("kind").eqNullSafe(F.lit(k))).orderBy(keys, "text").limit(per_class) for q, k in kinds]
+    if always is not None:
+        parts.append(distinct(always))
+    rows = cut(reduce(DataFrame.union, parts)) if parts else rows
+    weights = F.broadcast(rows.groupBy("kind").agg(F.least(F.lit(1.0), F.lit(float(KIND_WEIGHT)) / F.count("*")).alias("weight")).filter("kind is not null"))
+    rows = cut(rows.join(weights, "kind", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))))
     classes = sorted(r.label for r in rows.select("label").distinct().collect())
     if len(classes) < 2:
         return Forest([], classes[0] if classes else 0.5)
     made = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
-    model: RandomForestClassificationModel = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(made)
+    model: RandomForestClassificationModel = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt", weightCol="weight").fit(made)
     return Forest([parse_tree(t.toDebugString) for t in model.trees])
 
 
@@ -189,9 +205,9 @@ def redact(docs: DataFrame, forest: Forest) -> DataFrame:
     return docs.withColumn("text", F.when(F.col("text").isNotNull(), clean))
 
 
-def forest_of(docs: DataFrame) -> Forest:
+def forest_of(docs: DataFrame, per_class: int = PER_CLASS) -> Forest:
     """Trained on the documents' own findings that a format decides, and on the examples."""
-    return train(by_format(findings(docs)).drop("doc_id").unionByName(examples(docs.sparkSession).drop("doc_id")))
+    return train(by_format(findings(docs)), per_class, always=examples(docs.sparkSession))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

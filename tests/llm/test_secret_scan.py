@@ -65,3 +65,22 @@ def test_native_plan(spark):
     docs = read_table(spark, SF, "documents")
     out = S.redact(docs, S.Forest([(0, 12.5, 0, (8, 0.5, 0, 1))]))
     assert not re.search("Python|Pandas|Arrow|Exchange", out._jdf.queryExecution().executedPlan().toString())
+
+
+def corpus(spark, n):
+    """n texts of each of two secret and two harmless kinds that ``by_format`` labels."""
+    from pyspark.sql import functions as F
+
+    d = spark.range(10**6, 10**6 + n).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    lines = ("concat('with password=', left(h, 18), ' for')", "concat('use AKIA', upper(substr(translate(h, '0123456789', 'GHIJ234567'), 1, 16)), ' to')",
+             "concat('card ', left(regexp_replace(h, '[a-f]', ''), 16), ' paid')", "concat('see http://site.example/p/', left(h, 12), ' now')")
+    return d.select(F.col("id").alias("doc_id"), F.explode(F.array(*map(F.expr, lines))).alias("text"))
+
+
+def test_verdicts_of_each_kind_do_not_change_with_the_corpus(spark):
+    fresh = S.examples(spark, 60, 10**5).withColumn("c", S.F.struct("text", *S.FEATURES)).cache()
+    right = {}
+    for n, most in ((40, S.PER_CLASS), (6000, S.PER_CLASS), (6000, 20)):  # 12000 findings a class; the last sample leaves as little of a mix as a corpus 250 times as large
+        score = S.forest_of(corpus(spark, n), most).score(S.F.col("c"))
+        right[n, most] = {r.kind: r.ok for r in fresh.groupBy("kind").agg(S.F.avg(((score >= 0.5).cast("int") == S.F.col("label")).cast("int")).alias("ok")).collect()}
+    assert all(len(r) == 13 and min(r.values()) > 0.98 for r in right.values()), right
