@@ -6,7 +6,9 @@ smaller ``doc_id``. The steps:
 1. A window of 50 bytes is filed under the smallest hash of its 24-byte pieces.
    Equal windows have equal keys, and neighbouring windows mostly share one,
    so a document falls into runs of windows under one key.
-2. Keys that only one document has are left out (``shared``).
+2. Keys that only one document has are left out (``shared``). The windows of a key that ``HOT``
+   documents or more have (a frequent string with other neighbours in each) are filed one by one
+   under a hash of all their bytes, so a key's size follows the groups, not the documents.
 3. Within a group of documents equal runs are joined: only the smallest
    document's run is sent on, and the others' bytes go at once. A passage that
    a third of all documents has so costs one run per group.
@@ -45,6 +47,7 @@ GROUP_BYTES = 4 << 20
 BUCKET_VALUES = 1 << 20
 SORT_BYTES = 1 << 20  # run bytes that are refined at once, whole keys
 LONGEST = 4096  # windows of one run
+HOT = 20_000  # documents of a key from which its windows are filed one by one
 _RUNS = pa.schema([("g", pa.int32()), ("p", pa.int32()), ("spans", pa.bool_()), ("blob", pa.binary())])
 _RUNS_DDL = "g int, p int, spans boolean, blob binary"
 _SPANS = pa.schema([("p", pa.int32()), ("blob", pa.binary())])
@@ -109,6 +112,19 @@ def runs(data: np.ndarray, off: np.ndarray, width: int = WIDTH):
     return start, end, mix(key.copy()), np.searchsorted(off, start, "right") - 1
 
 
+def one_by_one(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray, doc: np.ndarray, hot: np.ndarray):
+    """The runs with the windows of the hot ones as runs of their own, in the old order."""
+    n = np.where(hot, end - start, 1)
+    each = np.repeat(hot, n)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    start = np.repeat(start, n) + np.where(each, nth, 0)
+    end = np.where(each, start + 1, np.repeat(end, n))
+    key, at = np.repeat(key, n), start[each]
+    h, last = _piece_hashes(data), WIDTH - PIECE
+    key[each] = mix(h[at] + h[at + last // 2] * np.uint64(0x9E3779B97F4A7C15) + h[at + last] * np.uint64(0xBF58476D1CE4E5B9))  # the three pieces cover the window
+    return start, end, key, np.repeat(doc, n)
+
+
 def _measure(n_buckets: int):
     def run(t: pa.Table) -> pa.Table:
         keys = [np.zeros(0, np.uint64)]
@@ -151,7 +167,7 @@ def _joined(doc: np.ndarray, mark: np.ndarray, start: np.ndarray, end: np.ndarra
     return doc[first], mark[first], start[first], np.maximum.reduceat(end, first) if len(first) else end
 
 
-def _split(n_buckets: int, n_parts: int):
+def _split(n_buckets: int, n_parts: int, hot: int = HOT):
     """A group's shared runs: the smallest document's go to the buckets, the others' bytes go here."""
     def run(docs: pa.Table, reply: pa.Table) -> pa.Table:
         rows: list[tuple] = []
@@ -161,12 +177,15 @@ def _split(n_buckets: int, n_parts: int):
             which, start, end, doc, mark, keys = [], [], [], [], [], []
             for data, off, first in text_buffers(docs.column("text")):
                 a, b, key, d = runs(data, off)
-                two = np.flatnonzero(known.count(shared.key(key, n_buckets)) > 1)
+                count = known.count(shared.key(key, n_buckets))
+                two = np.flatnonzero(count > 1)
                 if not len(two):
                     continue
-                raw, a, b, d = data.tobytes(), a[two], b[two], d[two]
+                raw, a, b, key, d, many = data.tobytes(), a[two], b[two], key[two], d[two], count[two] >= hot
+                if many.any():
+                    a, b, key, d = one_by_one(data, a, b, key, d, many)
                 got = []
-                for i, j, k in zip(a.tolist(), (b + WIDTH - 1).tolist(), key[two].tolist(), strict=True):
+                for i, j, k in zip(a.tolist(), (b + WIDTH - 1).tolist(), key.tolist(), strict=True):
                     n = number.setdefault(raw[i:j], len(number))
                     if n == len(keys):
                         keys.append(k)
@@ -331,14 +350,14 @@ def _finish(docs: pa.Table, spans: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(_OUT)], schema=_OUT)
 
 
-def suffix_dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES, bucket_values: int = BUCKET_VALUES) -> DataFrame:
+def suffix_dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES, bucket_values: int = BUCKET_VALUES, hot: int = HOT) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256 and the removed byte spans
     (start, end, start, end, ...)."""
     grouped, groups = with_groups(docs.filter("doc_id is not null"), group_bytes)
     buckets = shared.bucket_count(groups, 0.07, bucket_values, group_bytes)
     parts = max(8, groups)
     reply = shared.answers(grouped.groupBy("p").applyInArrow(_measure(buckets), shared.SENT))
-    runs_ = grouped.groupBy("p").cogroup(reply.groupBy("p")).applyInArrow(_split(buckets, parts), _RUNS_DDL)
+    runs_ = grouped.groupBy("p").cogroup(reply.groupBy("p")).applyInArrow(_split(buckets, parts, hot), _RUNS_DDL)
     spans = runs_.groupBy("g").applyInArrow(_bucket, "p int, blob binary")
     return grouped.groupBy("p").cogroup(spans.groupBy("p")).applyInArrow(_finish, _OUT_DDL)
 

@@ -40,6 +40,8 @@ def test_passages_and_edges(spark):
     want = brute(docs)
     assert digest(S.suffix_dedup(df)) == want
     assert digest(S.suffix_dedup(df, group_bytes=2000, bucket_values=100)) == want
+    assert digest(S.suffix_dedup(df, group_bytes=2000, bucket_values=100, hot=2)) == want
+    assert digest(S.suffix_dedup(df, hot=5)) == want
     assert digest(S.suffix_dedup(df.limit(0))) == {}
 
 
@@ -64,3 +66,22 @@ def test_refinement_finds_equal_strings():
     for i in at:
         for j in at:
             assert (got[i] == got[j]) == (raw[i:i + 50] == raw[j:j + 50])
+
+
+def test_no_key_grows_with_the_documents_of_a_frequent_string():
+    rng = np.random.default_rng(4)
+    middle, letters = b"the same thirty bytes of text.", np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    texts = [letters[rng.integers(0, 26, 60)].tobytes() + middle + letters[rng.integers(0, 26, 60)].tobytes() for _ in range(2000)] + [b"x" * 20 + middle + b"y" * 20] * 3
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    a, b, key, d = S.runs(data, off)
+    keys, n = np.unique(key, return_counts=True)
+    assert n.max() > 100  # one key of many documents with distinct runs
+    i, j, k, e = S.one_by_one(data, a, b, key, d, np.isin(key, keys[n >= 50]))
+    assert np.unique(k, return_counts=True)[1].max() < 50
+    assert sorted(x for p, q in zip(a.tolist(), b.tolist()) for x in range(p, q)) == sorted(x for p, q in zip(i.tolist(), j.tolist()) for x in range(p, q))
+    by = {}
+    raw = data.tobytes()
+    for p, q, x in zip(i.tolist(), j.tolist(), k.tolist()):
+        for w in range(p, q):
+            by.setdefault(raw[w:w + 50], set()).add(x)
+    assert all(len(x) == 1 for x in by.values())  # equal windows meet
