@@ -1,7 +1,9 @@
 """Secret scan with a random forest against false positives (operator 4).
 
-A candidate is a run of eight or more letters, digits and ``_+/-`` with a
-digit in it (and ``=`` padding). Its features are its length, its character
+A candidate is the whole value after a keyword and ``=`` or ``:``, whatever its signs and length, or else
+a run of eight or more letters, digits and ``_+/-`` (and ``=`` padding) with a digit in it, with
+a strict format (``FORMATS``), with two rises from small to capital letters, or of ``LONG`` or more letters.
+Other runs without a digit (words of one case and up to 23 letters, no keyword) aren't candidates. Its features are its length, its character
 transitions, what is covered by dictionary words, signs of a path or address
 around it, and the neighbouring words. A random forest trained from labelled
 findings votes; from half of the trees on it is a secret.
@@ -36,14 +38,24 @@ from .common import cut, read_table
 from .risk_rules import SPACE, let
 
 CORE = r"[A-Za-z0-9_+/\-]{8,}={0,2}"
+#: a digit-free run that is a candidate all the same; the format that proves a secret
+FORMATS = r"AKIA[0-9A-Z]{16}|eyJ[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]*"
+LONG = 24
+ODD = rf"[0-9]|{FORMATS}|([a-z]+[A-Z]+){{2}}|[A-Za-z]{{{LONG}}}"
+RUN = rf"{FORMATS}|{CORE}"
+#: a keyword up to the sign (not "author:" or "secretary:"), the sign, a value
+_KEY = r"(?i)(?:pass(?:word|wd|phrase)|pwd|secret(?!ar)|token|api.?key|access.?key|auth(?!or(?!iz))|credential|private)[A-Za-z0-9_.\-]*[\"'\]]*"
+_VALUE = r"[\"']?[^\s\"']+"
+WITHIN = _KEY + "[=:]+>?" + _VALUE
+ACROSS = _KEY + r"(?: [=:]+>? ?|[=:]+>? )[\"']?([^\s\"']+)\S*$"
 KEYWORDS = r"(?i)pass(word|wd|phrase)|pwd|secret|token|api.?key|access.?key|auth|credential|private"
 ADDRESS = r"@|://|www\.|\.[a-z]{2,5}$|^[/.~]|\\"
 #: words that names, paths and identifiers are made of
 DICTIONARY = ("access", "account", "address", "admin", "angle", "article", "author", "build", "class", "client", "code", "config", "content", "copy", "data", "date",
               "default", "detail", "document", "domain", "download", "draft", "example", "file", "final", "folder", "group", "host", "image", "index", "info", "item",
-              "json", "label", "line", "link", "list", "local", "login", "mail", "main", "media", "model", "module", "name", "node", "number", "object", "order",
-              "page", "part", "path", "photo", "post", "product", "project", "public", "release", "report", "result", "sample", "script", "section", "server",
-              "service", "session", "source", "state", "status", "store", "style", "system", "table", "test", "text", "title", "type", "update", "user", "value",
+              "json", "label", "line", "link", "list", "local", "login", "mail", "main", "media", "model", "module", "name", "node", "none", "null", "number", "object", "order",
+              "page", "part", "path", "photo", "post", "product", "project", "public", "release", "report", "required", "result", "sample", "script", "section", "server",
+              "service", "session", "source", "state", "status", "store", "string", "style", "system", "table", "test", "text", "title", "true", "type", "update", "user", "value",
               "version", "video", "view", "week", "word", "year")
 MASK = "[SECRET]"
 PER_CLASS = 5000
@@ -74,15 +86,33 @@ def _candidate(words: Column, i: Column, w: Column, core: Column) -> Column:
         yes(F.regexp_like(right, F.lit(KEYWORDS))).alias("keyword_after"))
 
 
+def _values(words: Column, i: Column, w: Column) -> Column:
+    """What the i-th word w holds of values assigned to a keyword, without quotes and closing signs."""
+    within = F.transform(F.regexp_extract_all(w, F.lit(WITHIN), F.lit(0)), lambda m: F.regexp_replace(m, r"^[^=:]*[=:]+>?[\"']?", ""))
+    across = F.regexp_extract(F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1), w), ACROSS, 1)
+    both = F.transform(F.concat(F.array(across), within), lambda v: F.regexp_replace(v, r"[,;.)\]}>]+$", ""))
+    return F.array_distinct(F.filter(both, lambda v: F.regexp_like(v, F.lit("[A-Za-z0-9]")) & F.contains(w, v)))
+
+
 def candidates(text: Column) -> Column:
     """The text's candidates as an array of structs, in order."""
-    def found(words: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(words) - 1),
-                      lambda i: (F.char_length(F.get(words, i)) >= 8) & F.regexp_like(F.get(words, i), F.lit(CORE)) & F.regexp_like(F.get(words, i), F.lit("[0-9]")))
-        per = F.transform(at, lambda i: let(F.get(words, i), lambda w: F.transform(
-            F.filter(F.regexp_extract_all(w, F.lit(CORE), F.lit(0)), lambda c: F.regexp_like(c, F.lit("[0-9]"))), lambda c: _candidate(words, i, w, c))))
-        return F.flatten(per)
-    return let(F.split(F.coalesce(text.cast("string"), F.lit("")), SPACE), found)
+    def per_word(words: Column, i: Column, w: Column, keyed: Column) -> Column:
+        def of(values: Column) -> Column:
+            # the runs of the rest; digits or an odd form make them candidates
+            rest = F.aggregate(values, w, lambda t, v: F.replace(t, v, F.lit(" ")))
+            own = F.filter(F.regexp_extract_all(rest, F.lit(RUN), F.lit(0)), lambda c: F.regexp_like(c, F.lit(ODD)))
+            return F.transform(F.concat(own, values), lambda c: _candidate(words, i, w, c))
+        return let(F.when(keyed, _values(words, i, w)).otherwise(F.array().cast("array<string>")), of)
+
+    def found(words: Column, keyed: Column) -> Column:
+        def gate(i: Column) -> Column:
+            w = F.get(words, i)
+            return ((F.char_length(w) >= 8) & F.regexp_like(w, F.lit(CORE)) & F.regexp_like(w, F.lit(ODD))) | (keyed & (F.size(_values(words, i, w)) > 0))
+        at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), gate)
+        return F.flatten(F.transform(at, lambda i: let(F.get(words, i), lambda w: per_word(words, i, w, keyed))))
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    # most texts assign nothing to a keyword: that is looked up once a text
+    return let(F.struct(F.split(whole, SPACE).alias("words"), F.regexp_like(whole, F.lit(_KEY + r"\s*[=:]")).alias("keyed")), lambda x: found(x["words"], x["keyed"]))
 
 
 def findings(docs: DataFrame) -> DataFrame:
@@ -94,28 +124,30 @@ def findings(docs: DataFrame) -> DataFrame:
 def by_format(found: DataFrame) -> DataFrame:
     """The findings that a strict format proves (label 1) or a counter-sign disproves (label 0)."""
     c = F.col("text")
-    kind = (F.when(F.regexp_like(c, F.lit("^AKIA[0-9A-Z]{16}$")), "1 key id")
+    kind = (F.when(F.regexp_like(c, F.lit(f"^({FORMATS})$")), "1 format")
             .when((F.col("keyword") == 1) & (F.col("assigned") == 1) & (F.col("hex") == 1) & (F.col("length") >= 16), "1 hex value")
             .when(F.regexp_like(c, F.lit("^[0-9+\\-/_]+$")), "0 number").when(F.col("address") == 1, "0 address")
             .when((F.col("dictionary") > 0.4) & (F.col("keyword") == 0), "0 words"))
     return found.withColumn("kind", kind).filter("kind is not null").withColumn("label", F.left("kind", F.lit(1)).cast("int"))
 
 
-#: example lines of either kind over the hex digest ``h`` and letters and digits ``b`` of a number
+#: example lines of either kind over the hex digest ``h`` and letters and digits ``b``, letters ``m``, small letters ``l`` and digits ``d`` of a number
 _EXAMPLES = {
     1: ("concat('set token = \"', left(h, 40), '\" here')", "concat('with password=', left(h, 18), ' for')", "concat('use AKIA', upper(left(b, 16)), ' to')",
-        "concat('is gh', 'p_', left(b, 36), ' now')", "concat('api_key: ', left(b, 24))", "concat('client secret ', substr(b, 5, 20), ' kept')"),
+        "concat('is gh', 'p_', left(b, 36), ' now')", "concat('api_key: ', left(b, 24))", "concat('client secret ', substr(b, 5, 20), ' kept')",
+        "concat('with password=', substr(l, 3, 12), ' for')", "concat('secret: ', left(l, 4), '@', substr(l, 7, 5), '!', left(d, 2))", "concat('pwd=', left(b, 6), ' now')",
+        "concat('use AKIA', upper(left(l, 16)), ' to')", "concat('x ', left(m, 30), ' y')"),
     0: ("concat('card ', left(d, 16), ' paid')", "concat('call ', left(d, 4), '-', substr(d, 5, 7), ' soon')", "concat('at http://host', left(d, 2), '.example.com/part/', left(d, 6))",
         "concat('file report_', left(d, 4), '_version', substr(d, 5, 2), '.pdf in')", "concat('commit ', left(h, 40), ' merged')",
         "concat('row ', left(h, 8), '-', substr(h, 9, 4), '-', substr(h, 13, 4), '-', substr(h, 17, 4), '-', substr(h, 21, 12))",
-        "concat('user', left(d, 5), 'name of')"),
+        "concat('user', left(d, 5), 'name of')", "concat('call getItem', initcap(left(l, 5)), 'ListOfUser() in')", "concat('token: ', elt(1 + id % 6, 'true', 'none', 'null', 'required', 'string', 'default'))"),
 }
 
 
 def examples(spark, n: int = KIND_WEIGHT, first: int = 0) -> DataFrame:
     """Labelled findings of common kinds, so that a kind that a corpus lacks isn't unknown; ``n`` lines of each, of the numbers from ``first`` on."""
-    d = spark.range(first, first + n).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).select(
-        "h", F.regexp_replace(F.base64(F.unhex("h")), "[^A-Za-z0-9]", "").alias("b"), F.regexp_replace("h", "[a-f]", "").alias("d"))
+    d = spark.range(first, first + n).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).select(
+        "id", "h", F.regexp_replace(F.base64(F.unhex("h")), "[^A-Za-z]", "").alias("m"), F.lower(F.regexp_replace(F.base64(F.unhex("h")), "[^A-Za-z]", "")).alias("l"), F.regexp_replace(F.base64(F.unhex("h")), "[^A-Za-z0-9]", "").alias("b"), F.regexp_replace("h", "[a-f]", "").alias("d"))
     texts = d.select(F.explode(F.array(*[F.struct(F.expr(e).alias("text"), F.lit(f"{q} example {k}").alias("doc_id")) for q, es in _EXAMPLES.items() for k, e in enumerate(es)])).alias("x")).select("x.*")
     return findings(texts).withColumn("kind", F.col("doc_id")).withColumn("label", F.left("kind", F.lit(1)).cast("int"))
 
@@ -164,17 +196,18 @@ def train(labelled: DataFrame, per_class: int = PER_CLASS, always: DataFrame | N
     At most ``per_class`` of a class (of a kind, if there are kinds) are used, and all of ``always``."""
     keys = F.xxhash64("text", *FEATURES)
 
-    def distinct(found: DataFrame) -> DataFrame:
+    def distinct(found: DataFrame, fixed: bool = False) -> DataFrame:
         kind = F.col("kind") if "kind" in found.columns else F.lit(None).cast("string")
-        return found.filter("label in (0, 1)").select("text", *FEATURES, F.col("label").cast("double").alias("label"), kind.alias("kind")).distinct()
+        return found.filter("label in (0, 1)").select("text", *FEATURES, F.col("label").cast("double").alias("label"), kind.alias("kind"), F.lit(fixed).alias("fixed")).distinct()
 
     rows = cut(distinct(labelled))
     kinds = rows.select("label", "kind").distinct().collect()  # a few: those of by_format or the caller's
     parts = [rows.filter((F.col("label") == q) & F.col("kind").eqNullSafe(F.lit(k))).orderBy(keys, "text").limit(per_class) for q, k in kinds]
     if always is not None:
-        parts.append(distinct(always))
+        parts.append(distinct(always, True))
     rows = cut(reduce(DataFrame.union, parts)) if parts else rows
-    weights = F.broadcast(rows.groupBy("kind").agg(F.least(F.lit(1.0), F.lit(float(KIND_WEIGHT)) / F.count("*")).alias("weight")).filter("kind is not null"))
+    share = F.lit(float(KIND_WEIGHT)) / F.count("*")
+    weights = F.broadcast(rows.groupBy("kind").agg(F.when(F.first("fixed"), share).otherwise(F.least(F.lit(1.0), share)).alias("weight")).filter("kind is not null"))
     rows = cut(rows.join(weights, "kind", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))))
     classes = sorted(r.label for r in rows.select("label").distinct().collect())
     if len(classes) < 2:
@@ -201,7 +234,10 @@ def redact(docs: DataFrame, forest: Forest) -> DataFrame:
     secrets = F.transform(F.filter(scored(F.col("text"), forest), lambda c: c["score"] >= 0.5), lambda c: c["text"])
     # longest first, so that a secret inside another can't leave a rest
     order = F.reverse(F.array_sort(F.transform(F.array_distinct(secrets), lambda s: F.struct(F.char_length(s).alias("n"), s.alias("s")))))
-    clean = F.aggregate(order, F.col("text").cast("string"), lambda t, s: F.replace(t, s["s"], F.lit(MASK)))
+    # a short one only where it isn't part of a longer word
+    alone = lambda s: F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), F.replace(s, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])"))
+    clean = F.aggregate(order, F.col("text").cast("string"), lambda t, s: F.when(s["n"] >= 8, F.replace(t, s["s"], F.lit(MASK))).otherwise(
+        F.regexp_replace(t, alone(s["s"]), F.lit(MASK))))
     return docs.withColumn("text", F.when(F.col("text").isNotNull(), clean))
 
 
