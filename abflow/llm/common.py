@@ -116,8 +116,8 @@ class Words:
     ``first``: index of each document's first word, one more entry at the end.
     """
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> None:
-        folded = FOLD[data]
+    def __init__(self, data: np.ndarray, off: np.ndarray, is_word: np.ndarray, fold: np.ndarray | None = FOLD) -> None:
+        folded = data if fold is None else fold[data]
         inside = is_word[folded]
         n = len(data)
         edge = np.zeros(n + 1, bool)

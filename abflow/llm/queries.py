@@ -7,6 +7,7 @@ from .decontam import op9
 from .license_scan import op5
 from .ngram_join import op2
 from .packing import op8
+from .resample import op13
 from .risk_rules import ORACLE as RULES_SQL
 from .risk_rules import op7
 from .secret_scan import op4
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_best_fit_packing": op8,
     "op9_benchmark_decontamination": op9,
     "op10_token_store": op10,
+    "op13_importance_resampling": op13,
 }
 ORACLE: dict[str, str] = {"op7_risk_controlled_rules": RULES_SQL}
