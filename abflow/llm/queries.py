@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .compress_quality import op6
+from .debruijn import op12
 from .decontam import op9
 from .license_scan import op5
 from .ngram_join import op2
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_best_fit_packing": op8,
     "op9_benchmark_decontamination": op9,
     "op10_token_store": op10,
+    "op12_debruijn_substring_dedup": op12,
     "op13_importance_resampling": op13,
 }
 ORACLE: dict[str, str] = {"op7_risk_controlled_rules": RULES_SQL}
