@@ -15,14 +15,16 @@ also starts earlier: in a document with a smaller ``doc_id`` or further up in it
 3. *Verification.* Each occurrence of a path, given by its source coordinates
    (document, first word, length), gets a strong digest of its words. Paths
    whose occurrences differ (a hash collision) are taken window by window.
-4. *Branches.* Windows of hashes with several digests meet by the strong digest of their words.
+4. *Branches.* The windows of a hash with several digests meet under it, by strong digests
+   of their words: up to ``hot`` runs of a hash in one place, those of a hash with
+   more by window, with aggregates combined before they are shuffled.
 5. Spans that have an earlier equal one go.
 
-A document's text travels twice, compressed, to meet its runs and its spans;
-other shuffles hold a few values a run. Aggregates are combined before they
-are shuffled, and joins are plain equi-joins, so that a passage that a third of
-all documents has is split by the skew handling of sort-merge joins. Nothing
-goes through the driver.
+A document's text travels once, compressed; that exchange serves both to trace
+its runs and to cut its spans. Other shuffles hold a few values a run. No
+task's size follows a passage that a third of all documents has: its runs are
+counted by partial aggregates and joined by plain equi-joins, which Spark splits where
+they are skewed. Nothing goes through the driver but whether any ``doc_id`` is repeated.
 
 Defined cases: null or empty text has no words; a null ``doc_id`` gives no row;
 rows with one ``doc_id`` but different texts are documents of their own, of which none
@@ -41,11 +43,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from .common import _MULT, CHUNK_BYTES, SPACED, U64, Words, _pow, mix, read_table, text_buffers
 
 WINDOW = 20
 SEED_WORDS = 5
+RUN_BITS = 48  # of the least hash: a collision only makes two paths look like a branch
+HOT = 5_000  # runs under one branching hash that are settled together
 DOC = ["doc_id", "h"]
 NONE = -1
 
@@ -144,16 +147,21 @@ def run_rows(k: int, m: int, bits: int):
 RUNS = "mini long, digest int, then long, doc_id long, h long, start int, n int"
 
 
-def compacted(runs: DataFrame) -> DataFrame:
-    """Repeated hashes: whether all their runs are one (``single``) and continue the run before (``linked``),
-    and the least ``doc_id`` that has them."""
+def compacted(runs: DataFrame, hot: int) -> DataFrame:
+    """Repeated hashes: of which kind, whether their runs continue the run before, and the least ``doc_id`` that has them."""
     seen = runs.groupBy("mini").agg(
         F.count(F.lit(1)).alias("times"), F.min("digest").alias("d0"), F.max("digest").alias("d1"),
         F.min("then").alias("t0"), F.max("then").alias("t1"), F.min("doc_id").alias("first")).filter("times > 1")
     single = F.col("d0") == F.col("d1")
-    ahead = seen.filter(single & (F.col("t0") == F.col("t1")) & (F.col("t0") != NONE)).select(F.col("t0").alias("mini"), "times")
-    linked = seen.filter(single).join(ahead, ["mini", "times"], "left_semi").select("mini", F.lit(True).alias("linked"))
-    return seen.select("mini", single.alias("single"), "first").join(linked, "mini", "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
+    kind = F.when(single, PATH).when(F.col("times") <= hot, BRANCH).otherwise(HOT_BRANCH)
+    # a hash tells the one that always follows how often; it is linked if it occurs as often
+    ahead = F.struct(F.col("t0").alias("mini"), F.lit(None).cast("int").alias("kind"), F.lit(None).cast("long").alias("times"),
+                     F.lit(None).cast("long").alias("first"), F.col("times").alias("before"))
+    own = F.struct("mini", kind.alias("kind"), "times", "first", F.lit(None).cast("long").alias("before"))
+    follows = single & (F.col("t0") == F.col("t1")) & (F.col("t0") != NONE)
+    rows = seen.select(F.explode(F.when(follows, F.array(own, ahead)).otherwise(F.array(own))).alias("r")).select("r.*")
+    met = rows.groupBy("mini").agg(*(F.max(c).alias(c) for c in ("kind", "times", "first", "before"))).filter("times is not null")
+    return met.select("mini", "kind", "first", ((F.col("kind") == PATH) & F.coalesce(F.col("before") == F.col("times"), F.lit(False))).alias("linked"))
 
 
 # ---------------------------------------------------------------- verification
@@ -167,16 +175,17 @@ def _lists(col: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     return np.repeat(np.arange(len(col)), np.diff(off)), {f.name: flat.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(flat.type)}
 
 
-def _digest(words: bytes) -> tuple[int, int]:
-    d = hashlib.blake2b(words, digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+TRACES = "mini long, kind int, salt int, doc_id long, h long, start int, n int, first long, digests binary"
+PATH, BRANCH, HOT_BRANCH = 0, 1, 2
 
 
-MARKS = "path long, d1 long, d2 long, doc_id long, h long, start int, len int, first long"
+def _digests(w: "Text", begin: int, n: int, k: int, size: int) -> bytes:
+    return b"".join(hashlib.blake2b(w.span(j, j + k), digest_size=size).digest() for j in range(begin, begin + n))
 
 
-def mark(k: int):
-    """Occurrences of paths, and windows where paths branch, with strong digests of their words."""
+def trace(k: int):
+    """Per document: occurrences of whole paths with a digest of all their words, and runs of
+    hashes where paths branch with a digest of each window. ``salt`` spreads what may be hot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hs = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -185,30 +194,123 @@ def mark(k: int):
             order = order[np.concatenate([[True], (np.diff(row[order]) != 0) | (np.diff(f["start"][order]) != 0)])] if len(order) else order
             row, f = row[order], {x: v[order] for x, v in f.items()}
             for data, off, first in chunks(batch.column(2)):
-                w = Text(data, off)
                 lo, hi = np.searchsorted(row, [first, first + len(off) - 1])
-                r, x = row[lo:hi], {c: v[lo:hi] for c, v in f.items()}
-                if not len(r):
+                if lo == hi:
                     continue
+                w = Text(data, off)
+                r, x = row[lo:hi], {c: v[lo:hi] for c, v in f.items()}
+                kind = x["kind"]
                 begin = w.first[r - first] + x["start"]
-                on = x["linked"].astype(bool) & x["single"].astype(bool)  # goes on with the run before it
-                head = ~on
+                head = ~x["linked"].astype(bool) | (kind != PATH)
                 head[0] = True
-                head[1:] |= (r[1:] != r[:-1]) | ~x["single"][:-1].astype(bool) | (begin[1:] != begin[:-1] + x["n"][:-1])
+                head[1:] |= (r[1:] != r[:-1]) | (kind[:-1] != PATH) | (begin[1:] != begin[:-1] + x["n"][:-1])
                 h = np.flatnonzero(head)
-                end = (begin + x["n"])[np.concatenate([h[1:], [len(r)]]) - 1] + k - 1
-                out = []
-                for i, b, e, s in zip(h.tolist(), begin[h].tolist(), end.tolist(), x["single"][h].tolist(), strict=True):
-                    if s:
-                        out.append((i, b, e - b, *_digest(w.span(b, e))))
-                    else:
-                        out += [(i, j, k, *_digest(w.span(j, j + k))) for j in range(b, e - k + 1)]
-                i, b, n, d1, d2 = (np.array(c, np.int64) for c in zip(*out, strict=True))
-                at = r[i]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(x["mini"][i], pa.int64(), mask=~x["single"][i].astype(bool)), pa.array(d1), pa.array(d2), pa.array(ids[at]), pa.array(hs[at]),
-                    pa.array((b - w.first[at - first]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(x["first"][i])],
-                    ["path", "d1", "d2", "doc_id", "h", "start", "len", "first"])
+                at, kind, begin = r[h], kind[h], begin[h]
+                n = (w.first[r - first] + x["start"] + x["n"])[np.concatenate([h[1:], [len(r)]]) - 1] - begin
+                said = [hashlib.blake2b(w.span(b, b + c + k - 1), digest_size=16).digest() if t == PATH else _digests(w, b, c, k, 8)
+                        for t, b, c in zip(kind.tolist(), begin.tolist(), n.tolist(), strict=True)]
+                salt = np.where(kind == BRANCH, 0, (ids[at] ^ (begin - w.first[at - first])) & 0xFFFF)
+                cols = [x["mini"][h], kind.astype(np.int32), salt.astype(np.int32), ids[at], hs[at], (begin - w.first[at - first]).astype(np.int32),
+                        n.astype(np.int32), x["first"][h]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(said, pa.binary())],
+                                                 ["mini", "kind", "salt", "doc_id", "h", "start", "n", "first", "digests"])
+    return run
+
+
+def _columns(batch: pa.RecordBatch, keep: np.ndarray, *names: str) -> list[np.ndarray]:
+    return [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)[keep] for c in names]
+
+
+def _kind(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(1).to_numpy(zero_copy_only=False)
+
+
+def _joined(batch: pa.RecordBatch, keep: np.ndarray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(8).filter(pa.array(keep)).to_pylist()), kind)
+
+
+def _steps(n: np.ndarray) -> np.ndarray:
+    """0 to n-1 for each n in turn."""
+    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+
+SPANS = "doc_id long, h long, start int, len int, first long, k1 long, k2 long"
+_SPAN_NAMES = ["doc_id", "h", "start", "len", "first", "k1", "k2"]
+
+
+def path_spans(k: int):
+    """Occurrences of paths as spans."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mini, doc, h, start, n, first = _columns(batch, _kind(batch) == PATH, "mini", "doc_id", "h", "start", "n", "first")
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (doc, h, start, (n + k - 1).astype(np.int32), first, mini, np.zeros(len(mini), np.int64)))], _SPAN_NAMES)
+    return run
+
+
+def path_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = _kind(batch) == PATH
+        d = _joined(batch, keep, "<i8").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(_columns(batch, keep, "mini")[0]), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["k1", "d1", "d2"])
+
+
+WINDOWS = "k1 long, k2 long, doc_id long, h long, start int"
+
+
+def window_rows(kind: int):
+    """A row per window of the runs of one kind."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = _kind(batch) == kind
+            mini, doc, h, start, n = _columns(batch, keep, "mini", "doc_id", "h", "start", "n")
+            cols = [np.repeat(mini, n), _joined(batch, keep, "<i8"), np.repeat(doc, n), np.repeat(h, n), (np.repeat(start, n) + _steps(n)).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols)], ["k1", "k2", "doc_id", "h", "start"])
+    return run
+
+
+def _settled(cols: list[np.ndarray], w: np.ndarray, k: int) -> pa.RecordBatch:
+    mini, doc, h, start, n = cols
+    at = np.repeat(np.arange(len(n)), n)
+    pos = np.repeat(start, n) + _steps(n)
+    order = np.lexsort((pos, h[at], doc[at], w, mini[at]))
+    a, v, p = at[order], w[order], pos[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (v[1:] != v[:-1]) | (mini[a[1:]] != mini[a[:-1]])
+    text = new.copy()
+    text[1:] |= (doc[a[1:]] != doc[a[:-1]]) | (h[a[1:]] != h[a[:-1]])
+    i = np.arange(len(a))
+    least, mine = (np.maximum.accumulate(np.where(x, i, 0)) for x in (new, text))
+    gone = np.empty(len(a), bool)
+    gone[order] = (doc[a] > doc[a[least]]) | (p > p[mine])
+    edge = gone.copy()
+    edge[1:] &= ~gone[:-1] | (at[1:] != at[:-1])
+    b = np.flatnonzero(edge)
+    size = np.add.reduceat(gone, b) if len(b) else np.zeros(0, np.int64)
+    r = at[b]
+    return pa.RecordBatch.from_arrays([*map(pa.array, (
+        doc[r], h[r], pos[b].astype(np.int32), (size + k - 1).astype(np.int32), np.full(len(b), np.iinfo(np.int64).min), np.zeros(len(b), np.int64), np.zeros(len(b), np.int64)))], _SPAN_NAMES)
+
+
+def settle(k: int):
+    """What goes of the runs under each branching hash; rows come sorted by it, and at most ``hot`` have the same."""
+    names = ("mini", "doc_id", "h", "start", "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            keep = _kind(batch) == BRANCH
+            cols, w = _columns(batch, keep, *names), _joined(batch, keep, "<u8")
+            if held:
+                cols, w = [np.concatenate(x) for x in zip(held[0], cols, strict=True)], np.concatenate([held[1], w])
+            if not len(cols[0]):
+                continue
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            wcut = int(cols[4][:cut].sum())
+            held = [c[cut:] for c in cols], w[wcut:]
+            if cut:
+                yield _settled([c[:cut] for c in cols], w[:wcut], k)
+        if held:
+            yield _settled(*held, k)
     return run
 
 
@@ -268,30 +370,32 @@ def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---------------------------------------------------------------- operator
 
 
-def dedup(docs: DataFrame, k: int = WINDOW, m: int = SEED_WORDS, bits: int = 64) -> DataFrame:
+def dedup(docs: DataFrame, k: int = WINDOW, m: int = SEED_WORDS, bits: int = RUN_BITS, hot: int = HOT) -> DataFrame:
     """Per document: words, removed words, their spans (word numbers) and the text of the kept
     words joined by one space. ``bits``: of the run hashes, fewer only in tests of collisions."""
-    spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    d = d.select("doc_id", F.xxhash64("text").bitwiseAND((1 << 48) - 1).alias("h"), "text")
-    packed = d.mapInArrow(squeeze, "doc_id long, h long, z binary")
+    repeated = not d.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    d = d.select("doc_id", (F.xxhash64("text").bitwiseAND((1 << 48) - 1) if repeated else F.lit(0).cast("long")).alias("h"), "text")
+    packed = d.mapInArrow(squeeze, "doc_id long, h long, z binary").filter("doc_id is not null and h is not null")
     runs = d.mapInArrow(run_rows(k, m, bits), RUNS)
-    found = runs.select("mini", "doc_id", "h", "start", "n").join(compacted(runs.select("mini", "digest", "then", "doc_id")), "mini")
-    per_doc = found.groupBy(*DOC).agg(F.collect_list(F.struct("start", "n", "mini", "single", "linked", "first")).alias("runs"))
-    path = scratch_path(spark, "debruijn-marks")
-    packed.join(per_doc.hint("shuffle_hash"), DOC).mapInArrow(mark(k), MARKS).write.parquet(path)
-
-    marks = spark.read.parquet(path)
-    paths, windows = marks.filter("path is not null"), marks.filter("path is null")
-    odd = paths.groupBy("path").agg(*(f(c).alias(f"{c}_{f.__name__}") for c in ("d1", "d2") for f in (F.min, F.max))) \
-        .filter("d1_min <> d1_max or d2_min <> d2_max").select("path")
-    apart = paths.join(odd, "path", "left_semi").select(*DOC, F.struct(
-        "start", (F.col("len") - (k - 1)).alias("n"), F.lit(0).cast("long").alias("mini"), F.lit(False).alias("single"), F.lit(False).alias("linked"), "first").alias("r"))
-    apart = packed.join(apart.groupBy(*DOC).agg(F.collect_list("r").alias("runs")), DOC).mapInArrow(mark(k), MARKS)
-    windows = windows.unionByName(apart).select(*DOC, "start", "d1", "d2")
-    shared = windows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-    spans = paths.join(odd, "path", "left_anti").select(*DOC, "start", "len", "first", F.col("path").alias("k1"), F.lit(0).cast("long").alias("k2")).unionByName(
-        windows.join(shared, ["d1", "d2"]).select(*DOC, "start", F.lit(k).alias("len"), "first", F.col("d1").alias("k1"), F.col("d2").alias("k2")))
+    found = runs.select("mini", "doc_id", "h", "start", "n").join(compacted(runs.select("mini", "digest", "then", "doc_id"), hot), "mini")
+    run = F.struct("start", "n", F.when(F.col("linked"), 0).otherwise(F.col("mini")).alias("mini"), "kind", "linked", "first")
+    per_doc = found.groupBy(*DOC).agg(F.collect_list(run).alias("runs"))
+    # one exchange for all uses: each is an opaque step above it, so that Spark runs what is below once
+    traces = packed.join(per_doc.hint("shuffle_hash"), DOC).mapInArrow(trace(k), TRACES).repartition("mini", "salt")
+
+    digests = traces.mapInArrow(path_digests, "k1 long, d1 long, d2 long")
+    odd = digests.groupBy("k1").agg(*(f(c).alias(f"{c}_{f.__name__}") for c in ("d1", "d2") for f in (F.min, F.max))) \
+        .filter("d1_min <> d1_max or d2_min <> d2_max").select("k1")
+    paths = traces.mapInArrow(path_spans(k), SPANS)
+    apart = paths.join(odd, "k1", "left_semi").groupBy(*DOC).agg(F.collect_list(F.struct(
+        "start", (F.col("len") - (k - 1)).alias("n"), F.col("k1").alias("mini"), F.lit(HOT_BRANCH).alias("kind"), F.lit(False).alias("linked"), "first")).alias("runs"))
+    apart = packed.join(apart.hint("shuffle_hash"), DOC).mapInArrow(trace(k), TRACES)
+    windows = traces.mapInArrow(window_rows(HOT_BRANCH), WINDOWS).unionByName(apart.mapInArrow(window_rows(HOT_BRANCH), WINDOWS))
+    shared = windows.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
+    spans = paths.join(odd, "k1", "left_anti").select(*_SPAN_NAMES) \
+        .unionByName(windows.join(shared, ["k1", "k2"]).withColumn("len", F.lit(k)).select(*_SPAN_NAMES)) \
+        .unionByName(traces.sortWithinPartitions("mini").mapInArrow(settle(k), SPANS))
     per_doc = spans.groupBy(*DOC).agg(F.collect_list(F.struct("start", "len", "first", "k1", "k2")).alias("spans"))
     out = packed.join(per_doc.hint("shuffle_hash"), DOC, "left").mapInArrow(
         apply, "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")

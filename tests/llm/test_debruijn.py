@@ -73,10 +73,25 @@ def frame(spark, docs):
     return spark.createDataFrame([(*r, 1, "s") for r in docs], "doc_id long, text string, h int, spans string").repartition(5)
 
 
-@pytest.mark.parametrize("bits", [64, 7])
-def test_cases(spark, bits):
+@pytest.mark.parametrize(("bits", "hot"), [(48, 5000), (48, 2), (7, 5000), (7, 30)])
+def test_cases(spark, bits, hot):
+    """Also with colliding hashes, and with branches settled window by window."""
     docs = tables()
-    assert got(D.dedup(frame(spark, docs), bits=bits)) == brute(docs)
+    assert got(D.dedup(frame(spark, docs), bits=bits, hot=hot)) == brute(docs)
+
+
+def test_unique_ids(spark):
+    docs = [(i, t) for i, (_, t) in enumerate(tables(3))]
+    assert got(D.dedup(frame(spark, docs))) == brute(docs)
+
+
+def test_text_travels_once(spark):
+    """One exchange of the compressed texts serves all uses, and one of the traces."""
+    df = D.dedup(frame(spark, tables()))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("squeeze(") == 1
+    assert final.count("ReusedExchange") >= 3
 
 
 def test_spans_and_empty_table(spark):
