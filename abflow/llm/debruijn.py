@@ -16,8 +16,8 @@ also starts earlier: in a document with a smaller ``doc_id`` or further up in it
    (document, first word, length), gets a strong digest of its words. Paths
    whose occurrences differ (a hash collision) are taken window by window.
 4. *Branches.* The windows of a hash with several digests meet under it, by strong digests
-   of their words: up to ``hot`` runs of a hash in one place, those of a hash with
-   more by window, with aggregates combined before they are shuffled.
+   of their words: up to ``hot`` runs of a hash in one place; those of a hash with
+   more are made distinct, exploded to windows and joined.
 5. Spans that have an earlier equal one go.
 
 A document's text travels once, compressed; that exchange serves both to trace
@@ -160,8 +160,8 @@ def compacted(runs: DataFrame, hot: int) -> DataFrame:
     own = F.struct("mini", kind.alias("kind"), "times", "first", F.lit(None).cast("long").alias("before"))
     follows = single & (F.col("t0") == F.col("t1")) & (F.col("t0") != NONE)
     rows = seen.select(F.explode(F.when(follows, F.array(own, ahead)).otherwise(F.array(own))).alias("r")).select("r.*")
-    met = rows.groupBy("mini").agg(*(F.max(c).alias(c) for c in ("kind", "times", "first", "before"))).filter("times is not null")
-    return met.select("mini", "kind", "first", ((F.col("kind") == PATH) & F.coalesce(F.col("before") == F.col("times"), F.lit(False))).alias("linked"))
+    whole = rows.groupBy("mini").agg(*(F.max(c).alias(c) for c in ("kind", "times", "first", "before"))).filter("times is not null")
+    return whole.select("mini", "kind", "first", ((F.col("kind") == PATH) & F.coalesce(F.col("before") == F.col("times"), F.lit(False))).alias("linked"))
 
 
 # ---------------------------------------------------------------- verification
@@ -254,18 +254,49 @@ def path_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(_columns(batch, keep, "mini")[0]), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["k1", "d1", "d2"])
 
 
-WINDOWS = "k1 long, k2 long, doc_id long, h long, start int"
+HOT_RUNS = "k1 long, doc_id long, h long, start int, digests binary"
+WINDOWS = "k1 long, node binary, at int, k2 long, first long, times long"
 
 
-def window_rows(kind: int):
-    """A row per window of the runs of one kind."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = _kind(batch) == kind
-            mini, doc, h, start, n = _columns(batch, keep, "mini", "doc_id", "h", "start", "n")
-            cols = [np.repeat(mini, n), _joined(batch, keep, "<i8"), np.repeat(doc, n), np.repeat(h, n), (np.repeat(start, n) + _steps(n)).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, cols)], ["k1", "k2", "doc_id", "h", "start"])
-    return run
+def hot_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = _kind(batch) == HOT_BRANCH
+        cols = _columns(batch, keep, "mini", "doc_id", "h", "start")
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), batch.column(8).filter(pa.array(keep))], ["k1", "doc_id", "h", "start", "digests"])
+
+
+def node_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k1, node, digests, first, times) to a row per window."""
+    for b in batches:
+        raw = b.column(2).to_pylist()
+        n = np.array([len(x) // 8 for x in raw], np.int64)
+        at = np.repeat(np.arange(len(raw)), n)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(_steps(n).astype(np.int32)),
+                                          pa.array(np.frombuffer(b"".join(raw), "<i8")), b.column(3).take(pa.array(at)), b.column(4).take(pa.array(at))],
+                                         ["k1", "node", "at", "k2", "first", "times"])
+
+
+def met(left: DataFrame, right: DataFrame, key: str, *more: str, how: str = "inner") -> DataFrame:
+    """Equi-join of a possibly skewed ``left`` with a grouped ``right``. The key is compared inverted: a
+    grouped side that is already dealt by the key would join without an exchange of its own, and Spark
+    splits a skewed partition only between two exchanges."""
+    r = right.withColumns({"_key": F.bitwise_not(key), **{f"_{c}": F.col(c) for c in more}}).drop(key, *more)
+    on = F.bitwise_not(left[key]) == r["_key"]
+    for c in more:
+        on &= left[c] == r[f"_{c}"]
+    return left.join(r, on, how).drop("_key", *(f"_{c}" for c in more))
+
+
+def hot_spans(runs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, h, spans) of runs under branching hashes of any number: equal runs are one node, the nodes'
+    windows meet, and each run gets its node's answer."""
+    runs = runs.withColumn("node", F.unhex(F.md5("digests")))
+    nodes = runs.groupBy("k1", "node", "digests").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times"))
+    windows = nodes.select("k1", "node", "digests", "first", "times").mapInArrow(node_windows, WINDOWS)
+    shared = windows.groupBy("k1", "k2").agg(F.min("first").alias("first"), F.sum("times").alias("times")).filter("times > 1").drop("times")
+    answer = met(windows.drop("first", "times"), shared, "k1", "k2").groupBy("k1", "node").agg(F.collect_list(F.struct("at", "k2", "first")).alias("found"))
+    span = lambda w: F.struct((F.col("start") + w["at"]).alias("start"), F.lit(k).alias("len"), w["first"].alias("first"), F.col("k1").alias("k1"), w["k2"].alias("k2"))
+    return met(runs.drop("digests"), answer, "k1", "node").select(*DOC, F.transform("found", span).alias("spans"))
 
 
 def _settled(cols: list[np.ndarray], w: np.ndarray, k: int) -> pa.RecordBatch:
@@ -378,7 +409,7 @@ def dedup(docs: DataFrame, k: int = WINDOW, m: int = SEED_WORDS, bits: int = RUN
     d = d.select("doc_id", (F.xxhash64("text").bitwiseAND((1 << 48) - 1) if repeated else F.lit(0).cast("long")).alias("h"), "text")
     packed = d.mapInArrow(squeeze, "doc_id long, h long, z binary").filter("doc_id is not null and h is not null")
     runs = d.mapInArrow(run_rows(k, m, bits), RUNS)
-    found = runs.select("mini", "doc_id", "h", "start", "n").join(compacted(runs.select("mini", "digest", "then", "doc_id"), hot), "mini")
+    found = met(runs.select("mini", "doc_id", "h", "start", "n"), compacted(runs.select("mini", "digest", "then", "doc_id"), hot), "mini")
     run = F.struct("start", "n", F.when(F.col("linked"), 0).otherwise(F.col("mini")).alias("mini"), "kind", "linked", "first")
     per_doc = found.groupBy(*DOC).agg(F.collect_list(run).alias("runs"))
     # one exchange for all uses: each is an opaque step above it, so that Spark runs what is below once
@@ -388,15 +419,13 @@ def dedup(docs: DataFrame, k: int = WINDOW, m: int = SEED_WORDS, bits: int = RUN
     odd = digests.groupBy("k1").agg(*(f(c).alias(f"{c}_{f.__name__}") for c in ("d1", "d2") for f in (F.min, F.max))) \
         .filter("d1_min <> d1_max or d2_min <> d2_max").select("k1")
     paths = traces.mapInArrow(path_spans(k), SPANS)
-    apart = paths.join(odd, "k1", "left_semi").groupBy(*DOC).agg(F.collect_list(F.struct(
+    apart = met(paths, odd, "k1", how="left_semi").groupBy(*DOC).agg(F.collect_list(F.struct(
         "start", (F.col("len") - (k - 1)).alias("n"), F.col("k1").alias("mini"), F.lit(HOT_BRANCH).alias("kind"), F.lit(False).alias("linked"), "first")).alias("runs"))
     apart = packed.join(apart.hint("shuffle_hash"), DOC).mapInArrow(trace(k), TRACES)
-    windows = traces.mapInArrow(window_rows(HOT_BRANCH), WINDOWS).unionByName(apart.mapInArrow(window_rows(HOT_BRANCH), WINDOWS))
-    shared = windows.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-    spans = paths.join(odd, "k1", "left_anti").select(*_SPAN_NAMES) \
-        .unionByName(windows.join(shared, ["k1", "k2"]).withColumn("len", F.lit(k)).select(*_SPAN_NAMES)) \
-        .unionByName(traces.sortWithinPartitions("mini").mapInArrow(settle(k), SPANS))
-    per_doc = spans.groupBy(*DOC).agg(F.collect_list(F.struct("start", "len", "first", "k1", "k2")).alias("spans"))
+    branches = traces.mapInArrow(hot_runs, HOT_RUNS).unionByName(apart.mapInArrow(hot_runs, HOT_RUNS))
+    plain = met(paths, odd, "k1", how="left_anti").unionByName(traces.sortWithinPartitions("mini").mapInArrow(settle(k), SPANS))
+    spans = plain.select(*DOC, F.array(F.struct("start", "len", "first", "k1", "k2")).alias("spans")).unionByName(hot_spans(branches, k))
+    per_doc = spans.groupBy(*DOC).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     out = packed.join(per_doc.hint("shuffle_hash"), DOC, "left").mapInArrow(
         apply, "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
     return out.withColumn("kept", F.col("kept").cast("string"))
