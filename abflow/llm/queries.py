@@ -8,6 +8,7 @@ from .decontam import op9
 from .license_scan import op5
 from .ngram_join import op2
 from .packing import op8
+from .prefix_trie import op11
 from .resample import op13
 from .risk_rules import ORACLE as RULES_SQL
 from .risk_rules import op7
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_best_fit_packing": op8,
     "op9_benchmark_decontamination": op9,
     "op10_token_store": op10,
+    "op11_conversation_prefix_trie": op11,
     "op12_debruijn_substring_dedup": op12,
     "op13_importance_resampling": op13,
 }
