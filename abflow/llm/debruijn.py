@@ -48,7 +48,7 @@ from .common import _MULT, CHUNK_BYTES, SPACED, U64, Words, _pow, mix, read_tabl
 WINDOW = 20
 SEED_WORDS = 5
 RUN_BITS = 48  # of the least hash: a collision only makes two paths look like a branch
-HOT = 5_000  # runs under one branching hash that are settled together
+HOT = 50_000  # runs under one branching hash that are settled together: some 400,000 windows, 50 MB of arrays
 DOC = ["doc_id", "h"]
 NONE = -1
 
