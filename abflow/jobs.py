@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from . import schema as S
 from .functions.fields import watch_fields
+from .operators import activity, snapshot
 from .operators.filters import action_cond, by_release, by_scene
 from .operators.groups import members_daily, with_group
 from .operators.keyed import load_order, upsert_by_key
@@ -27,6 +28,7 @@ from .session import ensure_checkpoint_dir
 from .sinks.files import export_tsv, write_members, write_report, write_totals
 from .sources.logs import read_behavior_log, with_event_day
 from .sources.tables import read_items, read_snapshot, read_totals
+from .streaming.compact import compact_hours
 from .streaming.ingest import read_event_stream, read_text_stream, start_ingest, stored_offsets
 
 
@@ -117,6 +119,27 @@ def first_seen_job(spark, members_path, first_seen_path, start, end, history_sta
     return write_version(new, first_seen_path, version + 1)
 
 
+def bitmaps_job(spark, members_path, bitmaps_path, start, end, base):
+    """Bring the activity bitmaps up to ``end`` with the member days [start, end] alone."""
+    m = spark.read.parquet(members_path).withColumn("dt", F.col("dt").cast("string")).filter(F.col("dt").between(start, end))
+    now, version = read_version(spark, bitmaps_path)
+    new = activity.bitmaps(m, base) if now is None else activity.advance(now, m, base)
+    return write_version(new, bitmaps_path, version + 1)
+
+
+def news_retention_job(spark, members_path, out, scene=S.SCENE_NEWS, history_start=S.HISTORY_START, start=None, end=None,
+                       groups=("qianA", "qianB"), windows=(7,), fmt="parquet", bitmaps_path=None, base=None, **options):
+    """n-day retention of the news groups: from the member days, or with ``bitmaps_path`` (kept by
+    :func:`bitmaps_job`) from one row per user."""
+    if bitmaps_path:
+        rows = activity.retention(read_version(spark, bitmaps_path)[0], tuple(windows), base, history_start, start, end)
+        rows = rows.select(F.col("dt").alias("date"), F.lit(scene).alias("scene_id"), *[c for c in rows.columns if c != "dt"])
+    else:
+        m = spark.read.parquet(members_path).withColumn("dt", F.col("dt").cast("string"))
+        rows = retention_report(m, scene, history_start, start, end, windows=tuple(windows), groups=groups)
+    write_report(rows, fmt, out, **options)
+
+
 def user_metrics_job(spark, members_path, first_seen_path, day, out, totals_read, totals_write, history_start=S.HISTORY_START):
     """New, retained and active users of a day, and the running total: yesterday's total
     is read, today's written (``totals_read`` / ``totals_write``: format, path and options
@@ -151,14 +174,20 @@ def write_version(df: DataFrame, path: str, version: int) -> str:
 
 
 def items_job(spark, dump_path, fields, key_index, snapshot_path, export_path, field_sep_regex=",",
-              date=None, single_file=False):
+              date=None, single_file=False, buckets=None):
     """Load a media-item dump into the keyed snapshot (later lines win) and
     export the whole snapshot as dated TSV. The snapshot is versioned:
     a run reads the newest version and writes the next, so runs with the
-    same arguments accumulate and no run overwrites what it reads."""
+    same arguments accumulate and no run overwrites what it reads. With ``buckets`` a
+    run rewrites only the key buckets that the dump falls into (``operators.snapshot``)."""
     names = re.split(field_sep_regex, fields) if isinstance(fields, str) else list(fields)
     key = names[int(key_index)]
     incoming = load_order(read_items(spark, dump_path, names), 1)
+    if buckets:
+        snapshot.load(spark, snapshot_path, incoming, key, buckets)
+        stored = snapshot.read(spark, snapshot_path)
+        stored = incoming.limit(0).select(*names) if stored is None else stored
+        return snapshot_path, export_tsv(stored, names, export_path, date, single_file=single_file)
     now, version = read_version(spark, snapshot_path)
     current = incoming.limit(0).withColumn("_load", F.lit(0)) if now is None else load_order(now, 0, position_cols=[key])
     new_path = write_version(upsert_by_key(current, incoming, key), snapshot_path, version + 1)
@@ -168,7 +197,7 @@ def items_job(spark, dump_path, fields, key_index, snapshot_path, export_path, f
 
 def ingest_job(spark, source, path, checkpoint, topics=None, servers=None, starting=None,
                trigger_seconds=30, rejects_path=None, ledger_path=None, tz=S.DEFAULT_TZ, available_now=False,
-               max_offsets=None, max_files=None):
+               max_offsets=None, max_files=None, **ingest_options):
     """Streaming ingest from Kafka (``servers``) or a folder of JSON lines.
 
     A first start begins at ``starting`` (latest, earliest or offsets JSON), or
@@ -182,7 +211,7 @@ def ingest_job(spark, source, path, checkpoint, topics=None, servers=None, start
     else:
         stream = read_text_stream(spark, source, max_files)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{trigger_seconds} seconds"}
-    return start_ingest(stream, path, checkpoint, trigger, tz, rejects_path=rejects_path, ledger_path=ledger_path)
+    return start_ingest(stream, path, checkpoint, trigger, tz, rejects_path=rejects_path, ledger_path=ledger_path, **ingest_options)
 
 
 def main(argv=None):
@@ -204,9 +233,13 @@ def main(argv=None):
     a.add_argument("--out", required=True)
     a.add_argument("--version", required=True)
     a.add_argument("--format", default="parquet")
+    a.add_argument("--scene", default=S.SCENE_NEWS)
+    a.add_argument("--slot-match", choices=["whole", "any"], default="whole")
     a = sub.add_parser("rel-metrics", parents=[common])
     a.add_argument("--members", required=True)
     a.add_argument("--out", required=True)
+    a.add_argument("--format", default="parquet")
+    a.add_argument("--scene", default=S.SCENE_RELATED)
     a.add_argument("--history-start", default=S.HISTORY_START)
     a = sub.add_parser("rel-reports", parents=[common])
     a.add_argument("--members", required=True)
@@ -224,6 +257,27 @@ def main(argv=None):
         a.add_argument(k, required=True)
     a.add_argument("--field-sep-regex", default=",")
     a.add_argument("--single-file", action="store_true")
+    a.add_argument("--buckets", type=int)
+    a = sub.add_parser("bitmaps")
+    for k in ("--members", "--bitmaps", "--start", "--end", "--base"):
+        a.add_argument(k, required=True)
+    a = sub.add_parser("user-metrics")
+    for k in ("--members", "--first-seen", "--day", "--out", "--totals"):
+        a.add_argument(k, required=True)
+    a.add_argument("--totals-format", default="parquet")
+    a.add_argument("--history-start", default=S.HISTORY_START)
+    a = sub.add_parser("news-retention")
+    a.add_argument("--members")
+    a.add_argument("--bitmaps")
+    a.add_argument("--base")
+    a.add_argument("--out", required=True)
+    a.add_argument("--start")
+    a.add_argument("--end")
+    a.add_argument("--days", type=int, nargs="+", default=[7])
+    a.add_argument("--history-start", default=S.HISTORY_START)
+    a = sub.add_parser("compact")
+    for k in ("--events", "--compacted", "--start", "--end"):
+        a.add_argument(k, required=True)
     a = sub.add_parser("ingest")
     a.add_argument("--source")
     a.add_argument("--servers")
@@ -236,6 +290,9 @@ def main(argv=None):
     a.add_argument("--starting")
     a.add_argument("--max-offsets", type=int)
     a.add_argument("--max-files", type=int)
+    a.add_argument("--dedup-within", help="leave out messages delivered again within e.g. '1 day'")
+    a.add_argument("--ranges", help="folder for each batch's offset ranges")
+    a.add_argument("--partials", help="folder for hourly partial aggregates")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"abflow-{args.job}").getOrCreate()
@@ -246,9 +303,9 @@ def main(argv=None):
         rel_members_job(spark, args.path, args.start, args.end, args.out, folder_prefix=args.folder_prefix, rejects=args.rejects)
     elif j == "news-metrics":
         news_metrics_job(spark, args.path, args.start, args.end, args.out, args.version, args.format,
-                         args.folder_prefix, rejects=args.rejects)
+                         args.folder_prefix, scene=args.scene, slot_match=args.slot_match, rejects=args.rejects)
     elif j == "rel-metrics":
-        rel_metrics_job(spark, args.path, args.start, args.end, args.members, args.out, args.history_start,
+        rel_metrics_job(spark, args.path, args.start, args.end, args.members, args.out, args.history_start, args.scene, args.format,
                         tz=args.tz, folder_prefix=args.folder_prefix, rejects=args.rejects)
     elif j == "rel-reports":
         rel_reports_job(spark, args.path, args.start, args.end, args.members, args.out_daily, args.out_retention,
@@ -258,11 +315,22 @@ def main(argv=None):
         first_seen_job(spark, args.members, args.first_seen, args.start, args.end, args.history_start)
     elif j == "items":
         items_job(spark, args.dump, args.fields, args.key_index, args.snapshot, args.export, args.field_sep_regex,
-                  single_file=args.single_file)
+                  single_file=args.single_file, buckets=args.buckets)
+    elif j == "bitmaps":
+        bitmaps_job(spark, args.members, args.bitmaps, args.start, args.end, args.base)
+    elif j == "user-metrics":
+        totals = {"fmt": args.totals_format, "path": args.totals}
+        user_metrics_job(spark, args.members, args.first_seen, args.day, args.out, totals, totals, args.history_start)
+    elif j == "news-retention":
+        news_retention_job(spark, args.members, args.out, history_start=args.history_start, start=args.start, end=args.end,
+                           windows=args.days, bitmaps_path=args.bitmaps, base=args.base)
+    elif j == "compact":
+        compact_hours(spark, args.events, args.compacted, args.start, args.end)
     elif j == "ingest":
         ingest_job(spark, args.source, args.out, args.checkpoint, args.topics, args.servers, args.starting,
                    trigger_seconds=args.trigger_seconds, rejects_path=args.rejects,
-                   ledger_path=args.ledger, max_offsets=args.max_offsets, max_files=args.max_files).awaitTermination()
+                   ledger_path=args.ledger, max_offsets=args.max_offsets, max_files=args.max_files,
+                   dedup_within=args.dedup_within, ranges_path=args.ranges, partials_path=args.partials).awaitTermination()
 
 
 if __name__ == "__main__":

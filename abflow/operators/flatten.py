@@ -86,7 +86,7 @@ def allow_repeated_keys(df: DataFrame) -> None:
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
-# levels in one plan; a deeper frame is cut in the shared folder and goes on from there
+# levels in one plan; deeper messages alone are cut in the shared folder and go on from there
 STEP = 6
 
 
@@ -97,21 +97,39 @@ def flatten_json(df: DataFrame, col: str = "value", depth: int | None = None, ou
     Without ``depth`` levels are added until no object is left, which needs a
     batch frame; a stream flattens within ``foreachBatch``."""
     allow_repeated_keys(df)
-    cur, outs = _levels(df, col, depth, unwrap_same_key)
+    if depth:
+        return _flat(df, col, depth, True, unwrap_same_key, out)
+    deep = df.withColumn("_depth", nesting(col))
+    most = deep.agg(F.max("_depth")).first()[0] or 1   # an action: one pass over the text
+    shallow = _flat(df if most <= STEP else deep.filter(F.coalesce("_depth", F.lit(0)) <= STEP).drop("_depth"), col, min(most, STEP), False, unwrap_same_key, out)
+    if most <= STEP:
+        return shallow
+    return shallow.unionByName(_flat(deep.filter(F.col("_depth") > STEP).drop("_depth"), col, most, False, unwrap_same_key, out))
+
+
+def _flat(df: DataFrame, col: str, most: int, cut: bool, unwrap_same_key: bool, out: str) -> DataFrame:
+    cur, outs = _levels(df, col, most, cut, unwrap_same_key)
     return _winners(cur, outs, [c for c in cur.columns if c not in df.columns], out)
 
 
-def _most_levels(df: DataFrame, col: str) -> int:
-    """No message nests deeper than it has opening braces (an action: one cheap pass)."""
+# a JSON string in either kind of quotes (Spark reads both)
+_QUOTED = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'"""
+
+
+def nesting(col: str) -> Column:
+    """Levels of objects in a message, null for a reject: the highest running count of open braces outside of strings."""
     text = F.col(col)
-    braces = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("{"), F.lit("")))
-    return max(1, df.agg(F.max(braces)).first()[0] or 1)
+    bare = F.regexp_replace(F.regexp_replace(text, _QUOTED, ""), r"[^{}]+", "")
+    step = lambda at, c: F.struct((at["now"] + F.when(c == "{", 1).otherwise(-1)).alias("now"),
+                                  F.greatest(at["most"], at["now"] + F.when(c == "{", 1).otherwise(-1)).alias("most"))
+    most = F.aggregate(F.split(bare, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda at: at["most"])
+    return F.when(F.from_json(text, _MAP_T).isNotNull(), most)
 
 
-def _levels(df: DataFrame, col: str, depth: int | None, unwrap_same_key: bool) -> tuple[DataFrame, list[Column]]:
-    """Columns ``_lvl1``.. with each level's entries, and the candidates that each level gives."""
+def _levels(df: DataFrame, col: str, most: int, depth: bool, unwrap_same_key: bool) -> tuple[DataFrame, list[Column]]:
+    """Columns ``_lvl1``.. with each level's entries, and the candidates that each level gives;
+    ``depth``: what nests deeper than ``most`` stays text."""
     lvl, outs, level = "_lvl", [], 1
-    most = depth or _most_levels(df, col)
     cur = df.withColumn("_root", F.from_json(F.col(col), _MAP_T))
     cur = cur.withColumn("_ok", F.col("_root").isNotNull()).withColumn(lvl + "1", F.transform(
         F.map_entries("_root"), lambda c: _entry(c["key"], c["value"], F.lit(1), F.lit(0), c["key"])))
@@ -138,7 +156,7 @@ def _levels(df: DataFrame, col: str, depth: int | None, unwrap_same_key: bool) -
                                      lambda e: _element_children(e, level)))
         level += 1
         cur = cur.withColumn(f"{lvl}{level}", F.concat(objs, arrs))
-        if level % STEP == 0 and not depth:
+        if level % STEP == 0 and not depth and level < most:
             done = cur.withColumn("_done", F.concat(*outs)).select(*df.columns, "_ok", "_done", f"{lvl}{level}")
             ensure_checkpoint_dir(df.sparkSession)
             cur, outs = done.checkpoint(eager=True), [F.col("_done")]

@@ -8,7 +8,7 @@ map-side before the shuffle instead of sorted whole in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -76,6 +76,39 @@ def starting_offsets_json(offsets: DataFrame) -> str:
     return json.dumps(res, sort_keys=True)
 
 
+def offset_ranges(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Per (topic, partition) and ``by`` (e.g. the batch): first offset, ``until`` (last + 1) and the
+    number of distinct offsets. Repeats collapse map-side."""
+    keys = [*(by or []), "topic", "partition"]
+    return df.select(*keys, "offset").dropDuplicates([*keys, "offset"]).groupBy(*keys).agg(
+        F.min("offset").alias("first"), (F.max("offset") + 1).alias("until"), F.count(F.lit(1)).alias("n"))
+
+
+def offset_audit(ranges: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """What consecutive ranges of a (topic, partition) leave out or hold twice.
+
+    One row per finding: ``gap`` (offsets [low, high) in no range), ``overlap`` (in a range and an earlier
+    one), ``hole`` (a range of fewer offsets than it spans, ``n`` of them missing). Ranges are
+    ordered by first offset and compared with the furthest end so far. ``start`` (topic, partition, offset): where
+    reading should have begun. One window over the ranges of a (topic, partition): rows per batch, not per message."""
+    keys = ["topic", "partition"]
+    r = ranges.select(*keys, "first", "until", "n")
+    if start is not None:
+        r = r.unionByName(start.select(*keys, F.col("offset").alias("first"), F.col("offset").alias("until"), F.lit(0).cast("bigint").alias("n")))
+    w = Window.partitionBy(*keys).orderBy("first", "until").rowsBetween(Window.unboundedPreceding, -1)
+    far = F.max("until").over(w)
+    r = r.withColumn("_far", far)
+
+    def row(kind, low, high, n, when):
+        return F.when(when, F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"), n.cast("bigint").alias("n")))
+
+    first, until, at = F.col("first"), F.col("until"), F.col("_far")
+    end = F.least(until, at)
+    found = F.array_compact(F.array(row("gap", at, first, first - at, first > at), row("overlap", first, end, end - first, (first < at) & (until > first)),
+                                    row("hole", first, until, until - first - F.col("n"), F.col("n") < until - first)))
+    return r.select(*keys, F.explode(found).alias("f")).select(*keys, "f.*")
+
+
 def join_distinct(df: DataFrame, key: str | list[str], value: str, sep: str = "||",
                   out: str = "joined") -> DataFrame:
     """Distinct values per key joined by ``sep`` (sorted; the analysed

@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.groups import ab_group
 from ..operators.flatten import flatten_json, ingest_hour, project_event
-from ..operators.keyed import ledger_to_offsets, offset_ledger, starting_offsets_json
+from ..operators.keyed import ledger_to_offsets, offset_ledger, offset_ranges, starting_offsets_json
+from ..operators.partials import write_partials
 
 
 def read_event_stream(spark: SparkSession, topics: list[str] | str, servers: str,
@@ -49,15 +51,29 @@ def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 ARRIVAL = "_arrival_hour"
+# event columns of the partial aggregates
+PARTIAL_COLUMNS = {"uid": "userId", "scene_id": "sceneId", "action_type": "optType"}
 QUERY_ID = "query_id"
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str | None, query_id: str,
-                tz: str = S.DEFAULT_TZ, ledger_path: str | None = None, unwrap_same_key: bool = False) -> None:
+                tz: str = S.DEFAULT_TZ, ledger_path: str | None = None, unwrap_same_key: bool = False,
+                ranges_path: str | None = None, partials_path: str | None = None, partial_columns: dict[str, str] | None = None) -> None:
     """Idempotent write of one micro-batch of (value, arrival hour); an empty batch writes nothing
-    (its offsets still commit). ``query_id`` tells checkpoints apart."""
-    if batch.isEmpty():
-        return
+    (its offsets still commit). ``query_id`` tells checkpoints apart.
+
+    The batch is read from its source once. ``ranges_path``: the batch's offset ranges (see
+    ``keyed.offset_audit``). ``partials_path``: hourly partial aggregates of the batch's events, by arrival
+    hour (see ``operators.partials``); ``partial_columns`` names the event columns that hold uid, scene_id and action_type."""
+    batch = batch.persist()
+    try:
+        if not batch.isEmpty():
+            _write(batch, batch_id, path, rejects_path, query_id, tz, ledger_path, unwrap_same_key, ranges_path, partials_path, partial_columns)
+    finally:
+        batch.unpersist()
+
+
+def _write(batch, batch_id, path, rejects_path, query_id, tz, ledger_path, unwrap_same_key, ranges_path, partials_path, partial_columns) -> None:
     mark = [F.lit(query_id).alias(QUERY_ID), F.lit(batch_id).alias("batch_id")]
     flat = flatten_json(batch, "value", None, "fields", unwrap_same_key).persist()
     try:
@@ -77,16 +93,35 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str |
             (offset_ledger(flat).select("*", *mark).write
              .option("partitionOverwriteMode", "dynamic").mode("overwrite")
              .partitionBy(QUERY_ID, "batch_id").parquet(ledger_path))
+        if ranges_path and {"topic", "partition", "offset"} <= set(batch.columns):
+            (offset_ranges(flat).select("*", *mark).write
+             .option("partitionOverwriteMode", "dynamic").mode("overwrite")
+             .partitionBy(QUERY_ID, "batch_id").parquet(ranges_path))
+        if partials_path:
+            own = events.select(*(F.nullif(F.col(c), F.lit("")).alias(k) for k, c in (PARTIAL_COLUMNS | (partial_columns or {})).items()), S.INGEST_PARTITION)
+            write_partials(own.withColumn("grp", ab_group("uid")), F.col(S.INGEST_PARTITION), partials_path, query_id, batch_id)
     finally:
         flat.unpersist()
 
 
+def once(stream: DataFrame, within: str, keys: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
+    """Each message once, however often the source delivers it within ``within`` (e.g. ``1 day``) of arrival.
+
+    Spark keeps the keys seen so far as state, dealt by their hash, and lets them go ``within`` after they came. The clock is the
+    arrival time, which Spark stores with a batch's offsets: it never runs backwards, so no message counts as late and none is lost. A row without one of the
+    keys can't be told apart from others and would be dropped as their repeat, so it keeps a key of its own: its text."""
+    own = F.when(F.greatest(*(F.col(k).isNull().cast("int") for k in keys)) == 1, F.col("value"))
+    return (stream.withColumn("_key", own).withColumn("_came", F.current_timestamp()).withWatermark("_came", within)
+            .dropDuplicatesWithinWatermark([*keys, "_key"]).drop("_key", "_came"))
+
+
 def start_ingest(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                  tz: str = S.DEFAULT_TZ, rejects_path: str | None = None,
                  unwrap_same_key: bool = False, query_name: str | None = None,
-                 ledger_path: str | None = None):
+                 ledger_path: str | None = None, dedup_within: str | None = None, **batch_options):
     """Start the ingest query. ``trigger`` e.g. {"processingTime": "30 seconds"}
-    (default) or {"availableNow": True} for a catch-up run.
+    (default) or {"availableNow": True} for a catch-up run. ``dedup_within``: leave out messages that the
+    source delivers again within that time (see :func:`once`). ``batch_options``: see :func:`write_batch`.
 
     The arrival hour is a column of the streaming plan: Spark stores a batch's
     time with its offsets, so a replay gets the same hour. The query id is stored
@@ -96,8 +131,10 @@ def start_ingest(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
 
     def each(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        write_batch(batch, batch_id, path, rejects_path, ids[0], tz, ledger_path, unwrap_same_key)
+        write_batch(batch, batch_id, path, rejects_path, ids[0], tz, ledger_path, unwrap_same_key, **batch_options)
 
+    if dedup_within:
+        stream = once(stream, dedup_within)
     w = (stream.withColumn(ARRIVAL, ingest_hour(tz)).writeStream.option("checkpointLocation", checkpoint).foreachBatch(each))
     w = w.trigger(**(trigger or {"processingTime": "30 seconds"}))
     if query_name:

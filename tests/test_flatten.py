@@ -6,8 +6,8 @@ from abflow.operators.flatten import flatten_json, project_event
 
 
 def _flat(spark, texts, **kw):
-    df = spark.createDataFrame([(t,) for t in texts], "value string")
-    return [r.fields for r in flatten_json(df, **kw).collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    return [r.fields for r in sorted(flatten_json(df, **kw).collect(), key=lambda r: r.i)]
 
 
 def test_cases(spark):
@@ -81,3 +81,26 @@ def test_numbers_as_spark_spells_them(spark):
     """A known loss: JSON numbers come out in canonical form, beyond 38 digits as a double."""
     assert _flat(spark, ['{"a":1.50,"b":1e5,"c":123456789012345678901234567890123456789012,"d":"1.50"}']) == [
         {"a": "1.5", "b": "100000.0", "c": "1.2345678901234568E41", "d": "1.50"}]
+
+
+def test_depth_counts_braces_outside_strings(spark):
+    from abflow.operators.flatten import nesting
+    cases = {'{"a":1}': 1, '{"a":{"b":{"c":1}}}': 3, '{"a":"{{{{{{{{ \\" { \\\\"}': 1, "{'a':'}{ \\' {','b':{\"it's {\":1}}": 2, '[{"a":1}]': None, "{bad": None,
+             '{"x":[{"y":1},{"z":{"q":"}"}}],"w":{}}': 3, '{"a":1,"a":{"b":2}}': 2, "{}": 1, "": None, None: None}
+    got = spark.createDataFrame([(t,) for t in cases], "value string").select("value", nesting("value").alias("n")).collect()
+    assert {r.value: r.n for r in got} == cases
+
+
+def test_no_checkpoint_up_to_six_levels(spark, tmp_path):
+    """Many braces, few levels: no cut; one deep message among them is cut alone."""
+    from abflow.session import ensure_checkpoint_dir
+    import os
+    top = ensure_checkpoint_dir(spark).removeprefix("file:")
+    count = lambda: sum(len(d) for _, d, _ in os.walk(top))
+    wide = json.dumps({"l": [{"k": {"m": i}} for i in range(40)], "s": "{" * 30})
+    before = count()
+    assert _flat(spark, [wide, wide])[0] == {"m": "39", "s": "{" * 30}
+    assert count() == before
+    deep = '{"o":' * 8 + '{"mac":"x"}' + "}" * 8
+    assert _flat(spark, [wide, deep]) == [{"m": "39", "s": "{" * 30}, {"mac": "x"}]
+    assert count() > before
