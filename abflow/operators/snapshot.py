@@ -64,7 +64,7 @@ def load(spark: SparkSession, path: str, incoming: DataFrame, key: str, buckets:
         current = spark.read.parquet(*old).select(*names) if old else incoming.limit(0).select(*names)
         current = current.withColumn("_load", F.lit(0)).withColumn("_pos", F.lit(None).cast(incoming.schema["_pos"].dataType))
         rows = upsert_by_key(current, incoming, key).withColumn("bucket", bucket_of(key, buckets))
-        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={version + 1}")
+        rows.hint("rebalance", "bucket").write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={version + 1}")
     where = where | dict.fromkeys(touched, version + 1)
     rows = [(b, v, buckets) for b, v in sorted(where.items())] or [(None, None, buckets)]
     spark.createDataFrame(rows, "bucket int, data_version int, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/version={version + 1}")

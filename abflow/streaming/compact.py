@@ -60,7 +60,7 @@ def compact_hours(spark: SparkSession, path: str, compacted: str, start: str, en
     if new.isEmpty():
         return None
     rows = hours.join(new, BATCH, "left_semi")
-    rows.hint("rebalance", S.INGEST_PARTITION).write.mode("overwrite").partitionBy(S.INGEST_PARTITION).parquet(f"{compacted}/data/run={run}")
+    rows.hint("rebalance", S.INGEST_PARTITION).write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(S.INGEST_PARTITION).parquet(f"{compacted}/data/run={run}")
     new.coalesce(1).write.mode("overwrite").parquet(f"{compacted}/manifest/run={run}")
     return run
 
