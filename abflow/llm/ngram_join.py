@@ -87,22 +87,21 @@ def _signs(k: int):
     return run
 
 
-def _class_sets(docs: pa.Table, reps: set, k: int):
-    """(doc_id, set) of the group's class representatives, once each."""
-    if docs.num_rows and reps:
-        ids = docs.column("doc_id").to_pylist()
-        keep = [i for i, x in enumerate(ids) if x in reps]
-        done: set[int] = set()
+def _class_sets(docs: pa.Table, reps: pa.Table, k: int):
+    """(class, set) of the group's class representatives, once each. One doc_id may stand for several classes."""
+    names = {(d, g): c for d, g, c in zip(*(reps.column(x).to_pylist() for x in ("doc_id", "sig", "class")), strict=True) if g is not None}
+    if docs.num_rows and names:
+        ids, wanted = docs.column("doc_id").to_pylist(), {d for d, _ in names}
+        keep = [i for i, x in enumerate(ids) if x in wanted]
         for i, s in sets(docs.take(pa.array(keep, pa.int64())), k):
-            doc = ids[keep[i]]
-            if len(s) and doc not in done:
-                done.add(doc)
-                yield doc, s
+            name = names.pop((ids[keep[i]], _signature(s)), None) if len(s) else None
+            if name is not None:
+                yield name, s
 
 
 def _send(k: int, n_buckets: int):
     def run(docs: pa.Table, reps: pa.Table) -> pa.Table:
-        keys = [np.unique(shared.key(s, n_buckets)) for _, s in _class_sets(docs, set(reps.column("doc_id").to_pylist()), k)]
+        keys = [np.unique(shared.key(s, n_buckets)) for _, s in _class_sets(docs, reps, k)]
         return shared.pack(np.concatenate(keys), reps.column("p")[0].as_py()) if keys else shared.SENT_ARROW.empty_table()
     return run
 
@@ -110,8 +109,7 @@ def _send(k: int, n_buckets: int):
 def _survivors(k: int, n_buckets: int, percent: int):
     def run(docs: pa.Table, reply: pa.Table) -> pa.Table:
         rows, known = [], shared.Shared(reply)
-        reps = {x for x in reply.column("doc_id").to_pylist() if x is not None} if len(known.keys) else set()
-        for doc, s in _class_sets(docs, reps, k):
+        for doc, s in _class_sets(docs, reply if len(known.keys) else reply.slice(0, 0), k):
             n, df = len(s), known.count(shared.key(s, n_buckets))
             c = int((df > 1).sum())
             if n - c <= spare(n, percent):
@@ -162,8 +160,8 @@ def _possible(x, y, percent: int) -> Column:
     return (100 + percent) * F.least(x["c"], y["c"]) >= total
 
 
-def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS) -> DataFrame:
-    """(id, comp) over all linked documents of ``found`` (doc_id, n, c, prefix, grams)."""
+def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS, also: DataFrame | None = None) -> DataFrame:
+    """(id, comp) over all linked documents of ``found`` (doc_id, n, c, prefix, grams) and the links ``also`` (a, b)."""
     bits = max(1, (fragments - 1).bit_length())
     parts = found.select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1))).alias("f"), "grams").select(
         "doc_id", "n", "f", F.filter("grams", lambda h: F.shiftrightunsigned(h, 64 - bits).cast("int") == F.col("f")).alias("part")
@@ -198,7 +196,8 @@ def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS) -
     right = held.select("t", F.col("x").alias("y"), F.col("comp").alias("comp_2"))
     third = left.join(right, (left["t"] == right["t"]) & (F.col("comp_1") != F.col("comp_2")) & _possible(F.col("x"), F.col("y"), percent))
     third = third.select("doc_id", F.col("y.id").alias("centre")).select(*pair).distinct().join(tested.union(second), ["a", "b"], "left_anti")
-    return components(cut(links.union(overlaps(third, parts, percent))))
+    links = links.union(overlaps(third, parts, percent))
+    return components(cut(links if also is None else links.union(also)))
 
 
 def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, group_bytes: int = GROUP_BYTES,
@@ -207,16 +206,29 @@ def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, group_bytes:
     grouped, groups = with_groups(docs.filter("doc_id is not null"), group_bytes)
     buckets = shared.bucket_count(groups, 0.16, bucket_values, group_bytes)
     meta = cut(grouped.select("doc_id", "text").mapInArrow(_signs(n), "doc_id long, n long, sig binary"))
-    # an empty set is no class: such documents are their own
-    classes = meta.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"))
-    reps = classes.select(F.col("class_id").alias("doc_id"), group_of("class_id", groups).alias("p"))
+    # an empty set is no class: such documents are their own. Classes have names of their own until the end:
+    # one doc_id may be the smallest of several, if its rows have different texts
+    classes = cut(meta.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id")).withColumn("class", F.monotonically_increasing_id()))
+    reps = classes.select(F.col("class_id").alias("doc_id"), group_of("class_id", groups).alias("p"), "sig", "class")
     sent = grouped.groupBy("p").cogroup(reps.groupBy("p")).applyInArrow(_send(n, buckets), shared.SENT)
     reply = shared.answers(sent).unionByName(reps, allowMissingColumns=True)
     found = cut(grouped.groupBy("p").cogroup(reply.groupBy("p")).applyInArrow(_survivors(n, buckets, percent), _SETS_DDL))
-    comps = link(found, percent, fragments)
-    out = meta.join(classes, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"))
-    return out.join(comps.withColumnRenamed("id", "class_id"), "class_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("comp", "class_id").alias("component_id"), "class_id")
+    repeated = meta.groupBy("doc_id").agg(F.min("sig").alias("s0"), F.max("sig").alias("s1")).filter("s0 <> s1").select("doc_id")
+    several = not repeated.isEmpty()
+    also = None
+    if several:  # rows of one doc_id are one document: its classes are linked
+        own = cut(meta.filter("n > 0").join(repeated, "doc_id", "left_semi").join(classes, "sig").select("doc_id", "class").distinct())
+        also = own.join(own.groupBy("doc_id").agg(F.min("class").alias("a")), "doc_id").filter("a <> class").select("a", F.col("class").alias("b"))
+    comps = link(found, percent, fragments, also).withColumnRenamed("id", "class")
+    named = classes.join(comps, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    least = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
+    named = named.join(least, "comp").select("sig", "class_id", "component_id")
+    out = meta.join(named, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                                                 F.coalesce("class_id", "doc_id").alias("class_id"))
+    if several:  # also its rows without words
+        whole = out.groupBy("doc_id").agg(F.min("component_id").alias("_least"))
+        out = out.join(whole, "doc_id").withColumn("component_id", F.least("component_id", "_least")).drop("_least")
+    return out
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

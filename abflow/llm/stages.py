@@ -8,23 +8,30 @@ from pyspark.sql import functions as F
 from . import compress_quality, decontam, ngram_join, packing, secret_scan
 from .common import read_table
 
-SCORE = "_quality_score"
 
 
 def good_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores under its cutoff go."""
     model = compress_quality.fit(docs, read_table(spark, sf_dir, "labels"))
-    return compress_quality.score(docs, model, SCORE).filter(F.col(SCORE) >= compress_quality.CUTOFF).drop(SCORE)
+    name = "_quality_score"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return compress_quality.score(docs, model, name).filter(F.col(name) >= compress_quality.CUTOFF).drop(name)
 
 
 def one_of_each_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest ``doc_id`` stays (the
     component's name). Documents without words have no group and stay; a row whose
-    ``doc_id`` is null can't be compared and stays; repeated rows with one id leave one."""
+    ``doc_id`` is null can't be compared and stays. Rows of one id are one document: each of
+    its texts stays once, so no text goes without another of its group being kept."""
     found = ngram_join.ngram_join(docs)
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    # whole rows are shuffled for this only if any row is repeated
+    repeats = docs.filter("doc_id is not null").groupBy("doc_id", F.xxhash64("text").alias("h")).count().filter("count > 1")
+    if repeats.isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(kept.filter("doc_id is null"))
 
 
 def without_benchmark(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from abflow.llm.common import read_table
 from abflow.llm.queries import QUERIES
 
 from .brute import ngram_join as brute
+from .brute import shingles
 
 DDL = "doc_id long, text string, source string, p string, n long"
 
@@ -62,6 +63,20 @@ def test_null_empty_short_and_repeated(spark):
     assert [(r.doc_id, r.component_id) for r in N.ngram_join(df).collect()] == [(1, 1)]
 
 
+def test_one_id_with_several_texts(spark):
+    """Rows of one doc_id are one document: what links to any of its texts is in its component."""
+    rng = random.Random(8)
+    a, b, c = ([f"{x}{rng.randrange(10**6)}" for _ in range(40)] for x in "abc")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a, "z"])), (3, " ".join([*b, "z"])), (9, " ".join([*c, "y"])), (5, " ".join(c)), (5, " ".join([*b, "q"])),
+            (7, ""), (7, " ".join([*a, "w"])), (8, " ".join(f"u{i}" for i in range(30)))]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.ngram_join(df).collect())
+        by_id = {d: comp for d, (_, comp) in brute(order).items()}
+        assert got == sorted((d, len(shingles(t)), by_id[d]) for d, t in order)
+        assert by_id == {1: 1, 2: 1, 3: 1, 5: 1, 7: 1, 8: 8, 9: 1}
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(40)]

@@ -50,6 +50,21 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark):
                 assert None in ids and ids.count(10**6 + 2) == 1 and 10**6 + 3 not in ids
 
 
+def test_no_text_and_no_column_is_lost(spark):
+    """Repeated ids with different texts, and a column that has the score's name."""
+    from pyspark.sql import functions as F
+
+    from abflow.llm import stages
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, a), (2, a + " z"), (3, c), (None, c), (4, b + " z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1).cast("long")})
+    left = sorted((r.doc_id or 0, r.text) for r in stages.one_of_each_group(spark, docs, SF).collect())
+    assert left == sorted([(1, a), (1, b), (3, c), (0, c)])
+    given = read_table(spark, SF, "documents").withColumn("_quality_score", F.lit("mine"))
+    out = stages.good_quality(spark, given, SF)
+    assert out.columns == given.columns and {r[0] for r in out.select("_quality_score").distinct().collect()} == {"mine"}
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "ngram_jaccard_join", "benchmark_decontamination", "secret_scan", "best_fit_packing"]
     assert corpus_pipeline.ORACLE_SQL is None and re.match("Corpus pipeline", corpus_pipeline.__doc__)
