@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from . import shared
 from .common import SPACED, Words, cut, group_of, read_table, text_buffers, with_groups
+from .tokens import forget
 
 N, PERCENT = 5, 80
 GROUP_BYTES = 8 << 20
@@ -80,6 +81,7 @@ def _signature(s: np.ndarray) -> bytes:
 
 def _signs(k: int):
     def run(batches):
+        forget()
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             rows = [(ids[i], len(s), _signature(s)) for i, s in sets(batch, k)]

@@ -121,6 +121,18 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+def forget() -> None:
+    """Let go of what this worker remembers from an earlier stage; workers outlive stages."""
+    if _loaded:
+        import gc
+
+        import pyarrow as pa
+
+        _loaded.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def some_texts(texts: list[str | None], chars: int = 1 << 20):
     """(first row, texts) in parts of about ``chars`` characters, whole texts."""
     i = 0
