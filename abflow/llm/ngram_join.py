@@ -22,7 +22,8 @@ sets are one class, kept by its smallest ``doc_id``. The steps:
 
 Defined cases: null or empty text, or text of white space, has an empty set
 and links with nothing; rows with a null ``doc_id`` are left out (they can't
-be named); repeated rows give repeated results; ties go to the smaller id;
+be named); repeated rows give repeated results; rows of one ``doc_id`` with different texts are
+one document, linked with what any of its texts links to; ties go to the smaller id;
 other columns are ignored.
 """
 
