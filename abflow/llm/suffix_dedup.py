@@ -263,62 +263,82 @@ def refine(text: np.ndarray, left: np.ndarray, width: int = WIDTH) -> np.ndarray
     return out
 
 
-def _decide(batch: list[tuple], width: int) -> list[tuple]:
-    """(p, doc, ident, start, end) of the spans to remove. batch: (text, [(p, doc, ident, start)])."""
-    lens = np.array([len(t) for t, _ in batch])
+def _decide(text: bytes, lens: np.ndarray, least: np.ndarray, run: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Spans to remove: number of the entry, first and end offset in its run. text: the runs
+    of whole keys one after the other, with their lengths and smallest documents; run, doc: of each entry."""
     ends = np.cumsum(lens)
-    text = np.frombuffer(b"".join(t for t, _ in batch), np.uint8)
-    left = np.repeat(ends, lens) - np.arange(len(text))
-    bucket = refine(text, left, width)
-    least = np.array([min(x[1] for x in e) for _, e in batch])
+    first = ends - lens
+    bucket = refine(np.frombuffer(text, np.uint8), np.repeat(ends, lens) - np.arange(len(text)), width)
     at = np.flatnonzero(bucket >= 0)
-    owner = np.repeat(least, lens)[at]
-    o = np.lexsort((owner, bucket[at]))
-    b = bucket[at][o]
-    first = np.r_[True, b[1:] != b[:-1]][:len(o)]
+    least_of = np.full(len(text), np.iinfo(np.int64).max)
+    np.minimum.at(least_of, bucket[at], np.repeat(least, lens)[at])
     low = np.zeros(len(text), np.int64)
-    low[at[o]] = np.repeat(owner[o][first], np.diff(np.r_[np.flatnonzero(first), len(o)]))
-    spans = []
-    for (t, entries), z in zip(batch, ends.tolist(), strict=True):
-        windows = low[z - len(t):z - width + 1]
-        if len(entries) == 1 and int(windows.min()) >= entries[0][1]:
-            continue
-        for p, doc, ident, start in entries:
-            x = np.flatnonzero(np.diff(np.r_[False, windows < doc, False].astype(np.int8))).tolist()
-            spans += [(p, doc, ident, start + i, start + j + width - 1) for i, j in zip(x[::2], x[1::2], strict=True)]
-    return spans
+    low[at] = least_of[bucket[at]]
+    # the windows of all entries one after the other
+    n = lens[run] - width + 1
+    base = np.cumsum(n) - n
+    gone = low[np.repeat(first[run] - base, n) + np.arange(n.sum())] < np.repeat(doc, n)
+    edge = np.zeros(len(gone) + 1, bool)
+    edge[base] = True
+    before, after = np.r_[False, gone[:-1]], np.r_[gone[1:], False]
+    a = np.flatnonzero(gone & (edge[:-1] | ~before))
+    z = np.flatnonzero(gone & (np.r_[edge[1:-1], True][:len(gone)] | ~after)) + 1
+    e = np.searchsorted(base, a, "right") - 1
+    return e, a - base[e], z - base[e] + width - 1
 
 
 def _bucket(t: pa.Table) -> pa.Table:
-    by_key: dict[int, dict[bytes, list]] = {}
     rows: list[tuple] = []
+    number: dict[bytes, int] = {}  # distinct runs
+    own, keys, entries = [], [], []
     for p, ready, blob in zip(t.column("p").to_pylist(), t.column("spans").to_pylist(), t.column("blob").to_pylist(), strict=True):
         if ready:
             rows.append((p, blob))
             continue
-        keys, lens, raw, nth, doc, ident, start = _unsqueeze(blob, "Qisiqqq")
-        entries: list[list] = [[] for _ in keys]
-        for i, *e in zip(nth.tolist(), doc.tolist(), ident.tolist(), start.tolist(), strict=True):
-            entries[i].append((p, *e))
+        key, lens, raw, nth, *entry = _unsqueeze(blob, "Qisiqqq")
         z = np.cumsum(lens).tolist()
-        for k, a, b, e in zip(keys.tolist(), [0, *z], z, entries, strict=False):
-            by_key.setdefault(k, {}).setdefault(raw[a:b], []).extend(e)
-    spans, batch, size = [], [], 0
-    for texts in by_key.values():
-        if len({x[1] for e in texts.values() for x in e}) < 2:
-            continue  # one document's own repeats
-        batch += texts.items()
-        size += sum(map(len, texts))
-        if size >= SORT_BYTES:
-            spans += _decide(batch, WIDTH)
-            batch, size = [], 0
-    if batch:
-        spans += _decide(batch, WIDTH)
-    spans.sort()
-    a = np.array(spans, np.int64).reshape(-1, 5)
-    cuts = np.flatnonzero(np.r_[True, a[1:, 0] != a[:-1, 0], True]) if len(a) else np.zeros(1, np.int64)
+        got = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip([0, *z], z, strict=False)])
+        own.append(got)
+        keys.append(key)
+        entries.append((got[nth], np.full(len(nth), p), *entry))
+    spans = [np.zeros((5, 0), np.int64)]
+    if number:
+        which, part, doc, ident, start = map(np.concatenate, zip(*entries, strict=True))
+        del entries
+        key_of = np.empty(len(number), np.uint64)
+        key_of[np.concatenate(own)] = np.concatenate(keys)
+        u, key_no = np.unique(key_of, return_inverse=True)
+        most = np.iinfo(np.int64).max
+        low, high = np.full(len(u), most), np.full(len(u), -most - 1)
+        np.minimum.at(low, key_no[which], doc)
+        np.maximum.at(high, key_no[which], doc)
+        two = low < high  # else one document's own repeats
+        e = np.flatnonzero(two[key_no[which]])
+        e = e[np.lexsort((which[e], key_no[which[e]]))]
+        head = np.flatnonzero(np.r_[True, which[e[1:]] != which[e[:-1]]][:len(e)])  # entries by run, runs by key
+        order, count = which[e[head]], np.diff(np.r_[head, len(e)])
+        least = np.minimum.reduceat(doc[e], head) if len(e) else doc[e]
+        texts = list(number)
+        lens = np.array([len(texts[r]) for r in order.tolist()], np.int64)
+        done = np.cumsum(lens * (1 + count))
+        stop = np.flatnonzero(np.r_[key_no[order[1:]] != key_no[order[:-1]], True][:len(order)]) + 1  # whole keys
+        i = 0
+        while i < len(order):
+            # keys up to about SORT_BYTES, one at least
+            k = np.searchsorted(done[stop - 1], (done[i - 1] if i else 0) + SORT_BYTES)
+            j = int(stop[min(k, len(stop) - 1)])
+            a, z = head[i], head[j - 1] + count[j - 1]
+            x = e[a:z]
+            n, s, d = _decide(b"".join([texts[r] for r in order[i:j].tolist()]), lens[i:j], least[i:j],
+                              np.repeat(np.arange(j - i), count[i:j]), doc[x], WIDTH)
+            y = x[n]
+            spans.append(np.stack([part[y], doc[y], ident[y], start[y] + s, start[y] + d]))
+            i = j
+    every = np.concatenate(spans, axis=1)
+    every = every[:, np.lexsort(every[::-1])]
+    cuts = np.flatnonzero(np.r_[True, every[0, 1:] != every[0, :-1], True]) if every.shape[1] else np.zeros(1, np.int64)
     for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        rows.append((int(a[i, 0]), _squeeze(*_joined(*(a[i:j, c] for c in range(1, 5))))))
+        rows.append((int(every[0, i]), _squeeze(*_joined(*every[1:, i:j]))))
     return pa.Table.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(_SPANS)], schema=_SPANS)
 
 
