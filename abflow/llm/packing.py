@@ -80,18 +80,33 @@ def best_fit(sizes: list[int], cap: int) -> list[list[int]]:
     return bins
 
 
-def _shift(a: list[int], b: list[int], sizes: list[int], room: int, least: int):
+def _choices(items: list[int], sizes: list[int]):
+    """What can leave a bin and what can come back from it: items and their size. The latter
+    in rising size, for one item that leaves (none, one or two come back) and for two (one)."""
+    one = [((i,), sizes[i]) for i in items]
+    two = [((i, j), sizes[i] + sizes[j]) for n, i in enumerate(items) for j in items[:n]]
+    back = []
+    for choice in ([((), 0), *one, *two], one):
+        choice = sorted(choice, key=lambda x: x[1])
+        back.append(([r for _, r in choice], choice))
+    return one + two, back
+
+
+def _shift(outs, backs, room: int, least: int):
     """Items to leave a and to come back from b: the largest net size in [least, room], or None.
 
     Moves (one, none), exchanges (one for one) and two for one, both ways.
     """
     best, found = least - 1, None
-    outs = [((i,), sizes[i]) for i in a] + [((i, j), sizes[i] + sizes[j]) for n, i in enumerate(a) for j in a[:n]]
-    backs = [((), 0)] + [((i,), sizes[i]) for i in b] + [((i, j), sizes[i] + sizes[j]) for n, i in enumerate(b) for j in b[:n]]
     for out, s in outs:
-        for back, r in backs:
-            if len(out) + len(back) <= 3 and (len(out) == 1 or len(back) == 1) and best < s - r <= room:
-                best, found = s - r, (out, back)
+        if s <= best:
+            continue
+        sizes, choice = backs[len(out) - 1]
+        at = bisect_left(sizes, s - room)  # the smallest that leaves no more than the room
+        if at < len(sizes) and s - sizes[at] > best:
+            best, found = s - sizes[at], (out, choice[at][0])
+            if best == room:
+                break
     return found
 
 
@@ -104,6 +119,7 @@ def improve(bins: list[list[int]], sizes: list[int], cap: int) -> list[list[int]
     least = -(-total // cap) - len(full)  # no fewer loose bins can hold the rest
     stuck: set[int] = set()
     level = [sum(sizes[i] for i in b) for b in loose]
+    known: dict[int, tuple] = {}  # choices of bins that have not changed since
     while sum(1 for b in loose if b) > least:
         order = sorted((k for k, b in enumerate(loose) if b and k not in stuck), key=lambda k: level[k])
         if not order:
@@ -112,8 +128,12 @@ def improve(bins: list[list[int]], sizes: list[int], cap: int) -> list[list[int]
         # the fullest first: small gaps take the documents that fit them best
         for b in sorted((k for k, x in enumerate(loose) if x and k != a and level[k] < cap), key=lambda k: -level[k]):
             # the squares rise by 2 d (fill_b - fill_a + d): d over the difference, down to the room that b has
-            got = _shift(loose[a], loose[b], sizes, cap - level[b], max(1, level[a] - level[b] + 1))
+            for k in (a, b):
+                if k not in known:
+                    known[k] = _choices(loose[k], sizes)
+            got = _shift(known[a][0], known[b][1], cap - level[b], max(1, level[a] - level[b] + 1))
             if got:
+                del known[a], known[b]
                 out, back = got
                 loose[a] = [i for i in loose[a] if i not in out] + list(back)
                 loose[b] = [i for i in loose[b] if i not in back] + list(out)
