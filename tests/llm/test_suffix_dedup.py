@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from abflow.llm import suffix_dedup as S
 from abflow.llm.common import read_table
@@ -85,3 +86,36 @@ def test_no_key_grows_with_the_documents_of_a_frequent_string():
         for w in range(p, q):
             by.setdefault(raw[w:w + 50], set()).add(x)
     assert all(len(x) == 1 for x in by.values())  # equal windows meet
+
+
+def test_a_bucket_refined_key_by_key(monkeypatch):
+    """Any number of whole keys at a time gives the spans of a plain search."""
+    rng = random.Random(8)
+    passages = ["".join(rng.choice("abc") for _ in range(n)).encode() for n in (50, 60, 120)]
+    rows, want = [], set()
+    by_key: dict[int, list] = {}
+    for p in range(3):
+        runs = [(k, rng.choice([b"", b"x", b"yz"]) + x + rng.choice([b"", b"q"])) for k, x in enumerate(passages) for _ in range(2)]
+        runs = list(dict.fromkeys(runs))
+        owner = [(n, rng.randrange(9) * 3 + p, 7, rng.randrange(1000)) for n in range(len(runs)) for _ in range(2)]
+        for n, doc, mark, start in owner:
+            by_key.setdefault(runs[n][0], []).append((p, doc, mark, start, runs[n][1]))
+        columns = [np.array(c, np.int64) for c in zip(*owner, strict=True)]
+        rows.append((0, p, False, S._squeeze(np.array([k for k, _ in runs], np.uint64), np.array([len(x) for _, x in runs], np.int32),
+                                             b"".join(x for _, x in runs), columns[0].astype(np.int32), *columns[1:])))
+    for found in by_key.values():
+        least: dict[bytes, int] = {}
+        for _, doc, _, _, x in found:
+            for i in range(len(x) - S.WIDTH + 1):
+                least[x[i:i + S.WIDTH]] = min(doc, least.get(x[i:i + S.WIDTH], doc))
+        for p, doc, _, start, x in found:
+            want |= {(p, doc, start + i + j) for i in range(len(x) - S.WIDTH + 1) if least[x[i:i + S.WIDTH]] < doc for j in range(S.WIDTH)}
+    table = pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(S._RUNS)], schema=S._RUNS)
+    for size in (1, 300, 1 << 20):
+        monkeypatch.setattr(S, "SORT_BYTES", size)
+        got = set()
+        for r in S._bucket(table).to_pylist():
+            doc, mark, start, end = S._unsqueeze(r["blob"], "qqqq")
+            got |= {(r["p"], d, x) for d, a, z in zip(doc.tolist(), start.tolist(), end.tolist(), strict=True) for x in range(a, z)}
+            assert set(mark.tolist()) == {7}
+        assert got == want and want

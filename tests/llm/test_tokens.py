@@ -135,3 +135,17 @@ def test_local_search_raises_squares_and_saves_bins():
     # best fit in falling order needs three bins here, an exchange saves one
     sizes = [6, 5, 5, 4, 4, 4, 2]
     assert len(K.improve([[0, 6], [1, 2], [3, 4], [5]], sizes, 15)) == 2
+
+
+def test_the_best_exchange_is_found():
+    rng = random.Random(9)
+    for _ in range(300):
+        sizes = [rng.randrange(1, 40) for _ in range(9)]
+        a, b = list(range(rng.randrange(1, 5))), list(range(5, 5 + rng.randrange(5)))
+        room, least = rng.randrange(1, 60), rng.randrange(1, 20)
+        groups = [[(), *((i,) for i in x), *((i, j) for i in x for j in x if i < j)] for x in (a, b)]
+        nets = [sum(sizes[i] for i in o) - sum(sizes[i] for i in r) for o in groups[0] if o for r in groups[1]
+                if len(o) + len(r) <= 3 and 1 in (len(o), len(r))]
+        want = max((n for n in nets if least <= n <= room), default=None)
+        got = K._shift(K._choices(a, sizes)[0], K._choices(b, sizes)[1], room, least)
+        assert (got and sum(sizes[i] for i in got[0]) - sum(sizes[i] for i in got[1])) == want
