@@ -30,7 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -41,6 +41,7 @@ END_ID = 0
 SHARD_IDS = 4 << 20
 SHARD_BYTES = 16 << 20  # text of one range partition
 LEVELS = 40
+MARKS = 500
 _SHARD = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()),
                     ("keys", pa.binary()), ("offs", pa.binary()), ("index", pa.binary()), ("ids", pa.binary())])
 _SHARD_DDL = "lo long, hi long, n_ids long, width int, keys binary, offs binary, index binary, ids binary"
@@ -127,8 +128,9 @@ class Index:
 
 
 def _shard(keys: list[int], ids: list[np.ndarray]) -> dict:
+    """ids: for each key its document's ids and the end."""
     k = np.array(keys, np.int64)
-    offs = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int64)
+    offs = np.r_[0, np.cumsum([len(x) + 1 for x in ids[::2]])].astype(np.int64)
     u, first, n = np.unique(k, return_index=True, return_counts=True)
     every = np.concatenate(ids)
     return {"lo": keys[0], "hi": keys[-1], "n_ids": len(every), "width": every.dtype.itemsize, "keys": k.tobytes(), "offs": offs.tobytes(),
@@ -147,7 +149,7 @@ def _write(tokenizer: str, shard_ids: int):
                         yield pa.RecordBatch.from_pylist([_shard(keys, ids)], _SHARD)
                         keys, ids, size = [], [], 0
                     keys.append(doc)
-                    ids.append(np.concatenate([got, end]))
+                    ids += got, end
                     size += len(got) + 1
         if keys:
             yield pa.RecordBatch.from_pylist([_shard(keys, ids)], _SHARD)
@@ -184,19 +186,44 @@ def _digest(batches):
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(_FOUND)], schema=_FOUND)
 
 
+def _marks(store: DataFrame) -> list[int]:
+    """At most ``MARKS`` of the shards' first keys, evenly spread and sorted."""
+    at = [(i + 1) / (MARKS + 1) for i in range(MARKS)]
+    return sorted(set(store.agg(F.percentile_approx("lo", at, 10 * MARKS)).first()[0] or ()))
+
+
+def _range(value: str, marks: list[int]) -> Column:
+    """Which range between marks a value is in. A mark is a shard's first key, so a key is in its shard's range."""
+    every = F.array(*map(F.lit, marks)).cast("array<bigint>")
+    return F.size(F.filter(every, lambda m: m <= F.col(value)))
+
+
 def starts(store: DataFrame) -> DataFrame:
-    """(lo, base): ids in all shards before each shard; one small row per shard."""
-    return store.select("lo", "n_ids").withColumn(
-        "base", F.sum("n_ids").over(Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1))).select(
-        "lo", F.coalesce("base", F.lit(0)).alias("base"))
+    """(lo, base): ids in all shards before each shard. Sums run within a range of shards;
+    only the ranges' totals, ``MARKS`` + 1 rows at most, meet in one task."""
+    s = store.select("lo", "n_ids").withColumn("r", _range("lo", _marks(store)))
+    up_to = Window.rowsBetween(Window.unboundedPreceding, -1)
+    totals = s.groupBy("r").agg(F.sum("n_ids").alias("n")).select("r", F.coalesce(F.sum("n").over(up_to.orderBy("r")), F.lit(0)).alias("all_before"))
+    own = s.withColumn("before", F.coalesce(F.sum("n_ids").over(up_to.partitionBy("r").orderBy("lo")), F.lit(0)))
+    return own.join(totals, "r").select("lo", (F.col("all_before") + F.col("before")).alias("base"))
+
+
+def shard_of(store: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id, lo): the shard whose range each distinct key falls into, if any. Keys and the
+    shards' first keys are sorted together, a range of shards at a time; the last first key up to a key is its shard's."""
+    marks = _marks(store)
+    wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    begins = store.select(F.col("lo").alias("doc_id"), F.struct("lo", "hi").alias("shard"))
+    both = begins.unionByName(wanted, allowMissingColumns=True).withColumn("r", _range("doc_id", marks))
+    seen = Window.partitionBy("r").orderBy("doc_id", F.col("shard").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn("near", F.last("shard", ignorenulls=True).over(seen)).filter("shard is null and doc_id <= near.hi")
+    return near.select("doc_id", F.col("near.lo").alias("lo"))
 
 
 def fetch(store: DataFrame, keys: DataFrame) -> DataFrame:
-    """(doc_id, ids) of the given keys: keys go to their shard by range and are looked up
+    """(doc_id, ids) of the given keys: keys go to their shard and are looked up
     in its index. Only the shards that hold keys are moved."""
-    places = store.select("lo", "hi")
-    wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().join(
-        places, F.col("doc_id").between(F.col("lo"), F.col("hi"))).groupBy("lo").agg(F.collect_list("doc_id").alias("wanted"))
+    wanted = shard_of(store, keys).groupBy("lo").agg(F.collect_list("doc_id").alias("wanted"))
 
     def run(batches):
         for batch in batches:

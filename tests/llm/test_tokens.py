@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from abflow.llm import packing as K
@@ -75,6 +76,34 @@ def test_store_cases_and_keyed_access(spark, tools, tmp_path):
     assert T.fetch(T.read_store(spark, str(tmp_path / "e")), keys).collect() == []
 
 
+def test_keys_find_their_shard_by_equality(spark, monkeypatch):
+    """Shards in many ranges, keys before, between, in and behind them; no range join in the plan."""
+    monkeypatch.setattr(T, "MARKS", 7)
+    rng = random.Random(5)
+    ends = sorted(rng.sample(range(10_000), 120))
+    shards = [(ends[i], ends[i + 1], rng.randrange(1, 50)) for i in range(0, 120, 2)]
+    store = spark.createDataFrame([*shards[30:], *shards[:30]], "lo long, hi long, n_ids long").repartition(4)
+    keys = spark.range(-50, 10_050).select(F.col("id").alias("doc_id"))
+    found = T.shard_of(store, keys.union(keys.limit(60)).union(spark.createDataFrame([(None,)], "doc_id long")))
+    assert {r.doc_id: r.lo for r in found.collect()} == {d: lo for lo, hi, _ in shards for d in range(lo, hi + 1)}
+    at, want = 0, {}
+    for lo, _, n in shards:
+        want[lo], at = at, at + n
+    assert {r.lo: r.base for r in T.starts(store).collect()} == want
+    wide = spark.createDataFrame([], T._SHARD_DDL)
+    for plan in (found, T.fetch(wide, keys)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_words_led_by_a_space_and_not(tools):
+    """The same word at a text's start, behind a sign and behind a space has ids of its own each time."""
+    for enc, lib in tools.values():
+        for text in ("the.\nthe the", "the", " the", "the ,the ,", ", the. The.the", "'s 's x's", "\n the\n", " \nthe  the", "12 a12 12a", "the <|endoftext|>the"):
+            for _ in range(2):
+                assert enc.encode([text])[0].tolist() == ids(lib, text)
+
+
 def test_index_is_minimal_and_perfect():
     rng = np.random.default_rng(4)
     for n in (1, 2, 1000, 50_000):
