@@ -27,6 +27,8 @@ from .plans.reports import daily_report, news_report, retention_report
 from .session import ensure_checkpoint_dir
 from .sinks.files import export_tsv, write_members, write_report, write_totals
 from .sources.logs import read_behavior_log, with_event_day
+from .sources.scene_index import read_scene_log
+from .sources.scene_index import update as update_scene_index
 from .sources.tables import read_items, read_snapshot, read_totals
 from .streaming.compact import compact_hours
 from .streaming.ingest import read_event_stream, read_text_stream, start_ingest, stored_offsets
@@ -38,6 +40,16 @@ FUNNEL_FIELDS = S.F_TIME + 1
 NEWS_FIELDS = S.F_EXT + 1
 
 
+def scene_log(spark, path, start, end, scene, folder_prefix, min_fields, rejects=None, scene_index=None):
+    """One scene's rows of the day folders. With ``scene_index`` (kept by ``scene-index``) only files that may hold
+    the scene are read, so short lines of the others can't be reported."""
+    if scene_index and rejects:
+        raise ValueError("rejects need every file: give either rejects or a scene index")
+    if scene_index:
+        return read_scene_log(spark, path, scene_index, scene, start, end, folder_prefix, min_fields)
+    return by_scene(read_behavior_log(spark, path, start, end, folder_prefix, min_fields, rejects), scene)
+
+
 def news_members_job(spark, path, start, end, out, version, folder_prefix="", scene=S.SCENE_NEWS, rejects=None):
     """News uid split: release + scene filter, distinct uids of each folder day, groups qianA / qianB."""
     lg = read_behavior_log(spark, path, start, end, folder_prefix, NEWS_FIELDS, rejects)
@@ -51,11 +63,11 @@ def rel_members_job(spark, path, start, end, out, scene=S.SCENE_RELATED, folder_
 
 
 def news_metrics_job(spark, path, start, end, out, version, fmt="parquet",
-                     folder_prefix="", scene=S.SCENE_NEWS, slot_match="whole", rejects=None, **options):
+                     folder_prefix="", scene=S.SCENE_NEWS, slot_match="whole", rejects=None, scene_index=None, **options):
     """News metrics per folder day: AI-slot exposures, watch sum / mean, plays. A line
     without slot fields has no slots."""
-    lg = read_behavior_log(spark, path, start, end, folder_prefix, NEWS_FIELDS, rejects)
-    lg = watch_fields(by_release(by_scene(with_group(lg), scene), version))
+    lg = scene_log(spark, path, start, end, scene, folder_prefix, NEWS_FIELDS, rejects, scene_index)
+    lg = watch_fields(by_release(with_group(lg), version))
     write_report(news_report(lg, slot_match=slot_match), fmt, out, **options)
 
 
@@ -74,11 +86,11 @@ def rel_metrics(lg: DataFrame) -> DataFrame:
 
 
 def rel_metrics_job(spark, path, start, end, members_path, out, history_start=S.HISTORY_START,
-                    scene=S.SCENE_RELATED, fmt="parquet", tz=S.DEFAULT_TZ, folder_prefix="", rejects=None, **options):
+                    scene=S.SCENE_RELATED, fmt="parquet", tz=S.DEFAULT_TZ, folder_prefix="", rejects=None, scene_index=None, **options):
     """Click-anchored A / B funnel reports by folder day and event day (late lines have
     rows of their own), 7-day retention, and players by folder day."""
-    lg = read_behavior_log(spark, path, start, end, folder_prefix, FUNNEL_FIELDS, rejects)
-    lg = with_group(with_event_day(by_scene(lg, scene), tz))
+    lg = scene_log(spark, path, start, end, scene, folder_prefix, FUNNEL_FIELDS, rejects, scene_index)
+    lg = with_group(with_event_day(lg, tz))
     ensure_checkpoint_dir(spark)
     all_ = rel_metrics(lg).checkpoint(eager=True)   # a row per day and group: the scan runs once
     for g in ("A", "B"):
@@ -235,12 +247,16 @@ def main(argv=None):
     a.add_argument("--format", default="parquet")
     a.add_argument("--scene", default=S.SCENE_NEWS)
     a.add_argument("--slot-match", choices=["whole", "any"], default="whole")
+    a.add_argument("--scene-index")
     a = sub.add_parser("rel-metrics", parents=[common])
     a.add_argument("--members", required=True)
     a.add_argument("--out", required=True)
     a.add_argument("--format", default="parquet")
     a.add_argument("--scene", default=S.SCENE_RELATED)
     a.add_argument("--history-start", default=S.HISTORY_START)
+    a.add_argument("--scene-index")
+    a = sub.add_parser("scene-index", parents=[common], help="index the log files that are new or changed")
+    a.add_argument("--index", required=True)
     a = sub.add_parser("rel-reports", parents=[common])
     a.add_argument("--members", required=True)
     a.add_argument("--out-daily", required=True)
@@ -303,10 +319,12 @@ def main(argv=None):
         rel_members_job(spark, args.path, args.start, args.end, args.out, folder_prefix=args.folder_prefix, rejects=args.rejects)
     elif j == "news-metrics":
         news_metrics_job(spark, args.path, args.start, args.end, args.out, args.version, args.format,
-                         args.folder_prefix, scene=args.scene, slot_match=args.slot_match, rejects=args.rejects)
+                         args.folder_prefix, scene=args.scene, slot_match=args.slot_match, rejects=args.rejects, scene_index=args.scene_index)
     elif j == "rel-metrics":
         rel_metrics_job(spark, args.path, args.start, args.end, args.members, args.out, args.history_start, args.scene, args.format,
-                        tz=args.tz, folder_prefix=args.folder_prefix, rejects=args.rejects)
+                        tz=args.tz, folder_prefix=args.folder_prefix, rejects=args.rejects, scene_index=args.scene_index)
+    elif j == "scene-index":
+        update_scene_index(spark, args.path, args.index, args.start, args.end, args.folder_prefix)
     elif j == "rel-reports":
         rel_reports_job(spark, args.path, args.start, args.end, args.members, args.out_daily, args.out_retention,
                         args.history_start, fmt=args.format, folder_prefix=args.folder_prefix, rejects=args.rejects,

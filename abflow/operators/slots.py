@@ -137,6 +137,39 @@ def watch_stats(df: DataFrame, factor: int = S.WATCH_FACTOR, ai_type: str = S.AI
     return agg.withColumn("watch_mean", F.expr("watch_sum div nullif(players, 0)"))
 
 
+def slot_texts(df: DataFrame, factor: int = S.WATCH_FACTOR, match: str = "equals") -> DataFrame:
+    """One row per day, group and distinct slot text: exposures (``n``, ``watch`` null) by slot
+    and type list, plays (``n``, ``watch`` the plausible seconds) by slot field and uid.
+
+    Both kinds come out of one aggregate, and every later filter is on ``watch``, which only
+    the aggregate knows: no filter goes below it, so plans that use the result twice share its exchange.
+    """
+    play = action_cond(S.ACTION_PLAY, match)
+    ok = F.col("watch_s") <= F.coalesce(F.try_multiply("dur_s", F.lit(factor)), F.col("dur_s"))
+    rows = df.filter((action_cond(S.ACTION_EXPOSURE, match) | play) & F.col("dt").isNotNull() & F.col("rec_pos").isNotNull())
+    keyed = rows.select("dt", "grp", "rec_pos", play.alias("play"), F.when(~play, F.col("rec_type")).alias("rec_type"), F.when(play, F.col("uid")).alias("uid"),
+                        F.when(play, F.when(ok, F.col("watch_s")).otherwise(0)).alias("_w"))
+    return keyed.groupBy("dt", "grp", "rec_pos", "play", "rec_type", "uid").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_w").alias("watch")).drop("play")
+
+
+def text_exposures(lists: DataFrame, ai_type: str = S.AI_SLOT_TYPE) -> DataFrame:
+    """dt, rec_posi, a_n (exposures of group A with the AI type), b_n (of group B) from ``slot_texts``."""
+    z = F.arrays_zip(split_java("rec_pos", ";").alias("p"), split_java("rec_type", ";").alias("t"))
+    ex = lists.filter("watch is null").select("dt", "grp", "n", F.explode(z).alias("_z")).filter("_z.p is not null")
+    return ex.groupBy("dt", F.col("_z.p").alias("rec_posi")).agg(
+        F.sum(F.when((F.col("grp") == "A") & (F.col("_z.t") == ai_type), F.col("n")).otherwise(0)).alias("a_n"),
+        F.sum(F.when(F.col("grp") == "B", F.col("n")).otherwise(0)).alias("b_n"))
+
+
+def text_watch(lists: DataFrame, slots: DataFrame, slot_match: str = "whole") -> DataFrame:
+    """``watch_stats`` from ``slot_texts`` and the AI slots of each day (dt, rec_posi)."""
+    # n is never 0: naming it keeps the count in the aggregate where only the texts are asked for, so that is the shared one
+    hit = in_slots(lists.filter("watch is not null and n > 0"), slots, slot_match, keys=("dt",))
+    agg = hit.groupBy("grp", "dt").agg(F.sum("n").alias("plays"), F.count_distinct("uid").alias("players"), F.sum("watch").cast("bigint").alias("watch_sum"))
+    return agg.withColumn("watch_mean", F.expr("watch_sum div nullif(players, 0)"))
+
+
 def slot_report(df: DataFrame, man_type: str, ai_type: str = S.AI_SLOT_TYPE,
                 by=("dt", "rec_posi"), match: str = "numeric") -> DataFrame:
     """Per slot: exposure / click / order x {AI, manual} x {A, B}, null where none.

@@ -17,8 +17,7 @@ from .. import schema as S
 from ..operators.filters import action_cond
 from ..operators.groups import members_daily
 from ..operators.retention import retention, user_stats_daily
-from ..operators.slots import slot_exposures, watch_stats
-from ..session import ensure_checkpoint_dir
+from ..operators.slots import slot_texts, text_exposures, text_watch
 
 
 def one_of(labels: tuple[str, str]):
@@ -81,15 +80,17 @@ def news_report(logs: DataFrame, factor: int = S.WATCH_FACTOR, slot_match: str =
     """Per day, for A and B: AI-slot exposures, total and mean plausible
     watch time and plays in AI slots (the news metrics job as one plan).
 
-    ``logs`` are one scene's rows with grp. The exposures and plays are
-    written once to the shared checkpoint folder, so the source is read and
-    parsed once; both parts are per-day sized, so the join on the day key is small.
+    ``logs`` are one scene's rows with grp. They are read once: the first aggregate has a row
+    per distinct slot text of the exposures, and per distinct slot field and user of the plays;
+    lists are cut up and slots matched on those rows alone, so what follows grows with them and
+    not with the log. Rows without a day or slots have no part in it.
     """
-    ensure_checkpoint_dir(logs.sparkSession)
-    logs = logs.filter(action_cond(S.ACTION_EXPOSURE) | action_cond(S.ACTION_PLAY)).select(
-        "dt", "grp", "uid", "action_type", "rec_pos", "rec_type", "watch_s", "dur_s").checkpoint(eager=True)
-    ex = slot_exposures(logs)
-    ws = watch_stats(logs, factor=factor, slot_match=slot_match)
+    lists = slot_texts(logs, factor)
+    per_slot = text_exposures(lists)
+    ex = per_slot.groupBy("dt").agg(
+        F.sum("a_n").cast("bigint").alias("a_expose"),
+        F.sum(F.when(F.col("a_n") > 0, F.col("b_n")).otherwise(0)).cast("bigint").alias("b_expose"))
+    ws = text_watch(lists, per_slot.filter("a_n > 0").select("dt", "rec_posi"), slot_match)
     wide = ws.groupBy("dt").agg(*[F.max(F.when(F.col("grp") == g, F.col(c))).alias(f"{g.lower()}_{c}")
                                   for g in ("A", "B") for c in ("watch_sum", "watch_mean", "plays")])
     cols = [f"{g}_{c}" for g in ("a", "b") for c in ("expose", "watch_sum", "watch_mean", "plays")]

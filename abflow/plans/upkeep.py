@@ -1,5 +1,5 @@
 """Registered queries over kept tables: activity bitmaps, hourly partial
-aggregates, sketches, the bucketed snapshot and the compacted event table."""
+aggregates, sketches, the scene index, the bucketed snapshot and the compacted event table."""
 
 from __future__ import annotations
 
@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import epoch_to_hour
 from ..operators import activity, partials, sketches
+from ..operators.funnel import funnel_daily
+from ..operators.groups import with_group
 from ..operators.keyed import offset_audit, offset_ranges
 from ..session import scratch_path, spread
-from ..sources.fixture import ITEM_FIELDS, item_lines, raw_events_json, read_table
+from ..sources.fixture import ITEM_FIELDS, item_lines, mixed_log_lines, raw_events_json, read_table
+from ..sources.logs import with_event_day
 from .catalog import ARRIVAL as ARRIVAL_HOUR
 from .catalog import DROP_SPLIT, JSON_KEYS, PARTS, SCENE_REL, START, gblog, register, rel_members
 from .oracle import MEMBERS, ORACLE, with_blog
@@ -198,6 +201,23 @@ def q_stream_arrival(spark, sf_dir):
 
 ORACLE["stream_arrival"] = "SELECT event_type AS bizType, count(*) AS n, count(*) AS n_arrival_hour FROM events GROUP BY 1"
 
+@register("scene_indexed")
+def q_scene_indexed(spark, sf_dir):
+    """The funnel of raw day folders from the files that may hold the scene: three quarters of the lines lie in files of
+    few scenes and are indexed, the rest comes later and is unknown to the index."""
+    from ..sources import scene_index
+    path, index = scratch_path(spark, "scene-logs"), scratch_path(spark, "scene-index")
+    lines = mixed_log_lines(spark, sf_dir)
+    late = F.crc32("value") % 4 == 0
+    lines.filter(~late).repartition("dt", F.split("value", "\t")[2]).write.partitionBy("dt").text(path)
+    scene_index.update(spark, path, index, folder_prefix="dt=")
+    lines.filter(late).hint("rebalance", "dt").write.mode("append").partitionBy("dt").text(path)
+    rows = scene_index.read_scene_log(spark, path, index, SCENE_REL, folder_prefix="dt=", min_fields=5)
+    return funnel_daily(with_group(with_event_day(rows, "UTC")), by=("grp", "folder_dt", "dt"))
+
+
+ORACLE["scene_indexed"] = ORACLE["funnel_from_logs"]
+
 RANGE = 100   # offsets of a batch in the audit
 
 

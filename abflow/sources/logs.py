@@ -31,6 +31,12 @@ def day_glob(path: str, start: str | None, end: str | None, prefix: str = "") ->
     return f"{path}/{{{','.join(prefix + d for d in day_list(start, end))}}}/*"
 
 
+def with_folder_day(lines: DataFrame) -> DataFrame:
+    """(value, dt) of lines just read: the day of the folder that their file is in."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/]*?([0-9]{8})/[^/]*$", 1)
+    return lines.select("value", folder.alias("dt"))
+
+
 def read_log_text(spark: SparkSession, path: str, start: str | None = None,
                   end: str | None = None, folder_prefix: str = "") -> DataFrame:
     """Lines of every day folder in [start, end] -> (value, dt), one scan.
@@ -47,8 +53,7 @@ def read_log_text(spark: SparkSession, path: str, start: str | None = None,
         # days may be missing under an existing root; a root without any day folder fails here
         spark.read.text(day_glob(path, None, None, folder_prefix))
         return spark.createDataFrame([], "value string, dt string")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/]*?([0-9]{8})/[^/]*$", 1)
-    return df.select("value", folder.alias("dt"))
+    return with_folder_day(df)
 
 
 def parse_log_lines(lines: DataFrame, min_fields: int = S.LOG_FIELDS) -> DataFrame:

@@ -1,4 +1,5 @@
 """Reports and sinks: join form == aggregate form, wide rows, re-runnable writes."""
+import pytest
 from pyspark.sql import functions as F
 
 from abflow import schema as S
@@ -61,3 +62,28 @@ def test_write_partitioned(spark, tmp_path):
     write_partitioned(df, str(tmp_path / "e"), "curr_time")
     names = sorted(p.name for p in (tmp_path / "e").iterdir() if p.name.startswith("curr_time="))
     assert names == ["curr_time=2024010100", "curr_time=2024010101"]
+
+
+@pytest.mark.parametrize("match", ["whole", "any"])
+def test_news_report_reads_the_log_once(spark, sf, match):
+    """As slot_exposures and watch_stats on the log itself; one scan, and no checkpoint."""
+    from abflow.functions.fields import watch_fields
+    from abflow.operators.filters import by_scene
+    from abflow.operators.groups import with_group
+    from abflow.operators.slots import slot_exposures, watch_stats
+    from abflow.plans.catalog import SCENE_NEWS, parsed_logs
+    from abflow.plans.reports import news_report
+    logs = watch_fields(with_group(by_scene(parsed_logs(spark, sf), SCENE_NEWS)))
+    # a play in one slot, as the whole field is compared
+    logs = logs.withColumn("rec_pos", F.when(F.col("action_type") == "3", F.substring_index("rec_pos", ";", 1)).otherwise(F.col("rec_pos")))
+    df = news_report(logs, slot_match=match)
+    got = {r.date: r for r in df.collect()}
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ExistingRDD" not in final and final.count("ReusedExchange") >= 2, final
+    ex = {r.dt: r for r in slot_exposures(logs).collect()}
+    assert set(got) == set(ex) and {d: (r.a_expose, r.b_expose) for d, r in got.items()} == {d: (r.a_expose, r.b_expose) for d, r in ex.items()}
+    ws = watch_stats(logs, slot_match=match).collect()
+    assert len(ws) > 20
+    for r in ws:
+        g = r.grp.lower()
+        assert (r.plays, r.watch_sum, r.watch_mean) == tuple(got[r.dt][f"{g}_{c}"] for c in ("plays", "watch_sum", "watch_mean"))
