@@ -209,7 +209,7 @@ def q_scene_indexed(spark, sf_dir):
     path, index = scratch_path(spark, "scene-logs"), scratch_path(spark, "scene-index")
     lines = mixed_log_lines(spark, sf_dir)
     late = F.crc32("value") % 4 == 0
-    lines.filter(~late).repartition("dt", F.split("value", "\t")[2]).write.partitionBy("dt").text(path)
+    lines.filter(~late).repartition("dt", F.get(F.split("value", "\t"), F.lit(2))).write.partitionBy("dt").text(path)
     scene_index.update(spark, path, index, folder_prefix="dt=")
     lines.filter(late).hint("rebalance", "dt").write.mode("append").partitionBy("dt").text(path)
     rows = scene_index.read_scene_log(spark, path, index, SCENE_REL, folder_prefix="dt=", min_fields=5)
