@@ -99,12 +99,18 @@ def flatten_json(df: DataFrame, col: str = "value", depth: int | None = None, ou
     allow_repeated_keys(df)
     if depth:
         return _flat(df, col, depth, True, unwrap_same_key, out)
-    deep = df.withColumn("_depth", nesting(col))
+    deep = df.withColumn("_depth", level_bound(col))
     most = deep.agg(F.max("_depth")).first()[0] or 1   # an action: one pass over the text
-    shallow = _flat(df if most <= STEP else deep.filter(F.coalesce("_depth", F.lit(0)) <= STEP).drop("_depth"), col, min(most, STEP), False, unwrap_same_key, out)
+    return flatten_bounded(deep if most > STEP else df.withColumn("_depth", F.lit(0)), "_depth", most, col, out, unwrap_same_key)
+
+
+def flatten_bounded(df: DataFrame, bound: str, most: int, col: str = "value", out: str = "fields", unwrap_same_key: bool = False) -> DataFrame:
+    """:func:`flatten_json` of rows whose :func:`level_bound` is the column ``bound`` (dropped) and ``most`` at most."""
+    allow_repeated_keys(df)
     if most <= STEP:
-        return shallow
-    return shallow.unionByName(_flat(deep.filter(F.col("_depth") > STEP).drop("_depth"), col, most, False, unwrap_same_key, out))
+        return _flat(df.drop(bound), col, most, False, unwrap_same_key, out)
+    shallow = _flat(df.filter(F.coalesce(bound, F.lit(0)) <= STEP).drop(bound), col, STEP, False, unwrap_same_key, out)
+    return shallow.unionByName(_flat(df.filter(F.col(bound) > STEP).drop(bound), col, most, False, unwrap_same_key, out))
 
 
 def _flat(df: DataFrame, col: str, most: int, cut: bool, unwrap_same_key: bool, out: str) -> DataFrame:
@@ -126,6 +132,13 @@ def nesting(col: str) -> Column:
     return F.when(F.from_json(text, _MAP_T).isNotNull(), most)
 
 
+def level_bound(col: str) -> Column:
+    """No fewer than the levels of objects in a message, null for a reject: its open braces if they
+    are ``STEP`` or fewer (a count of bytes), else the levels themselves."""
+    braces = F.octet_length(col) - F.octet_length(F.replace(F.col(col), F.lit("{"), F.lit("")))
+    return F.when(braces > STEP, nesting(col)).when(F.from_json(col, _MAP_T).isNotNull(), braces)
+
+
 def _levels(df: DataFrame, col: str, most: int, depth: bool, unwrap_same_key: bool) -> tuple[DataFrame, list[Column]]:
     """Columns ``_lvl1``.. with each level's entries, and the candidates that each level gives;
     ``depth``: what nests deeper than ``most`` stays text."""

@@ -35,8 +35,6 @@ QUERIES: dict[str, Query] = {}
 SCENE_REL = "S_REL"
 SCENE_NEWS = "S_NEWS"
 START = "20240101"
-# the events table is one file with one row group: deal its rows out before per-row work
-PARTS = 8
 
 
 def register(name: str):
@@ -293,7 +291,7 @@ def q_date_spine(spark, sf_dir):
 def q_time_funcs(spark, sf_dir):
     """Epoch -> day / hour and compact time -> epoch ms / s, Asia/Shanghai;
     error events carry the text 'null' (-> 未知)."""
-    ev = spread(read_table(spark, sf_dir, "events"), PARTS)
+    ev = spread(read_table(spark, sf_dir, "events"))
     secs = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
     b = ev.select("event_id", "ts", "event_type", secs.alias("action_sec"))
     sec = (F.when(F.col("event_type") == "error", F.lit("null")).when(F.col("event_id") % 11 == 3, "9999999999999999")
@@ -411,7 +409,7 @@ JSON_KEYS = ["eventId", "bizType", "userId", "mac", "id", "ids", "name", "curr_t
 
 @register("json_flatten")
 def q_json_flatten(spark, sf_dir):
-    f = flatten_json(spread(raw_events_json(spark, sf_dir), PARTS))
+    f = flatten_json(spread(raw_events_json(spark, sf_dir)))
     return f.select(*[F.col("fields")[k].alias(k) for k in JSON_KEYS])
 
 
@@ -422,13 +420,13 @@ def q_json_levels(spark, sf_dir):
     n = (F.col("event_id") % 12).cast("int")
     value = F.concat(F.expr("repeat('{\"o\":', int(event_id % 12))"), F.lit('{"mac":"x","mac":"m'), F.col("user_id").cast("string"), F.lit('"}'),
                      F.expr("repeat('}', int(event_id % 12))"))
-    d = spread(ev.select("event_id", n.alias("levels"), value.alias("value")), PARTS)
+    d = spread(ev.select("event_id", n.alias("levels"), value.alias("value")))
     return flatten_json(d).select("event_id", "levels", F.col("fields")["mac"].alias("mac"))
 
 
 @register("event_project")
 def q_event_project(spark, sf_dir):
-    return project_event(flatten_json(spread(raw_events_json(spark, sf_dir), PARTS)))
+    return project_event(flatten_json(spread(raw_events_json(spark, sf_dir))))
 
 
 # messages arrive in two drops; each drop's messages carry its arrival hour
@@ -446,7 +444,7 @@ def q_stream_ingest(spark, sf_dir):
     base = scratch_path(spark, "stream_ingest")
     src, out, ck = f"{base}/in", f"{base}/events", f"{base}/ck"
     arrival = F.when(F.col("ts") < DROP_SPLIT, ARRIVAL["first"]).otherwise(ARRIVAL["second"])
-    raw = spread(raw_events_json(spark, sf_dir, curr_time=arrival), PARTS)
+    raw = spread(raw_events_json(spark, sf_dir, curr_time=arrival))
     drops = [raw.filter(F.col("ts") < DROP_SPLIT), raw.filter(F.col("ts") >= DROP_SPLIT)]
     for part in drops:
         part.select("value").write.mode("append").text(src)

@@ -16,7 +16,7 @@ from ..session import scratch_path, spread
 from ..sources.fixture import ITEM_FIELDS, item_lines, mixed_log_lines, raw_events_json, read_table
 from ..sources.logs import with_event_day
 from .catalog import ARRIVAL as ARRIVAL_HOUR
-from .catalog import DROP_SPLIT, JSON_KEYS, PARTS, SCENE_REL, START, gblog, register, rel_members
+from .catalog import DROP_SPLIT, JSON_KEYS, SCENE_REL, START, gblog, register, rel_members
 from .oracle import MEMBERS, ORACLE, with_blog
 
 BASE = "20231101"   # of the bitmaps; before the first day, so that windows cross words
@@ -147,7 +147,7 @@ ORACLE["item_job_bucketed"] = ORACLE["item_job"]
 def delivered(spark, sf_dir):
     """The JSON messages (of two hours) as a topic delivers them: partition by event id mod 4, offsets from 0."""
     hour = F.when(F.col("ts") < DROP_SPLIT, ARRIVAL_HOUR["first"]).otherwise(ARRIVAL_HOUR["second"])
-    raw = spread(raw_events_json(spark, sf_dir, hour), PARTS)
+    raw = spread(raw_events_json(spark, sf_dir, hour))
     return raw.select("value", F.lit("ev").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
                       F.floor(F.col("event_id") / 4).cast("bigint").alias("offset"), "event_id")
 
@@ -189,7 +189,7 @@ def q_stream_arrival(spark, sf_dir):
     """Messages without an hour of their own take the one of their arrival, the same for a whole batch."""
     from ..streaming.ingest import read_ingested, read_text_stream, start_ingest
     base = scratch_path(spark, "stream_arrival")
-    raw = spread(raw_events_json(spark, sf_dir, F.lit(None).cast("string")), PARTS)
+    raw = spread(raw_events_json(spark, sf_dir, F.lit(None).cast("string")))
     raw.select("value").write.text(f"{base}/in")
     now = epoch_to_hour(F.unix_timestamp().cast("string"), "Asia/Shanghai")
     began = spark.range(1).select(now.alias("h")).first()[0]

@@ -7,6 +7,7 @@ import atexit
 import os
 import shutil
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -93,8 +94,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, partitions: int):
-    """Round-robin rows over ``partitions`` tasks before CPU-heavy per-row
-    work (JSON parsing) on a source of too few splits. The caller decides;
-    nothing is measured."""
-    return df.repartition(partitions)
+def spread(df):
+    """Round-robin rows over tasks before CPU-heavy per-row work (JSON parsing)
+    on a source of too few splits. AQE sets their number by the bytes shuffled
+    and the cores, so it grows with the input."""
+    return df.hint("rebalance")
+
+
+@contextmanager
+def short_methods(spark: SparkSession):
+    """Within this block Spark runs generated code of more than 8,000 bytes a method in pieces
+    instead: the JVM never compiles longer ones, and rows of 45 columns make such methods."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.groups import ab_group
-from ..operators.flatten import flatten_json, ingest_hour, project_event
+from ..operators.flatten import allow_repeated_keys, flatten_bounded, ingest_hour, level_bound, project_event
 from ..operators.keyed import ledger_to_offsets, offset_ledger, offset_ranges, starting_offsets_json
 from ..operators.partials import write_partials
+from ..session import short_methods
 
 
 def read_event_stream(spark: SparkSession, topics: list[str] | str, servers: str,
@@ -51,11 +52,22 @@ def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 ARRIVAL = "_arrival_hour"
+LEVELS = "_levels"
 # event columns of the partial aggregates
 PARTIAL_COLUMNS = {"uid": "userId", "scene_id": "sceneId", "action_type": "optType"}
 QUERY_ID = "query_id"
 
 
+PIECES = 16
+
+
+def dealt(events: DataFrame) -> DataFrame:
+    """Rows dealt out for a write by hour: each hour in up to ``PIECES`` pieces by a hash of the row. The rebalance (not
+    repartition) merges pieces until each core has one (of 1 MB at least, so a small batch has one writer) and splits those that are still large."""
+    piece = F.pmod(F.xxhash64(*S.EVENT_FIELDS), F.lit(PIECES))
+    return events.withColumn("_piece", piece).hint("rebalance", S.INGEST_PARTITION, "_piece").drop("_piece")
+
+
 def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str | None, query_id: str,
                 tz: str = S.DEFAULT_TZ, ledger_path: str | None = None, unwrap_same_key: bool = False,
                 ranges_path: str | None = None, partials_path: str | None = None, partial_columns: dict[str, str] | None = None) -> None:
@@ -65,43 +77,46 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, rejects_path: str |
     The batch is read from its source once. ``ranges_path``: the batch's offset ranges (see
     ``keyed.offset_audit``). ``partials_path``: hourly partial aggregates of the batch's events, by arrival
     hour (see ``operators.partials``); ``partial_columns`` names the event columns that hold uid, scene_id and action_type."""
-    batch = batch.persist()
+    allow_repeated_keys(batch)
+    batch = batch.withColumn(LEVELS, level_bound("value")).persist()
     try:
-        if not batch.isEmpty():
-            _write(batch, batch_id, path, rejects_path, query_id, tz, ledger_path, unwrap_same_key, ranges_path, partials_path, partial_columns)
+        with short_methods(batch.sparkSession):
+            rows, most = batch.agg(F.count(F.lit(1)), F.max(LEVELS)).first()
+            if rows:
+                _write(batch, most or 1, batch_id, path, rejects_path, query_id, tz, ledger_path, unwrap_same_key, ranges_path, partials_path, partial_columns)
     finally:
         batch.unpersist()
 
 
-def _write(batch, batch_id, path, rejects_path, query_id, tz, ledger_path, unwrap_same_key, ranges_path, partials_path, partial_columns) -> None:
+def _write(batch, most, batch_id, path, rejects_path, query_id, tz, ledger_path, unwrap_same_key, ranges_path, partials_path, partial_columns) -> None:
     mark = [F.lit(query_id).alias(QUERY_ID), F.lit(batch_id).alias("batch_id")]
-    flat = flatten_json(batch, "value", None, "fields", unwrap_same_key).persist()
+    flat = flatten_bounded(batch.filter(F.col(LEVELS).isNotNull()), LEVELS, most, "value", "fields", unwrap_same_key)
+    if partials_path:   # read again for them; the other outputs need no flattening
+        flat = flat.select("fields", ARRIVAL).persist()
     try:
-        events = (project_event(flat.filter(F.col("fields").isNotNull()), "fields", tz, arrival=F.col(ARRIVAL))
-                  .select("*", *mark))
-        # rebalance (not repartition): AQE splits an hour holding the whole
-        # batch over several writers and merges many small hours
-        (events.hint("rebalance", S.INGEST_PARTITION).write
+        events = project_event(flat, "fields", tz, arrival=F.col(ARRIVAL)).select("*", *mark)
+        (dealt(events).write
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
          .partitionBy(S.INGEST_PARTITION, QUERY_ID, "batch_id").parquet(path))
         if rejects_path:
-            (flat.filter(F.col("fields").isNull()).select("value", *mark).write
+            (batch.filter(F.col(LEVELS).isNull()).select("value", *mark).write
              .option("partitionOverwriteMode", "dynamic").mode("overwrite")
              .partitionBy(QUERY_ID, "batch_id").parquet(rejects_path))
         if ledger_path and {"topic", "partition", "offset"} <= set(batch.columns):
             # per-batch offset ledger (partition|untilOffset per topic), replaced on replay
-            (offset_ledger(flat).select("*", *mark).write
+            (offset_ledger(batch).select("*", *mark).write
              .option("partitionOverwriteMode", "dynamic").mode("overwrite")
              .partitionBy(QUERY_ID, "batch_id").parquet(ledger_path))
         if ranges_path and {"topic", "partition", "offset"} <= set(batch.columns):
-            (offset_ranges(flat).select("*", *mark).write
+            (offset_ranges(batch).select("*", *mark).write
              .option("partitionOverwriteMode", "dynamic").mode("overwrite")
              .partitionBy(QUERY_ID, "batch_id").parquet(ranges_path))
         if partials_path:
             own = events.select(*(F.nullif(F.col(c), F.lit("")).alias(k) for k, c in (PARTIAL_COLUMNS | (partial_columns or {})).items()), S.INGEST_PARTITION)
             write_partials(own.withColumn("grp", ab_group("uid")), F.col(S.INGEST_PARTITION), partials_path, query_id, batch_id)
     finally:
-        flat.unpersist()
+        if partials_path:
+            flat.unpersist()
 
 
 def once(stream: DataFrame, within: str, keys: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:

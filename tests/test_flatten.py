@@ -104,3 +104,14 @@ def test_no_checkpoint_up_to_six_levels(spark, tmp_path):
     deep = '{"o":' * 8 + '{"mac":"x"}' + "}" * 8
     assert _flat(spark, [wide, deep]) == [{"m": "39", "s": "{" * 30}, {"mac": "x"}]
     assert count() > before
+
+
+def test_bound_of_levels_counts_braces_only(spark):
+    """Messages of six braces or fewer are not searched for strings; the bound is never under the levels."""
+    from abflow.operators.flatten import STEP, level_bound, nesting
+    texts = ['{"a":1}', '{"a":{"b":{"c":1}}}', '{"a":"{{{"}', "{" * 3, "[1]", "", None, '{"a":"' + "{" * 30 + '"}', '{"o":' * 8 + "1" + "}" * 8, "{" * 30]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = {r.value: (r.b, r.n) for r in df.select("value", level_bound("value").alias("b"), nesting("value").alias("n")).collect()}
+    for t, (b, n) in got.items():
+        assert (b is None) == (n is None) and (b is None or n <= b)
+        assert b is None or b == (t.count("{") if t.count("{") <= STEP else n)

@@ -116,3 +116,35 @@ def test_options_given_to_the_kafka_reader(monkeypatch):
     read_event_stream(Session(), ["a", "b"], "h1:9092,h2:9092", '{"a":{"0":5}}', maxOffsetsPerTrigger=100, minPartitions="8")
     assert said == {"format": "kafka", "kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "a,b", "startingOffsets": '{"a":{"0":5}}',
                     "maxOffsetsPerTrigger": 100, "minPartitions": "8", "columns": ("topic", "partition", "offset")}
+
+
+def test_one_hour_is_written_by_more_than_one_task(spark, tmp_path):
+    """A batch of some MB in one hour is dealt over tasks; a small one has one writer."""
+    import os
+
+    from abflow.streaming.ingest import ARRIVAL, write_batch
+    text = F.to_json(F.struct(F.col("id").cast("string").alias("eventId"), F.sha2(F.col("id").cast("string"), 512).alias("name")))
+    rows = spark.range(60000).select(text.alias("value"), F.lit("2024010100").alias(ARRIVAL))
+    for n, d in ((60000, "big"), (50, "small")):
+        write_batch(rows.limit(n).repartition(3), 0, str(tmp_path / d), None, "q")
+        assert read_ingested(spark, str(tmp_path / d)).select("eventId").distinct().count() == n
+    files = lambda d: [f for _, _, fs in os.walk(tmp_path / d) for f in fs if f.startswith("part-")]
+    assert len(files("big")) > 1 and len(files("small")) == 1
+
+
+def test_methods_of_an_event_row_are_short(spark, tmp_path, monkeypatch):
+    """Code for 45 columns is run in pieces that the JVM compiles; the session's own limit comes back."""
+    from abflow.streaming import ingest as I
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before, deal = spark.conf.get(name), I.dealt
+    monkeypatch.setattr(I, "dealt", lambda df: seen.append(df.sparkSession.conf.get(name)) or deal(df))
+    df = spark.createDataFrame([('{"eventId":"1"}', "2024010100")], f"value string, {I.ARRIVAL} string")
+    I.write_batch(df, 0, str(tmp_path / "ev"), None, "q")
+    assert seen == ["8000"] and spark.conf.get(name) == before
+
+
+def test_rows_spread_by_their_bytes(spark):
+    """A source of one split goes to as many tasks as it has work for, not to a fixed number."""
+    from abflow.session import spread
+    df = spread(spark.range(0, 4000000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t")))
+    assert "REBALANCE_PARTITIONS_BY_NONE" in df._jdf.queryExecution().executedPlan().toString()
