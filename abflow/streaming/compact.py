@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .ingest import QUERY_ID
+from ..session import short_methods
+from .ingest import QUERY_ID, dealt
 
 BATCH = [S.INGEST_PARTITION, QUERY_ID, "batch_id"]
 
@@ -60,7 +61,8 @@ def compact_hours(spark: SparkSession, path: str, compacted: str, start: str, en
     if new.isEmpty():
         return None
     rows = hours.join(new, BATCH, "left_semi")
-    rows.hint("rebalance", S.INGEST_PARTITION).write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(S.INGEST_PARTITION).parquet(f"{compacted}/data/run={run}")
+    with short_methods(spark):
+        dealt(rows).write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(S.INGEST_PARTITION).parquet(f"{compacted}/data/run={run}")
     new.coalesce(1).write.mode("overwrite").parquet(f"{compacted}/manifest/run={run}")
     return run
 
