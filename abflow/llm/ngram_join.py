@@ -139,7 +139,7 @@ def components(edges: DataFrame) -> DataFrame:
     then that label's own label, until no label changes; rounds grow with the
     logarithm of a component's width. Each round is cut in the shared folder.
     """
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = cut(edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).distinct())
     labels = cut(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("l")).withColumnRenamed("a", "id"))
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "l"), "b").groupBy("a").agg(F.min("l").alias("m"))
@@ -155,6 +155,17 @@ def _labelled(ids: DataFrame, comps: DataFrame) -> DataFrame:
     return ids.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp"))
 
 
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (doc_id, comp) after more links (a, b): rounds run over the components that a link joins, none if none does."""
+    for x in ("a", "b"):
+        links = links.join(label.select(F.col("doc_id").alias(x), F.col("comp").alias(f"comp_{x}")), x)
+    between = cut(links.filter("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct())
+    if between.isEmpty():
+        return label
+    more = components(between).select(F.col("id").alias("comp"), F.col("comp").alias("least"))
+    return cut(label.join(more, "comp", "left").select("doc_id", F.coalesce("least", "comp").alias("comp")))
+
+
 def _possible(x, y, percent: int) -> Column:
     """Two sets of n n-grams can reach the threshold if the n-gram they meet at is the first
     that they share. c: n-grams from that one on, of those that aren't the set's own (which
@@ -164,7 +175,9 @@ def _possible(x, y, percent: int) -> Column:
 
 
 def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS, also: DataFrame | None = None) -> DataFrame:
-    """(id, comp) over all linked documents of ``found`` (doc_id, n, c, prefix, grams) and the links ``also`` (a, b)."""
+    """(id, comp) over the documents of ``found`` (doc_id, n, c, prefix, grams) and of the links ``also`` (a, b).
+
+    Components are carried from one step to the next, and what a later step reads again is cut, so the plans that the driver holds stay small."""
     bits = max(1, (fragments - 1).bit_length())
     parts = found.select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1))).alias("f"), "grams").select(
         "doc_id", "n", "f", F.filter("grams", lambda h: F.shiftrightunsigned(h, 64 - bits).cast("int") == F.col("f")).alias("part")
@@ -182,25 +195,28 @@ def link(found: DataFrame, percent: int = PERCENT, fragments: int = FRAGMENTS, a
 
     best = star.groupBy("doc_id").agg(F.max(F.struct("common", (-F.col("centre")).alias("k"))).alias("m")).select(
         "doc_id", (-F.col("m.k")).alias("centre"))
-    tested = best.select(*pair).distinct()
-    links = cut(overlaps(tested, parts, percent))
+    tested = cut(best.select(*pair).distinct())
+    ids = found.select("doc_id")
+    if also is not None:
+        ids = ids.union(also.select(F.explode(F.array("a", "b")))).distinct()
+    label = cut(_labelled(ids, components(overlaps(tested, parts, percent))))
 
-    label = cut(_labelled(found.select("doc_id"), components(links)))
     rest = star.join(label, "doc_id").join(label.select(F.col("doc_id").alias("centre"), F.col("comp").alias("comp_c")), "centre").filter("comp != comp_c")
-    second = rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
-    links = cut(links.union(overlaps(second, parts, percent)))
+    second = cut(rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti"))
+    if not second.isEmpty():
+        label = _merged(label, overlaps(second, parts, percent))
 
-    label = cut(_labelled(found.select("doc_id"), components(links)))
     held = tokens.join(label, "doc_id")
     sizes = held.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("t").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-    held = held.join(main.select("t", "main"), "t")
+    held = cut(held.join(main.select("t", "main"), "t"))
     left = held.filter("comp != main").select("t", "doc_id", "x", F.col("comp").alias("comp_1"))
     right = held.select("t", F.col("x").alias("y"), F.col("comp").alias("comp_2"))
     third = left.join(right, (left["t"] == right["t"]) & (F.col("comp_1") != F.col("comp_2")) & _possible(F.col("x"), F.col("y"), percent))
-    third = third.select("doc_id", F.col("y.id").alias("centre")).select(*pair).distinct().join(tested.union(second), ["a", "b"], "left_anti")
-    links = links.union(overlaps(third, parts, percent))
-    return components(cut(links if also is None else links.union(also)))
+    third = cut(third.select("doc_id", F.col("y.id").alias("centre")).select(*pair).distinct().join(tested.union(second), ["a", "b"], "left_anti"))
+    if not third.isEmpty():
+        label = _merged(label, overlaps(third, parts, percent))
+    return (label if also is None else _merged(label, also)).withColumnRenamed("doc_id", "id")
 
 
 def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, group_bytes: int = GROUP_BYTES,

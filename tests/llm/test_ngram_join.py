@@ -88,6 +88,23 @@ def test_components(spark):
     assert got == root
 
 
+def test_components_are_carried_on(spark, monkeypatch):
+    """The driver keeps plans and stages of every job: later steps start from the components of the earlier ones and run no rounds without new links."""
+    rows = [(100 * f + i, " ".join([*(f"w{f}_{k}" for k in range(80)), f"e{f}_{i}"])) for f in range(6) for i in range(8)]
+    calls, whole = [], N.components
+    monkeypatch.setattr(N, "components", lambda edges: calls.append(edges) or whole(edges))
+    assert run(spark, rows) == brute(rows)
+    assert len(calls) == 1
+
+
+def test_links_between_components(spark):
+    """``_merged`` joins components by later links, also along a chain of them."""
+    label = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 5), (9, 9)], "doc_id long, comp long")
+    for links, want in (([], {5: 5, 4: 3}), ([(1, 2)], {5: 5, 4: 3}), ([(4, 6), (2, 3), (3, 4)], {5: 1, 4: 1})):
+        got = {r.doc_id: r.comp for r in N._merged(label, spark.createDataFrame(links, "a long, b long")).collect()}
+        assert got == {1: 1, 2: 1, 3: want[4], 4: want[4], 5: want[5], 6: want[5], 9: 9}
+
+
 def test_sets_stay_exact_in_integers(spark):
     # 4 of 5 n-grams shared is exactly 0.8 and links; 7 of 9 doesn't
     a = [f"q{i}" for i in range(8)]
