@@ -69,6 +69,13 @@ def text_buffers(col: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray,
         row += n
 
 
+def release() -> None:
+    """Give memory that is free in this Python worker back to the system: workers outlive
+    their stage, and what they hold counts beside the next one's."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # the latter trims malloc, and so numpy's share
+        pool.release_unused()
+
+
 # ---------------------------------------------------------------- hashing
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -82,7 +89,7 @@ _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i mod 2**64 for i < n."""
     if len(_powers[0]) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES + 2)
         for k, b in enumerate((_BASE, _INV)):
             a = np.full(size, b, U64)
             a[0] = 1

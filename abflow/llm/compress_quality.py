@@ -30,7 +30,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, release
+from .tokens import column_texts, forget
 
 PER_CLASS = 8000
 BLOCKS = 6000
@@ -124,6 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, blocks:
     half = F.pmod(F.xxhash64("known_id", F.lit("half")), F.lit(2)) == 0
 
     def cut(batches):
+        forget()
         for batch in batches:
             ids, out = batch.column("known_id").to_pylist(), []
             for k, (q, t) in enumerate(zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True)):
@@ -131,6 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, blocks:
                 out += [(ids[k], a, q, raw[a:a + BLOCK]) for a in range(0, len(raw), BLOCK)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
                                              ["known_id", "at", "label", "block"])
+        release()
 
     cuts = rows.filter(half).select("known_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(cut, "known_id long, at long, label int, block binary")
     by_hash = F.xxhash64("known_id", "at")
@@ -147,6 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, blocks:
         for batch in batches:
             x = features(comp, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column("label").cast(pa.int32())], ["d", "s", "label"])
+        release()
 
     seen = rows.filter(~half).select("text", "label").mapInArrow(measure, "d double, s double, label int").collect()
     y = np.array([r.label for r in seen], float)
@@ -166,11 +170,15 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     at = given.columns.index("text")
 
     def run(batches):
+        forget()
         m = shared.value
         comp = m.compressors()
         for batch in batches:
-            x = features(comp, batch.column(at).to_pylist()) if comp else np.zeros((batch.num_rows, 2))
+            x = np.zeros((batch.num_rows, 2))
+            for first, texts in column_texts(batch.column(at)) if comp else ():
+                x[first:first + len(texts)] = features(comp, texts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.score(x), pa.float64())], [*batch.schema.names, name])
+        release()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema) + f", `{name}` double"
     return given.mapInArrow(run, schema)

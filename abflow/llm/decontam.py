@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLAIN, Words, read_table, text_buffers
+from .common import PLAIN, Words, read_table, release, text_buffers
 
 WINDOW = 13
 PART_BYTES = 16 << 20
@@ -145,6 +145,7 @@ def clean(docs: DataFrame, bench: DataFrame, remove: str = "documents", window:
             cols = list(batch.columns)
             cols[text_at] = pa.array(texts, batch.schema.field(text_at).type)
             yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+        release()
 
     names = docs.columns
     id_at, text_at = names.index("doc_id"), names.index("text")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .common import SPACED, Words, cut, group_of, read_table, text_buffers, with_groups
+from .common import SPACED, Words, cut, group_of, read_table, release, text_buffers, with_groups
 from .tokens import forget
 
 N, PERCENT = 5, 80
@@ -87,6 +87,7 @@ def _signs(k: int):
             ids = batch.column("doc_id").to_pylist()
             rows = [(ids[i], len(s), _signature(s)) for i, s in sets(batch, k)]
             yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in rows], f.type) for j, f in enumerate(_SIGNS)], schema=_SIGNS)
+        release()
     return run
 
 
@@ -104,6 +105,7 @@ def _class_sets(docs: pa.Table, reps: pa.Table, k: int):
 
 def _send(k: int, n_buckets: int):
     def run(docs: pa.Table, reps: pa.Table) -> pa.Table:
+        release()
         keys = [np.unique(shared.key(s, n_buckets)) for _, s in _class_sets(docs, reps, k)]
         return shared.pack(np.concatenate(keys), reps.column("p")[0].as_py()) if keys else shared.SENT_ARROW.empty_table()
     return run
@@ -111,6 +113,7 @@ def _send(k: int, n_buckets: int):
 
 def _survivors(k: int, n_buckets: int, percent: int):
     def run(docs: pa.Table, reply: pa.Table) -> pa.Table:
+        release()
         rows, known = [], shared.Shared(reply)
         for doc, s in _class_sets(docs, reply if len(known.keys) else reply.slice(0, 0), k):
             n, df = len(s), known.count(shared.key(s, n_buckets))

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, read_table
-from .tokens import encoder, public_path, some_texts
+from .common import cut, read_table, release
+from .tokens import column_texts, encoder, forget, public_path
 
 LENGTH = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -48,13 +48,14 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
         end = np.array([END_ID], enc.dtype)
         for batch in batches:
             names, copies, rows = batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist(), []
-            for first, texts in some_texts(batch.column("text").to_pylist()):
+            for first, texts in column_texts(batch.column("text")):
                 for k, got in enumerate(enc.encode(texts), first):
                     ids = np.concatenate([got, end]).astype("<u4")
                     for n, a in enumerate(range(0, len(ids), length)):
                         part = ids[a:a + length]
                         rows.append((names[k], copies[k], n, a, len(part), zlib.crc32(part.tobytes())))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_PIECES)], schema=_PIECES)
+        release()
 
     return d.mapInArrow(run, _PIECES_DDL)
 
@@ -151,6 +152,7 @@ def improve(bins: list[list[int]], sizes: list[int], cap: int) -> list[list[int]
 
 def _pack(cap: int):
     def run(t: pa.Table) -> pa.Table:
+        forget()
         t = t.sort_by([("length", "descending"), ("doc_id", "ascending"), ("copy", "ascending"), ("piece", "ascending")])
         sizes = t.column("length").to_pylist()
         packed = improve(best_fit(sizes, cap), sizes, cap)

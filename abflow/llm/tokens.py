@@ -14,6 +14,10 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .common import release
 
 # white space on both sides of a space: a run that a cut at the space would split
 _RUN = re.compile(r"\s \s")
@@ -126,11 +130,9 @@ def forget() -> None:
     if _loaded:
         import gc
 
-        import pyarrow as pa
-
         _loaded.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        release()
 
 
 def some_texts(texts: list[str | None], chars: int = 1 << 20):
@@ -145,6 +147,16 @@ def some_texts(texts: list[str | None], chars: int = 1 << 20):
         i = j
 
 
+def column_texts(col: pa.Array, size: int = 1 << 20):
+    """(first row, texts) of an Arrow column in parts of about ``size`` bytes, whole texts; only one part is held as strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < len(col):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + size, "right")))
+        yield i, col.slice(i, j - i).to_pylist()
+        i = j
+
+
 def public_path(name: str) -> str:
     """Place of a public tokenizer's file; the package is installed on every node."""
     import public_tokenizers

@@ -178,3 +178,23 @@ def test_the_best_exchange_is_found():
         want = max((n for n in nets if least <= n <= room), default=None)
         got = K._shift(K._choices(a, sizes)[0], K._choices(b, sizes)[1], room, least)
         assert (got and sum(sizes[i] for i in got[0]) - sum(sizes[i] for i in got[1])) == want
+
+
+def test_texts_in_parts_and_nothing_kept_for_later_stages():
+    """Workers outlive their stage: a stage after the encoding one lets the encoder go, and a batch's texts become strings a part at a time."""
+    import pyarrow as pa
+
+    from abflow.llm import compress_quality, packing, tokens
+    texts = ["a" * 10, None, "", "é" * 40, "b" * 300, "c", None, "d" * 90]
+    for col in (pa.array(texts), pa.array(["x", *texts, "y"]).slice(1, len(texts))):
+        parts = list(tokens.column_texts(col, 100))
+        assert [t for _, p in parts for t in p] == texts
+        assert [i for i, _ in parts] == [sum(len(p) for _, p in parts[:k]) for k in range(len(parts))]
+        assert all(len(p) == 1 or sum(len((t or "").encode()) for t in p) <= 100 for _, p in parts)
+    assert list(tokens.column_texts(pa.array([], pa.string()))) == []
+
+    tokens.encoder(public_path(WORD)).encode(["some words"])
+    piece = pa.Table.from_pylist([{"doc_id": 1, "copy": 0, "piece": 0, "start": 0, "length": 3, "ids_crc32": 5, "g": 0}],
+                                 schema=pa.schema([*packing._PIECES, ("g", pa.int32())]))
+    assert packing._pack(2048)(piece).column("offset").to_pylist() == [0] and not tokens._loaded
+    assert compress_quality.features([], ["a", None]).shape == (2, 2)
